@@ -81,3 +81,39 @@ def dense_rank_global(
         c = df[k].eqNullSafe(ranked[f"_dr_{k}"])
         cond = c if cond is None else cond & c
     return df.join(ranked, cond, "inner").drop(*[f"_dr_{k}" for k in keys])
+
+
+def prefix_sums_global(
+    df: DataFrame,
+    order: list[str],
+    values: list[str],
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """For each row, the sums of ``values`` over all rows strictly before it in ``order``.
+
+    Adds ``<value>_before`` columns.  Rows are range-partitioned and sorted on ``order``;
+    sums inside a partition come from a window over that partition only, and the totals of
+    earlier partitions (a table with one row per partition) are added on top.
+    Give an ``order`` that is unique per row.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _sort_cols(order)
+    numbered = (
+        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        .withColumn("_rg_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+        .withColumn("_rg_pid", F.shiftright("_rg_mid", _LOCAL_BITS))
+    )
+    inside = Window.partitionBy("_rg_pid").orderBy("_rg_mid").rowsBetween(Window.unboundedPreceding, -1)
+    local = numbered
+    for v in values:
+        local = local.withColumn(f"_in_{v}", F.coalesce(F.sum(v).over(inside), F.lit(0)))
+    totals = numbered.groupBy("_rg_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.orderBy("_rg_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_rg_pid", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
+                                         for v in values])
+    out = local.join(F.broadcast(offsets), "_rg_pid")  # one row per range partition
+    for v in values:
+        out = out.withColumn(f"{v}_before", F.col(f"_off_{v}") + F.col(f"_in_{v}"))
+    return out.drop("_rg_mid", "_rg_pid", *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
