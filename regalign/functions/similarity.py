@@ -94,25 +94,37 @@ def score_name_pairs(
     left: str = "l",
     right: str = "r",
     weights: tuple[float, float, float] = DEFAULT_WEIGHTS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Score pairs of names.
 
     ``pairs`` must carry, for each side ``p`` in (left, right), the columns produced by
     ``name_features``: ``{p}_name``, ``{p}_sorted``, ``{p}_set``, ``{p}_plen``.
-    Adds ``ratio``, ``token_sort``, ``token_set`` (int) and ``similarity_score`` (double).
+    Returns ``{left}_name``, ``{right}_name``, the ``keep`` columns, ``ratio``,
+    ``token_sort``, ``token_set`` (int) and ``similarity_score`` (double).  Only the six
+    strings the LCS kernel needs cross into Python.
     """
     l, r = left, right
+    # Candidate pairs are far more numerous than the name tables they come from and the
+    # scoring is CPU-bound, so spread them over the cluster by pair key.  An explicit
+    # partition count is not coalesced away by AQE.
+    spark = pairs.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    pairs = pairs.repartition(n, F.col(f"{l}_name"), F.col(f"{r}_name"))
     sect = F.array_intersect(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d1 = F.array_except(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d2 = F.array_except(F.col(f"{r}_set"), F.col(f"{l}_set"))
-    prepared = (
-        pairs.withColumn("_sect", F.array_join(sect, " "))
-        .withColumn("_ca", F.trim(F.concat_ws(" ", F.col("_sect"), F.array_join(d1, " "))))
-        .withColumn("_cb", F.trim(F.concat_ws(" ", F.col("_sect"), F.array_join(d2, " "))))
-        .withColumn("_a", F.coalesce(F.col(f"{l}_name"), F.lit("")))
-        .withColumn("_b", F.coalesce(F.col(f"{r}_name"), F.lit("")))
-        .withColumn("_sa", F.col(f"{l}_sorted"))
-        .withColumn("_sb", F.col(f"{r}_sorted"))
+    sect_s = F.array_join(sect, " ")
+    prepared = pairs.select(
+        *(keep or []),
+        F.coalesce(F.col(f"{l}_name"), F.lit("")).alias("_a"),
+        F.coalesce(F.col(f"{r}_name"), F.lit("")).alias("_b"),
+        F.col(f"{l}_sorted").alias("_sa"),
+        F.col(f"{r}_sorted").alias("_sb"),
+        sect_s.alias("_sect"),
+        F.trim(F.concat_ws(" ", sect_s, F.array_join(d1, " "))).alias("_ca"),
+        F.trim(F.concat_ws(" ", sect_s, F.array_join(d2, " "))).alias("_cb"),
+        ((F.col(f"{l}_plen") == 0) | (F.col(f"{r}_plen") == 0)).alias("_no_tokens"),
     )
     out_schema = T.StructType(prepared.schema.fields + [T.StructField(c, T.LongType(), False) for c in _LCS_COLS])
     with_lcs = prepared.mapInArrow(_lcs_batches, out_schema)
@@ -120,7 +132,7 @@ def score_name_pairs(
     sect_len = F.length(F.col("_sect"))
     r_raw = ratio_from_lcs(F.col("_a"), F.col("_b"), F.col("_lcs_raw"))
     r_sort = ratio_from_lcs(F.col("_sa"), F.col("_sb"), F.col("_lcs_sort"))
-    r_set = F.when((F.col(f"{l}_plen") == 0) | (F.col(f"{r}_plen") == 0), F.lit(0)).otherwise(
+    r_set = F.when(F.col("_no_tokens"), F.lit(0)).otherwise(
         F.greatest(
             ratio_from_lcs(F.col("_sect"), F.col("_ca"), sect_len),
             ratio_from_lcs(F.col("_sect"), F.col("_cb"), sect_len),
@@ -128,19 +140,16 @@ def score_name_pairs(
         )
     )
     w_r, w_s, w_t = (float(w) for w in weights)
-    scored = (
-        with_lcs.withColumn("ratio", r_raw)
-        .withColumn("token_sort", r_sort)
-        .withColumn("token_set", r_set)
-    )
+    scored = with_lcs.select(
+        F.col("_a").alias(f"{l}_name"), F.col("_b").alias(f"{r}_name"), *(keep or []),
+        r_raw.alias("ratio"), r_sort.alias("token_sort"), r_set.alias("token_set"))
     sim = (
         F.col("ratio") / F.lit(100.0) * F.lit(w_r)
         + F.col("token_sort") / F.lit(100.0) * F.lit(w_s)
         + F.col("token_set") / F.lit(100.0) * F.lit(w_t)
     )
-    empty = (F.col("_a") == "") | (F.col("_b") == "")
-    scored = scored.withColumn("similarity_score", F.when(empty, F.lit(0.0)).otherwise(sim))
-    return scored.drop("_sect", "_ca", "_cb", "_a", "_b", "_sa", "_sb", *_LCS_COLS)
+    empty = (F.col(f"{l}_name") == "") | (F.col(f"{r}_name") == "")
+    return scored.withColumn("similarity_score", F.when(empty, F.lit(0.0)).otherwise(sim))
 
 
 def similarity_frame(df: DataFrame, a: str, b: str, weights=DEFAULT_WEIGHTS) -> DataFrame:
@@ -148,5 +157,4 @@ def similarity_frame(df: DataFrame, a: str, b: str, weights=DEFAULT_WEIGHTS) ->
     base = df.withColumn("l_name", F.col(a)).withColumn("r_name", F.col(b))
     base = name_features(base, "l_name", "l")
     base = name_features(base, "r_name", "r")
-    scored = score_name_pairs(base, "l", "r", weights)
-    return scored.drop("l_name", "r_name", "l_sorted", "r_sorted", "l_set", "r_set", "l_plen", "r_plen")
+    return score_name_pairs(base, "l", "r", weights, keep=[c for c in df.columns])

@@ -184,6 +184,9 @@ def harmonize(
     are not kept.
     """
     stamp = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
+    # matched name pairs feed three branches; fix them once (bounded by distinct-name pairs)
+    # with a reliable checkpoint in the shared folder so scoring is not repeated
+    matches = matches.checkpoint(eager=True)
     ids = assign_ids(matches.select("l_name").distinct(), "l_name", cfg)
     m = matches.join(ids, "l_name")
     left = left_prepared.alias("s1")

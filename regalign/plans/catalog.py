@@ -173,7 +173,7 @@ def _orders_split(spark, d):
     o = V.table(spark, d, "orders")
     target = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
     source = o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).withColumn(
-        "o_totalprice", F.round(F.col("o_totalprice") * F.lit(1.1), 2))
+        "o_totalprice", F.col("o_totalprice") * F.lit(1.1))
     return target, source
 
 

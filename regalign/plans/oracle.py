@@ -262,7 +262,7 @@ def oracle_queries() -> dict[str, str]:
 
     # ---- upsert on orders: target = orders up to 1999, source = orders from 1998 with new prices
     tgt = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'"
-    src = ("SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 1.1, 2) AS o_totalprice, "
+    src = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.1::DOUBLE AS o_totalprice, "
            "o_orderdate, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'")
     out["merge_upsert"] = (
         f"WITH t AS ({tgt}), s AS ({src}) SELECT * FROM s UNION ALL "
