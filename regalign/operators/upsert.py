@@ -42,7 +42,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, ts=None, stamp_
             raise ValueError(f"MERGE: a target row matches more than one source row on {key}")
     kept = target.join(source.select(key).distinct(), key, "left_anti")
     cols = src.columns
-    return src.unionByName(kept.select(*cols), allowMissingColumns=True).select(*cols)
+    return src.unionByName(kept, allowMissingColumns=True).select(*cols)
 
 
 def merge_stats(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
