@@ -63,3 +63,30 @@ def record_count(spark: SparkSession, path: str) -> DataFrame:
     if not registry_exists(spark, path):
         return spark.range(1).select(F.lit(0).cast("long").alias("n"))
     return read_registry(spark, path).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- change log on disk
+def read_changes(spark: SparkSession, path: str) -> DataFrame | None:
+    """The registry's change log (one partition directory per snapshot), or None if absent."""
+    return spark.read.parquet(path) if registry_exists(spark, path) else None
+
+
+def next_snapshot_id(spark: SparkSession, path: str) -> int:
+    """max(snapshot_id) + 1 from partition values (one tiny aggregate), or 1 for a new table."""
+    changes = read_changes(spark, path)
+    if changes is None:
+        return 1
+    top = changes.agg(F.max("snapshot_id").alias("m")).first()["m"]
+    return 1 if top is None else int(top) + 1
+
+
+def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at) -> None:
+    """Write one commit's rows as partition ``snapshot_id=N`` (dynamic partition overwrite).
+
+    Re-running the same commit (a retried job or a replayed micro-batch) replaces that
+    partition instead of adding a second copy, so commits are idempotent.
+    """
+    tagged = (rows.withColumn("committed_at", F.lit(committed_at).cast("timestamp"))
+              .withColumn("snapshot_id", F.lit(snapshot_id).cast("long")))
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy("snapshot_id").parquet(path))
