@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regalign.functions.lcs import lcs_lengths
+from regalign.session import parallelism
 
 DEFAULT_WEIGHTS = (0.3, 0.4, 0.3)
 
@@ -108,9 +109,7 @@ def score_name_pairs(
     # Candidate pairs are far more numerous than the name tables they come from and the
     # scoring is CPU-bound, so spread them over the cluster by pair key.  An explicit
     # partition count is not coalesced away by AQE.
-    spark = pairs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    pairs = pairs.repartition(n, F.col(f"{l}_name"), F.col(f"{r}_name"))
+    pairs = pairs.repartition(parallelism(pairs.sparkSession), F.col(f"{l}_name"), F.col(f"{r}_name"))
     sect = F.array_intersect(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d1 = F.array_except(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d2 = F.array_except(F.col(f"{r}_set"), F.col(f"{l}_set"))

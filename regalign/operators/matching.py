@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_name_pairs
@@ -153,9 +153,9 @@ def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: Matc
 
 
 def assign_ids(names: DataFrame, name_col: str = "l_name", cfg: MatchConfig = MatchConfig(),
-               out: str = "corporate_id") -> DataFrame:
+               out: str = "corporate_id", names_are_distinct: bool = False) -> DataFrame:
     """Equal names get equal ids: ``prefix + lpad(dense_rank over name)``."""
-    ranked = dense_rank_global(names, [name_col], "_id_rank")
+    ranked = dense_rank_global(names, [name_col], "_id_rank", keys_are_distinct=names_are_distinct)
     return ranked.withColumn(out, format_id("_id_rank", cfg.id_prefix, cfg.id_width))
 
 
@@ -187,7 +187,25 @@ def harmonize(
     # matched name pairs feed three branches; fix them once (bounded by distinct-name pairs)
     # with a reliable checkpoint in the shared folder so scoring is not repeated
     matches = matches.checkpoint(eager=True)
-    ids = assign_ids(matches.select("l_name").distinct(), "l_name", cfg)
+    matched_names = matches.select("l_name").distinct()
+    # raw names of left rows whose normalised name matched; the rest are "unmatched"
+    matched_raw = left_prepared.join(matched_names.withColumnRenamed("l_name", "normalized_name"), "normalized_name")
+    rest = unmatched_left(left_prepared, matched_raw.select(left_name), left_name)
+    # One distributed numbering for both id ranges: matched names first (dense rank =
+    # row number over distinct names), then the unmatched rows by raw name with tie-breaks.
+    # The reference leaves one id unused between the two ranges (K8), hence the +1.
+    tie = list(left_order or [c for c in ("address", "activity_places", "top_suppliers") if c in left_prepared.columns])
+    order_keys = [left_name] + tie
+    ranked_names = matched_names.select(F.lit(0).alias("_grp"), *[
+        (F.col("l_name") if i == 0 else F.lit(None).cast("string")).alias(f"_k{i}") for i in range(len(order_keys))])
+    ranked_rows = rest.select(F.lit(1).alias("_grp"), *[F.col(c).cast("string").alias(f"_k{i}")
+                                                        for i, c in enumerate(order_keys)], *rest.columns)
+    numbered_all = row_number_global(
+        ranked_names.unionByName(ranked_rows, allowMissingColumns=True),
+        ["_grp"] + [f"_k{i}" for i in range(len(order_keys))], "_rn")
+    ids = numbered_all.where(F.col("_grp") == 0).select(
+        F.col("_k0").alias("l_name"), format_id("_rn", cfg.id_prefix, cfg.id_width).alias("corporate_id"))
+    numbered = numbered_all.where(F.col("_grp") == 1).withColumn("_rn", F.col("_rn") + F.lit(1))
     m = matches.join(ids, "l_name")
     left = left_prepared.alias("s1")
     right = right_prepared.alias("s2")
@@ -210,15 +228,6 @@ def harmonize(
             stamp.alias("harmonization_timestamp"),
         )
     )
-    # raw names of matched left rows: rows whose normalised name matched
-    matched_left_names = left_prepared.join(ids.select(F.col("l_name").alias("normalized_name")), "normalized_name")
-    rest = unmatched_left(left_prepared, matched_left_names.select(left_name), left_name)
-    # ids continue after the matched ones: the count of matched ids (+1, see K8 in the
-    # README) enters the prefix sum of the numbering, so no scalar goes through the driver
-    base = ids.agg((F.count(F.lit(1)) + F.lit(1)).alias("base"))
-    order = [left_name] + list(left_order or [c for c in ("address", "activity_places", "top_suppliers")
-                                               if c in left_prepared.columns])
-    numbered = row_number_global(rest, order, "_rn", base=base)
     unmatched = numbered.select(
         format_id(F.col("_rn"), cfg.id_prefix, cfg.id_width).alias("corporate_id"),
         F.col(left_name).alias("corporate_name"),

@@ -67,14 +67,18 @@ def dense_rank_global(
     keys: list[str],
     out: str = "dense_rank",
     num_partitions: int | None = None,
+    keys_are_distinct: bool = False,
 ) -> DataFrame:
     """``dense_rank() OVER (ORDER BY keys)``: rank the distinct keys, then join back.
 
     The distinct step is a partial + final hash aggregate; the join back is an equi-join
-    on the keys (null-safe), which AQE can split when one key is hot.
+    on the keys (null-safe), which AQE can split when one key is hot.  When ``df`` already
+    is the distinct keys, the ranked (checkpointed) keys are the answer and no join is made.
     """
-    distinct_keys = df.select(*keys).distinct()
+    distinct_keys = df.select(*keys) if keys_are_distinct else df.select(*keys).distinct()
     ranked = row_number_global(distinct_keys, list(keys), out, num_partitions)
+    if keys_are_distinct:
+        return ranked
     ranked = ranked.select(*[F.col(k).alias(f"_dr_{k}") for k in keys], out)
     cond = None
     for k in keys:

@@ -125,7 +125,8 @@ def q_matches(spark, d):
 
 
 def q_assign_ids(spark, d):
-    return M.assign_ids(_Match(spark, d).matches().select("l_name").distinct(), "l_name", CFG).select(
+    return M.assign_ids(_Match(spark, d).matches().select("l_name").distinct(), "l_name", CFG,
+                        names_are_distinct=True).select(
         "l_name", "corporate_id")
 
 
@@ -161,6 +162,13 @@ def q_registry_roundtrip(spark, d):
     return _no_ts(reg)
 
 
+def q_registry_count(spark, d):
+    path = scratch_path(spark, "registry-count")
+    before = registry.record_count(spark, path)  # absent table -> 0
+    registry.write_registry(_Match(spark, d).harmonized(), path)
+    return registry.record_count(spark, path).select(F.col("n"), F.lit(before.first()["n"]).alias("n_before"))
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "finance-csv")
     V.finance_view(spark, d).drop("row_id").write.option("header", "true").csv(path)
@@ -327,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "ids_per_entity": q_ids_per_entity,
     "entity_summary": q_entity_summary,
     "registry_roundtrip": q_registry_roundtrip,
+    "registry_count": q_registry_count,
     "csv_roundtrip": q_csv_roundtrip,
     "merge_upsert": q_merge_upsert,
     "merge_stats": q_merge_stats,

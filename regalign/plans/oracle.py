@@ -247,6 +247,7 @@ def oracle_queries() -> dict[str, str]:
         "supplier_count FROM unmatched")
     out["harmonize"] = with_matching("SELECT * FROM harmonized")
     out["registry_roundtrip"] = out["harmonize"]
+    out["registry_count"] = with_matching("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_before FROM harmonized")
     out["csv_roundtrip"] = (f"SELECT corporate_name_s2, main_customers, revenue, profit, 'source2' AS source "
                             f"FROM ({FINANCE})")
     out["collapse_by_id"] = with_matching(

@@ -31,7 +31,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; set a private one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext; use the conf
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,6 +45,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the job (at least the configured shuffle partitions)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        n = max(n, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - remote session
+        pass
+    return n
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
