@@ -77,15 +77,11 @@ def block_key(c: ColumnOrName, n: int = 3) -> Column:
 def format_id(rank: ColumnOrName, prefix: str = "CORP_", width: int = 6) -> Column:
     """``prefix`` + rank left-padded with zeros to ``width``.
 
-    ``lpad`` would silently cut ranks wider than ``width`` (so ids would collide);
-    such ranks raise an error instead.
+    ``lpad`` alone would cut ranks wider than ``width`` (so ids would collide once a
+    registry passes 999,999 entities); wider ranks keep all their digits instead.
     """
-    r = _col(rank).cast("long")
-    digits = r.cast("string")
-    checked = F.when(F.length(digits) <= width, digits).otherwise(
-        F.raise_error(F.concat(F.lit(f"id rank exceeds {width} digits: "), digits))
-    )
-    return F.concat(F.lit(prefix), F.lpad(checked, width, "0"))
+    digits = _col(rank).cast("long").cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
 
 
 def parse_id(c: ColumnOrName, sep: str = "_") -> Column:

@@ -106,6 +106,9 @@ def length_factor(threshold: float, weights=DEFAULT_WEIGHTS) -> float | None:
     return (2.0 - c) / c * (1 + 1e-12)
 
 
+MAX_BAND_FACTOR = 4.0
+
+
 def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
                     weights=DEFAULT_WEIGHTS, use_length_band: bool = True) -> DataFrame:
     """Blocked candidate name pairs: equal block key and (when it prunes) compatible length.
@@ -117,6 +120,8 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     length, so no distinct is needed afterwards.
     """
     f = length_factor(threshold, weights) if use_length_band else None
+    if f is not None and f > MAX_BAND_FACTOR:
+        f = None  # at low thresholds the band prunes little and each name would list many lengths
     if f is None:
         return left_names.join(right_names, F.col("l_block") == F.col("r_block"), "inner")
     lo = F.ceil(F.length("l_sorted") / F.lit(f) - F.lit(1e-9)).cast("int")

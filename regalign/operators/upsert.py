@@ -126,3 +126,15 @@ def compact(df: DataFrame, path: str, n_files: int, sort_key: str | list[str], m
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def register_updates(df: DataFrame, name: str = "harmonized_updates") -> str:
+    """Expose a frame to SQL under ``name`` (session-scoped temp view); returns the name."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
+def merge_sql(target_view: str, source_view: str, key: str) -> str:
+    """The MERGE upsert as one SQL query over two registered views (same plan as ``merge_upsert``)."""
+    return (f"SELECT * FROM {source_view} UNION ALL "
+            f"SELECT t.* FROM {target_view} t LEFT ANTI JOIN {source_view} s ON t.{key} = s.{key}")

@@ -36,7 +36,8 @@ def list_size_sql(x: str) -> str:
 
 
 def format_id_sql(rank: str, width: int = 6) -> str:
-    return f"'CORP_' || lpad(CAST({rank} AS VARCHAR), {width}, '0')"
+    d = f"CAST({rank} AS VARCHAR)"
+    return f"'CORP_' || (CASE WHEN length({d}) >= {width} THEN {d} ELSE lpad({d}, {width}, '0') END)"
 
 
 # ---------------------------------------------------------------- views

@@ -59,3 +59,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
+    """Settings we recommend for a large cluster (apply with ``--conf`` or the builder).
+
+    Shuffle partitions target ~128 MB per partition of input and at least 2x the cores;
+    AQE re-plans joins at runtime (broadcast only below the threshold, skew splitting) and
+    coalesces small partitions except where a partition count is set explicitly.
+    """
+    partitions = max(2 * total_cores, input_bytes // (128 << 20))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.parquet.filterPushdown": "true",
+    }

@@ -90,3 +90,17 @@ def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at) -
               .withColumn("snapshot_id", F.lit(snapshot_id).cast("long")))
     (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "snappy").partitionBy("snapshot_id").parquet(path))
+
+
+def registry_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """One row: path, column count, change rows, snapshots; ``error`` is set when unreadable."""
+    schema = "path string, n_columns int, history_rows long, snapshot_count long, error string"
+    try:
+        changes = spark.read.parquet(path)
+        n_cols = len(changes.columns)
+        snaps = F.count_distinct("snapshot_id") if "snapshot_id" in changes.columns else F.lit(None).cast("long")
+        return changes.agg(F.lit(path).alias("path"), F.lit(n_cols).alias("n_columns"),
+                           F.count(F.lit(1)).alias("history_rows"), snaps.cast("long").alias("snapshot_count"),
+                           F.lit(None).cast("string").alias("error"))
+    except Exception as err:  # noqa: BLE001 - reported as a row, as the reference returns an error entry
+        return spark.createDataFrame([(path, None, None, None, str(err)[:500])], schema)

@@ -60,9 +60,10 @@ def test_format_and_parse_id(spark):
     assert _one(spark, lambda c: parse_id(c), "bad") is None
 
 
-def test_format_id_refuses_to_truncate(spark):
-    with pytest.raises(Exception, match="exceeds 6 digits"):
-        _one(spark, lambda c: format_id(c), 1234567, "long")
+def test_format_id_never_truncates(spark):
+    # past 999,999 entities the reference's lpad would cut digits and ids would collide
+    assert _one(spark, lambda c: format_id(c), 1234567, "long") == "CORP_1234567"
+    assert _one(spark, lambda c: format_id(c), 999999, "long") == "CORP_999999"
 
 
 def test_categorize(spark):

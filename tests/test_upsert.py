@@ -67,3 +67,25 @@ def test_compact(spark):
     path = upsert.compact(df.repartition(20), scratch_path(spark, "compact-test"), 3, "v")
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.rdd.getNumPartitions() <= 3
+
+
+def test_merge_through_sql(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], SCHEMA)
+    source = spark.createDataFrame([("b", 20), ("c", 30)], SCHEMA)
+    t = upsert.register_updates(target, "merge_target_t")
+    s = upsert.register_updates(source, "harmonized_updates")
+    out = {r.id: r.v for r in spark.sql(upsert.merge_sql(t, s, "id")).collect()}
+    assert out == {"a": 1, "b": 20, "c": 30}
+
+
+def test_registry_metadata(spark):
+    from regalign.sources import registry
+
+    bad = registry.registry_metadata(spark, scratch_path(spark, "missing")).first()
+    assert bad.error is not None and bad.history_rows is None
+    path = scratch_path(spark, "meta")
+    registry.write_snapshot(spark.createDataFrame([("a", 1)], SCHEMA), path, 1, "2024-01-01")
+    registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02")
+    registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02")  # replay
+    meta = registry.registry_metadata(spark, path).first()
+    assert (meta.history_rows, meta.snapshot_count, meta.error) == (3, 2, None)
