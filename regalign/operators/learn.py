@@ -112,12 +112,14 @@ def confusion_metrics(pred: DataFrame, label: str = TARGET, prediction: str = "p
                                        F.lit(2.0) * F.col("_prec") * F.col("_rec") / (F.col("_prec") + F.col("_rec")))
                          .otherwise(0.0))
     total = F.sum("_actual")
+    # class-weighted sums of doubles are rounded to 12 places so the result does not
+    # depend on the order in which partial sums are added
     return per.agg(
         total.alias("n"),
         (F.sum("_tp") / total).alias("accuracy"),
-        (F.sum(F.col("_prec") * F.col("_actual")) / total).alias("weighted_precision"),
-        (F.sum(F.col("_rec") * F.col("_actual")) / total).alias("weighted_recall"),
-        (F.sum(F.col("_f1") * F.col("_actual")) / total).alias("weighted_f1"),
+        F.round(F.sum(F.col("_prec") * F.col("_actual")) / total, 12).alias("weighted_precision"),
+        F.round(F.sum(F.col("_rec") * F.col("_actual")) / total, 12).alias("weighted_recall"),
+        F.round(F.sum(F.col("_f1") * F.col("_actual")) / total, 12).alias("weighted_f1"),
     )
 
 

@@ -179,9 +179,17 @@ def harmonize(
     left_name: str = "corporate_name_s1",
     right_name: str = "corporate_name_s2",
     left_order: list[str] | None = None,
+    collapsed: bool = False,
 ) -> DataFrame:
     """One row per matched (left row, right row) pair plus one per unmatched left row.
 
+    With ``collapsed=True`` the result has one row per id instead, equal to
+    ``collapse_by_id(harmonize(...))`` but computed without forming the pairs: the
+    preference order splits into criteria of the right row (similarity, revenue, profit,
+    customers) and of the left row (name, address, ...), so the best pair is the best
+    right row per name next to the best left row per name, two partial aggregates joined
+    one-to-one.  A name held by many rows on both sides never multiplies.
+
     ``matches`` is (l_name, r_name, similarity_score) over normalised names.  Matched ids
     are the dense rank of the left normalised name; unmatched left rows are numbered by
     raw name (ties broken by ``left_order``) starting at (number of matched ids) + 2,
@@ -211,28 +219,31 @@ def harmonize(
     ids = numbered_all.where(F.col("_grp") == 0).select(
         F.col("_k0").alias("l_name"), format_id("_rn", cfg.id_prefix, cfg.id_width).alias("corporate_id"))
     numbered = numbered_all.where(F.col("_grp") == 1).withColumn("_rn", F.col("_rn") + F.lit(1))
-    m = matches.join(ids, "l_name")
-    left = left_prepared.alias("s1")
-    right = right_prepared.alias("s2")
-    matched = (
-        left.join(m, F.col("s1.normalized_name") == F.col("l_name"))
-        .join(right, F.col("s2.normalized_name") == F.col("r_name"))
-        .select(
-            F.col("corporate_id"),
-            F.coalesce(F.col(f"s1.{left_name}"), F.col(f"s2.{right_name}")).alias("corporate_name"),
-            F.col("s1.normalized_name").alias("normalized_name"),
-            F.col("s1.address").alias("address"),
-            F.col("s1.activity_places").alias("activity_places"),
-            F.col("s1.top_suppliers").alias("top_suppliers"),
-            F.col("s1.supplier_count").alias("supplier_count"),
-            F.col("s2.main_customers").alias("main_customers"),
-            F.col("s2.customer_count").alias("customer_count"),
-            F.col("s2.revenue").cast("long").alias("revenue"),
-            F.col("s2.profit").cast("long").alias("profit"),
-            F.col("similarity_score"),
-            stamp.alias("harmonization_timestamp"),
+    if collapsed:
+        matched = _best_pair_per_id(left_prepared, right_prepared, matches, ids, stamp, left_name)
+    else:
+        m = matches.join(ids, "l_name")
+        left = left_prepared.alias("s1")
+        right = right_prepared.alias("s2")
+        matched = (
+            left.join(m, F.col("s1.normalized_name") == F.col("l_name"))
+            .join(right, F.col("s2.normalized_name") == F.col("r_name"))
+            .select(
+                F.col("corporate_id"),
+                F.coalesce(F.col(f"s1.{left_name}"), F.col(f"s2.{right_name}")).alias("corporate_name"),
+                F.col("s1.normalized_name").alias("normalized_name"),
+                F.col("s1.address").alias("address"),
+                F.col("s1.activity_places").alias("activity_places"),
+                F.col("s1.top_suppliers").alias("top_suppliers"),
+                F.col("s1.supplier_count").alias("supplier_count"),
+                F.col("s2.main_customers").alias("main_customers"),
+                F.col("s2.customer_count").alias("customer_count"),
+                F.col("s2.revenue").cast("long").alias("revenue"),
+                F.col("s2.profit").cast("long").alias("profit"),
+                F.col("similarity_score"),
+                stamp.alias("harmonization_timestamp"),
+            )
         )
-    )
     unmatched = numbered.select(
         format_id(F.col("_rn"), cfg.id_prefix, cfg.id_width).alias("corporate_id"),
         F.col(left_name).alias("corporate_name"),
@@ -251,12 +262,53 @@ def harmonize(
     return matched.unionByName(unmatched)
 
 
-def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = MatchConfig(), ts=None) -> DataFrame:
-    """Prepare both sides, block, score, assign ids and harmonise."""
+def _best_pair_per_id(left_prepared: DataFrame, right_prepared: DataFrame, matches: DataFrame, ids: DataFrame,
+                      stamp, left_name: str) -> DataFrame:
+    """The row ``collapse_by_id`` would keep for each matched id, without the pair product."""
+    def nulls_last_desc(c):
+        return [F.col(c).isNull(), -F.col(c)]
+
+    # right-row criteria, in the order they appear in collapse_by_id's preference
+    rrows = matches.join(right_prepared.withColumnRenamed("normalized_name", "r_name"), "r_name")
+    r_payload = ["main_customers", "customer_count", "revenue", "profit", "similarity_score"]
+    r_key = (nulls_last_desc("similarity_score") + nulls_last_desc("revenue") + nulls_last_desc("profit")
+             + [F.col(c) for c in r_payload])
+    best_r = rrows.groupBy("l_name").agg(F.min(F.struct(
+        *[k.alias(f"_o{i}") for i, k in enumerate(r_key)],
+        F.struct(*[F.col(c).alias(c) for c in r_payload]).alias("_row"))).alias("_r"))
+    # left-row criteria
+    lrows = left_prepared.join(ids.withColumnRenamed("l_name", "normalized_name"), "normalized_name")
+    l_payload = [left_name, "normalized_name", "address", "activity_places", "top_suppliers", "supplier_count"]
+    l_key = [F.col(left_name).isNull(), F.col(left_name), F.col(left_name), F.col("address"),
+             F.col("activity_places"), F.col("top_suppliers"), F.col("supplier_count")]
+    best_l = lrows.groupBy("normalized_name", "corporate_id").agg(F.min(F.struct(
+        *[k.alias(f"_o{i}") for i, k in enumerate(l_key)],
+        F.struct(*[F.col(c).alias(c) for c in l_payload]).alias("_row"))).alias("_l"))
+    both = best_l.join(best_r, best_l["normalized_name"] == best_r["l_name"])
+    return both.select(
+        F.col("corporate_id"),
+        F.col(f"_l._row.{left_name}").alias("corporate_name"),
+        F.col("_l._row.normalized_name").alias("normalized_name"),
+        F.col("_l._row.address").alias("address"),
+        F.col("_l._row.activity_places").alias("activity_places"),
+        F.col("_l._row.top_suppliers").alias("top_suppliers"),
+        F.col("_l._row.supplier_count").alias("supplier_count"),
+        F.col("_r._row.main_customers").alias("main_customers"),
+        F.col("_r._row.customer_count").alias("customer_count"),
+        F.col("_r._row.revenue").cast("long").alias("revenue"),
+        F.col("_r._row.profit").cast("long").alias("profit"),
+        F.col("_r._row.similarity_score").alias("similarity_score"),
+        stamp.alias("harmonization_timestamp"),
+    )
+
+
+def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = MatchConfig(), ts=None,
+                     collapsed: bool = False) -> DataFrame:
+    """Prepare both sides, block, score, assign ids and harmonise (one row per id if ``collapsed``)."""
     lp = prepare_left(left, cfg=cfg)
     rp = prepare_right(right, cfg=cfg)
     matches = matched_names(lp, rp, cfg)
-    return harmonize(lp, rp, matches, cfg, ts)
+    return harmonize(lp, rp, matches, cfg, ts, collapsed=collapsed)
 
 
 def collapse_by_id(df: DataFrame, key: str = "corporate_id") -> DataFrame:

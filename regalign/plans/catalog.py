@@ -41,8 +41,8 @@ class _Match:
         return self.scored().where(F.col("similarity_score") >= CFG.threshold).select(
             "l_name", "r_name", "similarity_score")
 
-    def harmonized(self, ts=FIXED_TS) -> DataFrame:
-        return M.harmonize(self.left, self.right, self.matches(), CFG, ts)
+    def harmonized(self, ts=FIXED_TS, collapsed: bool = False) -> DataFrame:
+        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed)
 
 
 def _no_ts(df: DataFrame) -> DataFrame:
@@ -142,6 +142,11 @@ def q_harmonize(spark, d):
 
 
 def q_collapse_by_id(spark, d):
+    # one row per id without forming all matched row pairs first
+    return _no_ts(_Match(spark, d).harmonized(collapsed=True))
+
+
+def q_collapse_after_harmonize(spark, d):
     return _no_ts(M.collapse_by_id(_Match(spark, d).harmonized()))
 
 
@@ -332,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "unmatched": q_unmatched,
     "harmonize": q_harmonize,
     "collapse_by_id": q_collapse_by_id,
+    "collapse_after_harmonize": q_collapse_after_harmonize,
     "ids_per_entity": q_ids_per_entity,
     "entity_summary": q_entity_summary,
     "registry_roundtrip": q_registry_roundtrip,

@@ -256,6 +256,7 @@ def oracle_queries() -> dict[str, str]:
         "similarity_score DESC NULLS LAST, revenue DESC NULLS LAST, corporate_name ASC NULLS LAST, "
         "profit DESC NULLS LAST, normalized_name, address, activity_places, top_suppliers, supplier_count, "
         "main_customers, customer_count) AS rn FROM harmonized) WHERE rn = 1")
+    out["collapse_after_harmonize"] = out["collapse_by_id"]
     out["ids_per_entity"] = with_matching(
         "SELECT corporate_id, count(*) AS n FROM harmonized GROUP BY corporate_id")
     out["entity_summary"] = with_matching(
@@ -338,8 +339,8 @@ def oracle_queries() -> dict[str, str]:
         f"CASE WHEN coalesce(pr, 0) > 0 THEN tp / pr ELSE 0.0 END AS prec, tp / a AS rec "
         f"FROM actual LEFT JOIN predicted ON actual.y = predicted.y), "
         f"per2 AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END AS f1 FROM per) "
-        f"SELECT CAST(sum(a) AS BIGINT) AS n, sum(tp) / sum(a) AS accuracy, sum(prec * a) / sum(a) AS weighted_precision, "
-        f"sum(rec * a) / sum(a) AS weighted_recall, sum(f1 * a) / sum(a) AS weighted_f1 FROM per2")
+        f"SELECT CAST(sum(a) AS BIGINT) AS n, sum(tp) / sum(a) AS accuracy, round(sum(prec * a) / sum(a), 12) AS weighted_precision, "
+        f"round(sum(rec * a) / sum(a), 12) AS weighted_recall, round(sum(f1 * a) / sum(a), 12) AS weighted_f1 FROM per2")
     out["metrics_auc"] = (
         f"WITH p AS ({pred}), s AS (SELECT p1, count(*) FILTER (WHERE label = 1) AS pos, "
         f"count(*) FILTER (WHERE label <> 1) AS neg FROM p GROUP BY p1), "

@@ -51,11 +51,13 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
     res = PipelineResult()
     if not skip_ingestion:
         s1, s2 = delimited.ingest_all(spark, delimited.default_specs(source1_path, source2_path), ts)
-        harmonized = M.resolve_entities(s1.drop("source", "ingestion_timestamp"),
-                                        s2.drop("source", "ingestion_timestamp"), cfg, ts)
-        res.harmonized = harmonized
-        # one row per id before the MERGE (several matched pairs can share an id)
-        one_per_id = M.collapse_by_id(harmonized)
+        lp = M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg)
+        rp = M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg)
+        matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
+        res.harmonized = M.harmonize(lp, rp, matches, cfg, ts)
+        # one row per id before the MERGE (several matched pairs can share an id), computed
+        # without forming the pairs
+        one_per_id = M.harmonize(lp, rp, matches, cfg, ts, collapsed=True)
         res.snapshot_id, res.merge_stats = commit_upsert(spark, registry_path, one_per_id, ts=ts)
     if not skip_ml:
         changes = registry.read_changes(spark, registry_path)

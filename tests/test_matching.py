@@ -113,3 +113,23 @@ def test_distributed_ranks_equal_window(spark):
     exp_d = {(r.name, r.v): r.dr for r in df.selectExpr(
         "name", "v", "dense_rank() over (order by name nulls first) as dr").collect()}
     assert got_d == exp_d
+
+
+def test_collapsed_path_equals_collapse_after_harmonize(sources):
+    s1, s2 = sources
+    a = M.collapse_by_id(M.resolve_entities(s1, s2, ts=TS)).collect()
+    b = M.resolve_entities(s1, s2, ts=TS, collapsed=True).collect()
+    key = lambda rows: sorted((tuple(r.asDict().items()) for r in rows), key=repr)
+    assert key(a) == key(b)
+
+
+def test_collapsed_path_hot_name(spark):
+    """Many rows of one name on both sides: one row per id, same as collapsing the product."""
+    left = spark.createDataFrame([(f"Acme Inc", f"{i} St, Town{i % 3}, ST", f"p{i % 4}", f"s{i % 5}") for i in range(40)],
+                                 "corporate_name_s1 string, address string, activity_places string, top_suppliers string")
+    right = spark.createDataFrame([("ACME Corp", f"c{i % 6}", 100 + i % 7, i % 4) for i in range(30)],
+                                  "corporate_name_s2 string, main_customers string, revenue long, profit long")
+    a = M.collapse_by_id(M.resolve_entities(left, right, ts=TS)).collect()
+    b = M.resolve_entities(left, right, ts=TS, collapsed=True).collect()
+    assert len(b) == 1
+    assert a[0].asDict() == b[0].asDict()
