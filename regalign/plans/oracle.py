@@ -43,7 +43,7 @@ def format_id_sql(rank: str, width: int = 6) -> str:
 # ---------------------------------------------------------------- views
 SUPPLY = f"""
 SELECT p_partkey AS row_id,
-       p_name || ' ' || p_brand || (CASE p_partkey % 9 {' '.join(f'WHEN {i} THEN {q(s)}' for i, s in enumerate(NAME_SUFFIXES))} END) AS corporate_name_s1,
+       (CASE WHEN p_partkey % 13 = 0 THEN 'X' ELSE '' END) || p_name || ' ' || p_brand || (CASE p_partkey % 9 {' '.join(f'WHEN {i} THEN {q(s)}' for i, s in enumerate(NAME_SUFFIXES))} END) AS corporate_name_s1,
        CAST(p_size AS VARCHAR) || ' ' || lower(p_type) || ' street, ' || n_name || ', zip ' || CAST(p_partkey AS VARCHAR) AS address,
        lower(p_type) || ';' || n_name AS activity_places,
        CASE WHEN p_size % 10 = 0 THEN NULL ELSE concat_ws(';', 'Supplier' || CAST(p_partkey % 7 AS VARCHAR),

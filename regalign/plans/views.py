@@ -1,7 +1,8 @@
 """Company-style inputs derived from the driver tables (whole tables, no row subsets).
 
 * ``supply_view`` (source-1 shape): one row per part.  The name is the part name, its
-  brand and a legal suffix; the address has a city from the nation table.
+  brand and a legal suffix (every 13th with a typo in its first letters, so it has no
+  partner in its block); the address has a city from the nation table.
 * ``finance_view`` (source-2 shape): one row per (part name, brand) that has sales;
   revenue and profit are whole-unit sums over ``lineitem``; the name is a variant
   (suffix, upper case, a dropped letter, or brand first).
@@ -35,10 +36,12 @@ def supply_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     nation = table(spark, sf_dir, "nation")  # 25 rows: a fixed dimension table
     suffix = F.element_at(F.array(*[F.lit(s) for s in NAME_SUFFIXES]), (F.col("p_partkey") % 9 + 1).cast("int"))
+    # every 13th name carries a typo in its first letters, so it lands in a block of its own
+    typo = F.when(F.col("p_partkey") % 13 == 0, F.lit("X")).otherwise(F.lit(""))
     joined = part.join(F.broadcast(nation), nation.n_nationkey == part.p_partkey % 25)
     return joined.select(
         F.col("p_partkey").alias("row_id"),
-        F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"), suffix).alias("corporate_name_s1"),
+        F.concat(typo, F.col("p_name"), F.lit(" "), F.col("p_brand"), suffix).alias("corporate_name_s1"),
         F.concat(_s("p_size"), F.lit(" "), F.lower("p_type"), F.lit(" street, "), F.col("n_name"),
                  F.lit(", zip "), _s("p_partkey")).alias("address"),
         F.concat(F.lower("p_type"), F.lit(";"), F.col("n_name")).alias("activity_places"),
