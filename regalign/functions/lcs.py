@@ -11,8 +11,8 @@ Crochemore et al. 2001, Hyyrö 2004).  Carries and borrows only move upwards, so
 low bits are exact under 64-bit wrap-around and ``len(b)`` may be up to 64.
 
 ``lcs_lengths`` vectorises this over a whole Arrow batch with numpy: one pass over the
-character positions of the batch, not a Python loop over rows.  Pairs where neither
-string fits in 64 characters, or that are not ASCII, take the same recurrence on
+character positions of the batch, not a Python loop over rows, for any Unicode text.
+Only pairs where neither string fits in 64 characters take the same recurrence on
 Python integers (arbitrary width).
 """
 
@@ -42,35 +42,31 @@ def lcs_python(a: str, b: str) -> int:
     return len(b) - v.bit_count()
 
 
-def _string_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start offsets, byte lengths, data bytes) of a (large_)string array; nulls count as ""."""
+def _char_codes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, flat code points) of a string array, in characters; nulls count as "".
+
+    The batch's UTF-8 buffer is decoded in one call, so there is no per-string Python work.
+    """
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    if arr.null_count:
-        arr = pc.fill_null(arr, "")
-    if pa.types.is_large_string(arr.type):
-        off_type = np.int64
-    else:
-        arr = arr.cast(pa.string())
-        off_type = np.int32
-    bufs = arr.buffers()
+    arr = pc.fill_null(arr, "").cast(pa.large_string())
     n = len(arr)
-    offsets = np.frombuffer(bufs[1], dtype=off_type, count=n + 1, offset=arr.offset * np.dtype(off_type).itemsize)
-    offsets = offsets.astype(np.int64)
-    data = np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None and len(bufs[2]) else np.zeros(1, np.uint8)
-    return offsets[:-1], offsets[1:] - offsets[:-1], data
+    bufs = arr.buffers()
+    offsets = np.frombuffer(bufs[1], dtype=np.int64, count=n + 1, offset=arr.offset * 8)
+    raw = bufs[2].to_pybytes()[offsets[0]:offsets[-1]] if bufs[2] is not None else b""
+    flat = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), dtype=np.int32)
+    lens = np.asarray(pc.utf8_length(arr).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return np.cumsum(lens) - lens, lens, flat
 
 
-def _padded_codes(starts: np.ndarray, lens: np.ndarray, data: np.ndarray, width: int) -> np.ndarray:
-    """Matrix (n, width) of byte codes, -1 beyond each string's end."""
-    if width == 0:
-        return np.full((len(starts), 0), -1, dtype=np.int16)
+def _padded_codes(starts: np.ndarray, lens: np.ndarray, flat: np.ndarray, width: int) -> np.ndarray:
+    """Matrix (n, width) of code points, -1 beyond each string's end."""
+    if width == 0 or len(flat) == 0:
+        return np.full((len(starts), width), -1, dtype=np.int32)
     pos = np.arange(width, dtype=np.int64)
-    idx = starts[:, None] + pos[None, :]
     valid = pos[None, :] < lens[:, None]
-    idx = np.where(valid, idx, 0)
-    codes = data[np.minimum(idx, len(data) - 1)].astype(np.int16)
-    return np.where(valid, codes, -1)
+    idx = np.where(valid, starts[:, None] + pos[None, :], 0)
+    return np.where(valid, flat[np.minimum(idx, len(flat) - 1)], -1)
 
 
 def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -79,55 +75,57 @@ def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
     out = np.zeros(n, dtype=np.int64)
     if n == 0:
         return out
-    sa, la, da = _string_buffers(a)
-    sb, lb, db = _string_buffers(b)
-    ascii_pair = np.asarray(pc.and_(pc.string_is_ascii(pc.fill_null(a, "")),
-                                    pc.string_is_ascii(pc.fill_null(b, ""))).to_numpy(zero_copy_only=False), dtype=bool)
+    sa, la, ca = _char_codes(a)
+    sb, lb, cb = _char_codes(b)
+    flat = np.concatenate([ca, cb])
+    sb = sb + len(ca)
     # the pattern (bit side) is the shorter string of each pair
     swap = lb > la
     ps, pl = np.where(swap, sa, sb), np.where(swap, la, lb)
     ts, tl = np.where(swap, sb, sa), np.where(swap, lb, la)
-    p_from_a = swap  # pattern bytes live in a's buffer when swapped
-    fast = ascii_pair & (pl <= _WORD) & (pl > 0)
-
+    fast = (pl <= _WORD) & (pl > 0)
     idx = np.nonzero(fast)[0]
     if len(idx):
-        out[idx] = _lcs_fast(ps[idx], pl[idx], p_from_a[idx], ts[idx], tl[idx], da, db)
-
+        p_codes = _padded_codes(ps[idx], pl[idx], flat, int(pl[idx].max()))
+        t_codes = _padded_codes(ts[idx], tl[idx], flat, int(tl[idx].max()))
+        out[idx] = _lcs_fast(p_codes, t_codes, pl[idx])
     slow = np.nonzero(~fast & (pl > 0))[0]
     if len(slow):
-        a_list = a.to_pylist()
-        b_list = b.to_pylist()
+        a_list, b_list = a.to_pylist(), b.to_pylist()
         for i in slow:
             out[i] = lcs_python(a_list[i] or "", b_list[i] or "")
     return out
 
 
-def _lcs_fast(ps, pl, p_from_a, ts, tl, da, db) -> np.ndarray:
-    m = len(ps)
-    width_p = int(pl.max())
-    width_t = int(tl.max()) if len(tl) else 0
-    # pattern codes come from b normally, from a when swapped; text codes the other way
-    p_codes = np.where(p_from_a[:, None], _padded_codes(ps, pl, da, width_p), _padded_codes(ps, pl, db, width_p))
-    t_codes = np.where(p_from_a[:, None], _padded_codes(ts, tl, db, width_t), _padded_codes(ts, tl, da, width_t))
+def _alphabet_columns(codes: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Column of each code in ``used`` (sorted), or len(used) when absent or padding (-1)."""
+    k = len(used)
+    top = int(codes.max()) if codes.size else -1
+    if top < (1 << 17):
+        lut = np.full(top + 2, k, dtype=np.int32)
+        lut[used[used <= top]] = np.nonzero(used <= top)[0]
+        return lut[np.where(codes >= 0, codes, top + 1)]
+    pos = np.minimum(np.searchsorted(used, codes), max(k - 1, 0))
+    hit = (codes >= 0) & (k > 0) & (used[pos] == codes) if k else np.zeros(codes.shape, bool)
+    return np.where(hit, pos, k)
+
+
+def _lcs_fast(p_codes: np.ndarray, t_codes: np.ndarray, pl: np.ndarray) -> np.ndarray:
+    m, width_p = p_codes.shape
     rows = np.arange(m)
-    # compact alphabet: characters of the patterns get columns 0..k-1, all others column k (mask 0)
+    # compact alphabet: characters of the patterns get columns 0..k-1; anything else the
+    # all-zero column k, which leaves V unchanged (so does the -1 padding)
     used = np.unique(p_codes[p_codes >= 0])
-    lut = np.full(129, len(used), dtype=np.int16)
-    lut[used] = np.arange(len(used), dtype=np.int16)
     masks = np.zeros((m, len(used) + 1), dtype=np.uint64)
+    p_cols = _alphabet_columns(p_codes, used)
     one = np.uint64(1)
     for j in range(width_p):
-        c = p_codes[:, j]
-        ok = c >= 0
-        masks[rows[ok], lut[c[ok]]] |= one << np.uint64(j)
-    t_cols = lut[np.where(t_codes >= 0, t_codes, 128)]
+        ok = p_codes[:, j] >= 0
+        masks[rows[ok], p_cols[ok, j]] |= one << np.uint64(j)
+    t_cols = _alphabet_columns(t_codes, used)
     v = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64)
-    # padding positions map to the all-zero mask column, which leaves V unchanged
-    for i in range(width_t):
+    for i in range(t_codes.shape[1]):
         u = v & masks[rows, t_cols[:, i]]
         v = (v + u) | (v - u)
-    low = np.where(pl >= 64, np.iinfo(np.uint64).max,
-                   (one << np.minimum(pl, 63).astype(np.uint64)) - one)
-    zeros_in_low = pl - np.bitwise_count(v & low).astype(np.int64)
-    return zeros_in_low
+    low = np.where(pl >= 64, np.iinfo(np.uint64).max, (one << np.minimum(pl, 63).astype(np.uint64)) - one)
+    return pl - np.bitwise_count(v & low).astype(np.int64)
