@@ -150,6 +150,13 @@ def q_collapse_after_harmonize(spark, d):
     return _no_ts(M.collapse_by_id(_Match(spark, d).harmonized()))
 
 
+def q_sample_rows(spark, d):
+    # the sample display: first five harmonised rows in id order (the limit is the feature)
+    h = _no_ts(_Match(spark, d).harmonized())
+    return h.orderBy("corporate_id", "corporate_name", "address", F.col("revenue").desc_nulls_last(),
+                     "main_customers").limit(5)
+
+
 def q_ids_per_entity(spark, d):
     return _Match(spark, d).harmonized().groupBy("corporate_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -338,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "harmonize": q_harmonize,
     "collapse_by_id": q_collapse_by_id,
     "collapse_after_harmonize": q_collapse_after_harmonize,
+    "sample_rows": q_sample_rows,
     "ids_per_entity": q_ids_per_entity,
     "entity_summary": q_entity_summary,
     "registry_roundtrip": q_registry_roundtrip,

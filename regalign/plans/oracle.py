@@ -257,6 +257,9 @@ def oracle_queries() -> dict[str, str]:
         "profit DESC NULLS LAST, normalized_name, address, activity_places, top_suppliers, supplier_count, "
         "main_customers, customer_count) AS rn FROM harmonized) WHERE rn = 1")
     out["collapse_after_harmonize"] = out["collapse_by_id"]
+    out["sample_rows"] = with_matching(
+        "SELECT * FROM harmonized ORDER BY corporate_id, corporate_name NULLS FIRST, address NULLS FIRST, "
+        "revenue DESC NULLS LAST, main_customers NULLS FIRST LIMIT 5")
     out["ids_per_entity"] = with_matching(
         "SELECT corporate_id, count(*) AS n FROM harmonized GROUP BY corporate_id")
     out["entity_summary"] = with_matching(

@@ -45,17 +45,37 @@ def write_registry(df: DataFrame, path: str, mode: str = "errorifexists") -> str
     return path
 
 
+def create_registry(spark: SparkSession, path: str) -> bool:
+    """Create the empty typed, day-partitioned registry at ``path`` unless one exists.
+
+    Returns True when it was created.
+    """
+    if registry_exists(spark, path):
+        return False
+    write_registry(spark.createDataFrame([], REGISTRY_SCHEMA), path, mode="errorifexists")
+    return True
+
+
 def registry_exists(spark: SparkSession, path: str) -> bool:
-    """True if a readable table is at ``path``; False on any error."""
+    """True if a readable table is at ``path`` (an empty committed table counts); False on any error."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the files
         return True
-    except Exception:  # noqa: BLE001 - any failure means "not there"
+    except Exception:  # noqa: BLE001 - any failure means "not there" ...
+        pass
+    try:  # ... unless a committed write left no data files (an empty table)
+        spark.read.text(f"{path}/_SUCCESS").schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001
         return False
 
 
+STORED_SCHEMA = T.StructType(REGISTRY_SCHEMA.fields + [T.StructField(PARTITION_COLUMN, T.DateType(), True)])
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The registry with its declared schema (no inference; works for an empty table too)."""
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
 def record_count(spark: SparkSession, path: str) -> DataFrame:

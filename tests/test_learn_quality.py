@@ -101,3 +101,11 @@ def test_hash_split_is_stable(spark):
     a2, b2 = learn.hash_split(df.repartition(7), "k")
     assert sorted(r.k for r in b1.collect()) == sorted(r.k for r in b2.collect())
     assert 300 < b1.count() < 500
+
+
+def test_create_registry_once(spark):
+    path = scratch_path(spark, "create-registry")
+    assert registry.create_registry(spark, path) is True
+    assert registry.create_registry(spark, path) is False
+    back = registry.read_registry(spark, path)
+    assert back.count() == 0 and set(registry.REGISTRY_SCHEMA.fieldNames()) <= set(back.columns)
