@@ -180,6 +180,8 @@ def harmonize(
     right_name: str = "corporate_name_s2",
     left_order: list[str] | None = None,
     collapsed: bool = False,
+    part: str = "all",
+    matches_materialized: bool = False,
 ) -> DataFrame:
     """One row per matched (left row, right row) pair plus one per unmatched left row.
 
@@ -190,6 +192,9 @@ def harmonize(
     right row per name next to the best left row per name, two partial aggregates joined
     one-to-one.  A name held by many rows on both sides never multiplies.
 
+    ``part``: "all", "matched" or "unmatched" (the left rows without a match, with ids).
+    ``matches_materialized``: the caller already checkpointed ``matches``.
+
     ``matches`` is (l_name, r_name, similarity_score) over normalised names.  Matched ids
     are the dense rank of the left normalised name; unmatched left rows are numbered by
     raw name (ties broken by ``left_order``) starting at (number of matched ids) + 2,
@@ -199,7 +204,8 @@ def harmonize(
     stamp = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
     # matched name pairs feed three branches; fix them once (bounded by distinct-name pairs)
     # with a reliable checkpoint in the shared folder so scoring is not repeated
-    matches = matches.checkpoint(eager=True)
+    if not matches_materialized:
+        matches = matches.checkpoint(eager=True)
     matched_names = matches.select("l_name").distinct()
     # raw names of left rows whose normalised name matched; the rest are "unmatched"
     matched_raw = left_prepared.join(matched_names.withColumnRenamed("l_name", "normalized_name"), "normalized_name")
@@ -259,6 +265,10 @@ def harmonize(
         F.lit(0.0).alias("similarity_score"),
         stamp.alias("harmonization_timestamp"),
     )
+    if part == "matched":
+        return matched
+    if part == "unmatched":
+        return unmatched
     return matched.unionByName(unmatched)
 
 

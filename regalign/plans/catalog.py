@@ -41,8 +41,8 @@ class _Match:
         return self.scored().where(F.col("similarity_score") >= CFG.threshold).select(
             "l_name", "r_name", "similarity_score")
 
-    def harmonized(self, ts=FIXED_TS, collapsed: bool = False) -> DataFrame:
-        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed)
+    def harmonized(self, ts=FIXED_TS, collapsed: bool = False, part: str = "all") -> DataFrame:
+        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed, part=part)
 
 
 def _no_ts(df: DataFrame) -> DataFrame:
@@ -131,8 +131,8 @@ def q_assign_ids(spark, d):
 
 
 def q_unmatched(spark, d):
-    h = _Match(spark, d).harmonized()
-    return h.where(F.col("revenue").isNull() & (F.col("similarity_score") == 0.0)).select(
+    h = _Match(spark, d).harmonized(part="unmatched")
+    return h.select(
         "corporate_id", "corporate_name", "normalized_name", "address", "activity_places", "top_suppliers",
         "supplier_count")
 

@@ -54,10 +54,10 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
         lp = M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg)
         rp = M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg)
         matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
-        res.harmonized = M.harmonize(lp, rp, matches, cfg, ts)
+        res.harmonized = M.harmonize(lp, rp, matches, cfg, ts, matches_materialized=True)
         # one row per id before the MERGE (several matched pairs can share an id), computed
         # without forming the pairs
-        one_per_id = M.harmonize(lp, rp, matches, cfg, ts, collapsed=True)
+        one_per_id = M.harmonize(lp, rp, matches, cfg, ts, collapsed=True, matches_materialized=True)
         res.snapshot_id, res.merge_stats = commit_upsert(spark, registry_path, one_per_id, ts=ts)
     if not skip_ml:
         changes = registry.read_changes(spark, registry_path)
