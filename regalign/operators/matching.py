@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_name_pairs
 from regalign.functions.text import block_key, extract_city, format_id, list_size, normalize_name
+from regalign.operators.joins import DEFAULT_MAX_PAIRS, balanced_join
 from regalign.operators.ranking import dense_rank_global, row_number_global
 
 
@@ -110,7 +111,8 @@ MAX_BAND_FACTOR = 4.0
 
 
 def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
-                    weights=DEFAULT_WEIGHTS, use_length_band: bool = True) -> DataFrame:
+                    weights=DEFAULT_WEIGHTS, use_length_band: bool = True,
+                    max_pairs_per_cell: int = DEFAULT_MAX_PAIRS) -> DataFrame:
     """Blocked candidate name pairs: equal block key and (when it prunes) compatible length.
 
     Each name has two lengths: its own (for ``ratio``) and that of its sorted token string
@@ -118,26 +120,26 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     ``[sorted_len / f, len * f]``, the right side every length in ``[sorted_len, len]``
     (one value for plain ASCII names); the pair is kept once, at the smallest shared
     length, so no distinct is needed afterwards.
+
+    The join is a ``balanced_join``: a (block, length) key that would produce more than
+    ``max_pairs_per_cell`` pairs is spread over a grid of tasks (a hot block is small in
+    bytes but quadratic in pairs, which input-size skew handling cannot see).
     """
     f = length_factor(threshold, weights) if use_length_band else None
     if f is not None and f > MAX_BAND_FACTOR:
         f = None  # at low thresholds the band prunes little and each name would list many lengths
     if f is None:
-        return left_names.join(right_names, F.col("l_block") == F.col("r_block"), "inner")
+        out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"])
+        return out.withColumn("r_block", F.col("l_block"))
     lo = F.ceil(F.length("l_sorted") / F.lit(f) - F.lit(1e-9)).cast("int")
     hi = F.floor(F.length("l_name") * F.lit(f) + F.lit(1e-9)).cast("int")
-    left = left_names.withColumn("_lo", lo).withColumn("_len", F.explode(F.sequence(lo, hi)))
+    left = left_names.withColumn("_lo", lo).withColumn("_l_len", F.explode(F.sequence(lo, hi)))
     right = right_names.withColumn(
-        "_len", F.explode(F.sequence(F.length("r_sorted"), F.length("r_name")))
+        "_r_len", F.explode(F.sequence(F.length("r_sorted"), F.length("r_name")))
     ).withColumn("_rlo", F.length("r_sorted"))
-    joined = left.withColumnRenamed("_len", "_l_len").join(
-        right.withColumnRenamed("_len", "_r_len"),
-        (F.col("l_block") == F.col("r_block")) & (F.col("_l_len") == F.col("_r_len")),
-        "inner",
-    )
-    return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).drop(
-        "_lo", "_rlo", "_l_len", "_r_len"
-    )
+    joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"])
+    return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).withColumn(
+        "r_block", F.col("l_block")).drop("_lo", "_rlo", "_l_len")
 
 
 def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_WEIGHTS) -> DataFrame:
@@ -182,6 +184,7 @@ def harmonize(
     collapsed: bool = False,
     part: str = "all",
     matches_materialized: bool = False,
+    max_pairs_per_cell: int = DEFAULT_MAX_PAIRS,
 ) -> DataFrame:
     """One row per matched (left row, right row) pair plus one per unmatched left row.
 
@@ -228,27 +231,27 @@ def harmonize(
     if collapsed:
         matched = _best_pair_per_id(left_prepared, right_prepared, matches, ids, stamp, left_name)
     else:
+        # row pairs per matched name: both joins are balanced by pair count, so a name held
+        # by many rows on both sides is spread over many tasks
         m = matches.join(ids, "l_name")
-        left = left_prepared.alias("s1")
-        right = right_prepared.alias("s2")
-        matched = (
-            left.join(m, F.col("s1.normalized_name") == F.col("l_name"))
-            .join(right, F.col("s2.normalized_name") == F.col("r_name"))
-            .select(
-                F.col("corporate_id"),
-                F.coalesce(F.col(f"s1.{left_name}"), F.col(f"s2.{right_name}")).alias("corporate_name"),
-                F.col("s1.normalized_name").alias("normalized_name"),
-                F.col("s1.address").alias("address"),
-                F.col("s1.activity_places").alias("activity_places"),
-                F.col("s1.top_suppliers").alias("top_suppliers"),
-                F.col("s1.supplier_count").alias("supplier_count"),
-                F.col("s2.main_customers").alias("main_customers"),
-                F.col("s2.customer_count").alias("customer_count"),
-                F.col("s2.revenue").cast("long").alias("revenue"),
-                F.col("s2.profit").cast("long").alias("profit"),
-                F.col("similarity_score"),
-                stamp.alias("harmonization_timestamp"),
-            )
+        rp = right_prepared.select(*[F.col(c).alias(f"s2__{c}") for c in right_prepared.columns])
+        lp = left_prepared.select(*[F.col(c).alias(f"s1__{c}") for c in left_prepared.columns])
+        mr = balanced_join(m, rp, ["r_name"], max_pairs_per_cell, right_keys=["s2__normalized_name"])
+        pairs = balanced_join(lp, mr, ["s1__normalized_name"], max_pairs_per_cell, right_keys=["l_name"])
+        matched = pairs.select(
+            F.col("corporate_id"),
+            F.coalesce(F.col(f"s1__{left_name}"), F.col(f"s2__{right_name}")).alias("corporate_name"),
+            F.col("s1__normalized_name").alias("normalized_name"),
+            F.col("s1__address").alias("address"),
+            F.col("s1__activity_places").alias("activity_places"),
+            F.col("s1__top_suppliers").alias("top_suppliers"),
+            F.col("s1__supplier_count").alias("supplier_count"),
+            F.col("s2__main_customers").alias("main_customers"),
+            F.col("s2__customer_count").alias("customer_count"),
+            F.col("s2__revenue").cast("long").alias("revenue"),
+            F.col("s2__profit").cast("long").alias("profit"),
+            F.col("similarity_score"),
+            stamp.alias("harmonization_timestamp"),
         )
     unmatched = numbered.select(
         format_id(F.col("_rn"), cfg.id_prefix, cfg.id_width).alias("corporate_id"),
