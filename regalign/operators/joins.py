@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_PAIRS = 20_000_000
 
 
-def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int) -> DataFrame:
-    """Keys whose pair count exceeds ``max_pairs``, with grid sides ``_ga`` x ``_gb``."""
-    lc = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
-    rc = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int,
+                 left_counts: DataFrame | None = None, right_counts: DataFrame | None = None) -> DataFrame:
+    """Keys whose pair count exceeds ``max_pairs``, with grid sides ``_ga`` x ``_gb``.
+
+    ``left_counts`` / ``right_counts`` (keys + ``_nl`` / ``_nr``) may be given when the
+    caller already has them from an earlier aggregate; otherwise they are counted here.
+    """
+    lc = left_counts if left_counts is not None else left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    rc = right_counts if right_counts is not None else right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
     work = lc.join(rc, keys).withColumn("_w", F.col("_nl").cast("double") * F.col("_nr").cast("double"))
     side = F.ceil(F.sqrt(F.col("_w") / F.lit(float(max_pairs))))
     return work.where(F.col("_w") > F.lit(float(max_pairs))).select(
@@ -38,18 +43,20 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
 
 
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int = DEFAULT_MAX_PAIRS,
-                  right_keys: list[str] | None = None) -> DataFrame:
+                  right_keys: list[str] | None = None, left_counts: DataFrame | None = None,
+                  right_counts: DataFrame | None = None) -> DataFrame:
     """Inner equi-join ``left.keys == right.right_keys`` with hot keys split into grid cells.
 
     Returns the columns of ``left`` then ``right`` (right key columns renamed to the left
-    names are dropped), exactly the rows of the plain inner join.
+    names are dropped), exactly the rows of the plain inner join.  Precomputed per-key
+    counts (named with the left key names) avoid a second pass over large inputs.
     """
     rkeys = right_keys or keys
     r = right
     for lk, rk in zip(keys, rkeys):
         if lk != rk:
             r = r.withColumnRenamed(rk, lk)
-    grid = hot_key_grid(left, r, keys, max_pairs)
+    grid = hot_key_grid(left, r, keys, max_pairs, left_counts, right_counts)
     one = F.lit(1)
     lg = left.join(grid, keys, "left")
     lg = lg.withColumn("_ga", F.coalesce("_ga", one)).withColumn("_gb", F.coalesce("_gb", one))

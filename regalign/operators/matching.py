@@ -75,19 +75,22 @@ def prepare_right(df: DataFrame, name: str = "corporate_name_s2", customers: str
 
 
 def distinct_names(prepared: DataFrame, prefix: str, block_chars: int = 3, name_col: str = "normalized_name",
-                   extra_keys: list[str] | None = None) -> DataFrame:
-    """Distinct non-empty names of one side with block key and token features."""
-    keys = [name_col] + list(extra_keys or [])
+                   materialize: bool = False) -> DataFrame:
+    """Distinct non-empty names of one side with block key, row count and token features.
+
+    One aggregate (partial before the shuffle).  ``{prefix}_rows`` is the number of rows
+    per name, used later to size the row-pair joins without another pass over the rows.
+    With ``materialize`` the table (bounded by distinct names, not rows) is checkpointed
+    so its several consumers do not re-scan and re-normalise the source.
+    """
     names = (
-        prepared.select(*keys)
-        .where(F.col(name_col) != "")
-        .distinct()
-        .withColumnRenamed(name_col, f"{prefix}_name")
+        prepared.where(F.col(name_col) != "")
+        .groupBy(F.col(name_col).alias(f"{prefix}_name"))
+        .agg(F.count(F.lit(1)).alias(f"{prefix}_rows"))
     )
-    for k in extra_keys or []:
-        names = names.withColumnRenamed(k, f"{prefix}_{k}")
     names = names.withColumn(f"{prefix}_block", block_key(f"{prefix}_name", block_chars))
-    return name_features(names, f"{prefix}_name", prefix)
+    names = name_features(names, f"{prefix}_name", prefix)
+    return names.checkpoint(eager=True) if materialize else names
 
 
 def length_factor(threshold: float, weights=DEFAULT_WEIGHTS) -> float | None:
@@ -137,7 +140,11 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     right = right_names.withColumn(
         "_r_len", F.explode(F.sequence(F.length("r_sorted"), F.length("r_name")))
     ).withColumn("_rlo", F.length("r_sorted"))
-    joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"])
+    lc = left.groupBy("l_block", "_l_len").agg(F.count(F.lit(1)).alias("_nl"))
+    rc = right.groupBy(F.col("r_block").alias("l_block"), F.col("_r_len").alias("_l_len")).agg(
+        F.count(F.lit(1)).alias("_nr"))
+    joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"],
+                           left_counts=lc, right_counts=rc)
     return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).withColumn(
         "r_block", F.col("l_block")).drop("_lo", "_rlo", "_l_len")
 
@@ -153,8 +160,8 @@ def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_
 def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: MatchConfig = MatchConfig(),
                   use_length_band: bool = True) -> DataFrame:
     """(l_name, r_name, similarity_score) for distinct name pairs at or above the threshold."""
-    ln = distinct_names(left_prepared, "l", cfg.block_chars)
-    rn = distinct_names(right_prepared, "r", cfg.block_chars)
+    ln = distinct_names(left_prepared, "l", cfg.block_chars, materialize=True)
+    rn = distinct_names(right_prepared, "r", cfg.block_chars, materialize=True)
     cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, use_length_band)
     return score_pairs(cands, cfg.threshold, cfg.weights).select("l_name", "r_name", "similarity_score")
 
@@ -185,6 +192,8 @@ def harmonize(
     part: str = "all",
     matches_materialized: bool = False,
     max_pairs_per_cell: int = DEFAULT_MAX_PAIRS,
+    left_names: DataFrame | None = None,
+    right_names: DataFrame | None = None,
 ) -> DataFrame:
     """One row per matched (left row, right row) pair plus one per unmatched left row.
 
@@ -197,6 +206,8 @@ def harmonize(
 
     ``part``: "all", "matched" or "unmatched" (the left rows without a match, with ids).
     ``matches_materialized``: the caller already checkpointed ``matches``.
+    ``left_names`` / ``right_names``: the ``distinct_names`` tables (with row counts), if
+    the caller has them; they size the row-pair joins without another pass over the rows.
 
     ``matches`` is (l_name, r_name, similarity_score) over normalised names.  Matched ids
     are the dense rank of the left normalised name; unmatched left rows are numbered by
@@ -236,8 +247,17 @@ def harmonize(
         m = matches.join(ids, "l_name")
         rp = right_prepared.select(*[F.col(c).alias(f"s2__{c}") for c in right_prepared.columns])
         lp = left_prepared.select(*[F.col(c).alias(f"s1__{c}") for c in left_prepared.columns])
-        mr = balanced_join(m, rp, ["r_name"], max_pairs_per_cell, right_keys=["s2__normalized_name"])
-        pairs = balanced_join(lp, mr, ["s1__normalized_name"], max_pairs_per_cell, right_keys=["l_name"])
+        m_counts = r_counts = l_counts = mr_counts = None
+        if left_names is not None and right_names is not None:
+            m_counts = m.groupBy("r_name").agg(F.count(F.lit(1)).alias("_nl"))
+            r_counts = right_names.select("r_name", F.col("r_rows").alias("_nr"))
+            l_counts = left_names.select(F.col("l_name").alias("s1__normalized_name"), F.col("l_rows").alias("_nl"))
+            mr_counts = m.join(right_names.select("r_name", "r_rows"), "r_name").groupBy(
+                F.col("l_name").alias("s1__normalized_name")).agg(F.sum("r_rows").alias("_nr"))
+        mr = balanced_join(m, rp, ["r_name"], max_pairs_per_cell, right_keys=["s2__normalized_name"],
+                           left_counts=m_counts, right_counts=r_counts)
+        pairs = balanced_join(lp, mr, ["s1__normalized_name"], max_pairs_per_cell, right_keys=["l_name"],
+                              left_counts=l_counts, right_counts=mr_counts)
         matched = pairs.select(
             F.col("corporate_id"),
             F.coalesce(F.col(f"s1__{left_name}"), F.col(f"s2__{right_name}")).alias("corporate_name"),

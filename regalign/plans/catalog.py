@@ -28,8 +28,9 @@ class _Match:
         ensure_checkpoint_dir(spark)
         self.left = M.prepare_left(V.supply_view(spark, sf_dir), cfg=CFG)
         self.right = M.prepare_right(V.finance_view(spark, sf_dir), cfg=CFG)
-        self.ln = M.distinct_names(self.left, "l", CFG.block_chars)
-        self.rn = M.distinct_names(self.right, "r", CFG.block_chars)
+        # name tables are bounded by distinct names and feed several consumers: materialise once
+        self.ln = M.distinct_names(self.left, "l", CFG.block_chars, materialize=True)
+        self.rn = M.distinct_names(self.right, "r", CFG.block_chars, materialize=True)
 
     def candidates(self) -> DataFrame:
         return M.candidate_pairs(self.ln, self.rn, CFG.threshold, CFG.weights)
@@ -42,7 +43,8 @@ class _Match:
             "l_name", "r_name", "similarity_score")
 
     def harmonized(self, ts=FIXED_TS, collapsed: bool = False, part: str = "all") -> DataFrame:
-        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed, part=part)
+        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed, part=part,
+                           left_names=self.ln, right_names=self.rn)
 
 
 def _no_ts(df: DataFrame) -> DataFrame:
