@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from regalign.functions.text import binary_label
 from regalign.operators.ranking import prefix_sums_global
+from regalign.session import materialize
 
 FEATURES = ["revenue", "supplier_count", "customer_count"]
 TARGET = "high_profit"
@@ -159,8 +160,12 @@ def load_model(path: str) -> PipelineModel:
 
 def train_and_evaluate(df: DataFrame, key: str = "corporate_id", test_fraction: float = 0.2, seed: int = 42,
                        threshold: float = 1_000_000, pipeline: Pipeline | None = None):
-    """Prepare -> split -> fit -> score the test share -> metrics.  Returns (model, metrics frame)."""
-    data = prepare_training(df, threshold=threshold)
+    """Prepare -> split -> fit -> score the test share -> metrics.  Returns (model, metrics frame).
+
+    The prepared rows are materialised once: the fit and the evaluation read them several
+    times, and recomputing the registry behind them on every pass would dominate.
+    """
+    data = materialize(prepare_training(df, threshold=threshold))
     train_df, test_df = hash_split(data, key, test_fraction, seed)
     model = train(train_df, pipeline)
     return model, evaluate(score(model, test_df))

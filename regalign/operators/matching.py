@@ -28,6 +28,7 @@ from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_
 from regalign.functions.text import block_key, extract_city, format_id, list_size, normalize_name
 from regalign.operators.joins import DEFAULT_MAX_PAIRS, balanced_join
 from regalign.operators.ranking import dense_rank_global, row_number_global
+from regalign.session import materialize
 
 
 @dataclass(frozen=True)
@@ -338,8 +339,9 @@ def _best_pair_per_id(left_prepared: DataFrame, right_prepared: DataFrame, match
 def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = MatchConfig(), ts=None,
                      collapsed: bool = False) -> DataFrame:
     """Prepare both sides, block, score, assign ids and harmonise (one row per id if ``collapsed``)."""
-    lp = prepare_left(left, cfg=cfg)
-    rp = prepare_right(right, cfg=cfg)
+    # each prepared side is read by the name table, the anti join and the row-pair joins
+    lp = materialize(prepare_left(left, cfg=cfg), "left-prepared")
+    rp = materialize(prepare_right(right, cfg=cfg), "right-prepared")
     matches = matched_names(lp, rp, cfg)
     return harmonize(lp, rp, matches, cfg, ts, collapsed=collapsed)
 

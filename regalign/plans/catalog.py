@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
 from regalign.operators import learn, matching as M, quality, upsert
 from regalign.plans import views as V
-from regalign.session import ensure_checkpoint_dir, scratch_path
+from regalign.session import ensure_checkpoint_dir, materialize, scratch_path
 from regalign.sources import delimited, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,10 @@ class _Match:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ensure_checkpoint_dir(spark)
-        self.left = M.prepare_left(V.supply_view(spark, sf_dir), cfg=CFG)
-        self.right = M.prepare_right(V.finance_view(spark, sf_dir), cfg=CFG)
+        # the prepared sides feed the name tables, the anti join and the row-pair joins:
+        # write them once instead of recomputing views and normalisation per consumer
+        self.left = materialize(M.prepare_left(V.supply_view(spark, sf_dir), cfg=CFG), "supply-prepared")
+        self.right = materialize(M.prepare_right(V.finance_view(spark, sf_dir), cfg=CFG), "finance-prepared")
         # name tables are bounded by distinct names and feed several consumers: materialise once
         self.ln = M.distinct_names(self.left, "l", CFG.block_chars, materialize=True)
         self.rn = M.distinct_names(self.right, "r", CFG.block_chars, materialize=True)
@@ -310,7 +312,7 @@ def q_metrics_auc(spark, d):
 
 
 def q_train_score(spark, d):
-    data = _training(spark, d)
+    data = materialize(_training(spark, d))  # read by the class check, the fit and the scoring
     train_df, test_df = learn.hash_split(data, "corporate_id")
     model = learn.train(train_df)
     path = learn.save_model(model, scratch_path(spark, "model"))
@@ -319,7 +321,7 @@ def q_train_score(spark, d):
 
 
 def q_coefficients(spark, d):
-    data = _training(spark, d)
+    data = materialize(_training(spark, d))
     train_df, _ = learn.hash_split(data, "corporate_id")
     return learn.coefficients(spark, learn.train(train_df))
 

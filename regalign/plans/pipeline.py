@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regalign.operators import learn, matching as M, upsert
+from regalign.session import materialize
 from regalign.sources import delimited, registry
 
 log = logging.getLogger(__name__)
@@ -51,8 +52,8 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
     res = PipelineResult()
     if not skip_ingestion:
         s1, s2 = delimited.ingest_all(spark, delimited.default_specs(source1_path, source2_path), ts)
-        lp = M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg)
-        rp = M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg)
+        lp = materialize(M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg), "left-prepared")
+        rp = materialize(M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg), "right-prepared")
         matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
         res.harmonized = M.harmonize(lp, rp, matches, cfg, ts, matches_materialized=True)
         # one row per id before the MERGE (several matched pairs can share an id), computed
@@ -65,7 +66,7 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
             res.notes.append("no registry yet: training skipped")
             return res
         current = upsert.read_current(changes, "corporate_id")
-        data = learn.prepare_training(current, threshold=profit_threshold)
+        data = materialize(learn.prepare_training(current, threshold=profit_threshold))
         try:
             train_df, test_df = learn.hash_split(data, "corporate_id")
             model = learn.train(train_df)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "regalign") -> SparkSession:
@@ -45,6 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Fix ``df`` once for several passes: a Parquet table written in the shared folder.
+
+    Used before multi-pass work (a model fit scans its input for the class check, the
+    scaler statistics and the optimizer's instances; the prepared match sides feed the
+    name tables, the anti join and the row-pair joins).  Each pass then reads compressed,
+    column-pruned files instead of recomputing the joins, aggregates and regexes behind
+    them, the planner sees real file sizes, and a lost executor re-reads files instead of
+    recomputing from the sources.  The path is unique per call under
+    ``spark.checkpoint.dir`` (the cluster's shared folder), so a retried job rewrites
+    only its own output through the commit protocol.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Cores available to the job (at least the configured shuffle partitions)."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
