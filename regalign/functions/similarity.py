@@ -65,11 +65,15 @@ def name_features(df: DataFrame, name_col: str, prefix: str) -> DataFrame:
 
 def ratio_from_lcs(x: Column, y: Column, lcs: Column) -> Column:
     """Integer indel ratio given the LCS length (equal -> 100, any empty -> 0)."""
-    lx, ly = F.length(x), F.length(y)
+    return ratio_from_sizes(F.length(x), F.length(y), x == y, lcs)
+
+
+def ratio_from_sizes(lx: Column, ly: Column, equal: Column, lcs: Column) -> Column:
+    """``ratio_from_lcs`` from the two lengths and the equality flag (no strings needed)."""
     total = lx + ly
     raw = F.lit(100.0) * (F.lit(1.0) - (total - F.lit(2) * lcs).cast("double") / total.cast("double"))
     return (
-        F.when(x == y, F.lit(100))
+        F.when(equal, F.lit(100))
         .when((lx == 0) | (ly == 0), F.lit(0))
         .otherwise(F.bround(raw, 0).cast("int"))
     )
@@ -77,17 +81,19 @@ def ratio_from_lcs(x: Column, y: Column, lcs: Column) -> Column:
 
 _LCS_COLS = ("_lcs_raw", "_lcs_sort", "_lcs_set")
 _PAIR_INPUTS = (("_a", "_b"), ("_sa", "_sb"), ("_ca", "_cb"))
+# strings the kernel reads but the JVM side no longer needs (their lengths and equality
+# flags were computed before the Arrow step), so they are not sent back
+_KERNEL_ONLY = ("_sa", "_sb", "_ca", "_cb")
 
 
 def _lcs_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols = [batch.column(i) for i in range(batch.num_columns)]
         names = batch.schema.names
-        for (xa, xb), out in zip(_PAIR_INPUTS, _LCS_COLS):
-            cols.append(pa.array(lcs_lengths(batch.column(names.index(xa)), batch.column(names.index(xb))),
-                                 type=pa.int64()))
-            names = names + [out]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+        lcs = [pa.array(lcs_lengths(batch.column(names.index(xa)), batch.column(names.index(xb))), type=pa.int64())
+               for xa, xb in _PAIR_INPUTS]
+        keep = [i for i, n in enumerate(names) if n not in _KERNEL_ONLY]
+        yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + lcs,
+                                         names=[names[i] for i in keep] + list(_LCS_COLS))
 
 
 def score_name_pairs(
@@ -102,8 +108,8 @@ def score_name_pairs(
     ``pairs`` must carry, for each side ``p`` in (left, right), the columns produced by
     ``name_features``: ``{p}_name``, ``{p}_sorted``, ``{p}_set``, ``{p}_plen``.
     Returns ``{left}_name``, ``{right}_name``, the ``keep`` columns, ``ratio``,
-    ``token_sort``, ``token_set`` (int) and ``similarity_score`` (double).  Only the six
-    strings the LCS kernel needs cross into Python.
+    ``token_sort``, ``token_set`` (int) and ``similarity_score`` (double).  Six strings
+    cross into Python; only the two names and integers come back.
     """
     l, r = left, right
     # Candidate pairs are far more numerous than the name tables they come from and the
@@ -114,7 +120,7 @@ def score_name_pairs(
     d1 = F.array_except(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d2 = F.array_except(F.col(f"{r}_set"), F.col(f"{l}_set"))
     sect_s = F.array_join(sect, " ")
-    prepared = pairs.select(
+    strings = pairs.select(
         *(keep or []),
         F.coalesce(F.col(f"{l}_name"), F.lit("")).alias("_a"),
         F.coalesce(F.col(f"{r}_name"), F.lit("")).alias("_b"),
@@ -125,29 +131,42 @@ def score_name_pairs(
         F.trim(F.concat_ws(" ", sect_s, F.array_join(d2, " "))).alias("_cb"),
         ((F.col(f"{l}_plen") == 0) | (F.col(f"{r}_plen") == 0)).alias("_no_tokens"),
     )
-    out_schema = T.StructType(prepared.schema.fields + [T.StructField(c, T.LongType(), False) for c in _LCS_COLS])
+
+    def sizes(x: str, y: str, tag: str) -> list[Column]:
+        return [F.length(x).alias(f"_l{tag}x"), F.length(y).alias(f"_l{tag}y"), (F.col(x) == F.col(y)).alias(f"_e{tag}")]
+
+    # lengths and equality flags JVM-side, so only integers return from the kernel
+    prepared = strings.select(
+        *(keep or []), "_a", "_b", "_sa", "_sb", "_ca", "_cb", "_no_tokens",
+        *sizes("_a", "_b", "r"), *sizes("_sa", "_sb", "s"), *sizes("_ca", "_cb", "c"),
+        F.length("_sect").alias("_li"),
+        (F.col("_sect") == F.col("_ca")).alias("_eia"), (F.col("_sect") == F.col("_cb")).alias("_eib"),
+    )
+    out_fields = [f for f in prepared.schema.fields if f.name not in _KERNEL_ONLY]
+    out_schema = T.StructType(out_fields + [T.StructField(c, T.LongType(), False) for c in _LCS_COLS])
     with_lcs = prepared.mapInArrow(_lcs_batches, out_schema)
 
-    sect_len = F.length(F.col("_sect"))
-    r_raw = ratio_from_lcs(F.col("_a"), F.col("_b"), F.col("_lcs_raw"))
-    r_sort = ratio_from_lcs(F.col("_sa"), F.col("_sb"), F.col("_lcs_sort"))
-    r_set = F.when(F.col("_no_tokens"), F.lit(0)).otherwise(
+    c = F.col
+    r_raw = ratio_from_sizes(c("_lrx"), c("_lry"), c("_er"), c("_lcs_raw"))
+    r_sort = ratio_from_sizes(c("_lsx"), c("_lsy"), c("_es"), c("_lcs_sort"))
+    r_set = F.when(c("_no_tokens"), F.lit(0)).otherwise(
         F.greatest(
-            ratio_from_lcs(F.col("_sect"), F.col("_ca"), sect_len),
-            ratio_from_lcs(F.col("_sect"), F.col("_cb"), sect_len),
-            ratio_from_lcs(F.col("_ca"), F.col("_cb"), F.col("_lcs_set")),
+            # the intersection string is a prefix of both others, so it is their LCS
+            ratio_from_sizes(c("_li"), c("_lcx"), c("_eia"), c("_li")),
+            ratio_from_sizes(c("_li"), c("_lcy"), c("_eib"), c("_li")),
+            ratio_from_sizes(c("_lcx"), c("_lcy"), c("_ec"), c("_lcs_set")),
         )
     )
     w_r, w_s, w_t = (float(w) for w in weights)
     scored = with_lcs.select(
-        F.col("_a").alias(f"{l}_name"), F.col("_b").alias(f"{r}_name"), *(keep or []),
+        c("_a").alias(f"{l}_name"), c("_b").alias(f"{r}_name"), *(keep or []),
         r_raw.alias("ratio"), r_sort.alias("token_sort"), r_set.alias("token_set"))
     sim = (
-        F.col("ratio") / F.lit(100.0) * F.lit(w_r)
-        + F.col("token_sort") / F.lit(100.0) * F.lit(w_s)
-        + F.col("token_set") / F.lit(100.0) * F.lit(w_t)
+        c("ratio") / F.lit(100.0) * F.lit(w_r)
+        + c("token_sort") / F.lit(100.0) * F.lit(w_s)
+        + c("token_set") / F.lit(100.0) * F.lit(w_t)
     )
-    empty = (F.col(f"{l}_name") == "") | (F.col(f"{r}_name") == "")
+    empty = (c(f"{l}_name") == "") | (c(f"{r}_name") == "")
     return scored.withColumn("similarity_score", F.when(empty, F.lit(0.0)).otherwise(sim))
 
 
