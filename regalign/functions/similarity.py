@@ -102,6 +102,7 @@ def score_name_pairs(
     right: str = "r",
     weights: tuple[float, float, float] = DEFAULT_WEIGHTS,
     keep: list[str] | None = None,
+    respread: bool = True,
 ) -> DataFrame:
     """Score pairs of names.
 
@@ -110,12 +111,15 @@ def score_name_pairs(
     Returns ``{left}_name``, ``{right}_name``, the ``keep`` columns, ``ratio``,
     ``token_sort``, ``token_set`` (int) and ``similarity_score`` (double).  Six strings
     cross into Python; only the two names and integers come back.
+
+    ``respread``: hash-spread the pairs over the cluster first (scoring is CPU-bound).
+    Pass False when the pairs already come out of a join spread over enough partitions,
+    which saves shuffling the pairs.
     """
     l, r = left, right
-    # Candidate pairs are far more numerous than the name tables they come from and the
-    # scoring is CPU-bound, so spread them over the cluster by pair key.  An explicit
-    # partition count is not coalesced away by AQE.
-    pairs = pairs.repartition(parallelism(pairs.sparkSession), F.col(f"{l}_name"), F.col(f"{r}_name"))
+    if respread:
+        # an explicit partition count is not coalesced away by AQE
+        pairs = pairs.repartition(parallelism(pairs.sparkSession), F.col(f"{l}_name"), F.col(f"{r}_name"))
     sect = F.array_intersect(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d1 = F.array_except(F.col(f"{l}_set"), F.col(f"{r}_set"))
     d2 = F.array_except(F.col(f"{r}_set"), F.col(f"{l}_set"))

@@ -44,12 +44,17 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
 
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int = DEFAULT_MAX_PAIRS,
                   right_keys: list[str] | None = None, left_counts: DataFrame | None = None,
-                  right_counts: DataFrame | None = None) -> DataFrame:
+                  right_counts: DataFrame | None = None, num_partitions: int | None = None) -> DataFrame:
     """Inner equi-join ``left.keys == right.right_keys`` with hot keys split into grid cells.
 
     Returns the columns of ``left`` then ``right`` (right key columns renamed to the left
     names are dropped), exactly the rows of the plain inner join.  Precomputed per-key
     counts (named with the left key names) avoid a second pass over large inputs.
+
+    ``num_partitions``: hash-partition both inputs on (keys, cell) into exactly this many
+    partitions before joining.  The join then needs no other exchange and its output stays
+    spread over that many tasks (an explicit count is not coalesced by AQE), so CPU-heavy
+    work on the pairs can follow in the same stage without shuffling the pairs.
     """
     rkeys = right_keys or keys
     r = right
@@ -66,8 +71,11 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     rg = rg.withColumn("_ga", F.coalesce("_ga", one)).withColumn("_gb", F.coalesce("_gb", one))
     rg = rg.withColumn("_cb", F.pmod(F.xxhash64(*[F.col(c) for c in r.columns]), F.col("_gb")))
     rg = rg.withColumn("_ca", F.explode(F.sequence(F.lit(0), F.col("_ga") - 1))).drop("_ga", "_gb")
-    out = lg.join(rg, keys + ["_ca", "_cb"], "inner").drop("_ca", "_cb")
-    return out
+    on = keys + ["_ca", "_cb"]
+    if num_partitions:
+        lg = lg.repartition(num_partitions, *on)
+        rg = rg.repartition(num_partitions, *on)
+    return lg.join(rg, on, "inner").drop("_ca", "_cb")
 
 
 def grid_side(pairs: float, max_pairs: int) -> int:

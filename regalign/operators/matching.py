@@ -28,7 +28,7 @@ from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_
 from regalign.functions.text import block_key, extract_city, format_id, list_size, normalize_name
 from regalign.operators.joins import DEFAULT_MAX_PAIRS, balanced_join
 from regalign.operators.ranking import dense_rank_global, row_number_global
-from regalign.session import materialize
+from regalign.session import materialize, parallelism
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,7 @@ MAX_BAND_FACTOR = 4.0
 
 def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
                     weights=DEFAULT_WEIGHTS, use_length_band: bool = True,
-                    max_pairs_per_cell: int = DEFAULT_MAX_PAIRS) -> DataFrame:
+                    max_pairs_per_cell: int = DEFAULT_MAX_PAIRS, num_partitions: int | None = None) -> DataFrame:
     """Blocked candidate name pairs: equal block key and (when it prunes) compatible length.
 
     Each name has two lengths: its own (for ``ratio``) and that of its sorted token string
@@ -128,12 +128,18 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     The join is a ``balanced_join``: a (block, length) key that would produce more than
     ``max_pairs_per_cell`` pairs is spread over a grid of tasks (a hot block is small in
     bytes but quadratic in pairs, which input-size skew handling cannot see).
+
+    ``num_partitions`` (e.g. the cluster's cores): the name tables are shuffled into that
+    many partitions by (key, cell) so the pairs come out spread and can be scored in the
+    same stage (``score_pairs(..., respread=False)``); the pairs themselves, by far the
+    largest intermediate, are never shuffled.
     """
     f = length_factor(threshold, weights) if use_length_band else None
     if f is not None and f > MAX_BAND_FACTOR:
         f = None  # at low thresholds the band prunes little and each name would list many lengths
     if f is None:
-        out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"])
+        out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"],
+                            num_partitions=num_partitions)
         return out.withColumn("r_block", F.col("l_block"))
     lo = F.ceil(F.length("l_sorted") / F.lit(f) - F.lit(1e-9)).cast("int")
     hi = F.floor(F.length("l_name") * F.lit(f) + F.lit(1e-9)).cast("int")
@@ -145,14 +151,19 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     rc = right.groupBy(F.col("r_block").alias("l_block"), F.col("_r_len").alias("_l_len")).agg(
         F.count(F.lit(1)).alias("_nr"))
     joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"],
-                           left_counts=lc, right_counts=rc)
+                           left_counts=lc, right_counts=rc, num_partitions=num_partitions)
     return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).withColumn(
         "r_block", F.col("l_block")).drop("_lo", "_rlo", "_l_len")
 
 
-def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_WEIGHTS) -> DataFrame:
-    """Scores of candidate name pairs; keeps ``similarity_score >= threshold`` unless None."""
-    scored = score_name_pairs(candidates, "l", "r", weights)
+def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_WEIGHTS,
+                respread: bool = True) -> DataFrame:
+    """Scores of candidate name pairs; keeps ``similarity_score >= threshold`` unless None.
+
+    ``respread=False`` when the candidates already come out spread over the cluster
+    (``candidate_pairs(..., num_partitions=n)``), so they are scored where they are made.
+    """
+    scored = score_name_pairs(candidates, "l", "r", weights, respread=respread)
     if threshold is not None:
         scored = scored.where(F.col("similarity_score") >= F.lit(float(threshold)))
     return scored
@@ -163,8 +174,10 @@ def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: Matc
     """(l_name, r_name, similarity_score) for distinct name pairs at or above the threshold."""
     ln = distinct_names(left_prepared, "l", cfg.block_chars, materialize=True)
     rn = distinct_names(right_prepared, "r", cfg.block_chars, materialize=True)
-    cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, use_length_band)
-    return score_pairs(cands, cfg.threshold, cfg.weights).select("l_name", "r_name", "similarity_score")
+    cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, use_length_band,
+                            num_partitions=parallelism(left_prepared.sparkSession))
+    return score_pairs(cands, cfg.threshold, cfg.weights, respread=False).select(
+        "l_name", "r_name", "similarity_score")
 
 
 def assign_ids(names: DataFrame, name_col: str = "l_name", cfg: MatchConfig = MatchConfig(),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
 from regalign.operators import learn, matching as M, quality, upsert
 from regalign.plans import views as V
-from regalign.session import ensure_checkpoint_dir, materialize, scratch_path
+from regalign.session import ensure_checkpoint_dir, materialize, parallelism, scratch_path
 from regalign.sources import delimited, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,10 +35,13 @@ class _Match:
         self.rn = M.distinct_names(self.right, "r", CFG.block_chars, materialize=True)
 
     def candidates(self) -> DataFrame:
-        return M.candidate_pairs(self.ln, self.rn, CFG.threshold, CFG.weights)
+        # the small name tables are shuffled into one partition per core by (key, cell), so
+        # the pairs come out spread and are scored where they are made
+        return M.candidate_pairs(self.ln, self.rn, CFG.threshold, CFG.weights,
+                                 num_partitions=parallelism(self.ln.sparkSession))
 
     def scored(self) -> DataFrame:
-        return M.score_pairs(self.candidates(), None, CFG.weights)
+        return M.score_pairs(self.candidates(), None, CFG.weights, respread=False)
 
     def matches(self) -> DataFrame:
         return self.scored().where(F.col("similarity_score") >= CFG.threshold).select(

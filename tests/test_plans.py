@@ -51,3 +51,16 @@ def test_ranking_is_not_single_task(spark):
     per_part = ranked.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) > 1 and max(r["count"] for r in per_part) < 5000
     assert ranked.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first()[:] == (1, 5000, 5000)
+
+
+def test_pairs_are_scored_where_they_are_made(spark):
+    # the name tables are shuffled by (key, cell); the candidate pairs, the largest
+    # intermediate, reach the Arrow scorer without another exchange
+    lines = _plan(_Match(spark, SF).scored()).splitlines()
+    start = next(i for i, s in enumerate(lines) if "MapInArrow" in s)
+    below = []
+    for s in lines[start + 1:]:
+        if "Join" in s:
+            break
+        below.append(s)
+    assert not any(w in s for s in below for w in ("Exchange", "ShuffleQueryStage", "AQEShuffleRead"))
