@@ -89,3 +89,18 @@ def test_registry_metadata(spark):
     registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02")  # replay
     meta = registry.registry_metadata(spark, path).first()
     assert (meta.history_rows, meta.snapshot_count, meta.error) == (3, 2, None)
+
+
+def test_materialize_writes_under_the_checkpoint_folder(spark):
+    from regalign.session import ensure_checkpoint_dir, materialize
+
+    src = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    fixed = materialize(src.where(F.col("k") != 3), "t")
+    files = fixed.inputFiles()
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert files and all(root in f for f in files)  # the shared folder, not a machine-local temp dir
+    assert "Scan parquet" in fixed.select("id")._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in fixed.collect()) == [i for i in range(1000) if i % 7 != 3]
+    # a second call never overwrites the first table
+    again = materialize(src, "t")
+    assert again.count() == 1000 and fixed.count() == 1000 - len([i for i in range(1000) if i % 7 == 3])
