@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_PAIRS = 20_000_000
+MIN_CELL_PAIRS = 1_000
 
 
 def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int,
@@ -42,9 +43,21 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     )
 
 
+def pair_budget(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], max_pairs: int,
+                target_cells: int, min_pairs: int = MIN_CELL_PAIRS) -> int:
+    """Pairs per grid cell so the join makes about ``target_cells`` cells, at least
+    ``min_pairs`` and never above the caller's cap ``max_pairs``.  The total comes back as one number from an aggregate
+    over the per-key count tables (one row per key, never the rows themselves).
+    """
+    total = left_counts.join(right_counts, keys).agg(
+        F.sum(F.col("_nl").cast("double") * F.col("_nr").cast("double")).alias("w")).first()["w"] or 0.0
+    return int(min(max_pairs, max(min_pairs, math.ceil(total / max(1, target_cells)))))
+
+
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int = DEFAULT_MAX_PAIRS,
                   right_keys: list[str] | None = None, left_counts: DataFrame | None = None,
-                  right_counts: DataFrame | None = None, num_partitions: int | None = None) -> DataFrame:
+                  right_counts: DataFrame | None = None, num_partitions: int | None = None,
+                  cells_per_partition: int | None = None) -> DataFrame:
     """Inner equi-join ``left.keys == right.right_keys`` with hot keys split into grid cells.
 
     Returns the columns of ``left`` then ``right`` (right key columns renamed to the left
@@ -55,12 +68,22 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     partitions before joining.  The join then needs no other exchange and its output stays
     spread over that many tasks (an explicit count is not coalesced by AQE), so CPU-heavy
     work on the pairs can follow in the same stage without shuffling the pairs.
+
+    ``cells_per_partition`` (with ``num_partitions``): size the cells to the cluster instead
+    of the fixed ``max_pairs``: the budget becomes total pairs / (partitions x this), capped
+    by ``max_pairs``, so there are several cells per task and the pair work evens out.
     """
     rkeys = right_keys or keys
     r = right
     for lk, rk in zip(keys, rkeys):
         if lk != rk:
             r = r.withColumnRenamed(rk, lk)
+    if num_partitions and cells_per_partition:
+        if left_counts is None:
+            left_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+        if right_counts is None:
+            right_counts = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+        max_pairs = pair_budget(left_counts, right_counts, keys, max_pairs, num_partitions * cells_per_partition)
     grid = hot_key_grid(left, r, keys, max_pairs, left_counts, right_counts)
     one = F.lit(1)
     lg = left.join(grid, keys, "left")

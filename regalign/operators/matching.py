@@ -112,6 +112,9 @@ def length_factor(threshold: float, weights=DEFAULT_WEIGHTS) -> float | None:
 
 
 MAX_BAND_FACTOR = 4.0
+# grid cells per scoring task when the candidate join is spread over the cluster: with
+# several cells per task, hashing cells to tasks evens out the pair work
+CELLS_PER_TASK = 8
 
 
 def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
@@ -132,14 +135,15 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     ``num_partitions`` (e.g. the cluster's cores): the name tables are shuffled into that
     many partitions by (key, cell) so the pairs come out spread and can be scored in the
     same stage (``score_pairs(..., respread=False)``); the pairs themselves, by far the
-    largest intermediate, are never shuffled.
+    largest intermediate, are never shuffled.  The cell budget is then sized to the
+    cluster (about ``CELLS_PER_TASK`` cells per task, never above ``max_pairs_per_cell``).
     """
     f = length_factor(threshold, weights) if use_length_band else None
     if f is not None and f > MAX_BAND_FACTOR:
         f = None  # at low thresholds the band prunes little and each name would list many lengths
     if f is None:
         out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"],
-                            num_partitions=num_partitions)
+                            num_partitions=num_partitions, cells_per_partition=CELLS_PER_TASK)
         return out.withColumn("r_block", F.col("l_block"))
     lo = F.ceil(F.length("l_sorted") / F.lit(f) - F.lit(1e-9)).cast("int")
     hi = F.floor(F.length("l_name") * F.lit(f) + F.lit(1e-9)).cast("int")
@@ -151,7 +155,8 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     rc = right.groupBy(F.col("r_block").alias("l_block"), F.col("_r_len").alias("_l_len")).agg(
         F.count(F.lit(1)).alias("_nr"))
     joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"],
-                           left_counts=lc, right_counts=rc, num_partitions=num_partitions)
+                           left_counts=lc, right_counts=rc, num_partitions=num_partitions,
+                           cells_per_partition=CELLS_PER_TASK)
     return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).withColumn(
         "r_block", F.col("l_block")).drop("_lo", "_rlo", "_l_len")
 

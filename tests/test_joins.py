@@ -66,3 +66,23 @@ def test_hot_name_pairs_spread(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert len(sizes) > 4 and max(sizes) < 3000
+
+
+def test_cluster_sized_budget_is_exact_and_splits_the_hot_key(spark):
+    from regalign.operators.joins import MIN_CELL_PAIRS, pair_budget
+
+    rng = random.Random(9)
+    left = [("hot" if rng.random() < 0.7 else f"k{rng.randint(0, 5)}", i) for i in range(400)]
+    right = [("hot" if rng.random() < 0.7 else f"k{rng.randint(0, 5)}", -i) for i in range(300)]
+    l = spark.createDataFrame(left, "k string, a int")
+    r = spark.createDataFrame(right, "k string, b int")
+    plain = l.join(r, "k")
+    lc = l.groupBy("k").agg(F.count(F.lit(1)).alias("_nl"))
+    rc = r.groupBy("k").agg(F.count(F.lit(1)).alias("_nr"))
+    total = plain.count()
+    # about 4 x 8 cells for this total, never below the floor nor above the cap
+    assert pair_budget(lc, rc, ["k"], 10_000_000, 32) == max(MIN_CELL_PAIRS, -(-total // 32))
+    assert pair_budget(lc, rc, ["k"], 50, 32) == 50
+    got = balanced_join(l, r, ["k"], 10_000_000, num_partitions=4, cells_per_partition=8)
+    assert _rows(got.select("k", "a", "b")) == _rows(plain.select("k", "a", "b"))
+    assert got.rdd.getNumPartitions() == 4
