@@ -46,8 +46,9 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
 def pair_budget(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], max_pairs: int,
                 target_cells: int, min_pairs: int = MIN_CELL_PAIRS) -> int:
     """Pairs per grid cell so the join makes about ``target_cells`` cells, at least
-    ``min_pairs`` and never above the caller's cap ``max_pairs``.  The total comes back as one number from an aggregate
-    over the per-key count tables (one row per key, never the rows themselves).
+    ``min_pairs`` and never above the caller's cap ``max_pairs``.  The total comes back
+    as one number from an aggregate over the per-key count tables (one row per key,
+    never the rows themselves).
     """
     total = left_counts.join(right_counts, keys).agg(
         F.sum(F.col("_nl").cast("double") * F.col("_nr").cast("double")).alias("w")).first()["w"] or 0.0
