@@ -10,3 +10,17 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions this package hands to Spark (the Arrow LCS kernel run by ``mapInArrow``) are
+# pickled by value, so executors need no copy of the package on their Python path.
+# Without this, a job started from any directory other than the package's own fails on
+# the executors with "No module named 'regalign'".  (On a cluster, shipping the package
+# with ``--py-files`` works as well.)
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - no pyspark or an old cloudpickle: rely on --py-files
+    pass
