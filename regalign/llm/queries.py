@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regalign.llm.common import read_table
+from regalign.llm.debruijn import remove_repeats
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
 
@@ -22,8 +23,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "rule")
 
 
+def op10_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"), k=35)
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+win AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+rep AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS j FROM win WHERE h IN (SELECT h FROM rep)),
+per AS (SELECT r, list(j) AS js FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE
+         list_transform(list_filter(list_zip(w, generate_series(1, len(w))), lambda x: NOT list_contains(js, x[2])),
+                        lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN per USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_simhash_dedup, op9_quality_rules)
+    f.__name__: f for f in (op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
