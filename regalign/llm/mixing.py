@@ -5,8 +5,8 @@ words, the bounded entropy  sum w ln w + (2 - w) ln(2 - w)  is least for the exp
 w / (2 - w) = exp(lambda_s * x), x the document's size in units of its source's mean.  The dual is
 convex and separates by source; Newton steps on lambda run for all sources at once, each step one
 aggregate over the (source, size) histogram.  Rates are rounded to copies with a per-source
-threshold on a hash, found by two histogram searches, so a source's words miss its target by about
-one part in a million of its documents.
+threshold on a hash, found by two histogram searches, and the last few words are filled with single
+documents that fit.
 """
 
 from __future__ import annotations
@@ -159,5 +159,31 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     extra = (F.col("whole") < MAX_COPIES) & F.when(F.col("cut_bin").isNull(), F.col("rate") > F.col("whole")).otherwise(
         (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(F.col("level") < F.col("cut_level"), F.lit(True))))
     copies = (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("int")
-    return done.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    out = done.withColumn("copies", copies).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "level", "copies")
+    out = fill(out)
+    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
+                      (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def fill(rows: DataFrame, turns: int = 3) -> DataFrame:
+    """``rows`` with the words each source still lacks filled by single documents.
+
+    The threshold stops before the document that would pass the target, which is up to one
+    document's words short.  Each turn gives one more copy to the source's largest document that
+    still fits and has a copy left (lowest level first; rows equal in all go together).
+    """
+    need = materialize(rows.groupBy("source").agg(
+        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("need")).where("need >= 1"), "need")
+    for _ in range(turns):
+        fits = attach(rows, need, ["source"], how="inner").where(
+            (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
+        best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"),
+                                          F.first("need").alias("need"))
+        best = materialize(best.select("source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level"),
+                                       (F.col("need") - F.col("x.size")).alias("need")), "fill")
+        rows = attach(rows, best.drop("need"), ["source"])
+        more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
+        rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
+        need = best.select("source", "need")
+    return rows
