@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regalign.llm.common import read_table
 from regalign.llm.debruijn import remove_repeats
+from regalign.llm.decontaminate import contaminated
 from regalign.llm.mixing import mix
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "item_windows", "found", "share", "run", "slots", "changed")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -51,7 +57,7 @@ FROM d LEFT JOIN per USING (r)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
 }
 
 ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
