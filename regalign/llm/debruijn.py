@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from regalign.llm.common import binary_list, keyed, materialize, slices
 
 WINDOW = 35
-FILTER_BITS = 1 << 26  # fixed size of the minimiser filter: 8 MB at any input size
+FILTER_BITS = 1 << 24  # fixed size of the minimiser filter: 2 MB at any input size
+PIECE = 2 << 20        # bytes of text a task works on at a time
 _M = 0x9E3779B97F4A7C15
 _INV = pow(_M, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -104,7 +105,7 @@ def minimisers(texts: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 s = Segments(binary_list(part.column("text")), k)
                 if len(s.at):
                     yield pa.RecordBatch.from_arrays([pa.array(s.minimiser.view(np.int64))], ["m"])
@@ -120,9 +121,9 @@ def bit_filter(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """
     place = F.pmod("m", F.lit(bits))
     rows = values.groupBy(F.shiftright(place, 6).alias("w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place.bitwiseAND(63)).cast("int"))).alias("b")).toPandas()
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place.bitwiseAND(63)).cast("int"))).alias("b")).toArrow()
     table = np.zeros(bits // 64, dtype=np.uint64)
-    table[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64).view(np.uint64)
+    table[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
     return table
 
 
@@ -141,7 +142,7 @@ def segments(texts: DataFrame, k: int, table) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 s = Segments(binary_list(part.column("text")), k)
                 keep = np.flatnonzero(in_filter(bits, s.minimiser)) if len(s.at) else ()
                 if not len(keep):
@@ -280,7 +281,7 @@ def cut(texts: DataFrame, spans: DataFrame, k: int, with_text: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 column = part.column("spans")
                 flat = column.flatten()
                 start, stop = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (0, 1))
