@@ -10,6 +10,7 @@ from regalign.llm.common import read_table
 from regalign.llm.debruijn import remove_repeats
 from regalign.llm.decontaminate import contaminated
 from regalign.llm.mixing import mix
+from regalign.llm.pii import personal_data
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
 
@@ -24,6 +25,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", "fingerprint", "component_id")
@@ -57,7 +62,7 @@ FROM d LEFT JOIN per USING (r)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
 }
 
 ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
