@@ -13,6 +13,7 @@ from regalign.llm.mixing import mix
 from regalign.llm.pii import personal_data
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
+from regalign.llm.toxicity import toxicity
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read_table(spark, sf_dir, "documents"))
 
@@ -62,7 +67,7 @@ FROM d LEFT JOIN per USING (r)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op5_toxicity, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
 }
 
 ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
