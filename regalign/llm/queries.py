@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regalign.llm.common import read_table
 from regalign.llm.debruijn import remove_repeats
 from regalign.llm.decontaminate import contaminated
+from regalign.llm.langid import language
 from regalign.llm.mixing import mix
 from regalign.llm.pii import personal_data
 from regalign.llm.quality_rules import quality_rules
@@ -26,6 +27,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(read_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -67,7 +72,7 @@ FROM d LEFT JOIN per USING (r)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op5_toxicity, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op4_language_id, op5_toxicity, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
 }
 
 ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
