@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regalign.llm.common import read_table
+from regalign.llm.chat import rotate
+from regalign.llm.common import materialize, read_table, scratch_path
 from regalign.llm.debruijn import remove_repeats
 from regalign.llm.decontaminate import contaminated
 from regalign.llm.langid import language
@@ -14,6 +15,7 @@ from regalign.llm.mixing import mix
 from regalign.llm.pii import personal_data
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
+from regalign.llm.token_rollup import Rollup, count_tokens, deletes, inserts
 from regalign.llm.toxicity import toxicity
 
 
@@ -27,6 +29,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three commits: all documents, the same batch sent again, and the blank ones deleted."""
+    counts = materialize(count_tokens(read_table(spark, sf_dir, "documents")), "counts")
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("load", inserts(counts))
+    rollup.commit("load", inserts(counts))
+    rollup.commit("blank", deletes(counts.where("n_words = 0")))
+    return rollup.totals()
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +56,31 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(read_table(spark, sf_dir, "conversations"))
+
+
+OP8_SQL = r"""
+WITH m AS (
+  SELECT conv_id, turn, replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') AS role,
+         replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS text,
+         coalesce(floor(turn / 512.0), 0)::BIGINT AS part
+  FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) AS i FROM m),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+x AS (
+  SELECT n.conv_id, part, speaker, i, role = speaker AS own, text || '<|end|>' || chr(10) AS body,
+         '<|' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+                      ELSE 'user name=' || role END || '|>' || chr(10) AS head
+  FROM n JOIN p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+y AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY i)::BIGINT AS stop FROM x)
+SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+       string_agg(head || body, '' ORDER BY i) AS rendered,
+       coalesce(string_agg((stop - length(body))::VARCHAR || ':' || stop::VARCHAR, ',' ORDER BY i) FILTER (own), '') AS mask
+FROM y GROUP BY conv_id, part, speaker
+"""
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -72,7 +109,9 @@ FROM d LEFT JOIN per USING (r)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op4_language_id, op5_toxicity, op6_personal_data, op7_simhash_dedup, op9_quality_rules, op10_debruijn_dedup)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_mix_sources, op3_token_rollup, op4_language_id, op5_toxicity, op6_personal_data,
+        op7_simhash_dedup, op8_chat_rotation, op9_quality_rules, op10_debruijn_dedup)
 }
 
-ORACLES: dict[str, str] = {"op10_debruijn_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op8_chat_rotation": OP8_SQL, "op10_debruijn_dedup": OP10_SQL}
