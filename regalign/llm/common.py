@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
     if small.count() <= max_rows:
         cond = [F.col(k).eqNullSafe(o) for k, o in zip(keys, on)]
         return df.join(F.broadcast(side), cond, how).drop(*[f"_a_{k}" for k in keys])
+    if salts == 1:
+        return df.join(side, [F.col(k).eqNullSafe(o) for k, o in zip(keys, on)], how).drop(*[f"_a_{k}" for k in keys])
     side = side.withColumn("_a_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     df = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(df)]), F.lit(salts)).cast("int"))
     cond = [F.col(k).eqNullSafe(o) for k, o in zip(keys, on)] + [F.col("_salt") == F.col("_a_salt")]
@@ -53,24 +56,42 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
 
 
+def scan(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is a Parquet scan (with filters or projections), else a copy written to the shared folder."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    if "Relation" in node.nodeName():
+        try:
+            docs.select("_metadata.row_index")
+            return docs
+        except AnalysisException:  # not Parquet
+            pass
+    return materialize(docs, "scan")
+
+
+def _key() -> list[Column]:
+    return [F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r")]
+
+
 def keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` plus a row key (``_f``, ``_r``) that is the same in every evaluation.
+    """``columns`` of a ``scan`` plus a row key (``_f``, ``_r``) that is the same in every evaluation.
 
     The key is the Parquet file and the row's index in it.  It doesn't depend on how files are
-    packed into tasks, so it stays valid when executors come and go between two scans, and rows
-    with equal or null ids keep apart.  A frame that isn't a plain Parquet scan is written to the
-    shared checkpoint folder first.
+    packed into tasks, so it stays valid when executors come and go between two passes, and rows
+    with equal or null ids keep apart.
     """
-    key = [F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r")]
-    try:
-        return docs.select(*columns, *key)
-    except Exception:  # noqa: BLE001 - no file metadata in this plan
-        return materialize(docs.select(*columns), "keyed").select(*columns, *key)
+    return docs.select(*columns, *_key())
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """(_row, _f, _r) of a ``scan``: the whole row as one struct, so that no name can clash, and its key."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *_key())
 
 
-def ensure_columns(df: DataFrame, spec: dict[str, str]) -> DataFrame:
-    """``df`` reduced to the columns of ``spec``, cast to the given types."""
-    return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in spec.items()])
+def unpack(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of the ``_row`` struct."""
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
 
 
 def binary_list(column: pa.Array) -> list[bytes | None]:
@@ -100,5 +121,5 @@ def sampled(df: DataFrame, key: str, rows: int, total: int, seed: int = 17) -> D
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(2**31)) < F.lit(cut))
 
 
-__all__ = ["BLANKS", "BROADCAST_ROWS", "WORD", "attach", "binary_list", "ensure_columns", "keyed", "materialize",
-           "read_table", "sampled", "scratch_path", "slices", "word_count"]
+__all__ = ["BLANKS", "BROADCAST_ROWS", "WORD", "attach", "binary_list", "keyed", "materialize",
+           "read_table", "sampled", "scan", "scratch_path", "slices", "unpack", "with_row_key", "word_count"]

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regalign.llm.common import binary_list, keyed, materialize, slices
+from regalign.llm.common import binary_list, keyed, materialize, scan, slices
 
 WINDOW = 35
 FILTER_BITS = 1 << 24  # fixed size of the minimiser filter: 2 MB at any input size
@@ -256,14 +256,14 @@ def compact(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("path", F.col("id"))
 
 
-def repeated_spans(docs: DataFrame, k: int = WINDOW, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, k: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(texts with a row key, spans): every window of ``k`` words that occurs twice or more, as runs.
 
     ``spans`` has (_f, _r, start, stop, path): the windows starting at words start..stop-1 of the
     row repeat somewhere (same text included); they cover the words start..stop+k-2.
     """
     spark = docs.sparkSession
-    texts = keyed(docs.withColumnRenamed(text_col, "text") if text_col != "text" else docs, ["doc_id", "text"])
+    texts = keyed(scan(docs), ["doc_id", "text"])
     twice = materialize(minimisers(texts, k).groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m"),
                         "minimisers")
     table = spark.sparkContext.broadcast(bit_filter(twice))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regalign.llm.common import attach, keyed, materialize
+from regalign.llm.common import attach, keyed, materialize, scan, unpack, with_row_key
 
 WINDOW = 5            # template words
 COVERAGE = 0.8        # share of an item's windows that must be found in a document, or
@@ -73,7 +73,7 @@ def _slots(item: Column, doc: Column, n: int) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverage: float = COVERAGE,
-                 run_words: int = RUN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 run_words: int = RUN_WORDS) -> DataFrame:
     """(_f, _r, doc_id, item_id, item_windows, found, share, run, slots, changed) per document row and item it contains.
 
     ``found`` counts the item's windows that lie on a diagonal with consistent slots, ``share`` is
@@ -95,7 +95,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
         "item", "h", F.col("pos").alias("ipos"), F.slice("words", F.col("pos") + 1, n).alias("iwords")), "grams")
     total = grams.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
 
-    texts = keyed(docs.select(F.col(text_col).alias("text"), "*") if text_col != "text" else docs, [id_col, "text"])
+    texts = keyed(scan(docs), ["doc_id", "text"])
     hashed = windows(texts.select("_f", "_r", marked_words(F.col("text")).alias("words")), n)
     hits = attach(hashed, grams.select("h", "item", "ipos"), ["h"], how="inner").select("_f", "_r", "pos", "item", "ipos")
     hits = materialize(hits, "hits")
@@ -106,7 +106,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
     likely = materialize(likely.where((F.col("found") >= F.ceil(F.lit(coverage) * F.col("item_windows"))) | (
         F.col("found") >= run_words - n + 1)).drop("found"), "likely")
     again = attach(texts, likely.select("_f", "_r").distinct(), ["_f", "_r"], how="inner")
-    again = materialize(again.select("_f", "_r", F.col(id_col).cast("long").alias("doc_id"),
+    again = materialize(again.select("_f", "_r", F.col("doc_id").cast("long").alias("doc_id"),
                                      marked_words(F.col("text")).alias("words")), "suspects")
     rows = hits.join(likely, pair).join(again, ["_f", "_r"]).join(grams.drop("h"), ["item", "ipos"])
     rows = materialize(rows.select(
@@ -139,9 +139,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` (a Parquet scan, all its columns) that contain no benchmark item."""
+    """The rows of ``docs``, with all their columns, that contain no benchmark item."""
+    docs = scan(docs)
+    rows = with_row_key(docs)
     bad = materialize(contaminated(docs, benchmark, **params).select("_f", "_r").distinct(), "contaminated")
-    rows = docs.select(*docs.columns, F.struct("_metadata.file_path", "_metadata.row_index").alias("_at"))
-    bad = bad.withColumn("_hit", F.lit(True))
-    rows = rows.withColumn("_f", F.xxhash64("_at.file_path")).withColumn("_r", F.col("_at.row_index"))
-    return attach(rows, bad, ["_f", "_r"]).where(F.col("_hit").isNull()).select(*docs.columns)
+    kept = attach(rows, bad.withColumn("_hit", F.lit(True)), ["_f", "_r"], salts=1).where(F.col("_hit").isNull())
+    return unpack(kept, docs.columns)

@@ -107,83 +107,114 @@ def tilts(sizes: DataFrame, targets: DataFrame, rounds: int = 60, tolerance: flo
     return state.select("source", "mean", "tilt")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken) for every row of ``docs``.
-
-    ``size`` counts words (null text: 0), ``copies`` is 0, 1 or 2 and ``taken`` = copies * size.
-    Null sources are a source of their own.  A source without words has target 0.  Which documents
-    round up depends on a hash of id, source and size: rows equal in all three are copied alike,
-    and reruns agree.  An empty table gives no rows; other columns of ``docs`` are not read.
-    """
-    sizes = materialize(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col)).alias("size")), "sizes")
-    targets = materialize(source_targets(sizes, weights, share), "targets")
-    duals = tilts(sizes, targets)
-    plan = materialize(targets.join(duals.withColumnRenamed("source", "_s"),
-                                    F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
-    rows = attach(sizes, plan, ["source"])
-    # a source at its cap has no tilt: all its documents go twice
-    rate = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.lit(float(MAX_COPIES))).otherwise(
-        _rate(F.col("size"), F.col("tilt"), F.col("mean")))
-    levels = BINS * BINS
-    draw = F.pmod(F.xxhash64("doc_id", "source", "size", F.lit(71)), F.lit(levels)) / F.lit(float(levels))
-    rows = rows.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
-    # order of rounding up: draw - fraction in [-1, 1), as an integer level
-    level = F.floor((draw - (F.col("rate") - F.col("whole")) + 1.0) / 2.0 * F.lit(levels)).cast("int")
-    rows = rows.withColumn("level", level).withColumn("bin", F.shiftright("level", 10))
-    rows = materialize(rows.select("doc_id", "source", "size", "source_size", "target", "rate", "whole", "level", "bin"),
-                       "rates")
-    # two passes: the bin in which the source's words reach the target, then the level inside it
-    base = rows.groupBy("source").agg(F.first("target").alias("need"), F.sum(F.col("whole") * F.col("size")).alias("sure"))
-    base = base.select(F.col("source").alias("_s"), (F.col("need") - F.col("sure")).alias("need"))
+class Mix:
+    """The decisions of a mix as small tables (a few rows per source), applied to any frame with doc_id, source and size."""
+
+    def __init__(self, sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE):
+        targets = materialize(source_targets(sizes, weights, share), "targets")
+        duals = tilts(sizes, targets).withColumnRenamed("source", "_s")
+        self.plan = materialize(targets.join(duals, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
+        self.bins = self.levels = None
+        self.fills: list[DataFrame] = []
+        rows = materialize(self._rated(sizes).select("source", "size", "target", "rate", "whole", "level", "bin"), "rates")
+        sure = rows.groupBy("source").agg(F.first("target").alias("need"), F.sum(F.col("whole") * F.col("size")).alias("sure"))
+        need = sure.select("source", (F.col("need") - F.col("sure")).alias("need"))
+        # two passes: the bin in which the source's words pass the target, then the level inside it
+        self.bins = materialize(_cut(rows, "bin", need), "bins")
+        inside = attach(rows, self.bins.select("source", "cut_bin"), ["source"], how="inner").where("bin = cut_bin")
+        self.levels = materialize(_cut(inside, "level", self.bins.select("source", "need")).drop("need"), "levels")
+        self._fill(rows)
+
+    def _rated(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the rate, its whole part, and the place in the order of rounding up."""
+        rows = attach(rows, self.plan, ["source"])
+        # a source at its cap has no tilt: all its documents go twice
+        rate = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.lit(float(MAX_COPIES))).otherwise(
+            _rate(F.col("size"), F.col("tilt"), F.col("mean")))
+        levels = BINS * BINS
+        draw = F.pmod(F.xxhash64("doc_id", "source", "size", F.lit(71)), F.lit(levels)) / F.lit(float(levels))
+        rows = rows.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
+        # draw - fraction lies in (-1, 1)
+        level = F.floor((draw - (F.col("rate") - F.col("whole")) + 1.0) / 2.0 * F.lit(levels)).cast("int")
+        return rows.withColumn("level", level).withColumn("bin", F.shiftright("level", 10))
+
+    def _copied(self, rows: DataFrame) -> DataFrame:
+        """Rated rows with ``copies``."""
+        rows = attach(rows, self.bins.select("source", "cut_bin"), ["source"])
+        rows = attach(rows, self.levels, ["source"])
+        below = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(
+            F.col("level") < F.col("cut_level"), F.lit(True)))
+        # no cut: the source never passes its target, so everything rounds up
+        up = (F.col("whole") < MAX_COPIES) & F.when(F.col("cut_bin").isNull(), F.col("rate") > F.col("whole")).otherwise(below)
+        rows = rows.withColumn("copies", (F.col("whole") + F.when(up, 1).otherwise(0)).cast("int"))
+        for best in self.fills:
+            rows = attach(rows, best, ["source"])
+            more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
+            rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
+        return rows
+
+    def _fill(self, rows: DataFrame, turns: int = 3) -> None:
+        """Fill the words each source still lacks with single documents.
+
+        The threshold stops before the document that would pass the target, up to one document's
+        words short.  Each turn gives one more copy to the source's largest document that still
+        fits and has a copy left (lowest level first; rows equal in all go together).
+        """
+        need = None
+        for _ in range(turns):
+            now = self._copied(rows)
+            if need is None:
+                need = materialize(now.groupBy("source").agg(
+                    (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("need")).where("need >= 1"), "need")
+            fits = attach(now, need, ["source"], how="inner").where(
+                (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
+            best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"),
+                                              F.first("need").alias("need"))
+            best = materialize(best.select(
+                "source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level"),
+                (F.col("need") - F.col("x.size")).alias("need")), "fill")
+            self.fills.append(best.drop("need"))
+            need = best.select("source", "need")
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (doc_id, source, size, ...) with source_size, target, rate, copies and taken."""
+        return self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size")).drop(
+            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "cut_bin", "cut_level")
+
+
+def _cut(rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
+    """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
+    order = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
     up = F.when(F.col("whole") < MAX_COPIES, F.col("size")).otherwise(0)
+    sums = attach(rows.groupBy("source", by).agg(F.sum(up).alias("words")), need, ["source"], how="inner")
+    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
+    over = sums.where(F.col("before") + F.col("words") > F.col("need"))
+    first = over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x"))
+    return first.select("source", F.col(f"x.{by}").alias(f"cut_{by}"), F.col("x.need").alias("need"))
+
+
+def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *more) -> DataFrame:
+    """(doc_id, source, size, more...) of every row; ``size`` counts words (null text: 0)."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                       word_count(F.col(text_col)).alias("size"), *more)
+
 
-    def cut(part: DataFrame, by: str, need: DataFrame) -> DataFrame:
-        """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
-        order = Window.partitionBy("source").orderBy(by)  # at most BINS + 1 rows a source
-        sums = part.groupBy("source", by).agg(F.sum(up).alias("words"))
-        sums = sums.join(need, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        over = sums.where(F.col("before") + F.col("words") > F.col("need"))
-        return over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x")).select(
-            "source", F.col(f"x.{by}").alias(f"cut_{by}"), F.col("x.need").alias("need"))
-
-    first = materialize(cut(rows, "bin", base), "cut")
-    at = attach(rows, first, ["source"])
-    inside = at.where(F.col("bin") == F.col("cut_bin")).select("source", "size", "whole", "level")
-    second = cut(inside, "level", first.select(F.col("source").alias("_s"), "need")).drop("need")
-    done = attach(at.drop("need"), materialize(second, "cut"), ["source"])
-    # no cut: the source never passes its need, so everything rounds up
-    extra = (F.col("whole") < MAX_COPIES) & F.when(F.col("cut_bin").isNull(), F.col("rate") > F.col("whole")).otherwise(
-        (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(F.col("level") < F.col("cut_level"), F.lit(True))))
-    copies = (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("int")
-    out = done.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "level", "copies")
-    out = fill(out)
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"))
-
-
-def fill(rows: DataFrame, turns: int = 3) -> DataFrame:
-    """``rows`` with the words each source still lacks filled by single documents.
-
-    The threshold stops before the document that would pass the target, which is up to one
-    document's words short.  Each turn gives one more copy to the source's largest document that
-    still fits and has a copy left (lowest level first; rows equal in all go together).
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken) for every row of ``docs`` (doc_id, text, source).
+
+    ``copies`` is 0, 1 or 2 and ``taken`` = copies * size.  Null sources are a source of their own.
+    A source without words has target 0.  Which documents round up depends on a hash of id, source
+    and size: rows equal in all three are copied alike, and reruns agree.  Null and empty texts
+    have size 0.  An empty table gives no rows; other columns of ``docs`` are not read.
     """
-    need = materialize(rows.groupBy("source").agg(
-        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("need")).where("need >= 1"), "need")
-    for _ in range(turns):
-        fits = attach(rows, need, ["source"], how="inner").where(
-            (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
-        best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"),
-                                          F.first("need").alias("need"))
-        best = materialize(best.select("source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level"),
-                                       (F.col("need") - F.col("x.size")).alias("need")), "fill")
-        rows = attach(rows, best.drop("need"), ["source"])
-        more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
-        rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
-        need = best.select("source", "need")
-    return rows
+    sizes = materialize(sizes_of(docs), "sizes")
+    return Mix(sizes, weights, share).apply(sizes)
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all their columns and then ``copy`` (1, 2)."""
+    plan = Mix(materialize(sizes_of(docs), "sizes"), weights, share)
+    rows = sizes_of(docs, "doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = plan.apply(rows).where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
+    name = "copy" if "copy" not in docs.columns else "_copy"
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns], F.col("_copy").alias(name))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regalign.llm.common import WORD, attach, keyed, materialize
+from regalign.llm.common import WORD, attach, keyed, materialize, scan, with_row_key
 
 KINDS = ["email", "ip", "card", "phone", "generalise", "remove"]
 #: The base patterns, written so that a search never walks a run of characters twice: a match can
@@ -140,14 +140,14 @@ def term_spans(texts: DataFrame, base: DataFrame, found: DataFrame, remove: floa
                        start.alias("start"), (start + F.length("term")).alias("stop"))
 
 
-def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
-              generalise: float = GENERALISE, remove: float = REMOVE) -> tuple[DataFrame, DataFrame]:
+def all_spans(docs: DataFrame, min_contexts: int = MIN_CONTEXTS,
+              generalise: float = GENERALISE,
+              remove: float = REMOVE) -> tuple[DataFrame, DataFrame]:
     """(texts with a row key, spans): (_f, _r, spans), the sorted spans of each row that has one.
 
     A span is (start, place of its kind, stop).  Terms that overlap a base span are left out.
     """
-    texts = keyed(docs.select(F.col(text_col).alias("text"), "*") if text_col != "text" else docs, [id_col, "text"])
-    texts = texts.withColumnRenamed(id_col, "doc_id").withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = keyed(scan(docs), [F.col("doc_id").cast("long").alias("doc_id"), "text"])
     base = materialize(base_spans(texts), "base")
     found = materialize(disclosures(texts, base, min_contexts, generalise), "disclosures")
     more = term_spans(texts, base, found, remove)
@@ -188,15 +188,14 @@ def personal_data(docs: DataFrame, **params) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` (a Parquet scan, all its columns) with every span replaced by its kind's tag.
+    """The rows of ``docs``, with all their columns, and every span of their text replaced by its kind's tag.
 
     Overlapping spans are taken in order, each from where the one before ended.  Texts without a
     span, null and empty ones stay as they are; ``n_chars``, if there, counts the new text.
     """
+    docs, names = scan(docs), docs.columns
     _, spans = all_spans(docs, **params)
-    names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.xxhash64("_metadata.file_path").alias("_f"),
-                       F.col("_metadata.row_index").alias("_r")).join(spans, ["_f", "_r"], "left")
+    rows = attach(with_row_key(docs), spans, ["_f", "_r"], salts=1)
     text = F.col("_row.text")
     tags = F.array(*[F.lit(TAGS[k]) for k in KINDS])
     # (end of the cover so far, pieces): a span adds the text between the cover and its start, and its tag

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regalign.llm.common import BLANKS, materialize, sampled, slices
+from regalign.llm.common import BLANKS, materialize, sampled, slices, unpack
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper",
@@ -61,19 +61,28 @@ def text_counts(text: str | None) -> tuple[int, ...]:
             len(set(words)), upper, digits, punct)
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, counts...) for every row, over its whole text (null text: zeros)."""
+def statistics(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """(doc_id, counts...) for every row of ``docs`` (doc_id, text), over its whole text (null text: zeros).
+
+    With ``whole_rows`` the rows are carried along as a struct ``_row``.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       *[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] * whole_rows)
+    carried = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = np.array([text_counts(t) for t in part.column("text").to_pylist()],
-                                dtype=np.int64).reshape(-1, len(COUNTS))
+                n = np.array([text_counts(t) for t in part.column("text").to_pylist()],
+                             dtype=np.int64).reshape(-1, len(COUNTS))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *[pa.array(rows[:, i]) for i in range(len(COUNTS))]], ["doc_id", *COUNTS])
+                    [*[part.column(c) for c in carried], *[pa.array(n[:, i]) for i in range(len(COUNTS))]],
+                    [*carried, *COUNTS])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    schema = rows.select(*carried).schema
+    for c in COUNTS:
+        schema = schema.add(c, "long")
+    return rows.mapInArrow(run, schema)
 
 
 def feature_columns() -> dict[str, Column]:
@@ -202,17 +211,30 @@ def verdict(rules: list[Rule]) -> tuple[Column, Column]:
     return keep, fired
 
 
+def base_failed() -> Column:
+    """Fewer than 50 words, or over half of the words in repeated 3-word windows."""
+    return (F.col("n_words") < MIN_WORDS) | (
+        F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **params) -> DataFrame:
     """Counts, ``base_failed``, ``kept`` and the rule that fired, for every row of ``docs`` (doc_id, text).
 
-    ``base_failed``: fewer than 50 words, or over half of the words in repeated 3-word windows.
-    The list is learned from labelled rows that pass the base rules, the only ones it judges.
-    ``kept`` is false for those, else what the learned list says (no rule fires: kept).  Null and
-    empty texts count as empty and fail the base rule; repeated rows keep their rows; null ids
-    are scored but never matched to a label; an empty table gives no rows; other columns aren't read.
+    ``kept`` is false where the base rules fail, else what the learned list says (no rule fires:
+    kept).  The list is learned from labelled rows that pass the base rules, the only ones it
+    judges.  Null and empty texts count as empty and fail the base rules; repeated rows keep their
+    rows; null ids are scored but never matched to a label; an empty table gives no rows; other
+    columns aren't read.
     """
-    base = (F.col("n_words") < MIN_WORDS) | (
-        F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
-    stats = materialize(statistics(docs).withColumn("base_failed", base), "statistics")
+    stats = materialize(statistics(docs).withColumn("base_failed", base_failed()), "statistics")
     keep, fired = verdict(fit(stats.where(~F.col("base_failed")), labels, fit_rows, **params))
     return stats.withColumn("rule", fired).withColumn("kept", ~F.col("base_failed") & keep)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **params) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``quality_rules`` keeps; texts are never shuffled."""
+    marked = labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("_id")).distinct()
+    stats = statistics(docs.select("doc_id", "text")).where(~base_failed())
+    stats = materialize(stats.join(marked, F.col("doc_id") == F.col("_id"), "left_semi"), "statistics")
+    keep, _ = verdict(fit(stats, labels, fit_rows, **params))
+    return unpack(statistics(docs, whole_rows=True).where(~base_failed() & keep), docs.columns)

@@ -24,7 +24,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regalign.llm.common import attach, binary_list, materialize, sampled, slices
+from regalign.llm.common import (
+    attach,
+    binary_list,
+    keyed,
+    materialize,
+    sampled,
+    scan,
+    slices,
+    unpack,
+    with_row_key,
+)
 from regalign.llm.components import components
 
 HASH_SEED = 42
@@ -57,18 +67,19 @@ def simhash(text: bytes, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) for every row; ``fp`` is the fingerprint's 64 bits as a signed long (null text: 0)."""
+def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``fp``, the fingerprint's 64 bits as a signed long (null text: 0), for the text."""
+    carried = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 fp = np.array([simhash(t, shingle) if t else 0 for t in binary_list(part.column("text"))],
                               dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], pa.array(fp.view(np.int64))],
+                                                 [*carried, "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.mapInArrow(run, docs.select(*carried).schema.add("fp", "long"))
 
 
 def subspaces(max_bits: int, blocks: int) -> tuple[list[int], int]:
@@ -230,9 +241,18 @@ def near_pairs(fps: DataFrame, max_bits: int = 4, blocks: int | None = None, lea
     return search(at, max_bits)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None,
-                    id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, cell: int = CELL) -> DataFrame:
-    """(doc_id, fp, component_id, fingerprint) for every row of ``docs``.
+def groups(fps: DataFrame, max_bits: int, blocks: int | None, leaf: int, cell: int) -> DataFrame:
+    """(fp, root, first, n) per distinct fingerprint: the root of its component, its smallest id and its rows."""
+    each = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")),
+                       "fingerprints")
+    roots = components(near_pairs(each, max_bits, blocks, leaf, cell)).withColumnRenamed("node", "fp")
+    return each.join(roots, "fp", "left").withColumn("linked", F.col("root").isNotNull()).withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None, leaf: int = LEAF,
+                    cell: int = CELL) -> DataFrame:
+    """(doc_id, fp, component_id, fingerprint) for every row of ``docs`` (doc_id, text).
 
     Two rows are linked if their fingerprints differ in at most ``max_bits`` bits; ``component_id``
     is the smallest id reachable.  Equal fingerprints are searched once.  Null, empty and blank
@@ -240,16 +260,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks
     id is null in the result and counts as an id only if a whole component has no other.  An
     empty table gives no rows; other columns of ``docs`` are not read.
     """
-    fps = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    each = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")),
-                       "fingerprints")
-    roots = components(near_pairs(each, max_bits, blocks, leaf, cell)).withColumnRenamed("node", "fp")
-    # per fingerprint that has a link: the smallest id of its component
-    linked_fps = each.join(roots, "fp")
-    smallest = linked_fps.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked_fps = linked_fps.join(smallest, "root").select("fp", "component_id")
-    shared = each.join(linked_fps, "fp", "left").where((F.col("n") > 1) | F.col("component_id").isNotNull()).select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"))
-    out = attach(fps, materialize(shared, "shared"), ["fp"], salts=8).withColumn(
-        "component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "fp", "component_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    fps = materialize(fingerprints(docs, shingle), "simhash")
+    each = materialize(groups(fps, max_bits, blocks, leaf, cell), "groups")
+    # a fingerprint that is neither linked nor shared is its own component
+    shared = each.where(F.col("linked") | (F.col("n") > 1))
+    smallest = shared.groupBy("root").agg(F.min("first").alias("component_id"))
+    ids = shared.join(smallest, "root").select("fp", "component_id")
+    out = attach(fps, materialize(ids, "shared"), ["fp"], salts=8)
+    return out.select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"),
+                      F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int | None = None, leaf: int = LEAF,
+                cell: int = CELL) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without all but one of each near-duplicate component.
+
+    The row with the smallest id stays (null ids last; of equal ids the first by file and place).
+    Only the rows that go are listed, and only their keys meet the texts again.
+    """
+    docs = scan(docs)
+    texts = keyed(docs, [F.col("doc_id").cast("long").alias("doc_id"), "text"])
+    fps = materialize(fingerprints(texts, shingle), "simhash")
+    each = groups(fps, max_bits, blocks, leaf, cell)
+    shared = materialize(each.where(F.col("linked") | (F.col("n") > 1)).select("fp", "root"), "shared")
+    rows = materialize(attach(fps, shared, ["fp"], how="inner", salts=8).select("root", "doc_id", "_f", "_r"), "members")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_f", "_r")
+    stays = rows.groupBy("root").agg(F.min(place).alias("x")).select(
+        F.col("x._f").alias("_f"), F.col("x._r").alias("_r"), F.lit(True).alias("stays"))
+    goes = attach(rows.select("_f", "_r"), stays, ["_f", "_r"], salts=1).where(F.col("stays").isNull())
+    goes = materialize(goes.select("_f", "_r", F.lit(True).alias("_gone")), "gone")
+    kept = attach(with_row_key(docs), goes, ["_f", "_r"], salts=1).where(F.col("_gone").isNull())
+    return unpack(kept, docs.columns)
