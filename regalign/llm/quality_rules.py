@@ -138,8 +138,13 @@ def grow(x: np.ndarray, y: np.ndarray, names: list[str], cuts: list[np.ndarray],
                     best = (gain[k], (name, op, float(cuts[j][k])))
         if best is None or best[0] <= 1e-9:
             break
-        tests.append(best[1])
-        on &= Rule((best[1],), 0).mask(x, names)
+        name, op, cut = best[1]
+        v = x[on, names.index(name)]
+        low, high = v[v <= cut], v[v > cut]
+        if len(low) and len(high):  # halfway between the rows on either side
+            cut = float((low.max() + high.min()) / 2)
+        tests.append((name, op, cut))
+        on &= Rule(((name, op, cut),), 0).mask(x, names)
     return tests
 
 
