@@ -31,7 +31,7 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CONTEXT = 8           # words on either side of an entity
 MIN_CONTEXTS = 3      # distinct contexts of an entity that a term must occur in
 GENERALISE, REMOVE = 0.5, 0.8
-PASSAGE = 0.25        # share of revealing words from which the contexts of an entity are one passage
+RECURS, PASSAGE = 0.2, 0.5  # words in this share of an entity's contexts; their share of all words that tells a passage
 TAGS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "generalise": "<TERM>", "remove": ""}
 
 
@@ -87,19 +87,22 @@ def disclosures(texts: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTE
                 most: float = PASSAGE) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity at least as strongly as ``generalise``.
 
-    Contexts that are word for word the same (copies of a text or passage) count once.  Where
-    revealing terms make up more than ``most`` of the words around an entity, its contexts are
-    edited copies of one passage, which says nothing about single terms, and it is left out.  The
-    document frequency of the candidate terms is counted over all texts.
+    Contexts that are word for word the same (copies of a text or passage) count once.  Where words
+    that recur in a fifth of an entity's contexts make up more than ``most`` of all words there, the
+    contexts are edited copies of a few passages, which says nothing about single terms, and the
+    entity is left out.  The document frequency of the other candidates is counted over all texts.
     """
     around = base.select(entity(F.col("kind"), F.col("value")).alias("entity"), F.concat("left", "right").alias("words"))
     around = around.distinct().select("entity", F.array_distinct(F.filter(
         F.transform("words", term), lambda t: F.length(t) >= 3)).alias("terms"))
-    words_of = around.groupBy("entity").agg(F.sum(F.size("terms")).alias("all"))
-    sizes = around.groupBy("entity").agg(F.count(F.lit(1)).alias("nc")).where(F.col("nc") >= min_contexts)
+    sizes = around.groupBy("entity").agg(F.count(F.lit(1)).alias("nc"), F.sum(F.size("terms")).alias("words")).where(
+        F.col("nc") >= min_contexts)
     pairs = around.select("entity", F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
     pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("nct")).where(F.col("nct") >= min_contexts)
     pairs = materialize(pairs.join(sizes, "entity"), "pairs")
+    often = F.sum(F.when(F.col("nct") >= F.lit(RECURS) * F.col("nc"), F.col("nct")).otherwise(0))
+    passage = pairs.groupBy("entity").agg((often > F.lit(most) * F.first("words")).alias("passage")).where("passage")
+    pairs = materialize(pairs.join(passage, "entity", "left_anti"), "pairs")
     # letters only inside a word: what term() leaves; one row per document and term
     words = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
     corpus = texts.select(words.alias("words")).select(F.explode_outer(F.array_distinct("words")).alias("word"))
@@ -110,11 +113,7 @@ def disclosures(texts: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTE
     total = F.lit(float(max(n, 1)))
     pmi = F.log(total * F.col("nct") / (F.col("nc") * F.greatest("nt", "nct")))
     share = F.try_divide(pmi, F.log(total / F.col("nc")))
-    found = materialize(pairs.join(nt, "term").select("entity", "term", "nct", share.alias("disclosure")).where(
-        F.col("disclosure") >= generalise), "revealing")
-    passage = attach(words_of, found.groupBy("entity").agg(F.sum("nct").alias("revealing")), ["entity"], how="inner")
-    passage = passage.where(F.col("revealing") <= F.lit(most) * F.col("all")).select("entity")
-    return attach(found, passage, ["entity"], how="inner").select("entity", "term", "disclosure")
+    return pairs.join(nt, "term").select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= generalise)
 
 
 def entity(kind: Column, value: Column) -> Column:
