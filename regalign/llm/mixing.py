@@ -114,16 +114,13 @@ class Mix:
         targets = materialize(source_targets(sizes, weights, share), "targets")
         duals = tilts(sizes, targets).withColumnRenamed("source", "_s")
         self.plan = materialize(targets.join(duals, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
-        self.bins = self.levels = None
+        self.steps: list[DataFrame] = []
         self.fills: list[DataFrame] = []
         rows = materialize(self._rated(sizes).select("source", "size", "target", "rate", "whole", "level", "bin"), "rates")
-        sure = rows.groupBy("source").agg(F.first("target").alias("need"), F.sum(F.col("whole") * F.col("size")).alias("sure"))
-        need = sure.select("source", (F.col("need") - F.col("sure")).alias("need"))
-        # two passes: the bin in which the source's words pass the target, then the level inside it
-        self.bins = materialize(_cut(rows, "bin", need), "bins")
-        inside = attach(rows, self.bins.select("source", "cut_bin"), ["source"], how="inner").where("bin = cut_bin")
-        self.levels = materialize(_cut(inside, "level", self.bins.select("source", "need")).drop("need"), "levels")
-        self._fill(rows)
+        for _ in range(2):  # then once more among the documents that still fit
+            self._round_up(rows)
+        for _ in range(2):
+            self._fill(rows)
 
     def _rated(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the rate, its whole part, and the place in the order of rounding up."""
@@ -140,53 +137,64 @@ class Mix:
 
     def _copied(self, rows: DataFrame) -> DataFrame:
         """Rated rows with ``copies``."""
-        rows = attach(rows, self.bins.select("source", "cut_bin"), ["source"])
-        rows = attach(rows, self.levels, ["source"])
-        below = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(
-            F.col("level") < F.col("cut_level"), F.lit(True)))
-        # no cut: the source never passes its target, so everything rounds up
-        up = (F.col("whole") < MAX_COPIES) & F.when(F.col("cut_bin").isNull(), F.col("rate") > F.col("whole")).otherwise(below)
-        rows = rows.withColumn("copies", (F.col("whole") + F.when(up, 1).otherwise(0)).cast("int"))
+        rows = rows.withColumn("up", F.lit(False))
+        for step in self.steps:
+            rows = attach(rows, step, ["source"])
+            # no cut: the source never passes its target, so all that fits rounds up
+            below = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")) | (
+                (F.col("bin") == F.col("cut_bin")) & F.coalesce(F.col("level") < F.col("cut_level"), F.lit(True)))
+            rows = rows.withColumn("up", F.col("up") | (_fits(F.col("limit")) & below)).drop("limit", "cut_bin", "cut_level")
+        rows = rows.withColumn("copies", (F.col("whole") + F.when(F.col("up"), 1).otherwise(0)).cast("int"))
         for best in self.fills:
             rows = attach(rows, best, ["source"])
             more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
             rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
         return rows
 
-    def _fill(self, rows: DataFrame, turns: int = 3) -> None:
-        """Fill the words each source still lacks with single documents.
+    def _lacking(self, now: DataFrame) -> DataFrame:
+        """(source, need): the words each source still lacks."""
+        lack = F.first("target") - F.sum(F.col("copies") * F.col("size"))
+        return materialize(now.groupBy("source").agg(lack.alias("need")).where("need >= 1"), "need")
 
-        The threshold stops before the document that would pass the target, up to one document's
-        words short.  Each turn gives one more copy to the source's largest document that still
-        fits and has a copy left (lowest level first; rows equal in all go together).
+    def _round_up(self, rows: DataFrame) -> None:
+        """Round documents up in the order of their levels until the next one that fits would pass the target.
+
+        Two passes find the place: the bin in which the words pass the target, then the level inside.
         """
-        need = None
-        for _ in range(turns):
-            now = self._copied(rows)
-            if need is None:
-                need = materialize(now.groupBy("source").agg(
-                    (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("need")).where("need >= 1"), "need")
-            fits = attach(now, need, ["source"], how="inner").where(
-                (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
-            best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"),
-                                              F.first("need").alias("need"))
-            best = materialize(best.select(
-                "source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level"),
-                (F.col("need") - F.col("x.size")).alias("need")), "fill")
-            self.fills.append(best.drop("need"))
-            need = best.select("source", "need")
+        now = self._copied(rows)
+        need = self._lacking(now)
+        left = attach(now.where(~F.col("up")), need.withColumnRenamed("need", "limit"), ["source"], how="inner").where(
+            _fits(F.col("limit")))
+        bins = materialize(_cut(left, "bin", need), "bins")
+        inside = attach(left, bins.select("source", "cut_bin"), ["source"], how="inner").where("bin = cut_bin")
+        levels = _cut(inside, "level", bins.select("source", "need")).drop("need")
+        step = attach(attach(need.withColumnRenamed("need", "limit"), bins.drop("need"), ["source"]), levels, ["source"])
+        self.steps.append(materialize(step, "step"))
+
+    def _fill(self, rows: DataFrame) -> None:
+        """One more copy of the source's largest document that still fits and has a copy left (lowest level first)."""
+        now = self._copied(rows)
+        fits = attach(now, self._lacking(now), ["source"], how="inner").where(
+            (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
+        best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"))
+        self.fills.append(materialize(best.select(
+            "source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level")), "fill"))
 
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` (doc_id, source, size, ...) with source_size, target, rate, copies and taken."""
         return self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size")).drop(
-            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "cut_bin", "cut_level")
+            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "up")
+
+
+def _fits(limit: Column) -> Column:
+    """Whether a document that isn't a whole number of copies may be rounded up within ``limit`` words."""
+    return (F.col("rate") > F.col("whole")) & (F.col("whole") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= limit)
 
 
 def _cut(rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
     """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
     order = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
-    up = F.when(F.col("whole") < MAX_COPIES, F.col("size")).otherwise(0)
-    sums = attach(rows.groupBy("source", by).agg(F.sum(up).alias("words")), need, ["source"], how="inner")
+    sums = attach(rows.groupBy("source", by).agg(F.sum("size").alias("words")), need, ["source"], how="inner")
     sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
     over = sums.where(F.col("before") + F.col("words") > F.col("need"))
     first = over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x"))
