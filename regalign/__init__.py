@@ -6,7 +6,6 @@ Sub-packages:
              upsert and time travel, model training and evaluation)
   sources    delimited-file scans and the registry table layout
   plans      end-to-end pipeline and the driver query catalogue
-  streaming  micro-batch adapter for the upsert
 """
 
 __version__ = "0.1.0"

@@ -8,21 +8,25 @@ character of ``b``; every character ``x`` of ``a`` updates it with
 where ``M[x]`` has the bits of the positions of ``x`` in ``b``.  The LCS length is the
 number of zero bits among the low ``len(b)`` bits of ``V`` (Allison & Dix 1986,
 Crochemore et al. 2001, Hyyrö 2004).  Carries and borrows only move upwards, so the
-low bits are exact under 64-bit wrap-around and ``len(b)`` may be up to 64.
+low bits are exact under 64-bit wrap-around; a longer ``b`` takes several words and the
+carry of the addition goes from word to word.
 
-``lcs_lengths`` vectorises this over a whole Arrow batch with numpy: one pass over the
-character positions of the batch, not a Python loop over rows, for any Unicode text.
-Only pairs where neither string fits in 64 characters take the same recurrence on
-Python integers (arbitrary width).
+``lcs_lengths`` vectorises this over an Arrow batch with numpy, for any Unicode text: one pass
+over the character positions, not a Python loop over rows.  The batch is taken in pieces of
+similar length whose tables stay within a fixed number of bytes, so neither a large alphabet
+nor one long string multiplies the memory of the whole batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 _WORD = 64
+CHUNK_BYTES = 16 << 20  # working tables of one piece of a batch
 
 
 def lcs_python(a: str, b: str) -> int:
@@ -69,6 +73,31 @@ def _padded_codes(starts: np.ndarray, lens: np.ndarray, flat: np.ndarray, width:
     return np.where(valid, flat[np.minimum(idx, len(flat) - 1)], -1)
 
 
+def _chunks(p_len: np.ndarray, t_len: np.ndarray, letters: int) -> Iterator[np.ndarray]:
+    """Rows in pieces of similar length whose tables stay within CHUNK_BYTES (a longer row is a piece of its own).
+
+    A row costs its padded code points and, per distinct character, a mask of one bit per pattern
+    character; within a piece every row is as wide as the widest.
+    """
+    order = np.lexsort((p_len, t_len))
+    at = 0
+    while at < len(order):
+        first = order[at]
+        end, room = at, CHUNK_BYTES
+        wide_t, wide_p = int(t_len[first]), int(p_len[first])
+        while end < len(order):
+            i = order[end]
+            wide_t, wide_p = max(wide_t, int(t_len[i])), max(wide_p, int(p_len[i]))
+            rows = end - at + 1
+            k = min(letters, rows * wide_p) + 1
+            cost = rows * (24 * (wide_t + wide_p) + 8 * k * -(-wide_p // _WORD))
+            if rows > 1 and (cost > room or wide_t > 2 * max(8, int(t_len[first]))):
+                break
+            end += 1
+        yield order[at:end]
+        at = end
+
+
 def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
     """LCS length of each pair ``(a[i], b[i])`` as int64 (null counts as "")."""
     n = len(a)
@@ -83,17 +112,13 @@ def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
     swap = lb > la
     ps, pl = np.where(swap, sa, sb), np.where(swap, la, lb)
     ts, tl = np.where(swap, sb, sa), np.where(swap, lb, la)
-    fast = (pl <= _WORD) & (pl > 0)
-    idx = np.nonzero(fast)[0]
-    if len(idx):
+    some = np.nonzero(pl > 0)[0]
+    letters = len(np.unique(flat)) if len(some) else 0
+    for part in _chunks(pl[some], tl[some], letters):
+        idx = some[part]
         p_codes = _padded_codes(ps[idx], pl[idx], flat, int(pl[idx].max()))
         t_codes = _padded_codes(ts[idx], tl[idx], flat, int(tl[idx].max()))
-        out[idx] = _lcs_fast(p_codes, t_codes, pl[idx])
-    slow = np.nonzero(~fast & (pl > 0))[0]
-    if len(slow):
-        a_list, b_list = a.to_pylist(), b.to_pylist()
-        for i in slow:
-            out[i] = lcs_python(a_list[i] or "", b_list[i] or "")
+        out[idx] = _lcs_words(p_codes, t_codes, pl[idx])
     return out
 
 
@@ -110,22 +135,37 @@ def _alphabet_columns(codes: np.ndarray, used: np.ndarray) -> np.ndarray:
     return np.where(hit, pos, k)
 
 
-def _lcs_fast(p_codes: np.ndarray, t_codes: np.ndarray, pl: np.ndarray) -> np.ndarray:
+def _lcs_words(p_codes: np.ndarray, t_codes: np.ndarray, pl: np.ndarray) -> np.ndarray:
     m, width_p = p_codes.shape
+    n_words = -(-width_p // _WORD)
     rows = np.arange(m)
     # compact alphabet: characters of the patterns get columns 0..k-1; anything else the
     # all-zero column k, which leaves V unchanged (so does the -1 padding)
     used = np.unique(p_codes[p_codes >= 0])
-    masks = np.zeros((m, len(used) + 1), dtype=np.uint64)
+    masks = np.zeros((n_words, m, len(used) + 1), dtype=np.uint64)
     p_cols = _alphabet_columns(p_codes, used)
     one = np.uint64(1)
     for j in range(width_p):
         ok = p_codes[:, j] >= 0
-        masks[rows[ok], p_cols[ok, j]] |= one << np.uint64(j)
+        masks[j // _WORD, rows[ok], p_cols[ok, j]] |= one << np.uint64(j % _WORD)
     t_cols = _alphabet_columns(t_codes, used)
-    v = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64)
+    v = np.full((n_words, m), np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(t_codes.shape[1]):
-        u = v & masks[rows, t_cols[:, i]]
-        v = (v + u) | (v - u)
-    low = np.where(pl >= 64, np.iinfo(np.uint64).max, (one << np.minimum(pl, 63).astype(np.uint64)) - one)
-    return pl - np.bitwise_count(v & low).astype(np.int64)
+        carry = None
+        col = t_cols[:, i]
+        for w in range(n_words):
+            u = v[w] & masks[w, rows, col]
+            total = v[w] + u
+            if n_words > 1:  # the carry of the addition goes to the next word
+                over = total < u
+                if carry is not None:
+                    total = total + carry
+                    over |= total < carry
+                carry = over.astype(np.uint64)
+            v[w] = total | (v[w] & ~u)
+    left = np.zeros(m, dtype=np.int64)
+    for w in range(n_words):
+        bits = np.clip(pl - w * _WORD, 0, _WORD)
+        low = np.where(bits >= _WORD, np.iinfo(np.uint64).max, (one << np.minimum(bits, 63).astype(np.uint64)) - one)
+        left += np.bitwise_count(v[w] & low).astype(np.int64)
+    return pl - left

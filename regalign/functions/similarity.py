@@ -24,23 +24,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regalign.functions.lcs import lcs_lengths
+from regalign.functions.text import WORD_CHARS
 from regalign.session import parallelism
 
 DEFAULT_WEIGHTS = (0.3, 0.4, 0.3)
 
-_FLAGS = "(?U)"
-
 
 def processed(name: Column) -> Column:
     """Token processing: drop U+0080..U+00FF, non-word -> space, lower-case, strip."""
     out = F.regexp_replace(F.coalesce(name, F.lit("")), "[\\x{80}-\\x{FF}]", "")
-    out = F.regexp_replace(out, _FLAGS + r"\W", " ")
+    out = F.regexp_replace(out, f"[^{WORD_CHARS}]", " ")
     return F.trim(F.lower(out))
 
 
@@ -86,14 +86,48 @@ _PAIR_INPUTS = (("_a", "_b"), ("_sa", "_sb"), ("_ca", "_cb"))
 _KERNEL_ONLY = ("_sa", "_sb", "_ca", "_cb")
 
 
-def _lcs_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = batch.schema.names
-        lcs = [pa.array(lcs_lengths(batch.column(names.index(xa)), batch.column(names.index(xb))), type=pa.int64())
-               for xa, xb in _PAIR_INPUTS]
-        keep = [i for i, n in enumerate(names) if n not in _KERNEL_ONLY]
-        yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + lcs,
-                                         names=[names[i] for i in keep] + list(_LCS_COLS))
+def _upper(lx: np.ndarray, ly: np.ndarray, lcs: np.ndarray | None = None) -> np.ndarray:
+    """Largest percentage the ratio of two strings can round to, from their lengths and their LCS if known."""
+    total = np.maximum(lx + ly, 1)
+    best = np.minimum(lx, ly) if lcs is None else lcs
+    return np.where((lx + ly) == 0, 100.0, np.minimum(100.0, 200.0 * best / total + 0.5))
+
+
+def _kernel(threshold: float | None, weights: tuple[float, float, float]):
+    """The Arrow step: adds the three LCS lengths and, with a threshold, leaves out the pairs that can't reach it.
+
+    The parts are worked out one after the other, and after each a pair goes whose score is below
+    the threshold even if the parts still missing were as large as the lengths allow.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[np.ndarray] = []
+            sizes = ("r", "s", "c")
+            for step in range(3):
+                at = batch.schema.names
+                if threshold is not None and batch.num_rows:
+                    best = np.zeros(batch.num_rows)
+                    for i, tag in enumerate(sizes):
+                        lx, ly = (batch.column(at.index(f"_l{tag}{x}")).to_numpy(zero_copy_only=False).astype(np.int64)
+                                  for x in "xy")
+                        part = _upper(lx, ly, found[i] if i < step else None)
+                        if tag == "c":  # token_set also has the ratios of the common words with either side
+                            li = batch.column(at.index("_li")).to_numpy(zero_copy_only=False).astype(np.int64)
+                            part = np.maximum(part, np.maximum(_upper(li, lx, np.minimum(li, lx)),
+                                                               _upper(li, ly, np.minimum(li, ly))))
+                        best += weights[i] * part / 100.0
+                    keep = np.flatnonzero(best >= threshold - 1e-9)
+                    if len(keep) < batch.num_rows:
+                        batch = batch.take(pa.array(keep))
+                        found = [x[keep] for x in found]
+                xa, xb = _PAIR_INPUTS[step]
+                found.append(lcs_lengths(batch.column(at.index(xa)), batch.column(at.index(xb))))
+            names = [n for n in batch.schema.names if n not in _KERNEL_ONLY]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.names.index(n)) for n in names] + [pa.array(x, type=pa.int64()) for x in found],
+                names=names + list(_LCS_COLS))
+
+    return run
 
 
 def score_name_pairs(
@@ -103,6 +137,7 @@ def score_name_pairs(
     weights: tuple[float, float, float] = DEFAULT_WEIGHTS,
     keep: list[str] | None = None,
     respread: bool = True,
+    threshold: float | None = None,
 ) -> DataFrame:
     """Score pairs of names.
 
@@ -115,6 +150,9 @@ def score_name_pairs(
     ``respread``: hash-spread the pairs over the cluster first (scoring is CPU-bound).
     Pass False when the pairs already come out of a join spread over enough partitions,
     which saves shuffling the pairs.
+
+    ``threshold``: return the pairs that score at least that much; the others are dropped inside
+    the kernel as soon as their bounds show it.
     """
     l, r = left, right
     if respread:
@@ -148,7 +186,8 @@ def score_name_pairs(
     )
     out_fields = [f for f in prepared.schema.fields if f.name not in _KERNEL_ONLY]
     out_schema = T.StructType(out_fields + [T.StructField(c, T.LongType(), False) for c in _LCS_COLS])
-    with_lcs = prepared.mapInArrow(_lcs_batches, out_schema)
+    bounded = threshold is not None and min(weights) >= 0
+    with_lcs = prepared.mapInArrow(_kernel(float(threshold) if bounded else None, tuple(map(float, weights))), out_schema)
 
     c = F.col
     r_raw = ratio_from_sizes(c("_lrx"), c("_lry"), c("_er"), c("_lcs_raw"))
@@ -171,7 +210,8 @@ def score_name_pairs(
         + c("token_set") / F.lit(100.0) * F.lit(w_t)
     )
     empty = (c(f"{l}_name") == "") | (c(f"{r}_name") == "")
-    return scored.withColumn("similarity_score", F.when(empty, F.lit(0.0)).otherwise(sim))
+    scored = scored.withColumn("similarity_score", F.when(empty, F.lit(0.0)).otherwise(sim))
+    return scored if threshold is None else scored.where(F.col("similarity_score") >= F.lit(float(threshold)))
 
 
 def similarity_frame(df: DataFrame, a: str, b: str, weights=DEFAULT_WEIGHTS) -> DataFrame:

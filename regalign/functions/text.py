@@ -25,9 +25,12 @@ SUFFIX_PATTERNS = [
     r"\s+company$",
 ]
 
-# Java regex flags: (?U) makes \w and \s Unicode-aware (as in Python 3 `re`),
-# (?d) makes `$` treat only "\n" as a line terminator (as Python does).
+# Java regex flags: (?U) makes \s Unicode-aware, (?d) makes `$` treat only "\n" as a line end.
 _FLAGS = "(?U)(?d)"
+# Letters, numbers of any kind and the underscore are word characters; combining marks, joiners and
+# other connectors are not.  The separators U+001C-U+001F count as white space.
+WORD_CHARS = r"\p{L}\p{N}_"
+SPACE = r"[\s\x1c-\x1f]"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -41,16 +44,16 @@ def normalize_name(name: ColumnOrName) -> Column:
     """
     out = F.lower(_col(name))
     for pattern in SUFFIX_PATTERNS:
-        out = F.regexp_replace(out, _FLAGS + pattern, "")
-    out = F.regexp_replace(out, _FLAGS + r"[^\w\s]", " ")
-    out = F.regexp_replace(out, _FLAGS + r"\s+", " ")
-    out = F.regexp_replace(out, _FLAGS + r"^\s+|\s+$", "")
+        out = F.regexp_replace(out, _FLAGS + pattern.replace(r"\s", SPACE), "")
+    out = F.regexp_replace(out, f"{_FLAGS}[^{WORD_CHARS}{SPACE[1:]}", " ")
+    out = F.regexp_replace(out, f"{_FLAGS}{SPACE}+", " ")
+    out = F.regexp_replace(out, f"{_FLAGS}^{SPACE}+|{SPACE}+$", "")
     return F.coalesce(out, F.lit(""))
 
 
 def strip_ws(c: ColumnOrName) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(c), _FLAGS + r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), f"{_FLAGS}^{SPACE}+|{SPACE}+$", "")
 
 
 def extract_city(address: ColumnOrName) -> Column:

@@ -6,7 +6,7 @@ in, 10^12 pairs out) is invisible to that rule, and one task would produce all o
 
 ``balanced_join`` counts rows per key on both sides (partial aggregates) and spreads every
 key whose pair count n_left * n_right exceeds ``max_pairs`` over an A x B grid of cells:
-a left row goes to row ``hash(left row) % A`` of the grid and is copied to its B cells, a
+a left row goes to row ``hash(left row) % A`` of the grid (give equal rows a row id to keep them apart) and is copied to its B cells, a
 right row goes to column ``hash(right row) % B`` and is copied to its A cells.  Each
 (left, right) pair meets in exactly one cell, so the result is the plain inner join;
 each cell holds about n_left/A * n_right/B pairs, and copies grow only with sqrt(pairs).
@@ -35,12 +35,13 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     lc = left_counts if left_counts is not None else left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
     rc = right_counts if right_counts is not None else right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
     work = lc.join(rc, keys).withColumn("_w", F.col("_nl").cast("double") * F.col("_nr").cast("double"))
-    side = F.ceil(F.sqrt(F.col("_w") / F.lit(float(max_pairs))))
-    return work.where(F.col("_w") > F.lit(float(max_pairs))).select(
-        *keys,
-        F.least(side, F.col("_nl")).cast("int").alias("_ga"),
-        F.least(side, F.col("_nr")).cast("int").alias("_gb"),
-    )
+    budget = F.lit(float(max_pairs))
+    # about square, but a side has at most as many cells as rows, and what one side can't be cut
+    # into is made up on the other
+    first = F.least(F.ceil(F.sqrt(F.col("_w") / budget)), F.col("_nr"))
+    ga = F.least(F.ceil(F.col("_w") / (budget * first)), F.col("_nl"))
+    gb = F.least(F.ceil(F.col("_w") / (budget * ga)), F.col("_nr"))
+    return work.where(F.col("_w") > budget).select(*keys, ga.cast("int").alias("_ga"), gb.cast("int").alias("_gb"))
 
 
 def pair_budget(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], max_pairs: int,
@@ -100,8 +101,3 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
         lg = lg.repartition(num_partitions, *on)
         rg = rg.repartition(num_partitions, *on)
     return lg.join(rg, on, "inner").drop("_ca", "_cb")
-
-
-def grid_side(pairs: float, max_pairs: int) -> int:
-    """Grid side used for a key with ``pairs`` pairs (for docs and tests)."""
-    return max(1, math.ceil(math.sqrt(pairs / max_pairs)))

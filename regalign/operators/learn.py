@@ -52,7 +52,8 @@ def hash_split_flag(key, test_fraction: float = 0.2, seed: int = 42):
 
 
 def hash_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    flag = hash_split_flag(key, test_fraction, seed)
+    """(train, test); together they are ``df``: a row without a key goes to train."""
+    flag = F.coalesce(hash_split_flag(key, test_fraction, seed), F.lit(False))
     return df.where(~flag), df.where(flag)
 
 
@@ -128,14 +129,14 @@ def auc_roc(pred: DataFrame, label: str = TARGET, score_col: str = "p1") -> Data
     """Exact area under the ROC curve (one row ``auc``): P(score+ > score-) + P(tie)/2.
 
     Grouped by distinct score, then the count of negatives below each score comes from a
-    distributed prefix sum.
+    distributed prefix sum.  Null when a class is missing.  Products are formed as doubles: with
+    billions of rows per class they don't fit a long.
     """
     by_score = pred.groupBy(F.col(score_col).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
     cum = prefix_sums_global(by_score, ["_s"], ["_neg"])
-    return cum.agg(
-        ((F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") * F.lit(0.5))))
-         / (F.sum("_pos") * F.sum("_neg"))).alias("auc"))
+    wins = F.sum(F.col("_pos").cast("double") * (F.col("_neg_before").cast("double") + F.col("_neg") * F.lit(0.5)))
+    return cum.agg(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg").cast("double")).alias("auc"))
 
 
 def evaluate(pred: DataFrame, label: str = TARGET, prediction: str = "prediction", score_col: str = "p1") -> DataFrame:

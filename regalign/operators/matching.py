@@ -6,12 +6,11 @@ Plan shape (see README "Matching at scale"):
    expressions, no UDF).
 2. ``distinct_names`` reduces each side to its distinct normalised names (partial
    aggregation before the shuffle), with per-name token features computed once.
-3. ``candidate_pairs`` joins the two name tables on the block key *and* a length band:
-   a pair can only reach the threshold if its lengths are close enough, so the left side
-   lists the lengths it can match and the join key is ``(block, length)``.  Pairs that
-   cannot pass are never produced.  Empty names are dropped (they score 0).
+3. ``candidate_pairs`` joins the two name tables on the block key *and* a length class:
+   a pair can only reach the threshold if its lengths are close enough.  Pairs that cannot
+   pass are never produced.  Empty names are dropped (they score 0).
 4. ``score_pairs`` scores candidate name pairs (LCS kernel over Arrow batches) and
-   keeps those at or above the threshold.
+   returns only those at or above the threshold.
 5. ``assign_ids`` ranks the matched left names with the distributed dense rank.
 6. ``harmonize`` joins matched names back to rows (equi-joins on the name), adds the
    unmatched left rows with ids after the matched ones, and unions both.
@@ -19,6 +18,7 @@ Plan shape (see README "Matching at scale"):
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -42,23 +42,6 @@ class MatchConfig:
     null_list_size: int | None = -1
 
 
-HARMONIZED_COLUMNS = [
-    "corporate_id",
-    "corporate_name",
-    "normalized_name",
-    "address",
-    "activity_places",
-    "top_suppliers",
-    "supplier_count",
-    "main_customers",
-    "customer_count",
-    "revenue",
-    "profit",
-    "similarity_score",
-    "harmonization_timestamp",
-]
-
-
 def prepare_left(df: DataFrame, name: str = "corporate_name_s1", address: str = "address",
                  suppliers: str = "top_suppliers", cfg: MatchConfig = MatchConfig()) -> DataFrame:
     return (
@@ -75,6 +58,18 @@ def prepare_right(df: DataFrame, name: str = "corporate_name_s2", customers: str
     )
 
 
+ROW_ID = "_row_id"
+
+
+def with_row_id(prepared: DataFrame, name: str) -> DataFrame:
+    """``prepared`` written once to the shared folder with a row id.
+
+    The id is fixed by the write.  It tells equal rows apart, so that copies of a row spread over
+    the cells of a balanced join and over the ranges of a ranking.
+    """
+    return materialize(prepared.withColumn(ROW_ID, F.monotonically_increasing_id()), name)
+
+
 def distinct_names(prepared: DataFrame, prefix: str, block_chars: int = 3, name_col: str = "normalized_name",
                    materialize: bool = False) -> DataFrame:
     """Distinct non-empty names of one side with block key, row count and token features.
@@ -111,22 +106,22 @@ def length_factor(threshold: float, weights=DEFAULT_WEIGHTS) -> float | None:
     return (2.0 - c) / c * (1 + 1e-12)
 
 
-MAX_BAND_FACTOR = 4.0
 # grid cells per scoring task when the candidate join is spread over the cluster: with
 # several cells per task, hashing cells to tasks evens out the pair work
 CELLS_PER_TASK = 8
 
 
-def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float,
-                    weights=DEFAULT_WEIGHTS, use_length_band: bool = True,
-                    max_pairs_per_cell: int = DEFAULT_MAX_PAIRS, num_partitions: int | None = None) -> DataFrame:
-    """Blocked candidate name pairs: equal block key and (when it prunes) compatible length.
+def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float | None,
+                    weights=DEFAULT_WEIGHTS, max_pairs_per_cell: int = DEFAULT_MAX_PAIRS,
+                    num_partitions: int | None = None) -> DataFrame:
+    """Blocked name pairs that can reach ``threshold``; all pairs of a block without one.
 
-    Each name has two lengths: its own (for ``ratio``) and that of its sorted token string
-    (for ``token_sort``, never longer).  The left side lists every length in
-    ``[sorted_len / f, len * f]``, the right side every length in ``[sorted_len, len]``
-    (one value for plain ASCII names); the pair is kept once, at the smallest shared
-    length, so no distinct is needed afterwards.
+    For a plan that ends in the threshold filter.  Each name has two lengths: its own (for
+    ``ratio``) and that of its sorted token string (for ``token_sort``, never longer).  A left
+    name can match lengths in ``[sorted_len / f, len * f]``, a right name has those in
+    ``[sorted_len, len]``.  The join key is the block and a length class (powers of f, so a name
+    has two or three); the pair is kept once, in the smallest class both have, if the two ranges
+    meet.
 
     The join is a ``balanced_join``: a (block, length) key that would produce more than
     ``max_pairs_per_cell`` pairs is spread over a grid of tasks (a hot block is small in
@@ -138,27 +133,32 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     largest intermediate, are never shuffled.  The cell budget is then sized to the
     cluster (about ``CELLS_PER_TASK`` cells per task, never above ``max_pairs_per_cell``).
     """
-    f = length_factor(threshold, weights) if use_length_band else None
-    if f is not None and f > MAX_BAND_FACTOR:
-        f = None  # at low thresholds the band prunes little and each name would list many lengths
+    f = None if threshold is None else length_factor(threshold, weights)
     if f is None:
         out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"],
                             num_partitions=num_partitions, cells_per_partition=CELLS_PER_TASK)
         return out.withColumn("r_block", F.col("l_block"))
+    step = math.log(max(f, 1.25))
+
+    def length_class(n):
+        return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / F.lit(step)).cast("int")
+
     lo = F.ceil(F.length("l_sorted") / F.lit(f) - F.lit(1e-9)).cast("int")
     hi = F.floor(F.length("l_name") * F.lit(f) + F.lit(1e-9)).cast("int")
-    left = left_names.withColumn("_lo", lo).withColumn("_l_len", F.explode(F.sequence(lo, hi)))
-    right = right_names.withColumn(
-        "_r_len", F.explode(F.sequence(F.length("r_sorted"), F.length("r_name")))
-    ).withColumn("_rlo", F.length("r_sorted"))
+    left = left_names.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_lc", length_class(lo))
+    left = left.withColumn("_l_len", F.explode(F.sequence(F.col("_lc"), length_class(hi))))
+    right = right_names.withColumn("_rlo", F.length("r_sorted")).withColumn("_rhi", F.length("r_name")).withColumn(
+        "_rc", length_class(F.length("r_sorted")))
+    right = right.withColumn("_r_len", F.explode(F.sequence(F.col("_rc"), length_class(F.length("r_name")))))
     lc = left.groupBy("l_block", "_l_len").agg(F.count(F.lit(1)).alias("_nl"))
     rc = right.groupBy(F.col("r_block").alias("l_block"), F.col("_r_len").alias("_l_len")).agg(
         F.count(F.lit(1)).alias("_nr"))
     joined = balanced_join(left, right, ["l_block", "_l_len"], max_pairs_per_cell, right_keys=["r_block", "_r_len"],
                            left_counts=lc, right_counts=rc, num_partitions=num_partitions,
                            cells_per_partition=CELLS_PER_TASK)
-    return joined.where(F.col("_l_len") == F.greatest(F.col("_rlo"), F.col("_lo"))).withColumn(
-        "r_block", F.col("l_block")).drop("_lo", "_rlo", "_l_len")
+    meet = F.greatest("_lo", "_rlo") <= F.least("_hi", "_rhi")
+    return joined.where((F.col("_l_len") == F.greatest("_lc", "_rc")) & meet).withColumn(
+        "r_block", F.col("l_block")).drop("_lo", "_hi", "_lc", "_rlo", "_rhi", "_rc", "_l_len")
 
 
 def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_WEIGHTS,
@@ -168,19 +168,14 @@ def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_
     ``respread=False`` when the candidates already come out spread over the cluster
     (``candidate_pairs(..., num_partitions=n)``), so they are scored where they are made.
     """
-    scored = score_name_pairs(candidates, "l", "r", weights, respread=respread)
-    if threshold is not None:
-        scored = scored.where(F.col("similarity_score") >= F.lit(float(threshold)))
-    return scored
+    return score_name_pairs(candidates, "l", "r", weights, respread=respread, threshold=threshold)
 
 
-def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: MatchConfig = MatchConfig(),
-                  use_length_band: bool = True) -> DataFrame:
+def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """(l_name, r_name, similarity_score) for distinct name pairs at or above the threshold."""
     ln = distinct_names(left_prepared, "l", cfg.block_chars, materialize=True)
     rn = distinct_names(right_prepared, "r", cfg.block_chars, materialize=True)
-    cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, use_length_band,
-                            num_partitions=parallelism(left_prepared.sparkSession))
+    cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, num_partitions=parallelism(left_prepared.sparkSession))
     return score_pairs(cands, cfg.threshold, cfg.weights, respread=False).select(
         "l_name", "r_name", "similarity_score")
 
@@ -192,10 +187,14 @@ def assign_ids(names: DataFrame, name_col: str = "l_name", cfg: MatchConfig = Ma
     return ranked.withColumn(out, format_id("_id_rank", cfg.id_prefix, cfg.id_width))
 
 
-def unmatched_left(left_prepared: DataFrame, matched_raw_names: DataFrame, name: str = "corporate_name_s1") -> DataFrame:
-    """Left rows whose raw name is not among the matched raw names (null names are kept)."""
-    names = matched_raw_names.select(F.col(name).alias("_mn")).where(F.col("_mn").isNotNull()).distinct()
-    return left_prepared.join(names, left_prepared[name] == names["_mn"], "left_anti")
+def unmatched_left(left_prepared: DataFrame, matched_names: DataFrame) -> DataFrame:
+    """Left rows whose normalised name is not among ``matched_names`` (``l_name``, distinct).
+
+    Equal raw names have equal normalised names, so this is the anti join on the raw name, against
+    the small table of names; rows without a name never match and are kept.
+    """
+    names = matched_names.select(F.col("l_name").alias("_mn"))
+    return left_prepared.join(names, left_prepared["normalized_name"] == names["_mn"], "left_anti")
 
 
 def harmonize(
@@ -240,14 +239,12 @@ def harmonize(
     if not matches_materialized:
         matches = matches.checkpoint(eager=True)
     matched_names = matches.select("l_name").distinct()
-    # raw names of left rows whose normalised name matched; the rest are "unmatched"
-    matched_raw = left_prepared.join(matched_names.withColumnRenamed("l_name", "normalized_name"), "normalized_name")
-    rest = unmatched_left(left_prepared, matched_raw.select(left_name), left_name)
+    rest = unmatched_left(left_prepared, matched_names).drop("city")
     # One distributed numbering for both id ranges: matched names first (dense rank =
     # row number over distinct names), then the unmatched rows by raw name with tie-breaks.
     # The reference leaves one id unused between the two ranges (K8), hence the +1.
     tie = list(left_order or [c for c in ("address", "activity_places", "top_suppliers") if c in left_prepared.columns])
-    order_keys = [left_name] + tie
+    order_keys = [left_name] + tie + [c for c in (ROW_ID,) if c in left_prepared.columns]
     ranked_names = matched_names.select(F.lit(0).alias("_grp"), *[
         (F.col("l_name") if i == 0 else F.lit(None).cast("string")).alias(f"_k{i}") for i in range(len(order_keys))])
     ranked_rows = rest.select(F.lit(1).alias("_grp"), *[F.col(c).cast("string").alias(f"_k{i}")
@@ -358,8 +355,8 @@ def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = Match
                      collapsed: bool = False) -> DataFrame:
     """Prepare both sides, block, score, assign ids and harmonise (one row per id if ``collapsed``)."""
     # each prepared side is read by the name table, the anti join and the row-pair joins
-    lp = materialize(prepare_left(left, cfg=cfg), "left-prepared")
-    rp = materialize(prepare_right(right, cfg=cfg), "right-prepared")
+    lp = with_row_id(prepare_left(left, cfg=cfg), "left-prepared")
+    rp = with_row_id(prepare_right(right, cfg=cfg), "right-prepared")
     matches = matched_names(lp, rp, cfg)
     return harmonize(lp, rp, matches, cfg, ts, collapsed=collapsed)
 

@@ -22,14 +22,15 @@ def _latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Da
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, ts=None, stamp_col: str | None = "last_updated",
-                 check_cardinality: bool = False) -> DataFrame:
+                 check_cardinality: bool = True) -> DataFrame:
     """MERGE target USING source ON key: matched rows take the source values, new keys are
     inserted, target rows without a source row stay; nothing is deleted.
 
-    Planned as ``source UNION ALL (target LEFT ANTI JOIN source ON key)``.  With
-    ``stamp_col`` the source rows get that column set to the merge time.  With
-    ``check_cardinality`` a source key that occurs twice and hits a target row raises
-    (the MERGE cardinality rule); that check runs one aggregate job.
+    All columns of both sides are kept: a matched row keeps the target's value of a column the
+    source lacks, an inserted one has null there.  With ``stamp_col`` the source rows get that
+    column set to the merge time.  A source key that occurs twice and hits a target row raises
+    (the MERGE cardinality rule) unless ``check_cardinality`` is off; the check is one aggregate
+    job.  Null keys never match.  Planned as one full outer join on the key.
     """
     src = source
     if stamp_col is not None:
@@ -40,9 +41,21 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, ts=None, stamp_
         hits = dup.join(target.select(key), key, "left_semi").limit(1).count()
         if hits:
             raise ValueError(f"MERGE: a target row matches more than one source row on {key}")
-    kept = target.join(source.select(key).distinct(), key, "left_anti")
-    cols = src.columns
-    return src.unionByName(kept, allowMissingColumns=True).select(*cols)
+    cols = target.columns + [c for c in src.columns if c not in target.columns]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(key).alias(f"_k_{name}"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+    both = side(target, "_t").join(side(src, "_s"), F.col("_k__t") == F.col("_k__s"), "full_outer")
+
+    def value(c: str) -> Column:
+        if c not in src.columns:
+            return F.col(f"_t.`{c}`").alias(c)
+        if c not in target.columns:
+            return F.col(f"_s.`{c}`").alias(c)
+        return F.when(F.col("_s").isNotNull(), F.col(f"_s.`{c}`")).otherwise(F.col(f"_t.`{c}`")).alias(c)
+
+    return both.select(*[value(c) for c in cols])
 
 
 def merge_stats(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -113,12 +126,22 @@ def expire(changes: DataFrame, key: str, before, version_cols: list[str] | None
     return folded.select(*changes.columns).unionByName(recent)
 
 
-def compact(df: DataFrame, path: str, n_files: int, sort_key: str | list[str], mode: str = "errorifexists",
-            partition_by: list[str] | None = None) -> str:
-    """Rewrite into ``n_files`` range-partitioned files, sorted by ``sort_key``; returns ``path``.
+TARGET_FILE_BYTES = 128 << 20
+
+
+def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Files of about ``target_bytes`` for ``df``, from the size the optimizer knows of its plan."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // target_bytes))
+
+
+def compact(df: DataFrame, path: str, sort_key: str | list[str], target_bytes: int = TARGET_FILE_BYTES,
+            mode: str = "errorifexists", partition_by: list[str] | None = None) -> str:
+    """Rewrite into range-partitioned files of about ``target_bytes``, sorted by ``sort_key``; returns ``path``.
 
     Write to a new path (never the one being read), then switch readers to it.
     """
+    n_files = file_count(df, target_bytes)
     keys = [sort_key] if isinstance(sort_key, str) else list(sort_key)
     w = df.repartitionByRange(n_files, *keys).sortWithinPartitions(*keys).write.mode(mode).option(
         "compression", "snappy")
@@ -134,7 +157,8 @@ def register_updates(df: DataFrame, name: str = "harmonized_updates") -> str:
     return name
 
 
-def merge_sql(target_view: str, source_view: str, key: str) -> str:
-    """The MERGE upsert as one SQL query over two registered views (same plan as ``merge_upsert``)."""
-    return (f"SELECT * FROM {source_view} UNION ALL "
-            f"SELECT t.* FROM {target_view} t LEFT ANTI JOIN {source_view} s ON t.{key} = s.{key}")
+def merge_sql(target_view: str, source_view: str, key: str, columns: list[str]) -> str:
+    """The MERGE upsert of two views with the same ``columns`` (in any order) as one SQL query, by column name."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    return (f"SELECT {names} FROM {source_view} UNION ALL "
+            f"SELECT {names} FROM {target_view} t WHERE NOT EXISTS (SELECT 1 FROM {source_view} s WHERE s.`{key}` = t.`{key}`)")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regalign.functions.similarity import name_features, score_name_pairs
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
 from regalign.operators import learn, matching as M, quality, upsert
 from regalign.plans import views as V
@@ -22,17 +25,35 @@ FIXED_TS = "2024-01-01 00:00:00"
 
 # ------------------------------------------------------------------ matching
 class _Match:
-    """The matching plan over the driver views, built lazily (nothing runs until an action)."""
+    """The matching plan over the driver views.
+
+    Each part is built when first asked for.  The name tables read only the name column of the
+    views; the prepared rows are written (with row ids, without the city) only for the queries
+    that need whole rows.  Writing them and checkpointing the name tables are jobs of their own.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ensure_checkpoint_dir(spark)
-        # the prepared sides feed the name tables, the anti join and the row-pair joins:
-        # write them once instead of recomputing views and normalisation per consumer
-        self.left = materialize(M.prepare_left(V.supply_view(spark, sf_dir), cfg=CFG), "supply-prepared")
-        self.right = materialize(M.prepare_right(V.finance_view(spark, sf_dir), cfg=CFG), "finance-prepared")
-        # name tables are bounded by distinct names and feed several consumers: materialise once
-        self.ln = M.distinct_names(self.left, "l", CFG.block_chars, materialize=True)
-        self.rn = M.distinct_names(self.right, "r", CFG.block_chars, materialize=True)
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def left(self) -> DataFrame:
+        return M.with_row_id(M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG).drop("city"), "supply-prepared")
+
+    @cached_property
+    def right(self) -> DataFrame:
+        return M.with_row_id(M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG), "finance-prepared")
+
+    @cached_property
+    def ln(self) -> DataFrame:
+        # bounded by distinct names and read by several consumers
+        names = self.__dict__.get("left") or M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG)
+        return M.distinct_names(names.select("normalized_name"), "l", CFG.block_chars, materialize=True)
+
+    @cached_property
+    def rn(self) -> DataFrame:
+        names = self.__dict__.get("right") or M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG)
+        return M.distinct_names(names.select("normalized_name"), "r", CFG.block_chars, materialize=True)
 
     def candidates(self) -> DataFrame:
         # the small name tables are shuffled into one partition per core by (key, cell), so
@@ -40,15 +61,13 @@ class _Match:
         return M.candidate_pairs(self.ln, self.rn, CFG.threshold, CFG.weights,
                                  num_partitions=parallelism(self.ln.sparkSession))
 
-    def scored(self) -> DataFrame:
-        return M.score_pairs(self.candidates(), None, CFG.weights, respread=False)
-
     def matches(self) -> DataFrame:
-        return self.scored().where(F.col("similarity_score") >= CFG.threshold).select(
+        return M.score_pairs(self.candidates(), CFG.threshold, CFG.weights, respread=False).select(
             "l_name", "r_name", "similarity_score")
 
     def harmonized(self, ts=FIXED_TS, collapsed: bool = False, part: str = "all") -> DataFrame:
-        return M.harmonize(self.left, self.right, self.matches(), CFG, ts, collapsed=collapsed, part=part,
+        left, right = self.left, self.right  # before the name tables, which then read these
+        return M.harmonize(left, right, self.matches(), CFG, ts, collapsed=collapsed, part=part,
                            left_names=self.ln, right_names=self.rn)
 
 
@@ -119,12 +138,17 @@ def q_block_stats(spark, d):
     return M.block_stats(m.ln, m.rn)
 
 
-def q_candidate_pairs(spark, d):
-    return _Match(spark, d).candidates().select("l_name", "r_name", F.col("l_block").alias("block_key"))
-
-
 def q_name_similarity(spark, d):
-    return _Match(spark, d).scored().select("l_name", "r_name", "ratio", "token_sort", "token_set", "similarity_score")
+    """Each part's supply name against the finance name of its own (name, brand): one row per such part."""
+    part = V.table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+    own = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("k"))
+    own = part.join(own, ["p_name", "p_brand"]).select(F.col("p_partkey").alias("row_id"), "k")
+    left = V.supply_view(spark, d).select("row_id", normalize_name("corporate_name_s1").alias("l_name"))
+    right = V.finance_view(spark, d).select(F.col("row_id").alias("k"), normalize_name("corporate_name_s2").alias("r_name"))
+    pairs = left.join(own, "row_id").join(right, "k").select("row_id", "l_name", "r_name")
+    pairs = name_features(name_features(pairs, "l_name", "l"), "r_name", "r")
+    return score_name_pairs(pairs, "l", "r", CFG.weights, keep=["row_id"]).select(
+        "row_id", "l_name", "r_name", "ratio", "token_sort", "token_set", "similarity_score")
 
 
 def q_matches(spark, d):
@@ -189,12 +213,32 @@ def q_registry_count(spark, d):
 
 
 def q_csv_roundtrip(spark, d):
+    # every fourth name holds quotes and a comma
     path = scratch_path(spark, "finance-csv")
-    V.finance_view(spark, d).drop("row_id").write.option("header", "true").csv(path)
+    name = F.col("corporate_name_s2")
+    quoted = F.when(F.col("row_id") % 4 == 0, F.concat(F.lit('The "'), name, F.lit('", Inc'))).otherwise(name)
+    V.finance_view(spark, d).withColumn("corporate_name_s2", quoted).drop("row_id").write.option("header", "true").csv(path)
     back = delimited.with_lineage(delimited.read_delimited(spark, path, delimited.FINANCIAL_SCHEMA), "source2")
     return back.drop("ingestion_timestamp")
 
 
+def q_ingest_sources(spark, d):
+    """Both views through files: written as CSV, read with their schemas, validated, with lineage."""
+    s1, s2 = scratch_path(spark, "source1-csv"), scratch_path(spark, "source2-csv")
+    V.supply_view(spark, d).drop("row_id").write.option("header", "true").csv(s1)
+    V.finance_view(spark, d).drop("row_id").write.option("header", "true").csv(s2)
+    one, two = delimited.ingest_all(spark, delimited.default_specs(s1, s2), FIXED_TS)
+    return one.select(F.col("corporate_name_s1").alias("name"), F.col("top_suppliers").alias("items"), "source").unionByName(
+        two.select(F.col("corporate_name_s2").alias("name"), F.col("main_customers").alias("items"), "source"))
+
+
+def q_feature_contract(spark, d):
+    """The feature columns the training set lacks, per needed feature."""
+    data = _training(spark, d)
+    missing = quality.feature_contract(data.columns, [*learn.FEATURES, "n_employees"])
+    return data.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("missing", F.lit(",".join(missing)))
+
+
 # ------------------------------------------------------------------ upsert and history
 def _orders_split(spark, d):
     o = V.table(spark, d, "orders")
@@ -209,6 +253,24 @@ def q_merge_upsert(spark, d):
     return upsert.merge_upsert(t, s, "o_orderkey", stamp_col=None)
 
 
+def q_merge_wide(spark, d):
+    """The target has columns the source lacks; matched rows keep them, new rows have null there."""
+    t, s = _orders_split(spark, d)
+    return upsert.merge_upsert(t, s.drop("o_custkey", "o_orderpriority"), "o_orderkey", stamp_col=None)
+
+
+def q_registry_metadata(spark, d):
+    """Two commits to a change log on disk: current records, change rows and commits it reports."""
+    t, s = _orders_split(spark, d)
+    path = scratch_path(spark, "orders-log")
+    registry.write_snapshot(t, path, 1, FIXED_TS, "o_orderkey")
+    registry.write_snapshot(s, path, registry.next_snapshot_id(spark, path), "2024-01-02 00:00:00", "o_orderkey")
+    n = registry.record_count(spark, path, "o_orderkey").select(F.col("n").alias("record_count"))
+    meta = registry.registry_metadata(spark, path, "o_orderkey").select(
+        "n_columns", "current_rows", "history_rows", "snapshot_count")
+    return meta.join(n)  # one row each
+
+
 def q_merge_stats(spark, d):
     t, s = _orders_split(spark, d)
     return upsert.merge_stats(t, s, "o_orderkey")
@@ -216,7 +278,7 @@ def q_merge_stats(spark, d):
 
 def q_compact_orders(spark, d):
     path = scratch_path(spark, "orders-compact")
-    upsert.compact(V.table(spark, d, "orders"), path, n_files=4, sort_key="o_orderkey")
+    upsert.compact(V.table(spark, d, "orders"), path, sort_key="o_orderkey")
     return spark.read.parquet(path)
 
 
@@ -297,6 +359,14 @@ def q_hash_split(spark, d):
     return _training(spark, d).select("corporate_id", learn.hash_split_flag("corporate_id").alias("is_test"))
 
 
+def q_split_complete(spark, d):
+    """Train and test together are the input, rows without a key included (customers without an order)."""
+    o = V.table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    rows = V.table(spark, d, "customer").select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    train, test = learn.hash_split(rows.select("c_custkey", "o_orderkey"), "o_orderkey")
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
 def _rule_predictions(spark, d):
     lab = V.table(spark, d, "labels")
     docs = V.table(spark, d, "documents").select("doc_id", "n_chars")
@@ -319,19 +389,46 @@ def q_train_score(spark, d):
     train_df, test_df = learn.hash_split(data, "corporate_id")
     model = learn.train(train_df)
     path = learn.save_model(model, scratch_path(spark, "model"))
-    return learn.score(learn.load_model(path), test_df).select(
-        "corporate_id", "high_profit", "prediction", F.round("p1", 6).alias("p1"))
+    fitted = learn.score(model, test_df).select("corporate_id", F.col("p1").alias("p1_fitted"))
+    scored = learn.score(learn.load_model(path), test_df).join(fitted, "corporate_id")
+    return scored.select("corporate_id", "high_profit", (F.col("prediction") == (F.col("p1") > 0.5).cast("double")).alias(
+        "prediction_follows_p1"), (F.col("p1") == F.col("p1_fitted")).alias("loaded_as_fitted"))
 
 
 def q_coefficients(spark, d):
+    """Per coefficient, whether the elastic-net optimality condition holds on the training rows.
+
+    With g the mean of (p1 - y) * x: |g + l2 * w + l1 * sign(w)| is 0 for w != 0, |g| <= l1 for
+    w = 0, and the mean of p1 - y is 0 for the intercept; within 1e-3.
+    """
     data = materialize(_training(spark, d))
     train_df, _ = learn.hash_split(data, "corporate_id")
-    return learn.coefficients(spark, learn.train(train_df))
+    model = learn.train(train_df)
+    reg, alpha, tol = 0.01, 0.5, 1e-3
+    off = F.col("p1") - F.col("high_profit")
+    x = vector_to_array("features")
+    grads = learn.score(model, train_df).agg(
+        *[F.avg(off * x[i]).alias(c) for i, c in enumerate(learn.FEATURES)], F.avg(off).alias("intercept"))
+    grads = grads.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("g"))
+                                             for c in [*learn.FEATURES, "intercept"]])).alias("x")).select("x.*")
+    w = F.col("coefficient")
+    rest = F.when(F.col("feature") == "intercept", F.abs("g")).when(w == 0, F.abs("g") - reg * alpha).otherwise(
+        F.abs(F.col("g") + reg * (1 - alpha) * w + reg * alpha * F.signum(w)))
+    return learn.coefficients(spark, model).join(grads, "feature").select("position", "feature", (rest <= tol).alias("optimal"))
 
 
 def q_model_metrics(spark, d):
-    _, metrics = learn.train_and_evaluate(V.customer_registry(spark, d))
-    return metrics
+    """Test rows of a fitted model, and whether its metrics agree with each other and with Spark ML's evaluators."""
+    data = materialize(_training(spark, d))
+    train_df, test_df = learn.hash_split(data, "corporate_id")
+    pred = materialize(learn.score(learn.train(train_df), test_df).select(
+        "high_profit", "prediction", "p1", "rawPrediction"), "scored")
+    auc = BinaryClassificationEvaluator(labelCol="high_profit", numBins=0).evaluate(pred)
+    m = learn.confusion_metrics(pred)
+    return m.join(learn.auc_roc(pred)).select(  # one row each
+        "n", (F.abs(F.col("weighted_recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+        (F.abs(F.col("auc") - F.lit(float(auc))) < 1e-6).alias("auc_as_evaluator"),
+        F.col("accuracy").between(0, 1).alias("accuracy_in_range"))
 
 
 QUERIES: dict[str, Query] = {
@@ -344,7 +441,6 @@ QUERIES: dict[str, Query] = {
     "null_profile_orders": q_null_profile_orders,
     "contract_check": q_contract_check,
     "block_stats": q_block_stats,
-    "candidate_pairs": q_candidate_pairs,
     "name_similarity": q_name_similarity,
     "matches": q_matches,
     "assign_ids": q_assign_ids,
@@ -358,8 +454,11 @@ QUERIES: dict[str, Query] = {
     "registry_roundtrip": q_registry_roundtrip,
     "registry_count": q_registry_count,
     "csv_roundtrip": q_csv_roundtrip,
+    "ingest_sources": q_ingest_sources,
     "merge_upsert": q_merge_upsert,
     "merge_stats": q_merge_stats,
+    "merge_wide": q_merge_wide,
+    "registry_metadata": q_registry_metadata,
     "compact_orders": q_compact_orders,
     "as_of_version": q_as_of_version,
     "as_of_timestamp": q_as_of_timestamp,
@@ -373,7 +472,9 @@ QUERIES: dict[str, Query] = {
     "prepare_training": q_prepare_training,
     "class_distribution": q_class_distribution,
     "scaled_features": q_scaled_features,
+    "feature_contract": q_feature_contract,
     "hash_split": q_hash_split,
+    "split_complete": q_split_complete,
     "metrics_confusion": q_metrics_confusion,
     "metrics_auc": q_metrics_auc,
     "train_score": q_train_score,

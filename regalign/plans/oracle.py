@@ -10,7 +10,6 @@ computation the Spark side does, so the two sides check each other.
 from __future__ import annotations
 
 from regalign.functions.text import SUFFIX_PATTERNS
-from regalign.operators.matching import length_factor
 from regalign.plans.views import NAME_SUFFIXES
 
 THRESHOLD = 0.85
@@ -135,8 +134,18 @@ def _ratio(x: str, y: str, lcs: str) -> str:
             f"CAST({tot} AS DOUBLE)), 0) AS INTEGER) END)")
 
 
-def matching_ctes(threshold: float = THRESHOLD) -> str:
-    f = length_factor(threshold, (W_R, W_S, W_T))
+#: All pairs of a block: the oracle prunes nothing.
+BLOCK_PAIRS = "SELECT ln.*, rn.* FROM ln JOIN rn ON l_block = r_block"
+#: Each part's own finance name.
+OWN = f"""
+SELECT s.row_id, s.normalized_name AS l_name, f.normalized_name AS r_name
+FROM left_p s JOIN part ON p_partkey = s.row_id
+JOIN (SELECT p_name, p_brand, min(p_partkey) AS k FROM part GROUP BY 1, 2) o USING (p_name, p_brand)
+JOIN right_p f ON f.row_id = o.k
+"""
+
+
+def matching_ctes(threshold: float = THRESHOLD, pairs: str = BLOCK_PAIRS) -> str:
     return f"""
 supply AS ({SUPPLY}),
 finance AS ({FINANCE}),
@@ -149,10 +158,8 @@ ln AS (SELECT l_name, {_features('l', 'l_name')}
 rn0 AS (SELECT r_name, {_features('r', 'r_name')}
         FROM (SELECT DISTINCT normalized_name AS r_name FROM right_p WHERE normalized_name <> '')),
 rn AS (SELECT *, {_masks('r_name')} AS r_masks, {_masks('r_sorted')} AS r_smasks FROM rn0),
-cand AS (
-  SELECT ln.*, rn.* FROM ln JOIN rn ON l_block = r_block
-   AND greatest(length(r_sorted), CAST(ceil(length(l_sorted) / {f!r} - 1e-9) AS INTEGER))
-       <= least(length(r_name), CAST(floor(length(l_name) * {f!r} + 1e-9) AS INTEGER))),
+own AS ({OWN}),
+cand AS ({pairs}),
 pieces AS (
   SELECT l_name, r_name, l_sorted, r_sorted, l_plen, r_plen,
          {_lcs_with_masks('l_name', 'length(r_name)', 'r_masks')} AS lcs_raw,
@@ -205,12 +212,11 @@ harmonized AS (SELECT * FROM matched UNION ALL SELECT * FROM unmatched)
 """
 
 
-def with_matching(select: str, threshold: float = THRESHOLD) -> str:
-    return "WITH " + matching_ctes(threshold).strip() + "\n" + select
+def with_matching(select: str, threshold: float = THRESHOLD, pairs: str = BLOCK_PAIRS) -> str:
+    return "WITH " + matching_ctes(threshold, pairs).strip() + "\n" + select
 
 
 def oracle_queries() -> dict[str, str]:
-    f = length_factor(THRESHOLD, (W_R, W_S, W_T))
     out: dict[str, str] = {}
     out["normalize_names"] = (
         f"SELECT row_id, corporate_name_s1, {normalize_sql('corporate_name_s1')} AS normalized_name FROM ({SUPPLY})")
@@ -238,9 +244,15 @@ def oracle_queries() -> dict[str, str]:
         "SELECT l.block_key, l.left_names, r.right_names, l.left_names * r.right_names AS block_pairs FROM "
         "(SELECT l_block AS block_key, count(*) AS left_names FROM ln GROUP BY 1) l JOIN "
         "(SELECT r_block AS block_key, count(*) AS right_names FROM rn0 GROUP BY 1) r USING (block_key)")
-    out["candidate_pairs"] = with_matching("SELECT l_name, r_name, l_block AS block_key FROM cand")
+    out["contract_check"] = (
+        "SELECT 'l_shipdate' AS \"column\", 'type' AS problem, 'timestamp' AS expected, 'timestamp_ntz' AS actual, "
+        "CAST(NULL AS BIGINT) AS null_rows UNION ALL " + " UNION ALL ".join(
+            f"SELECT '{c}', 'nulls', 'not null', 'nullable', count(*) FROM lineitem WHERE {c} IS NULL HAVING count(*) > 0"
+            for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")))
     out["name_similarity"] = with_matching(
-        "SELECT l_name, r_name, ratio, token_sort, token_set, similarity_score FROM scored")
+        "SELECT row_id, l_name, r_name, ratio, token_sort, token_set, similarity_score "
+        "FROM own JOIN scored USING (l_name, r_name)",
+        pairs="SELECT ln.*, rn.* FROM (SELECT DISTINCT l_name, r_name FROM own) JOIN ln USING (l_name) JOIN rn USING (r_name)")
     out["matches"] = with_matching("SELECT l_name, r_name, similarity_score FROM matches")
     out["assign_ids"] = with_matching("SELECT l_name, corporate_id FROM ids")
     out["unmatched"] = with_matching(
@@ -249,8 +261,12 @@ def oracle_queries() -> dict[str, str]:
     out["harmonize"] = with_matching("SELECT * FROM harmonized")
     out["registry_roundtrip"] = out["harmonize"]
     out["registry_count"] = with_matching("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_before FROM harmonized")
-    out["csv_roundtrip"] = (f"SELECT corporate_name_s2, main_customers, revenue, profit, 'source2' AS source "
-                            f"FROM ({FINANCE})")
+    out["csv_roundtrip"] = (
+        "SELECT CASE WHEN row_id % 4 = 0 THEN 'The \"' || corporate_name_s2 || '\", Inc' ELSE corporate_name_s2 END "
+        f"AS corporate_name_s2, main_customers, revenue, profit, 'source2' AS source FROM ({FINANCE})")
+    out["ingest_sources"] = (
+        f"SELECT corporate_name_s1 AS name, top_suppliers AS items, 'source1' AS source FROM ({SUPPLY}) UNION ALL "
+        f"SELECT corporate_name_s2, main_customers, 'source2' FROM ({FINANCE})")
     out["collapse_by_id"] = with_matching(
         "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY corporate_id ORDER BY "
         "similarity_score DESC NULLS LAST, revenue DESC NULLS LAST, corporate_name ASC NULLS LAST, "
@@ -273,6 +289,17 @@ def oracle_queries() -> dict[str, str]:
     out["merge_upsert"] = (
         f"WITH t AS ({tgt}), s AS ({src}) SELECT * FROM s UNION ALL "
         f"SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)")
+    narrow = "o_orderkey, o_orderstatus, o_totalprice, o_orderdate"
+    out["merge_wide"] = (
+        f"WITH t AS ({tgt}), s AS (SELECT {narrow} FROM ({src})) "
+        "SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, t.o_custkey, t.o_orderpriority, " + ", ".join(
+            f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+            for c in ("o_orderstatus", "o_totalprice", "o_orderdate")) +
+        " FROM t FULL OUTER JOIN s ON s.o_orderkey = t.o_orderkey")
+    out["registry_metadata"] = (
+        f"WITH c AS (SELECT o_orderkey FROM ({tgt}) UNION ALL SELECT o_orderkey FROM ({src})) "
+        "SELECT CAST(8 AS INTEGER) AS n_columns, count(DISTINCT o_orderkey) AS current_rows, count(*) AS history_rows, "
+        "CAST(2 AS BIGINT) AS snapshot_count, count(DISTINCT o_orderkey) AS record_count FROM c")
     out["merge_stats"] = (
         f"WITH t AS ({tgt}), s AS ({src}), tk AS (SELECT o_orderkey, count(*) AS n FROM t GROUP BY 1), "
         f"sk AS (SELECT o_orderkey, count(*) AS n FROM s GROUP BY 1), "
@@ -329,6 +356,19 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT corporate_id, CAST(('0x' || substr(md5('42:' || corporate_id), 1, 8)) AS BIGINT) "
         f"/ 4294967296.0 < 0.2 AS is_test FROM ({prep})")
 
+    test = "CAST(('0x' || substr(md5('42:' || {k}), 1, 8)) AS BIGINT) / 4294967296.0 < 0.2"
+    out["feature_contract"] = f"SELECT count(*) AS n_rows, 'n_employees' AS missing FROM ({prep})"
+    out["split_complete"] = (
+        f"SELECT c_custkey, o_orderkey, coalesce({test.format(k='CAST(o_orderkey AS VARCHAR)')}, FALSE) AS is_test "
+        "FROM customer LEFT JOIN orders ON o_custkey = c_custkey")
+    out["train_score"] = (f"SELECT corporate_id, high_profit, TRUE AS prediction_follows_p1, TRUE AS loaded_as_fitted "
+                          f"FROM ({prep}) WHERE {test.format(k='corporate_id')}")
+    out["coefficients"] = (
+        "SELECT CAST(i AS INTEGER) AS position, f AS feature, TRUE AS optimal FROM (VALUES (0, 'revenue'), "
+        "(1, 'supplier_count'), (2, 'customer_count'), (3, 'intercept')) v(i, f)")
+    out["model_metrics"] = (f"SELECT count(*) AS n, TRUE AS recall_is_accuracy, TRUE AS auc_as_evaluator, "
+                            f"TRUE AS accuracy_in_range FROM ({prep}) WHERE {test.format(k='corporate_id')}")
+
     # ---- metrics on labels with a rule prediction
     pred = ("SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS label, "
             "CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1000.0) AS p1, "
@@ -349,5 +389,4 @@ def oracle_queries() -> dict[str, str]:
         f"count(*) FILTER (WHERE label <> 1) AS neg FROM p GROUP BY p1), "
         f"c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY p1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM s) "
         f"SELECT sum(pos * (nb + neg * 0.5)) / (sum(pos) * sum(neg)) AS auc FROM c")
-    del f
     return out

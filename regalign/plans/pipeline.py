@@ -33,7 +33,9 @@ def commit_upsert(spark: SparkSession, registry_path: str, source: DataFrame, ke
     """
     changes = registry.read_changes(spark, registry_path)
     stamp = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
-    rows = registry.conform(source.withColumn("last_updated", stamp))
+    rows = materialize(registry.conform(source.withColumn("last_updated", stamp)), "commit")
+    if not rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError(f"MERGE: more than one source row for a {key}")
     sid = snapshot_id if snapshot_id is not None else registry.next_snapshot_id(spark, registry_path)
     if changes is not None:
         current = upsert.read_current(changes.where(F.col("snapshot_id") < sid), key)
@@ -41,7 +43,7 @@ def commit_upsert(spark: SparkSession, registry_path: str, source: DataFrame, ke
     else:
         stats = upsert.merge_stats(rows.limit(0), rows, key)
     committed = ts if ts is not None else F.current_timestamp()
-    registry.write_snapshot(rows, registry_path, sid, committed)
+    registry.write_snapshot(rows, registry_path, sid, committed, key)
     return sid, stats
 
 
@@ -52,8 +54,8 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
     res = PipelineResult()
     if not skip_ingestion:
         s1, s2 = delimited.ingest_all(spark, delimited.default_specs(source1_path, source2_path), ts)
-        lp = materialize(M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg), "left-prepared")
-        rp = materialize(M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg), "right-prepared")
+        lp = M.with_row_id(M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg), "left-prepared")
+        rp = M.with_row_id(M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg), "right-prepared")
         matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
         res.harmonized = M.harmonize(lp, rp, matches, cfg, ts, matches_materialized=True)
         # one row per id before the MERGE (several matched pairs can share an id), computed

@@ -9,7 +9,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "regalign") -> SparkSession:
+_scratch: dict[str, list[str]] = {}
+
+
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "regalign",
+                  driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks (on a cluster, pass your own session)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -21,7 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -30,7 +35,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a private one only if none is configured."""
+    """Return the cluster's shared checkpoint folder.
+
+    A private temporary folder is set only on a local master with none configured; on a cluster
+    executors would each write to their own disk, so a missing setting raises.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session has no SparkContext; use the conf
@@ -39,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            master = sc.master
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="regalign-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -75,26 +87,19 @@ def parallelism(spark: SparkSession) -> int:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
-    """Settings we recommend for a large cluster (apply with ``--conf`` or the builder).
+def cleanup_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table this session has written; returns how many there were.
 
-    Shuffle partitions target ~128 MB per partition of input and at least 2x the cores;
-    AQE re-plans joins at runtime (broadcast only below the threshold, skew splitting) and
-    coalesces small partitions except where a partition count is set explicitly.
+    Call it when the results built on them have been written: frames that read them stop working.
     """
-    partitions = max(2 * total_cores, input_bytes // (128 << 20))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
-        "spark.sql.shuffle.partitions": str(int(partitions)),
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-        "spark.sql.parquet.filterPushdown": "true",
-    }
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

@@ -26,9 +26,10 @@ FINANCIAL_SCHEMA = T.StructType([
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+                   header: bool = True, mode: str = "PERMISSIVE", escape: str = "\\") -> DataFrame:
     """CSV scan with a declared schema (never inferred); quoted fields may hold the separator.
 
+    A quote inside a quoted field is escaped by ``escape`` (the reader's default, a backslash).
     In PERMISSIVE mode a malformed number becomes null.  The CSV reader does not enforce
     not-null, so the fields come back nullable; ``validate`` reports the nulls.
     """
@@ -38,7 +39,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
         .option("inferSchema", "false")
         .option("sep", sep)
         .option("quote", '"')
-        .option("escape", '"')
+        .option("escape", escape)
         .option("mode", mode)
         .csv(path)
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The registry contract, in its column order.
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("corporate_id", T.StringType(), False),
     T.StructField("corporate_name", T.StringType(), True),
@@ -78,21 +80,30 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
-def record_count(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``n``: 0 when the table is absent, else its row count."""
+def record_count(spark: SparkSession, path: str, key: str = "corporate_id") -> DataFrame:
+    """One row ``n``: 0 when the table is absent, else the number of current records.
+
+    On a change log (``snapshot_id`` partitions) that is the number of keys, not of change rows.
+    """
     if not registry_exists(spark, path):
         return spark.range(1).select(F.lit(0).cast("long").alias("n"))
+    changes = read_changes(spark, path)
+    if changes is not None and "snapshot_id" in changes.columns:
+        return changes.agg(F.count_distinct(key).alias("n"))
     return read_registry(spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- change log on disk
 def read_changes(spark: SparkSession, path: str) -> DataFrame | None:
-    """The registry's change log (one partition directory per snapshot), or None if absent."""
-    return spark.read.parquet(path) if registry_exists(spark, path) else None
+    """The registry's change log (one partition directory per snapshot), or None if absent or empty."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def next_snapshot_id(spark: SparkSession, path: str) -> int:
-    """max(snapshot_id) + 1 from partition values (one tiny aggregate), or 1 for a new table."""
+    """max(snapshot_id) + 1, or 1 for a new table; reads partition values, no data columns."""
     changes = read_changes(spark, path)
     if changes is None:
         return 1
@@ -100,27 +111,35 @@ def next_snapshot_id(spark: SparkSession, path: str) -> int:
     return 1 if top is None else int(top) + 1
 
 
-def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at) -> None:
-    """Write one commit's rows as partition ``snapshot_id=N`` (dynamic partition overwrite).
+def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at, key: str = "corporate_id") -> None:
+    """Write one commit's rows as the new partition ``snapshot_id=N``, divided by day.
 
-    Re-running the same commit (a retried job or a replayed micro-batch) replaces that
-    partition instead of adding a second copy, so commits are idempotent.
+    Fails if the snapshot exists (nothing is ever replaced) and if a row has no key.  One writer
+    at a time: the folder is checked when the write begins.
     """
-    tagged = (rows.withColumn("committed_at", F.lit(committed_at).cast("timestamp"))
-              .withColumn("snapshot_id", F.lit(snapshot_id).cast("long")))
-    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "snappy").partitionBy("snapshot_id").parquet(path))
-
-
-def registry_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row: path, column count, change rows, snapshots; ``error`` is set when unreadable."""
-    schema = "path string, n_columns int, history_rows long, snapshot_count long, error string"
+    if not rows.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"{key} must not be null")
+    tagged = rows.withColumn("committed_at", F.lit(committed_at).cast("timestamp"))
+    days = []
+    if "harmonization_timestamp" in rows.columns:
+        tagged, days = tagged.withColumn(PARTITION_COLUMN, F.to_date("harmonization_timestamp")), [PARTITION_COLUMN]
+    tagged.write.mode("errorifexists").option("compression", "snappy").parquet(
+        f"{path}/snapshot_id={snapshot_id}", partitionBy=days or None)
+
+
+def registry_metadata(spark: SparkSession, path: str, key: str = "corporate_id") -> DataFrame:
+    """One row: path, schema, column count, current records, change rows, commits; ``error`` if unreadable."""
+    schema = ("path string, schema string, n_columns int, current_rows long, history_rows long, snapshot_count long, "
+              "error string")
     try:
         changes = spark.read.parquet(path)
-        n_cols = len(changes.columns)
-        snaps = F.count_distinct("snapshot_id") if "snapshot_id" in changes.columns else F.lit(None).cast("long")
-        return changes.agg(F.lit(path).alias("path"), F.lit(n_cols).alias("n_columns"),
-                           F.count(F.lit(1)).alias("history_rows"), snaps.cast("long").alias("snapshot_count"),
-                           F.lit(None).cast("string").alias("error"))
+        log = "snapshot_id" in changes.columns
+        return changes.agg(
+            F.lit(path).alias("path"), F.lit(changes.schema.simpleString()).alias("schema"),
+            F.lit(len(changes.columns)).alias("n_columns"),
+            (F.count_distinct(key) if log else F.count(F.lit(1))).cast("long").alias("current_rows"),
+            F.count(F.lit(1)).alias("history_rows"),
+            (F.count_distinct("snapshot_id") if log else F.lit(None)).cast("long").alias("snapshot_count"),
+            F.lit(None).cast("string").alias("error"))
     except Exception as err:  # noqa: BLE001 - reported as a row, as the reference returns an error entry
-        return spark.createDataFrame([(path, None, None, None, str(err)[:500])], schema)
+        return spark.createDataFrame([(path, None, None, None, None, None, str(err))], schema)

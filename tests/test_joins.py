@@ -37,12 +37,11 @@ def test_candidates_and_harmonize_with_tiny_budget(sources):
     ln, rn = M.distinct_names(lp, "l"), M.distinct_names(rp, "r")
     key = lambda df: sorted((r.l_name, r.r_name) for r in df.collect())
     assert key(M.candidate_pairs(ln, rn, 0.85, max_pairs_per_cell=1)) == key(M.candidate_pairs(ln, rn, 0.85))
-    assert key(M.candidate_pairs(ln, rn, 0.85, use_length_band=False, max_pairs_per_cell=1)) == key(
-        M.candidate_pairs(ln, rn, 0.85, use_length_band=False))
+    assert key(M.candidate_pairs(ln, rn, None, max_pairs_per_cell=1)) == key(M.candidate_pairs(ln, rn, None))
     matches = M.matched_names(lp, rp)
     a = M.harmonize(lp, rp, matches, ts=TS, max_pairs_per_cell=1)
     b = M.harmonize(lp, rp, matches, ts=TS)
-    assert _rows(a) == _rows(b) and a.count() == 21
+    assert _rows(a) == _rows(b) and a.count() == 13
 
 
 def test_hot_name_pairs_spread(spark):
@@ -86,3 +85,32 @@ def test_cluster_sized_budget_is_exact_and_splits_the_hot_key(spark):
     got = balanced_join(l, r, ["k"], 10_000_000, num_partitions=4, cells_per_partition=8)
     assert _rows(got.select("k", "a", "b")) == _rows(plain.select("k", "a", "b"))
     assert got.rdd.getNumPartitions() == 4
+
+
+def test_grid_makes_up_a_clipped_side_on_the_other(spark):
+    l = spark.range(0, 1_000_000).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
+    r = spark.createDataFrame([("hot", 1)], "k string, b int")
+    for x, y in ((l, r), (r, l)):
+        g = hot_key_grid(x, y, ["k"], 100).first()
+        n, m = x.count(), y.count()
+        assert g._ga <= n and g._gb <= m and (n / g._ga) * (m / g._gb) <= 100
+
+
+def test_equal_rows_with_row_ids_spread_over_cells(spark):
+    rows = spark.createDataFrame([("hot", "same")] * 400, "k string, v string")
+    l = M.with_row_id(rows, "l")
+    r = M.with_row_id(rows.withColumnRenamed("v", "w"), "r").withColumnRenamed(M.ROW_ID, "_rr")
+    out = balanced_join(l, r, ["k"], 1000, num_partitions=16)
+    assert out.count() == 160_000
+    grid = hot_key_grid(l, r, ["k"], 1000).first()
+    cells = l.groupBy(F.pmod(F.xxhash64(*[F.col(c) for c in l.columns]), F.lit(grid._ga))).count().collect()
+    assert len(cells) > grid._ga / 2 and max(c["count"] for c in cells) < 4 * 400 / grid._ga + 8
+
+
+def test_equal_sort_keys_spread_over_ranges(spark):
+    from regalign.operators.ranking import row_number_global
+
+    same = M.with_row_id(spark.range(4000).select(F.lit(None).cast("string").alias("k")), "same")
+    ranked = row_number_global(same, ["k", M.ROW_ID], "rn", num_partitions=8)
+    sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 2 * 4000 / 8 and ranked.agg(F.count_distinct("rn")).first()[0] == 4000

@@ -1,6 +1,7 @@
 """LCS kernel against a dynamic-programming brute force; ratios and the weighted score."""
 
 import random
+import unicodedata
 
 import pyarrow as pa
 import pytest
@@ -110,3 +111,65 @@ def test_weighted_score_matches_brute_force(spark):
     s = _scores(spark, list(set(pairs)))
     for (a, b), r in s.items():
         assert r.similarity_score == brute_similarity(a, b), (a, b)
+
+
+def test_long_patterns_take_several_words():
+    rng = random.Random(11)
+    pairs = [("".join(rng.choices("abcé世", k=rng.randint(0, 300))), "".join(rng.choices("abcé世", k=rng.randint(0, 300))))
+             for _ in range(60)]
+    pairs += [("a" * 64, "a" * 65), ("a" * 128, "ab" * 128), ("", "x" * 200)]
+    got = lcs_lengths(pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs])).tolist()
+    assert got == [lcs_dp(*p) for p in pairs]
+
+
+@pytest.mark.parametrize("outlier", [False, True])
+def test_kernel_memory_is_bounded(outlier):
+    import tracemalloc
+
+    rng = random.Random(1)
+    hangul = [chr(0xAC00 + i) for i in range(11172)]
+    names = ["".join(rng.choices(hangul, k=8)) for _ in range(10_000)]
+    other = ["".join(rng.choices(hangul, k=8)) for _ in range(10_000)]
+    if outlier:
+        names[17], other[17] = "ab" * 1000, "ba" * 1000
+    a, b = pa.array(names), pa.array(other)
+    tracemalloc.start()
+    lcs_lengths(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+PROBES = ["cafe\u0301 noir", "\u0915\u094d\u0937 \u0926\u0947\u0935\u0928\u093e\u0917\u0930\u0940", "\u0e01\u0e33 \u0e17\u0e35\u0e48",
+          "\u0645\u06cc\u200c\u062e\u0648\u0627\u0647\u0645", "\u0130stanbul Ltd", "a\u00b2b Inc", "x\u203fy Co", "a\x1cb\x1f Corp",
+          "Gro\u00dfe & S\u00f6hne GmbH", "\u2167 \u00bd \u0663", "_under score_"]
+
+
+def test_names_and_tokens_follow_python_classes_in_every_script(spark):
+    import re
+
+    from regalign.functions.similarity import processed
+    from regalign.functions.text import SUFFIX_PATTERNS, normalize_name
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x400, 0x500), (0x5D0, 0x5F0), (0x620, 0x6D0), (0x905, 0x970),
+              (0xE01, 0xE5C), (0x2000, 0x2070), (0x2150, 0x2190), (0x3041, 0x30FF), (0x4E00, 0x4E80), (0xAC00, 0xAC40)]
+    names = PROBES + ["".join(chr(rng.randint(*rng.choice(ranges)) ) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+
+    def python_name(x):
+        x = x.lower()
+        for p in SUFFIX_PATTERNS:
+            x = re.sub(p, "", x)
+        return re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", x)).strip()
+
+    def python_tokens(x):
+        x = re.sub("[\x80-\xff]", "", x)
+        return re.sub(r"\W", " ", x).lower().strip(" ")
+
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(names)], "i int, x string").select(
+        "i", normalize_name("x").alias("n"), processed(F.col("x")).alias("p")).collect()
+    known = lambda x: all(unicodedata.category(c) != "Cn" for c in x)
+    bad = [(names[r.i], r.n, r.p) for r in rows if known(names[r.i]) and (
+        r.n != python_name(names[r.i]) or r.p != python_tokens(names[r.i]))]
+    assert not bad, bad[:5]

@@ -28,7 +28,17 @@ def test_merge_cardinality_violation(spark):
     target = spark.createDataFrame([("a", 1)], SCHEMA)
     source = spark.createDataFrame([("a", 2), ("a", 3)], SCHEMA)
     with pytest.raises(ValueError, match="more than one source row"):
-        upsert.merge_upsert(target, source, "id", check_cardinality=True)
+        upsert.merge_upsert(target, source, "id")
+    assert upsert.merge_upsert(target, source.where("v = 2"), "id", stamp_col=None).collect()[0].v == 2
+
+
+def test_merge_keeps_all_columns_and_null_keys(spark):
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), (None, 3, "z")], "id string, v long, extra string")
+    source = spark.createDataFrame([("b", 20, True), ("c", 30, False), (None, 40, None)], "id string, v long, flag boolean")
+    out = upsert.merge_upsert(target, source, "id", stamp_col=None)
+    assert out.columns == ["id", "v", "extra", "flag"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([
+        ("a", 1, "x", None), ("b", 20, "y", True), ("c", 30, None, False), (None, 3, "z", None), (None, 40, None, None)], key=repr)
 
 
 @pytest.fixture()
@@ -64,17 +74,22 @@ def test_snapshot_log_and_expire(changes):
 
 def test_compact(spark):
     df = spark.range(0, 1000).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
-    path = upsert.compact(df.repartition(20), scratch_path(spark, "compact-test"), 3, "v")
+    plain = scratch_path(spark, "compact-in")
+    df.repartition(20).write.parquet(plain)
+    src = spark.read.parquet(plain)
+    n = upsert.file_count(src, 8_000)
+    path = upsert.compact(src, scratch_path(spark, "compact-test"), "v", target_bytes=8_000)
     back = spark.read.parquet(path)
-    assert back.count() == 1000 and back.rdd.getNumPartitions() <= 3
+    assert back.count() == 1000 and 1 < len(back.inputFiles()) <= n < 20
+    assert upsert.file_count(src) == 1
 
 
 def test_merge_through_sql(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], SCHEMA)
     source = spark.createDataFrame([("b", 20), ("c", 30)], SCHEMA)
     t = upsert.register_updates(target, "merge_target_t")
-    s = upsert.register_updates(source, "harmonized_updates")
-    out = {r.id: r.v for r in spark.sql(upsert.merge_sql(t, s, "id")).collect()}
+    s = upsert.register_updates(source.select("v", "id"), "harmonized_updates")  # another column order
+    out = {r.id: r.v for r in spark.sql(upsert.merge_sql(t, s, "id", ["id", "v"])).collect()}
     assert out == {"a": 1, "b": 20, "c": 30}
 
 
@@ -84,11 +99,32 @@ def test_registry_metadata(spark):
     bad = registry.registry_metadata(spark, scratch_path(spark, "missing")).first()
     assert bad.error is not None and bad.history_rows is None
     path = scratch_path(spark, "meta")
-    registry.write_snapshot(spark.createDataFrame([("a", 1)], SCHEMA), path, 1, "2024-01-01")
-    registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02")
-    registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02")  # replay
-    meta = registry.registry_metadata(spark, path).first()
-    assert (meta.history_rows, meta.snapshot_count, meta.error) == (3, 2, None)
+    registry.write_snapshot(spark.createDataFrame([("a", 1)], SCHEMA), path, 1, "2024-01-01", "id")
+    registry.write_snapshot(spark.createDataFrame([("a", 2), ("b", 3)], SCHEMA), path, 2, "2024-01-02", "id")
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        registry.write_snapshot(spark.createDataFrame([("z", 9)], SCHEMA), path, 2, "2024-01-02", "id")
+    with pytest.raises(ValueError, match="must not be null"):
+        registry.write_snapshot(spark.createDataFrame([(None, 9)], SCHEMA), path, 3, "2024-01-02", "id")
+    meta = registry.registry_metadata(spark, path, "id").first()
+    assert (meta.current_rows, meta.history_rows, meta.snapshot_count, meta.error) == (2, 3, 2, None)
+    assert "v:bigint" in meta.schema and registry.record_count(spark, path, "id").first().n == 2
+    assert registry.next_snapshot_id(spark, path) == 3
+
+
+def test_scratch_is_local_only_on_a_local_master_and_can_be_removed(spark):
+    from types import SimpleNamespace
+
+    from regalign import session
+
+    fixed = session.materialize(spark.range(5).toDF("id"), "gone")
+    folder = fixed.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    import os
+
+    assert os.path.isdir(folder) and session.cleanup_scratch(spark) > 0 and not os.path.isdir(folder)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", setCheckpointDir=lambda d: None)
+    far = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(far)
 
 
 def test_materialize_writes_under_the_checkpoint_folder(spark):
