@@ -32,16 +32,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
-           max_rows: int = BROADCAST_ROWS, salts: int = 32) -> DataFrame:
+           max_rows: int = BROADCAST_ROWS, salts: int = 32, rows: int | None = None) -> DataFrame:
     """Join ``df`` with a table that is expected to be small, null-safe on ``keys``.
 
-    ``small`` is counted first.  Up to ``max_rows`` rows it is broadcast, so no key of ``df``
+    ``small`` is counted first (unless ``rows`` bounds it already).  Up to ``max_rows`` rows it is broadcast, so no key of ``df``
     is shuffled however hot it is; beyond that its rows are copied to ``salts`` salt values and
     the rows of ``df`` are spread over them, so a hot key is shared by that many tasks.
     """
     on = [F.col(f"_a_{k}") for k in keys]
     side = small.select(*[F.col(k).alias(f"_a_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    if small.count() <= max_rows:
+    if (small.count() if rows is None else rows) <= max_rows:
         cond = [F.col(k).eqNullSafe(o) for k, o in zip(keys, on)]
         return df.join(F.broadcast(side), cond, how).drop(*[f"_a_{k}" for k in keys])
     if salts == 1:

@@ -64,7 +64,7 @@ def _rate(size: Column, tilt: Column, mean: Column) -> Column:
     return F.lit(float(MAX_COPIES)) / (F.lit(1.0) + F.exp(-z))
 
 
-def tilts(sizes: DataFrame, targets: DataFrame, rounds: int = 60, tolerance: float = 1e-7) -> DataFrame:
+def tilts(sizes: DataFrame, targets: DataFrame, n_sources: int, rounds: int = 60, tolerance: float = 1e-7) -> DataFrame:
     """(source, mean, tilt): the dual solution per source, by safeguarded Newton steps.
 
     A step that leaves the bracket of the root is replaced by its midpoint.  Sources at their cap,
@@ -81,7 +81,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, rounds: int = 60, tolerance: flo
     for _ in range(rounds):
         if state.where(~F.col("done")).isEmpty():
             break
-        rows = attach(grid, state.where(~F.col("done")), ["source"], how="inner")
+        rows = attach(grid, state.where(~F.col("done")), ["source"], how="inner", rows=n_sources)
         w = _rate(F.col("size"), F.col("tilt"), F.col("mean"))
         slope = w * (F.lit(1.0) - w / F.lit(float(MAX_COPIES))) * F.col("size") * F.col("size") / F.col("mean")
         sums = rows.groupBy("source").agg(
@@ -112,7 +112,8 @@ class Mix:
 
     def __init__(self, sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE):
         targets = materialize(source_targets(sizes, weights, share), "targets")
-        duals = tilts(sizes, targets).withColumnRenamed("source", "_s")
+        self.n = targets.count()  # rows of every table below, at most
+        duals = tilts(sizes, targets, self.n).withColumnRenamed("source", "_s")
         self.plan = materialize(targets.join(duals, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
         self.steps: list[DataFrame] = []
         self.fills: list[DataFrame] = []
@@ -122,9 +123,12 @@ class Mix:
         for _ in range(2):
             self._fill(rows)
 
+    def _attach(self, rows: DataFrame, table: DataFrame, how: str = "left") -> DataFrame:
+        return attach(rows, table, ["source"], how, rows=self.n)
+
     def _rated(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the rate, its whole part, and the place in the order of rounding up."""
-        rows = attach(rows, self.plan, ["source"])
+        rows = self._attach(rows, self.plan)
         # a source at its cap has no tilt: all its documents go twice
         rate = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.lit(float(MAX_COPIES))).otherwise(
             _rate(F.col("size"), F.col("tilt"), F.col("mean")))
@@ -139,14 +143,14 @@ class Mix:
         """Rated rows with ``copies``."""
         rows = rows.withColumn("up", F.lit(False))
         for step in self.steps:
-            rows = attach(rows, step, ["source"])
+            rows = self._attach(rows, step)
             # no cut: the source never passes its target, so all that fits rounds up
             below = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")) | (
                 (F.col("bin") == F.col("cut_bin")) & F.coalesce(F.col("level") < F.col("cut_level"), F.lit(True)))
             rows = rows.withColumn("up", F.col("up") | (_fits(F.col("limit")) & below)).drop("limit", "cut_bin", "cut_level")
         rows = rows.withColumn("copies", (F.col("whole") + F.when(F.col("up"), 1).otherwise(0)).cast("int"))
         for best in self.fills:
-            rows = attach(rows, best, ["source"])
+            rows = self._attach(rows, best)
             more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
             rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
         return rows
@@ -163,23 +167,32 @@ class Mix:
         """
         now = self._copied(rows)
         need = self._lacking(now)
-        left = attach(now.where(~F.col("up")), need.withColumnRenamed("need", "limit"), ["source"], how="inner").where(
+        left = self._attach(now.where(~F.col("up")), need.withColumnRenamed("need", "limit"), "inner").where(
             _fits(F.col("limit")))
-        bins = materialize(_cut(left, "bin", need), "bins")
-        inside = attach(left, bins.select("source", "cut_bin"), ["source"], how="inner").where("bin = cut_bin")
-        levels = _cut(inside, "level", bins.select("source", "need")).drop("need")
-        step = attach(attach(need.withColumnRenamed("need", "limit"), bins.drop("need"), ["source"]), levels, ["source"])
+        bins = materialize(self._cut(left, "bin", need), "bins")
+        inside = self._attach(left, bins.select("source", "cut_bin"), "inner").where("bin = cut_bin")
+        levels = self._cut(inside, "level", bins.select("source", "need")).drop("need")
+        step = self._attach(self._attach(need.withColumnRenamed("need", "limit"), bins.drop("need")), levels)
         self.steps.append(materialize(step, "step"))
 
     def _fill(self, rows: DataFrame) -> None:
         """One more copy of the source's largest document that still fits and has a copy left (lowest level first)."""
         now = self._copied(rows)
-        fits = attach(now, self._lacking(now), ["source"], how="inner").where(
+        fits = self._attach(now, self._lacking(now), "inner").where(
             (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
         best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"))
         self.fills.append(materialize(best.select(
             "source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level")), "fill"))
 
+    def _cut(self, rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
+        """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
+        order = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
+        sums = self._attach(rows.groupBy("source", by).agg(F.sum("size").alias("words")), need, "inner")
+        sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
+        over = sums.where(F.col("before") + F.col("words") > F.col("need"))
+        first = over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x"))
+        return first.select("source", F.col(f"x.{by}").alias(f"cut_{by}"), F.col("x.need").alias("need"))
+
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` (doc_id, source, size, ...) with source_size, target, rate, copies and taken."""
         return self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size")).drop(
@@ -191,16 +204,6 @@ def _fits(limit: Column) -> Column:
     return (F.col("rate") > F.col("whole")) & (F.col("whole") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= limit)
 
 
-def _cut(rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
-    """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
-    order = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
-    sums = attach(rows.groupBy("source", by).agg(F.sum("size").alias("words")), need, ["source"], how="inner")
-    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
-    over = sums.where(F.col("before") + F.col("words") > F.col("need"))
-    first = over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x"))
-    return first.select("source", F.col(f"x.{by}").alias(f"cut_{by}"), F.col("x.need").alias("need"))
-
-
 def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *more) -> DataFrame:
     """(doc_id, source, size, more...) of every row; ``size`` counts words (null text: 0)."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
