@@ -194,7 +194,8 @@ def sanitise(docs: DataFrame, **params) -> DataFrame:
     """
     docs, names = scan(docs), docs.columns
     _, spans = all_spans(docs, **params)
-    rows = attach(with_row_key(docs), spans, ["_f", "_r"], salts=1)
+    total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0  # bounds the table's rows and its arrays
+    rows = attach(with_row_key(docs), spans, ["_f", "_r"], salts=1, rows=total)
     text = F.col("_row.text")
     tags = F.array(*[F.lit(TAGS[k]) for k in KINDS])
     # (end of the cover so far, pieces): a span adds the text between the cover and its start, and its tag
