@@ -73,29 +73,30 @@ def _padded_codes(starts: np.ndarray, lens: np.ndarray, flat: np.ndarray, width:
     return np.where(valid, flat[np.minimum(idx, len(flat) - 1)], -1)
 
 
+def _letters(codes: np.ndarray) -> np.ndarray:
+    """Distinct code points (>= 0), ascending."""
+    codes = codes[codes >= 0]
+    if len(codes) and int(codes.max()) < (1 << 17):
+        return np.flatnonzero(np.bincount(codes))
+    return np.unique(codes)
+
+
 def _chunks(p_len: np.ndarray, t_len: np.ndarray, letters: int) -> Iterator[np.ndarray]:
-    """Rows in pieces of similar length whose tables stay within CHUNK_BYTES (a longer row is a piece of its own).
+    """Rows in pieces of similar length whose tables stay within CHUNK_BYTES (one row at least).
 
-    A row costs its padded code points and, per distinct character, a mask of one bit per pattern
-    character; within a piece every row is as wide as the widest.
+    Rows are classed by the power of two of their text's length, so a long one doesn't widen the
+    others.  A row costs its padded code points and, per distinct character of its piece (all
+    ``letters``, or at most one per pattern character), a mask of one bit per pattern character.
     """
-    order = np.lexsort((p_len, t_len))
-    at = 0
-    while at < len(order):
-        first = order[at]
-        end, room = at, CHUNK_BYTES
-        wide_t, wide_p = int(t_len[first]), int(p_len[first])
-        while end < len(order):
-            i = order[end]
-            wide_t, wide_p = max(wide_t, int(t_len[i])), max(wide_p, int(p_len[i]))
-            rows = end - at + 1
-            k = min(letters, rows * wide_p) + 1
-            cost = rows * (24 * (wide_t + wide_p) + 8 * k * -(-wide_p // _WORD))
-            if rows > 1 and (cost > room or wide_t > 2 * max(8, int(t_len[first]))):
-                break
-            end += 1
-        yield order[at:end]
-        at = end
+    size = np.frexp(np.maximum(t_len, 16))[1]
+    for c in np.unique(size):
+        rows = np.flatnonzero(size == c)
+        wide_t, wide_p = int(t_len[rows].max()), int(p_len[rows].max())
+        mask, flat = 8 * -(-wide_p // _WORD), 24 * (wide_t + wide_p)
+        step = max(CHUNK_BYTES // (flat + mask * (letters + 1)),
+                   min(CHUNK_BYTES // (2 * flat), int((CHUNK_BYTES / (2 * mask * max(1, wide_p))) ** 0.5)), 1)
+        for at in range(0, len(rows), step):
+            yield rows[at:at + step]
 
 
 def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -113,7 +114,7 @@ def lcs_lengths(a: pa.Array, b: pa.Array) -> np.ndarray:
     ps, pl = np.where(swap, sa, sb), np.where(swap, la, lb)
     ts, tl = np.where(swap, sb, sa), np.where(swap, lb, la)
     some = np.nonzero(pl > 0)[0]
-    letters = len(np.unique(flat)) if len(some) else 0
+    letters = len(_letters(flat)) if len(some) else 0
     for part in _chunks(pl[some], tl[some], letters):
         idx = some[part]
         p_codes = _padded_codes(ps[idx], pl[idx], flat, int(pl[idx].max()))
@@ -141,7 +142,7 @@ def _lcs_words(p_codes: np.ndarray, t_codes: np.ndarray, pl: np.ndarray) -> np.n
     rows = np.arange(m)
     # compact alphabet: characters of the patterns get columns 0..k-1; anything else the
     # all-zero column k, which leaves V unchanged (so does the -1 padding)
-    used = np.unique(p_codes[p_codes >= 0])
+    used = _letters(p_codes)
     masks = np.zeros((n_words, m, len(used) + 1), dtype=np.uint64)
     p_cols = _alphabet_columns(p_codes, used)
     one = np.uint64(1)
