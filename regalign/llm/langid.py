@@ -3,14 +3,13 @@
 The blended-spectrum presence kernel of two texts counts the character n-grams (n = 1..3) both
 hold, over the root of the product of their own counts.  A bounded sample of landmark texts gives
 Nystroem features phi(x) = k(x, landmarks) K^(-1/2); one-versus-rest kernel ridge regression is
-solved on the sums phi'phi and phi'y gathered from a bounded training sample, and texts are scored
-in batches by matrix products of their n-gram presence.
+solved on the sums phi'phi and phi'y gathered from a bounded training sample, and a text's scores
+are the sum of its n-grams' rows in one table of weights.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +20,12 @@ from pyspark.sql import functions as F
 from regalign.llm.common import materialize, slices
 from regalign.llm.toxicity import held_out_part
 
-ALPHABET = 63             # symbols told apart; all others are one more
 LANDMARKS = 48            # per language
 TRAIN_ROWS = 1_500        # per language, at most (about)
 MAX_LANGUAGES = 400       # languages learned, the most frequent first
 RIDGE = 1e-2
 UNKNOWN = "und"
-_SIZES = [64, 64 ** 2, 64 ** 3]
+_BITS = 21                # of a code point; three fill 63 bits
 
 
 def symbols(text: str) -> np.ndarray:
@@ -53,42 +51,84 @@ def has_letter(text: str | None) -> bool:
 
 
 class Grams:
-    """n-gram numbers over a fixed alphabet, and their place in a vocabulary (-1: not in it)."""
+    """n-gram numbers over whole code points, and their place in a sorted vocabulary.
 
-    def __init__(self, alphabet: list[int], vocabulary: np.ndarray | None = None):
-        self.alphabet = np.array(sorted(alphabet), dtype=np.uint32)
-        self.places = np.full(sum(_SIZES), -1, dtype=np.int32)
-        if vocabulary is not None:
-            self.places[vocabulary] = np.arange(len(vocabulary))
-        self.width = 0 if vocabulary is None else len(vocabulary)
+    A number is the n-gram's code points side by side, so no two n-grams share one.  With an
+    ``alphabet``, all symbols outside it are one more; without, every symbol is told apart.
+    """
+
+    def __init__(self, alphabet: list[int] | None = None, vocabulary: np.ndarray | None = None):
+        self.alphabet = None if alphabet is None else np.array(sorted(alphabet), dtype=np.uint32)
+        self.vocabulary = np.zeros(0, dtype=np.int64) if vocabulary is None else vocabulary
+        self.width = len(self.vocabulary)
 
     def numbers(self, text: str) -> np.ndarray:
         x = symbols(text)
-        at = np.searchsorted(self.alphabet, x)
-        at[at == len(self.alphabet)] = 0
-        c = np.where(self.alphabet[at] == x, at + 1, 0).astype(np.int64) if len(self.alphabet) else np.zeros(len(x), np.int64)
-        two = c[:-1] * 64 + c[1:]
-        three = two[:-1] * 64 + c[2:]
-        return np.concatenate([c, two + _SIZES[0], three + _SIZES[0] + _SIZES[1]])
+        c = (x if self.alphabet is None else np.where(np.isin(x, self.alphabet), x, 0)).astype(np.int64)
+        two = c[:-1] << _BITS | c[1:]
+        three = two[:-1] << _BITS | c[2:]
+        return np.concatenate([c, two, three])
+
+    def places(self, text: str) -> np.ndarray:
+        """Sorted places of the text's distinct n-grams that are in the vocabulary."""
+        if not self.width:
+            return np.zeros(0, dtype=np.int64)
+        x = np.unique(self.numbers(text))
+        at = np.searchsorted(self.vocabulary, x)
+        at[at == self.width] = 0
+        return at[self.vocabulary[at] == x]
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """0/1 matrix of texts by vocabulary, each row over its root (a row without n-grams is 0)."""
-        out = np.zeros((len(texts), self.width + 1), dtype=np.float32)
+        out = np.zeros((len(texts), self.width), dtype=np.float32)
         for i, t in enumerate(texts):
-            out[i, self.places[self.numbers(t)]] = 1  # place -1 is the spare last column
-        out = out[:, :-1]
-        norm = np.sqrt(out.sum(axis=1, keepdims=True))
-        return out / np.where(norm > 0, norm, 1)
+            at = self.places(t)
+            out[i, at] = 1 / np.sqrt(max(1, len(at)))
+        return out
+
+
+class Landmarks:
+    """The kernel of texts with the landmarks, from the list of landmarks that hold each n-gram."""
+
+    def __init__(self, texts: list[str]):
+        self.vocabulary = np.unique(np.concatenate([np.unique(Grams().numbers(t)) for t in texts]))
+        grams = Grams(vocabulary=self.vocabulary)
+        self.held = [grams.places(t) for t in texts]
+        sizes = np.array([len(x) for x in self.held])
+        self.scale = 1 / np.sqrt(np.maximum(1, sizes))
+        at = np.concatenate(self.held)
+        self.who = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[np.argsort(at, kind="stable")]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(self.vocabulary)))])
+
+    def kernel(self, held: list[np.ndarray]) -> np.ndarray:
+        """k(text, landmark); the texts are given by their places."""
+        out = np.zeros((len(held), len(self.scale)))
+        for i, at in enumerate(held):
+            n = self.start[at + 1] - self.start[at]
+            if n.sum():
+                each = np.arange(n.sum()) + np.repeat(self.start[at] - np.cumsum(n) + n, n)
+                out[i] = np.bincount(self.who[each], minlength=len(self.scale)) * self.scale / np.sqrt(len(at))
+        return out
+
+    def weights(self, beta: np.ndarray) -> np.ndarray:
+        """n-grams by languages, so that presence @ weights = kernel @ beta."""
+        out = np.zeros((len(self.vocabulary), beta.shape[1]), dtype=np.float32)
+        for at, row in zip(self.held, self.scale[:, None] * beta):
+            out[at] += row.astype(np.float32)
+        return out
 
 
 class Model:
     """Scores are presence @ weights: the landmarks, the Nystroem map and the regression in one matrix."""
 
-    def __init__(self, alphabet: list[int], vocabulary: np.ndarray, weights: np.ndarray, languages: list[str]):
-        self.alphabet, self.vocabulary, self.weights, self.languages = alphabet, vocabulary, weights, languages
+    def __init__(self, vocabulary: np.ndarray, weights: np.ndarray, languages: list[str]):
+        self.vocabulary, self.weights, self.languages = vocabulary, weights, languages
 
     def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray]:
-        z = grams.presence(texts) @ self.weights
+        z = np.zeros((len(texts), len(self.languages)))
+        for i, t in enumerate(texts):
+            at = grams.places(t)
+            z[i] = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(at)))
         best = z.argmax(axis=1)
         e = np.exp(8 * (z - z.max(axis=1, keepdims=True)))
         return [self.languages[i] for i in best], (e.max(axis=1) / e.sum(axis=1)).astype(float)
@@ -112,27 +152,20 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, rid
     if not len(marks):
         return None
     texts, languages = marks["text"].tolist(), sorted(set(marks["lang"]))
-    common = Counter()
-    for t in texts:
-        u, n = np.unique(symbols(t), return_counts=True)
-        common.update(dict(zip(u.tolist(), n.tolist())))
-    alphabet = [c for c, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]]
-    vocabulary = np.unique(np.concatenate([np.unique(Grams(alphabet).numbers(t)) for t in texts]))
-    base = Grams(alphabet, vocabulary).presence(texts)
-    kernel = (base @ base.T).astype(np.float64)
+    base = Landmarks(texts)
+    kernel = base.kernel(base.held)
     value, vector = np.linalg.eigh(kernel)
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
-    project = (base.T.astype(np.float64) @ root).astype(np.float32)  # presence -> Nystroem features
-    size = project.shape[1]
+    size = root.shape[1]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(alphabet, vocabulary)
+        grams = Grams(vocabulary=base.vocabulary)
         at = {x: i for i, x in enumerate(languages)}
         gram, cross = np.zeros((size, size)), np.zeros((size, len(languages)))
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                phi = (grams.presence(part.column("text").to_pylist()) @ project).astype(np.float64)
+                phi = base.kernel([grams.places(t) for t in part.column("text").to_pylist()]) @ root
                 y = np.full((len(phi), len(languages)), -1.0)
                 for i, x in enumerate(part.column("lang").to_pylist()):
                     if x in at:
@@ -146,7 +179,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, rid
     gram = np.sum([np.frombuffer(r["gram"]).reshape(size, size) for r in sums], axis=0)
     cross = np.sum([np.frombuffer(r["cross"]).reshape(size, -1) for r in sums], axis=0)
     beta = np.linalg.solve(gram + ridge * np.trace(gram) / size * np.eye(size), cross)
-    return Model(alphabet, vocabulary, (project.astype(np.float64) @ beta).astype(np.float32), languages)
+    return Model(base.vocabulary, base.weights(root @ beta), languages)
 
 
 def language(docs: DataFrame, parts: int = 4, part: int = 2, **params) -> DataFrame:
@@ -161,7 +194,7 @@ def language(docs: DataFrame, parts: int = 4, part: int = 2, **params) -> DataFr
     model = fit(docs.where(~held_out_part("doc_id", parts, part)), **params)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(model.alphabet, model.vocabulary) if model else None
+        grams = Grams(vocabulary=model.vocabulary) if model else None
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
                 texts = piece.column("text").to_pylist()

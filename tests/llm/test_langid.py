@@ -50,3 +50,19 @@ def test_presence_kernel_against_brute_force():
             want = len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b)))
             assert abs(float(x[i] @ x[j]) - want) < 1e-5
     assert symbols("A  b").tolist() == [32, 97, 32, 98, 32]
+
+
+def test_scripts_with_many_symbols_are_told_apart(write):
+    rng = random.Random(7)
+    first = {"en": 0x61, "ru": 0x430, "zh": 0x4E00, "ja": 0x3041, "ko": 0xAC00, "th": 0xE01}
+    signs = {k: [chr(at + i) for i in range({"en": 26, "ru": 32, "ja": 80, "th": 46}.get(k, 150))] for k, at in first.items()}
+
+    def words(lang):
+        n = 60 if lang in ("en", "ru") else 12
+        return " ".join("".join(rng.choices(signs[lang], k=rng.randint(1, 4))) for _ in range(n))
+
+    rows = [(i, words(lang := list(first)[i % 6]), lang) for i in range(480)]
+    got = language(write(rows, "doc_id long, text string, lang string"), rows=200, landmarks=12).collect()
+    held = [(r.lang_pred, rows[r.doc_id][2]) for r in got if r.held_out]
+    assert len(held) > 80 and {a for _, a in held} == set(first)
+    assert all(np.mean([p == a for p, a in held if a == lang]) > 0.95 for lang in first)
