@@ -1,8 +1,8 @@
 """Personal data: pattern spans, and terms that give a protected value away (DataFrame operations only).
 
 Information-theoretic sanitisation: e-mail addresses, IP addresses, card and phone numbers are the
-protected entities.  Words close to an entity are counted over its distinct contexts, and their
-document frequency over the whole corpus; a term's disclosure of an entity is its pointwise mutual
+protected entities.  Words close to an entity are counted over its distinct contexts (the edited
+copies of a passage are one), and their document frequency over the whole corpus; a term's disclosure of an entity is its pointwise mutual
 information as a share of the entity's own information content,
 
     ln(N * n(c, t) / (n(c) * n(t))) / ln(N / n(c)),
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regalign.llm.common import WORD, attach, keyed, materialize, scan, with_row_key
+from regalign.llm.components import components
 
 KINDS = ["email", "ip", "card", "phone", "generalise", "remove"]
 #: The base patterns, written so that a search never walks a run of characters twice: a match can
@@ -31,7 +32,8 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CONTEXT = 8           # words on either side of an entity
 MIN_CONTEXTS = 3      # distinct contexts of an entity that a term must occur in
 GENERALISE, REMOVE = 0.5, 0.8
-RECURS, PASSAGE = 0.2, 0.5  # words in this share of an entity's contexts; their share of all words that tells a passage
+ALIKE = 0.55          # contexts that share more than this part of their words are edited copies of one passage
+BANDS, ROWS = 16, 2   # min-hash bands that bring such contexts together
 TAGS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "generalise": "<TERM>", "remove": ""}
 
 
@@ -83,31 +85,55 @@ def term(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"^[^\p{L}]+|[^\p{L}]+$", ""))
 
 
-def disclosures(texts: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise: float = GENERALISE,
-                most: float = PASSAGE) -> DataFrame:
+def passages(contexts: DataFrame) -> DataFrame:
+    """``contexts`` (entity, ctx, bag, ...) with ``passage``: equal for an entity's contexts that are edited copies.
+
+    Contexts that agree in a min-hash band are compared with the least of them, and those alike in
+    more than ``ALIKE`` of their words are linked: at most ``BANDS`` links a context, however many
+    copies there are.  Linked contexts are one passage.
+    """
+    def least(j: int) -> Column:
+        return F.array_min(F.transform("bag", lambda w: F.xxhash64(w, F.lit(j))))
+
+    def band(i: int) -> Column:
+        return F.xxhash64("entity", F.lit(i), *[least(j) for j in range(i * ROWS, (i + 1) * ROWS)])
+
+    rows = contexts.where(F.size("bag") > 0).select(
+        "ctx", "bag", F.explode_outer(F.array(*[band(i) for i in range(BANDS)])).alias("band"))
+    rows = materialize(rows, "bands")
+    hubs = rows.groupBy("band").agg(F.min(F.struct("ctx", "bag")).alias("hub"), F.count(F.lit(1)).alias("n"))
+    hubs = materialize(hubs.where("n > 1").drop("n"), "hubs")
+    near = F.size(F.array_intersect("bag", "hub.bag")) > F.lit(ALIKE) * F.size(F.array_union("bag", "hub.bag"))
+    links = attach(rows, hubs, ["band"], how="inner").where((F.col("ctx") != F.col("hub.ctx")) & near)
+    same = materialize(components(links.select(F.col("ctx").alias("a"), F.col("hub.ctx").alias("b"))), "passages")
+    return attach(contexts, same.withColumnRenamed("node", "ctx"), ["ctx"], salts=1).withColumn(
+        "passage", F.coalesce("root", "ctx")).drop("root")
+
+
+def disclosures(texts: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTEXTS,
+                generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity at least as strongly as ``generalise``.
 
-    Contexts that are word for word the same (copies of a text or passage) count once.  Where words
-    that recur in a fifth of an entity's contexts make up more than ``most`` of all words there, the
-    contexts are edited copies of a few passages, which says nothing about single terms, and the
-    entity is left out.  The document frequency of the other candidates is counted over all texts.
+    Contexts that are word for word the same (copies of a text or passage), or edited copies of one
+    passage, count once; such a context has the terms of all its copies.  Every term in
+    ``min_contexts`` contexts of an entity is judged, its document frequency counted over all texts.
     """
     around = base.select(entity(F.col("kind"), F.col("value")).alias("entity"), F.concat("left", "right").alias("words"))
-    around = around.distinct().select("entity", F.array_distinct(F.filter(
-        F.transform("words", term), lambda t: F.length(t) >= 3)).alias("terms"))
-    sizes = around.groupBy("entity").agg(F.count(F.lit(1)).alias("nc"), F.sum(F.size("terms")).alias("words")).where(
-        F.col("nc") >= min_contexts)
-    pairs = around.select("entity", F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
+    around = around.distinct().select("entity", F.xxhash64("entity", "words").alias("ctx"),
+                                      F.array_distinct(F.transform("words", term)).alias("bag"))
+    around = materialize(around, "contexts")
+    enough = around.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_contexts).select("entity")
+    around = materialize(passages(attach(around, materialize(enough, "entities"), ["entity"], how="inner")), "contexts")
+    sizes = around.groupBy("entity").agg(F.count_distinct("passage").alias("nc")).where(F.col("nc") >= min_contexts)
+    pairs = around.select("entity", "passage", F.explode_outer(F.filter("bag", lambda t: F.length(t) >= 3)).alias("term"))
+    pairs = pairs.where(F.col("term").isNotNull()).distinct()
     pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("nct")).where(F.col("nct") >= min_contexts)
     pairs = materialize(pairs.join(sizes, "entity"), "pairs")
-    often = F.sum(F.when(F.col("nct") >= F.lit(RECURS) * F.col("nc"), F.col("nct")).otherwise(0))
-    passage = pairs.groupBy("entity").agg((often > F.lit(most) * F.first("words")).alias("passage")).where("passage")
-    pairs = materialize(pairs.join(passage, "entity", "left_anti"), "pairs")
     # letters only inside a word: what term() leaves; one row per document and term
     words = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
     corpus = texts.select(words.alias("words")).select(F.explode_outer(F.array_distinct("words")).alias("word"))
     seen = corpus.where(F.col("word").isNotNull()).select(term(F.col("word")).alias("term"))
-    seen = attach(seen, materialize(pairs.select("term").distinct(), "terms"), ["term"], how="inner")
+    # counted before the join, so that a common term brings one row
     nt = seen.groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
     n = texts.count()
     total = F.lit(float(max(n, 1)))

@@ -84,3 +84,18 @@ def test_other_columns_and_empty_table(wide, docs, empty, corpus):
     assert out.columns == wide.columns and out.count() == len(corpus)
     assert all(r.n_chars == (len(r.text) if r.text is not None else None) or r.n_chars is None for r in out.collect())
     assert personal_data(empty).count() == 0 and sanitise(empty).count() == 0
+
+
+def test_signature_is_found_and_edited_copies_are_one_context(write):
+    rng = random.Random(2)
+    sign = "Kay Doe Senior Analyst Northwind Traders Rotterdam Office"
+    rows = [prose(rng, 40) for _ in range(300)]
+    rows += [f"{prose(rng, 25)} {sign} kay.doe@mail.example.com {prose(rng, 25)}" for _ in range(14)]
+    near = [f"quarble{chr(97 + i)}" for i in range(16)]
+    for i in range(14):
+        words = [w if j not in (i, (i * 5 + 3) % 16) else f"edit{chr(97 + i)}x" for j, w in enumerate(near)]
+        rows.append(" ".join([prose(rng, 20), *words[:8], "other@mail.example.com", *words[8:], prose(rng, 20)]))
+    docs = write(list(enumerate(rows)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert all(w not in clean[i].split() for i in range(300, 314) for w in sign.split())
+    assert all(clean[i] == rows[i].replace("other@mail.example.com", TAGS["email"]) for i in range(314, 328))
