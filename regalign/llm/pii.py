@@ -131,8 +131,9 @@ def disclosures(texts: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTE
     pairs = materialize(pairs.join(sizes, "entity"), "pairs")
     # letters only inside a word: what term() leaves; one row per document and term
     words = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
-    corpus = texts.select(words.alias("words")).select(F.explode_outer(F.array_distinct("words")).alias("word"))
-    seen = corpus.where(F.col("word").isNotNull()).select(term(F.col("word")).alias("term"))
+    corpus = texts.select(words.alias("words")).select(F.explode_outer(
+        F.array_distinct(F.transform(F.array_distinct("words"), term))).alias("term"))
+    seen = corpus.where(F.col("term").isNotNull())
     # counted before the join, so that a common term brings one row
     nt = seen.groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
     n = texts.count()

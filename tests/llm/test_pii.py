@@ -99,3 +99,12 @@ def test_signature_is_found_and_edited_copies_are_one_context(write):
     clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
     assert all(w not in clean[i].split() for i in range(300, 314) for w in sign.split())
     assert all(clean[i] == rows[i].replace("other@mail.example.com", TAGS["email"]) for i in range(314, 328))
+
+
+def test_spellings_of_a_term_count_once_a_document(write):
+    rng = random.Random(3)
+    rows = [prose(rng, 40) for _ in range(300)]
+    rows += [f"zyxgard, {prose(rng, 20)} zyxgard {prose(rng, 3)} a.b@mail.example.com {prose(rng, 20)} zyxgard." for _ in range(6)]
+    docs = write(list(enumerate(rows)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans.split(",") for r in personal_data(docs).collect()}
+    assert all(sum(x.startswith("remove:") for x in spans[i]) == 3 for i in range(300, 306))
