@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regalign.llm.common import attach, materialize, word_count
+from regalign.llm.common import attach, keyed, materialize, scan, word_count
 from regalign.operators.ranking import row_number_global
 
 WEIGHTS = (5, 2, 1)
@@ -108,7 +108,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, n_sources: int, rounds: int = 60
 
 
 class Mix:
-    """The decisions of a mix as small tables (a few rows per source), applied to any frame with doc_id, source and size."""
+    """The decisions of a mix as small tables (a few rows per source), applied to any frame of ``sizes_of``."""
 
     def __init__(self, sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE):
         targets = materialize(source_targets(sizes, weights, share), "targets")
@@ -117,7 +117,11 @@ class Mix:
         self.plan = materialize(targets.join(duals, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
         self.steps: list[DataFrame] = []
         self.fills: list[DataFrame] = []
-        rows = materialize(self._rated(sizes).select("source", "size", "target", "rate", "whole", "level", "bin"), "rates")
+        # rows equal in id, source, size and text draw by their row key, all others by that hash alone
+        self.repeats = materialize(sizes.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+            "_h", F.lit(True).alias("_again")), "repeats")
+        self.n_repeats = self.repeats.count()
+        rows = materialize(self._rated(sizes).select("_f", "_r", "source", "size", "target", "rate", "whole", "level", "bin"), "rates")
         for _ in range(2):  # then once more among the documents that still fit
             self._round_up(rows)
         for _ in range(2):
@@ -133,7 +137,9 @@ class Mix:
         rate = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.lit(float(MAX_COPIES))).otherwise(
             _rate(F.col("size"), F.col("tilt"), F.col("mean")))
         levels = BINS * BINS
-        draw = F.pmod(F.xxhash64("doc_id", "source", "size", F.lit(71)), F.lit(levels)) / F.lit(float(levels))
+        rows = attach(rows, self.repeats, ["_h"], rows=self.n_repeats)
+        own = [F.when(F.col("_again"), F.col(c)) for c in ("_f", "_r")]
+        draw = F.pmod(F.xxhash64("_h", *own, F.lit(71)), F.lit(levels)) / F.lit(float(levels))
         rows = rows.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
         # draw - fraction lies in (-1, 1)
         level = F.floor((draw - (F.col("rate") - F.col("whole")) + 1.0) / 2.0 * F.lit(levels)).cast("int")
@@ -151,8 +157,8 @@ class Mix:
         rows = rows.withColumn("copies", (F.col("whole") + F.when(F.col("up"), 1).otherwise(0)).cast("int"))
         for best in self.fills:
             rows = self._attach(rows, best)
-            more = (F.col("size") == F.col("best_size")) & (F.col("level") == F.col("best_level")) & (F.col("copies") < MAX_COPIES)
-            rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_size", "best_level")
+            more = (F.col("_f") == F.col("best_f")) & (F.col("_r") == F.col("best_r")) & (F.col("copies") < MAX_COPIES)
+            rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_f", "best_r")
         return rows
 
     def _lacking(self, now: DataFrame) -> DataFrame:
@@ -180,9 +186,9 @@ class Mix:
         now = self._copied(rows)
         fits = self._attach(now, self._lacking(now), "inner").where(
             (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
-        best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"))).alias("x"))
+        best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"), "_f", "_r")).alias("x"))
         self.fills.append(materialize(best.select(
-            "source", F.col("x.size").alias("best_size"), (-F.col("x.order")).alias("best_level")), "fill"))
+            "source", F.col("x._f").alias("best_f"), F.col("x._r").alias("best_r")), "fill"))
 
     def _cut(self, rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
         """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
@@ -196,7 +202,7 @@ class Mix:
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` (doc_id, source, size, ...) with source_size, target, rate, copies and taken."""
         return self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size")).drop(
-            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "up")
+            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "up", "_f", "_r", "_h", "_again")
 
 
 def _fits(limit: Column) -> Column:
@@ -205,25 +211,29 @@ def _fits(limit: Column) -> Column:
 
 
 def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *more) -> DataFrame:
-    """(doc_id, source, size, more...) of every row; ``size`` counts words (null text: 0)."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"), *more)
+    """(doc_id, source, size, _h, more..., _f, _r) of every row of a ``scan``; ``size`` counts words (null text: 0)."""
+    names = [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+             word_count(F.col(text_col)).alias("size")]
+    same = F.xxhash64(F.col(id_col).cast("long"), F.col(source_col).cast("string"), word_count(F.col(text_col)), F.col(text_col))
+    return keyed(docs, [*names, same.alias("_h"), *more])
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies, taken) for every row of ``docs`` (doc_id, text, source).
 
     ``copies`` is 0, 1 or 2 and ``taken`` = copies * size.  Null sources are a source of their own.
-    A source without words has target 0.  Which documents round up depends on a hash of id, source
-    and size: rows equal in all three are copied alike, and reruns agree.  Null and empty texts
+    A source without words has target 0.  Which documents round up depends on a hash of id, source,
+    size and text, among rows equal in all four also on the row key, so each row is drawn on its
+    own; reruns over the same files agree.  Null and empty texts
     have size 0.  An empty table gives no rows; other columns of ``docs`` are not read.
     """
-    sizes = materialize(sizes_of(docs), "sizes")
+    sizes = materialize(sizes_of(scan(docs)), "sizes")
     return Mix(sizes, weights, share).apply(sizes)
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all their columns and then ``copy`` (1, 2)."""
+    docs = scan(docs)
     plan = Mix(materialize(sizes_of(docs), "sizes"), weights, share)
     rows = sizes_of(docs, "doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     rows = plan.apply(rows).where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))

@@ -74,3 +74,13 @@ def test_blank_and_empty_tables(write, empty):
     assert mix(empty).count() == 0 and mixed(empty).count() == 0
     blank = mix(write([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")).collect()
     assert [(r.target, r.taken) for r in blank] == [(0.0, 0), (0.0, 0)]
+
+
+def test_rows_without_id_are_drawn_one_by_one(write):
+    rows = [(None, "w " * 40, "a")] * 1000 + [(None, f"x{i} " * 40, "b") for i in range(1000)]
+    rows += [(i, "v " * (1 + i % 30), s) for i in range(500) for s in "ab"]
+    got = mix(write(rows, "doc_id long, text string, source string")).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("words")).collect()
+    assert len(got) == 2
+    for r in got:
+        assert 0 < r.target <= 2 * r.words and 0 <= r.target - r.taken < 40
