@@ -3,10 +3,11 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from paths import DATA, ROOT  # noqa: E402
 
-DATA = os.path.join(ROOT, "tests", "data")
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")

@@ -9,7 +9,7 @@ from regalign.operators import learn, quality
 from regalign.session import scratch_path
 from regalign.sources import delimited, registry
 
-from conftest import DATA
+from paths import DATA
 
 
 def test_ingest_and_validate(spark):

@@ -7,7 +7,7 @@ from regalign.plans.pipeline import run
 from regalign.session import scratch_path
 from regalign.sources import registry
 
-from conftest import DATA
+from paths import DATA
 
 
 def test_run_twice(spark):
