@@ -13,6 +13,7 @@ from regalign.llm.decontaminate import contaminated
 from regalign.llm.langid import language
 from regalign.llm.mixing import mix
 from regalign.llm.pii import personal_data
+from regalign.llm.ptolemy import cluster
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
 from regalign.llm.token_rollup import Rollup, count_tokens, deletes, inserts
@@ -108,10 +109,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_remo
 FROM d LEFT JOIN per USING (r)
 """
 
+
+
+def op13_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cluster(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
+    return out.drop("checked")  # the pairs the bounds left are no part of the result
+
+
+def _op13_sql(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64) -> str:
+    """Plain Lloyd rounds: one row per vector and component, all distances worked out."""
+    parts = [f"""v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings WHERE len(embedding) = {dim}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(x) < {(1 << 27) / scale})) = {dim}),
+x AS (SELECT r, unnest(generate_series(1, {dim})) AS j, unnest(w) AS a FROM v),
+c0 AS (
+  SELECT k, unnest(generate_series(1, {dim})) AS j, unnest(w) AS b
+  FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, w) - 1 AS k, w FROM v) WHERE k < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS (SELECT r, k, CAST(sum((a - b) * (a - b)) AS BIGINT) AS d FROM x JOIN c{i} USING (j) GROUP BY r, k),
+a{i} AS (SELECT r, k, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, k) AS o FROM d{i}) WHERE o = 1)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (SELECT k, j, sum(a) AS t, count(*) AS n FROM x JOIN a{i} USING (r) GROUP BY k, j),
+c{i + 1} AS (
+  SELECT c.k, c.j, CASE WHEN n IS NULL THEN b ELSE CAST(t // n - CASE WHEN t % n < 0 THEN 1 ELSE 0 END AS BIGINT) END AS b
+  FROM c{i} c LEFT JOIN s{i} s ON s.k = c.k AND s.j = c.j)""")
+    return "WITH " + ",\n".join(parts) + f""",
+h AS (SELECT k, sha256(string_agg(CAST(b AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN h ON h.k = a.k
+"""
+
+
+OP13_SQL = _op13_sql()
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_mix_sources, op3_token_rollup, op4_language_id, op5_toxicity, op6_personal_data,
-        op7_simhash_dedup, op8_chat_rotation, op9_quality_rules, op10_debruijn_dedup)
+        op7_simhash_dedup, op8_chat_rotation, op9_quality_rules, op10_debruijn_dedup,
+        op13_ptolemaic_clusters)
 }
 
-ORACLES: dict[str, str] = {"op8_chat_rotation": OP8_SQL, "op10_debruijn_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op8_chat_rotation": OP8_SQL, "op10_debruijn_dedup": OP10_SQL,
+                           "op13_ptolemaic_clusters": OP13_SQL}
