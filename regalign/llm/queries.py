@@ -10,6 +10,7 @@ from regalign.llm.chat import rotate
 from regalign.llm.common import materialize, read_table, scratch_path
 from regalign.llm.debruijn import remove_repeats
 from regalign.llm.decontaminate import contaminated
+from regalign.llm.int8_tiles import near_vectors
 from regalign.llm.langid import language
 from regalign.llm.mixing import mix
 from regalign.llm.pii import personal_data
@@ -111,6 +112,28 @@ FROM d LEFT JOIN per USING (r)
 
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, FALSE) AS good
+  FROM embeddings),
+g AS (SELECT r, CAST(embedding AS DOUBLE[]) AS x FROM v WHERE good),
+l AS (
+  SELECT a.r, b.r AS s FROM g a JOIN g b ON a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.9),
+reach(r, s) AS (SELECT r, r FROM v UNION SELECT reach.r, l.s FROM reach JOIN l ON l.r = reach.s),
+c AS (SELECT reach.r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.s GROUP BY reach.r),
+n AS (SELECT r, count(*) AS n FROM l GROUP BY r)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def op13_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cluster(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
     return out.drop("checked")  # the pairs the bounds left are no part of the result
@@ -148,8 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_mix_sources, op3_token_rollup, op4_language_id, op5_toxicity, op6_personal_data,
         op7_simhash_dedup, op8_chat_rotation, op9_quality_rules, op10_debruijn_dedup,
-        op13_ptolemaic_clusters)
+        op11_embedding_dedup, op13_ptolemaic_clusters)
 }
 
 ORACLES: dict[str, str] = {"op8_chat_rotation": OP8_SQL, "op10_debruijn_dedup": OP10_SQL,
-                           "op13_ptolemaic_clusters": OP13_SQL}
+                           "op11_embedding_dedup": OP11_SQL, "op13_ptolemaic_clusters": OP13_SQL}
