@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regalign.llm.chat import rotate
 from regalign.llm.common import materialize, read_table, scratch_path
+from regalign.llm.conv_repair import damaged, repair
 from regalign.llm.debruijn import remove_repeats
 from regalign.llm.decontaminate import contaminated
 from regalign.llm.int8_tiles import near_vectors
@@ -134,6 +135,72 @@ FROM v JOIN c USING (r) LEFT JOIN n USING (r)
 """
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations)
+
+
+#: crc32 bit by bit; then the edits as a recursion over rows that carries the least (cost, audit) of each state.
+OP12_SQL = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len(k) + 1),
+      lambda i: [ascii(k[i])::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT, -1::BIGINT]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END),
+      4294967295::BIGINT) % 20 AS d FROM c),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS n
+  FROM h WHERE d <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, n) AS i FROM rows_),
+f AS (
+  SELECT *, left(role, 1) AS r,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed),
+stat AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS last FROM f GROUP BY conv_id),
+ins(s, t, price, letters, lines) AS (VALUES
+  (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']), (3, 2, 2, 'I', ['user:']),
+  (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:']),
+  (2, 2, 4, 'II', ['assistant:', 'user:']), (3, 3, 4, 'II', ['user:', 'assistant:'])),
+act(letter, r, s, t, price) AS (VALUES
+  ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0),
+  ('R', '', 0, 2, 2), ('R', '', 1, 2, 2), ('R', '', 3, 2, 2), ('R', '', 2, 3, 2),
+  ('D', '', 0, 0, 3), ('D', '', 1, 1, 3), ('D', '', 2, 2, 3), ('D', '', 3, 3, 3)),
+path(conv_id, i, s, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]} FROM stat
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, act.t,
+         min({'cost': p.best.cost + ins.price + act.price + CASE WHEN f.fault = 3 AND act.letter <> 'D' THEN 1 ELSE 0 END,
+              'audit': p.best.audit || ins.letters || act.letter,
+              'lines': list_concat(p.best.lines, ins.lines, CASE act.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [f.role || ':' || f.text]
+                ELSE [CASE act.t WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || f.text] END)})
+  FROM path p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1 JOIN ins ON ins.s = p.s
+  JOIN act ON act.s = ins.t AND (act.letter <> 'K' OR act.r = f.r) AND (act.letter = 'D' OR f.fault NOT IN (1, 2))
+  GROUP BY p.conv_id, p.i, act.t),
+done AS (
+  SELECT st.conv_id, min({'cost': p.best.cost + ins.price, 'audit': p.best.audit || ins.letters, 'lines': list_concat(p.best.lines, ins.lines)}) AS best
+  FROM path p JOIN stat st ON st.conv_id IS NOT DISTINCT FROM p.conv_id AND st.last = p.i JOIN ins ON ins.s = p.s
+  WHERE ins.t IN (0, 3) GROUP BY st.conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM every e LEFT JOIN stat ON stat.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 def op13_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cluster(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
     return out.drop("checked")  # the pairs the bounds left are no part of the result
@@ -171,8 +238,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_mix_sources, op3_token_rollup, op4_language_id, op5_toxicity, op6_personal_data,
         op7_simhash_dedup, op8_chat_rotation, op9_quality_rules, op10_debruijn_dedup,
-        op11_embedding_dedup, op13_ptolemaic_clusters)
+        op11_embedding_dedup, op12_conversation_repair, op13_ptolemaic_clusters)
 }
 
 ORACLES: dict[str, str] = {"op8_chat_rotation": OP8_SQL, "op10_debruijn_dedup": OP10_SQL,
-                           "op11_embedding_dedup": OP11_SQL, "op13_ptolemaic_clusters": OP13_SQL}
+                           "op11_embedding_dedup": OP11_SQL, "op12_conversation_repair": OP12_SQL,
+                           "op13_ptolemaic_clusters": OP13_SQL}
