@@ -79,7 +79,19 @@ def train(train_df: DataFrame, pipeline: Pipeline | None = None, require_both_cl
         n_classes = train_df.select(target).distinct().limit(2).count()
         if n_classes < 2:
             raise ValueError("training data has a single class; the classifier is undefined")
-    return (pipeline or build_pipeline(target=target)).fit(train_df)
+    return _without_summary((pipeline or build_pipeline(target=target)).fit(train_df))
+
+
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without its training summary, which nothing here uses.
+
+    The summary holds on to the training session, and a session that has observed metrics can't be
+    sent to tasks (SparkSession's observation manager isn't serialisable), so scoring would fail.
+    """
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -67,7 +67,12 @@ def with_row_id(prepared: DataFrame, name: str) -> DataFrame:
     The id is fixed by the write.  It tells equal rows apart, so that copies of a row spread over
     the cells of a balanced join and over the ranges of a ranking.
     """
-    return materialize(prepared.withColumn(ROW_ID, F.monotonically_increasing_id()), name)
+    return materialize(row_numbered(prepared), name)
+
+
+def row_numbered(prepared: DataFrame) -> DataFrame:
+    """``prepared`` with the row id, for a caller that writes it."""
+    return prepared.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
 def distinct_names(prepared: DataFrame, prefix: str, block_chars: int = 3, name_col: str = "normalized_name",

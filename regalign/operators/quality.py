@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,21 +21,35 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def validate(df: DataFrame, required: list[str], source_name: str) -> bool:
-    """Raise ``ValueError("No data found in ...")`` on an empty frame; log null counts.
+def observed(df: DataFrame, required: list[str]) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows and nulls (the columns of ``null_profile``) when it is next written or read.
 
-    Emptiness and null counts come from the same single aggregate job.
+    The counts come from the pass that uses the rows, so a check costs no job of its own.
     """
-    row = null_profile(df, required).first()
-    if row["n_rows"] == 0:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                      *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]), seen
+
+
+def judge(counts: dict, required: list[str], source_name: str) -> bool:
+    """Raise ``ValueError("No data found in ...")`` when the counts say the source is empty; log nulls."""
+    if counts["n_rows"] == 0:
         raise ValueError(f"No data found in {source_name}")
     for c in required:
-        n = row[f"null_{c}"]
+        n = counts[f"null_{c}"]
         if n:
             log.warning("%s: found %d null values in %s", source_name, n, c)
     return True
 
 
+def validate(df: DataFrame, required: list[str], source_name: str) -> bool:
+    """Raise ``ValueError("No data found in ...")`` on an empty frame; log null counts.
+
+    Emptiness and null counts come from the same single aggregate job.
+    """
+    return judge(null_profile(df, required).first().asDict(), required, source_name)
+
+
 def check_contract(df: DataFrame, contract: T.StructType, key: str | None = None) -> DataFrame:
     """Violations of a schema contract as rows (column, problem, expected, actual, null_rows).
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from regalign.functions.similarity import name_features, score_name_pairs
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
-from regalign.operators import learn, matching as M, quality, upsert
+from regalign.operators import bucketed, learn, matching as M, quality, upsert
 from regalign.plans import views as V
 from regalign.session import ensure_checkpoint_dir, materialize, parallelism, scratch_path
 from regalign.sources import delimited, registry
@@ -282,6 +283,79 @@ def q_compact_orders(spark, d):
     return spark.read.parquet(path)
 
 
+def q_compact_joined(spark, d):
+    """A joined frame compacted into files of 1 MB; whether their number is within twice its bytes / 1 MB."""
+    o, li = V.table(spark, d, "orders"), V.table(spark, d, "lineitem")
+    joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "o_custkey", "o_orderdate")
+    path, mb = scratch_path(spark, "joined-compact"), 1 << 20
+    upsert.compact(joined, path, sort_key=["l_orderkey", "l_linenumber"], target_bytes=mb)
+    back = spark.read.parquet(path)
+    size = upsert.folder_sizes(back).first()
+    want = max(1.0, size["bytes"] / mb)
+    return back.withColumn("files_fit", F.lit(want / 2 <= size["files"] <= 2 * want + 1))
+
+
+def q_compact_folders(spark, d):
+    """Orders stored by year in many small files, compacted folder by folder: rows and files of each."""
+    o = V.table(spark, d, "orders").withColumn("o_year", F.year("o_orderdate"))
+    many, path = scratch_path(spark, "orders-small-files"), scratch_path(spark, "orders-by-year")
+    o.repartition(12).write.partitionBy("o_year").parquet(many)
+    upsert.compact(spark.read.parquet(many), path, sort_key="o_orderkey", partition_by=["o_year"])
+    back = spark.read.parquet(path)
+    files = back.groupBy("o_year", F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
+    return files.groupBy("o_year").agg(F.sum("n").alias("n_rows"), (
+        F.count(F.lit(1)) <= 2 * F.ceil(F.sum("size") / upsert.TARGET_FILE_BYTES)).alias("files_fit"))
+
+
+def _merge_bucketed(spark, d):
+    t, s = _orders_split(spark, d)
+    name = "orders_" + uuid.uuid4().hex
+    bucketed.write_bucketed(t, name, "o_orderkey", buckets=parallelism(spark))
+    return bucketed.merge_bucketed(spark, name, s, "o_orderkey", name + "_merged", stamp_col=None)
+
+
+def q_merge_bucketed(spark, d):
+    """The merge of orders on a stored, bucketed table: the new version as stored."""
+    return _merge_bucketed(spark, d)[0]
+
+
+def q_merge_bucketed_stats(spark, d):
+    """What the job that wrote the new version counted."""
+    stats = _merge_bucketed(spark, d)[1]
+    return spark.range(1).select(*[F.lit(stats[k]).cast("long").alias(k) for k in bucketed.STATS])
+
+
+def q_merge_sql_view(spark, d):
+    """The MERGE as one SQL query over registered views, stamped with a given time."""
+    t, s = _orders_split(spark, d)
+    t = t.withColumn("last_updated", F.lit(None).cast("timestamp"))
+    target = upsert.register_updates(t, "orders_target")
+    updates = upsert.register_updates(s, "harmonized_updates")
+    return upsert.merge_with_sql(spark, target, updates, "o_orderkey", ts=FIXED_TS)
+
+
+def _event_log(spark, d):
+    return upsert.write_log(_event_changes(spark, d), scratch_path(spark, "event-log"))
+
+
+def q_as_of_log(spark, d):
+    """States by snapshot and by time, each read from a log on disk of one folder a day."""
+    path = _event_log(spark, d)
+    noon = F.lit("2024-01-10 12:00:00").cast("timestamp_ntz")
+    by_id = upsert.as_of_log(spark, path, "user_id", version=20240115, version_cols=_EV_ORDER)
+    by_time = upsert.as_of_log(spark, path, "user_id", timestamp=noon, version_cols=_EV_ORDER)
+    return by_id.withColumn("asked", F.lit("version")).unionByName(by_time.withColumn("asked", F.lit("timestamp")))
+
+
+def q_snapshot_files(spark, d):
+    """What each snapshot of the event log holds on disk."""
+    facts = upsert.snapshot_files(spark, _event_log(spark, d))
+    return facts.select("snapshot_id", "n_rows", "n_days", (F.col("n_files") >= F.col("n_days")).alias("file_per_day"),
+                        (F.col("bytes") > 0).alias("has_bytes"), (F.col("newest_file") <= F.current_timestamp()).alias("written_before_now"))
+
+
 def _event_changes(spark, d):
     e = V.table(spark, d, "events")
     return e.select("user_id", "event_id", "ts", "event_type", "value", "props",
@@ -460,6 +534,13 @@ QUERIES: dict[str, Query] = {
     "merge_wide": q_merge_wide,
     "registry_metadata": q_registry_metadata,
     "compact_orders": q_compact_orders,
+    "compact_joined": q_compact_joined,
+    "compact_folders": q_compact_folders,
+    "merge_bucketed": q_merge_bucketed,
+    "merge_bucketed_stats": q_merge_bucketed_stats,
+    "merge_sql_view": q_merge_sql_view,
+    "as_of_log": q_as_of_log,
+    "snapshot_files": q_snapshot_files,
     "as_of_version": q_as_of_version,
     "as_of_timestamp": q_as_of_timestamp,
     "current_state": q_current_state,

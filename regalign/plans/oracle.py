@@ -310,6 +310,15 @@ def oracle_queries() -> dict[str, str]:
         f"CAST(coalesce(sum(CASE WHEN sn IS NULL THEN tn END), 0) AS BIGINT) AS unchanged_rows, "
         f"CAST(coalesce(sum(CASE WHEN sn IS NULL THEN tn END), 0) + coalesce(sum(sn), 0) AS BIGINT) AS after_rows FROM j")
     out["compact_orders"] = "SELECT * FROM orders"
+    out["compact_joined"] = ("SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey, o_orderdate, TRUE AS files_fit "
+                             "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    out["compact_folders"] = ("SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, count(*) AS n_rows, TRUE AS files_fit "
+                              "FROM orders GROUP BY 1")
+    out["merge_bucketed"] = out["merge_upsert"]
+    out["merge_bucketed_stats"] = out["merge_stats"]
+    out["merge_sql_view"] = (
+        f"WITH t AS ({tgt}), s AS ({src}) SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS last_updated FROM s UNION ALL "
+        "SELECT *, NULL FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)")
 
     # ---- events as a change log keyed by user_id: one snapshot per day
     chg = ("SELECT user_id, event_id, ts, event_type, value, props, "
@@ -319,6 +328,11 @@ def oracle_queries() -> dict[str, str]:
     out["as_of_version"] = latest.format(inner=f"SELECT * FROM ({chg}) WHERE snapshot_id <= 20240115")
     out["as_of_timestamp"] = latest.format(
         inner=f"SELECT * FROM ({chg}) WHERE committed_at <= TIMESTAMP '2024-01-10 12:00:00'")
+    out["as_of_log"] = (f"SELECT *, 'version' AS asked FROM ({out['as_of_version']}) UNION ALL "
+                        f"SELECT *, 'timestamp' AS asked FROM ({out['as_of_timestamp']})")
+    out["snapshot_files"] = (
+        f"SELECT snapshot_id, count(*) AS n_rows, count(DISTINCT CAST(committed_at AS DATE)) AS n_days, TRUE AS file_per_day, "
+        f"TRUE AS has_bytes, TRUE AS written_before_now FROM ({chg}) GROUP BY snapshot_id")
     out["current_state"] = latest.format(inner=chg)
     out["snapshot_log"] = (
         f"SELECT snapshot_id, max(committed_at) AS committed_at, count(*) AS changed_rows, "

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regalign.operators import learn, matching as M, upsert
+from regalign.operators import learn, matching as M, quality, upsert
 from regalign.session import materialize
 from regalign.sources import delimited, registry
 
@@ -29,21 +29,22 @@ def commit_upsert(spark: SparkSession, registry_path: str, source: DataFrame, ke
     """MERGE ``source`` into the registry as a new snapshot; returns (snapshot id, merge stats).
 
     Only the source rows are written (an upsert changes exactly those keys); the state at
-    any snapshot is then ``upsert.as_of`` over the change log.
+    any snapshot is then ``upsert.as_of`` over the change log.  Rows without a key are counted by
+    the pass that fixes the rows.  The statistics read keys only.
     """
     changes = registry.read_changes(spark, registry_path)
     stamp = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
-    rows = materialize(registry.conform(source.withColumn("last_updated", stamp)), "commit")
+    rows, seen = quality.observed(registry.conform(source.withColumn("last_updated", stamp)), [key])
+    rows = materialize(rows, "commit")
+    if seen.get[f"null_{key}"]:
+        raise ValueError(f"{key} must not be null")
     if not rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         raise ValueError(f"MERGE: more than one source row for a {key}")
     sid = snapshot_id if snapshot_id is not None else registry.next_snapshot_id(spark, registry_path)
-    if changes is not None:
-        current = upsert.read_current(changes.where(F.col("snapshot_id") < sid), key)
-        stats = upsert.merge_stats(current, rows, key)
-    else:
-        stats = upsert.merge_stats(rows.limit(0), rows, key)
+    before = rows.select(key).limit(0) if changes is None else changes.where(F.col("snapshot_id") < sid).select(key).distinct()
+    stats = upsert.merge_stats(before, rows, key)
     committed = ts if ts is not None else F.current_timestamp()
-    registry.write_snapshot(rows, registry_path, sid, committed, key)
+    registry.write_snapshot(rows, registry_path, sid, committed, key, checked=True)
     return sid, stats
 
 
@@ -53,9 +54,10 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
     """The whole flow with the reference's two switches.  Everything returned is a DataFrame."""
     res = PipelineResult()
     if not skip_ingestion:
-        s1, s2 = delimited.ingest_all(spark, delimited.default_specs(source1_path, source2_path), ts)
-        lp = M.with_row_id(M.prepare_left(s1.drop("source", "ingestion_timestamp"), cfg=cfg), "left-prepared")
-        rp = M.with_row_id(M.prepare_right(s2.drop("source", "ingestion_timestamp"), cfg=cfg), "right-prepared")
+        one, two = delimited.default_specs(source1_path, source2_path)
+        lineage = ("source", "ingestion_timestamp")
+        lp = delimited.ingest(spark, one, ts, lambda s: M.row_numbered(M.prepare_left(s.drop(*lineage), cfg=cfg)))
+        rp = delimited.ingest(spark, two, ts, lambda s: M.row_numbered(M.prepare_right(s.drop(*lineage), cfg=cfg)))
         matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
         res.harmonized = M.harmonize(lp, rp, matches, cfg, ts, matches_materialized=True)
         # one row per id before the MERGE (several matched pairs can share an id), computed

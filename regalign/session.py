@@ -72,7 +72,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # a known schema saves the job that reads footers
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -92,14 +92,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables of this session that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    own = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path not in own:
+            raise ValueError(f"not a scratch table of this session: {path}")
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        own.remove(path)
+
+
 def cleanup_scratch(spark: SparkSession) -> int:
     """Delete every scratch table this session has written; returns how many there were.
 
     Call it when the results built on them have been written: frames that read them stop working.
     """
-    paths = _scratch.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+    paths = list(_scratch.get(spark.sparkContext.applicationId, []))
+    remove_scratch(spark, *paths)
     return len(paths)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regalign.operators.quality import validate
+from regalign.operators.quality import judge, observed
+from regalign.session import materialize
 
 SUPPLY_CHAIN_SCHEMA = T.StructType([
     T.StructField("corporate_name_s1", T.StringType(), False),
@@ -66,11 +68,19 @@ def default_specs(source1_path: str, source2_path: str) -> list[SourceSpec]:
     ]
 
 
-def ingest_all(spark: SparkSession, specs: list[SourceSpec], ts=None) -> list[DataFrame]:
-    """Read every source, add lineage, validate (raises on an empty source)."""
-    out = []
-    for spec in specs:
-        df = with_lineage(read_delimited(spark, spec.path, spec.schema), spec.name, ts)
-        validate(df, list(spec.required), spec.name)
-        out.append(df)
+def ingest(spark: SparkSession, spec: SourceSpec, ts=None, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Read a source, add lineage, and write it once to the shared folder, validated by that write.
+
+    Row and null counts are observed while the rows are written, so the file is parsed once and the
+    check is no job of its own.  ``prepare`` is applied before the write (normalised names, row
+    ids), so the written rows are the ones later passes read.  Raises on an empty source.
+    """
+    rows, seen = observed(with_lineage(read_delimited(spark, spec.path, spec.schema), spec.name, ts), list(spec.required))
+    out = materialize(prepare(rows) if prepare else rows, spec.name)
+    judge(seen.get, list(spec.required), spec.name)
     return out
+
+
+def ingest_all(spark: SparkSession, specs: list[SourceSpec], ts=None) -> list[DataFrame]:
+    """Every source by ``ingest`` (raises on an empty source)."""
+    return [ingest(spark, spec, ts) for spec in specs]

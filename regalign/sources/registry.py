@@ -111,13 +111,14 @@ def next_snapshot_id(spark: SparkSession, path: str) -> int:
     return 1 if top is None else int(top) + 1
 
 
-def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at, key: str = "corporate_id") -> None:
+def write_snapshot(rows: DataFrame, path: str, snapshot_id: int, committed_at, key: str = "corporate_id",
+                   checked: bool = False) -> None:
     """Write one commit's rows as the new partition ``snapshot_id=N``, divided by day.
 
-    Fails if the snapshot exists (nothing is ever replaced) and if a row has no key.  One writer
-    at a time: the folder is checked when the write begins.
+    Fails if the snapshot exists (nothing is ever replaced) and if a row has no key (unless the
+    caller has ``checked`` that).  One writer at a time: the folder is checked when the write begins.
     """
-    if not rows.where(F.col(key).isNull()).isEmpty():
+    if not checked and not rows.where(F.col(key).isNull()).isEmpty():
         raise ValueError(f"{key} must not be null")
     tagged = rows.withColumn("committed_at", F.lit(committed_at).cast("timestamp"))
     days = []

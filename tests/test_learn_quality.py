@@ -1,6 +1,7 @@
 """Sources, data quality, registry layout, training data, metrics."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,31 @@ def test_ingest_and_validate(spark):
     assert s1.where(F.col("corporate_name_s1") == 'Juniper "Old Mill" Bakery').count() == 1  # embedded quotes too
 
 
+def _jobs(spark, action):
+    """Jobs an action starts."""
+    sc, group = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(group, group)
+    try:
+        action()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setJobGroup("other", "other")
+
+
+def test_ingest_checks_in_the_pass_that_writes(spark, tmp_path):
+    one, _ = delimited.default_specs(os.path.join(DATA, "source1.csv"), os.path.join(DATA, "source2.csv"))
+    plain = _jobs(spark, lambda: delimited.with_lineage(delimited.read_delimited(spark, one.path, one.schema), "s").write.parquet(
+        scratch_path(spark, "plain")))
+    assert _jobs(spark, lambda: delimited.ingest(spark, one)) == plain
+    empty = tmp_path / "empty.csv"
+    empty.write_text("corporate_name_s1,address,activity_places,top_suppliers\n")
+    with pytest.raises(ValueError, match="No data found in source1"):
+        delimited.ingest(spark, delimited.default_specs(str(empty), str(empty))[0])
+    rows, seen = quality.observed(spark.createDataFrame([("A", None), (None, "x")], "a string, b string"), ["a", "b"])
+    rows.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n_rows": 2, "null_a": 1, "null_b": 1}
+
+
 def test_validate_empty_raises(spark):
     empty = spark.createDataFrame([], "corporate_name_s1 string, address string")
     with pytest.raises(ValueError, match="No data found"):
@@ -90,6 +116,14 @@ def test_pipeline_and_metrics(spark):
     assert [r.feature for r in coef] == learn.FEATURES + ["intercept"]
 
 
+def test_scoring_works_in_a_session_that_has_observed(spark):
+    rows, seen = quality.observed(spark.range(3), ["id"])
+    rows.write.format("noop").mode("overwrite").save()
+    assert seen.get["n_rows"] == 3
+    prep = learn.prepare_training(_ml_frame(spark))
+    assert learn.score(learn.train(prep), prep).count() == 5
+
+
 def test_single_class_refused(spark):
     prep = learn.prepare_training(_ml_frame(spark), threshold=0)
     with pytest.raises(ValueError, match="single class"):

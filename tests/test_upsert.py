@@ -93,6 +93,74 @@ def test_merge_through_sql(spark):
     assert out == {"a": 1, "b": 20, "c": 30}
 
 
+def test_merge_through_sql_stamps_and_checks(spark):
+    target = spark.createDataFrame([("a", 1, None), ("b", 2, None), (None, 3, None)], "id string, v long, last_updated timestamp")
+    t = upsert.register_updates(target, "stamped_target")
+    s = upsert.register_updates(spark.createDataFrame([("b", 20), ("c", 30), ("c", 31), (None, 40)], SCHEMA), "harmonized_updates")
+    out = upsert.merge_with_sql(spark, t, s, "id", ts="2024-03-01 00:00:00")
+    got = sorted(((r.id, r.v, str(r.last_updated)) for r in out.collect()), key=repr)
+    new, old = "2024-03-01 00:00:00", "None"
+    # a key that occurs twice but hits no target row is two inserts, as in MERGE
+    assert got == sorted([("a", 1, old), ("b", 20, new), ("c", 30, new), ("c", 31, new), (None, 3, old), (None, 40, new)], key=repr)
+    upsert.register_updates(spark.createDataFrame([("b", 20), ("b", 21)], SCHEMA), "harmonized_updates")
+    with pytest.raises(Exception, match="more than one source row"):
+        upsert.merge_with_sql(spark, t, "harmonized_updates", "id").collect()
+
+
+def test_compact_sizes_come_from_files_not_from_estimates(spark):
+    a = spark.range(0, 3000).select(F.col("id").alias("k"), F.rand(1).alias("x"))
+    b = spark.range(0, 3000).select(F.col("id").alias("k"), F.rand(2).alias("y"))
+    pa, pb = scratch_path(spark, "a"), scratch_path(spark, "b")
+    a.write.parquet(pa)
+    b.write.parquet(pb)
+    joined = spark.read.parquet(pa).join(spark.read.parquet(pb), "k").join(spark.read.parquet(pa).withColumnRenamed("x", "z"), "k")
+    estimate = int(str(joined._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    path = upsert.compact(joined, scratch_path(spark, "joined"), "k", target_bytes=20_000)
+    size = upsert.folder_sizes(spark.read.parquet(path)).first()
+    want = size["bytes"] / 20_000
+    assert want / 2 <= size["files"] <= 2 * want and estimate > 100 * size["bytes"]
+    assert spark.read.parquet(path).count() == 3000
+    nothing = upsert.compact(joined.where("k < 0"), scratch_path(spark, "none"), "k")
+    assert spark.read.schema(joined.schema).parquet(nothing).count() == 0
+
+
+def test_compact_folder_by_folder(spark):
+    rows = spark.range(0, 20_000).select(F.col("id"), F.when(F.col("id") < 19_000, F.lit("big")).otherwise(
+        F.concat(F.lit("d"), F.col("id") % 4)).alias("day"), F.rand(3).alias("x"))
+    many = scratch_path(spark, "many")
+    rows.repartition(10).write.partitionBy("day").parquet(many)
+    src = spark.read.parquet(many)
+    assert upsert.folder_sizes(src).count() == 5 and upsert.folder_sizes(src).agg(F.sum("files")).first()[0] == 50
+    path = upsert.compact(src, scratch_path(spark, "few"), "id", target_bytes=60_000, partition_by=["day"])
+    files = {r.folder.rsplit("=", 1)[1]: r.files for r in upsert.folder_sizes(spark.read.parquet(path)).collect()}
+    assert 3 <= files["big"] <= 8 and all(files[f"d{i}"] <= 2 for i in range(4))
+    back = spark.read.parquet(path)
+    assert back.count() == 20_000 and back.agg(F.sum("id")).first()[0] == sum(range(20_000))
+
+
+def test_as_of_log_reads_only_the_folders_it_needs(spark, changes):
+    path = upsert.write_log(changes, scratch_path(spark, "log"))
+    assert _state(upsert.as_of_log(spark, path, "id", version=2)) == {"a": 1, "b": 20, "c": 30}
+    assert _state(upsert.as_of_log(spark, path, "id", timestamp="2024-01-02 12:00:00")) == {"a": 1, "b": 20, "c": 30}
+    assert _state(upsert.as_of_log(spark, path, "id", version=1, timestamp="2024-01-03")) == {"a": 1, "b": 2}
+    assert _state(upsert.as_of_log(spark, path, "id", version=0)) == {}
+    assert set(upsert.as_of_log(spark, path, "id", version=1).columns) == set(changes.columns)
+    with pytest.raises(ValueError, match="Either snapshot_id or timestamp"):
+        upsert.as_of_log(spark, path, "id")
+    for df, column in ((upsert.as_of_log(spark, path, "id", version=1), "snapshot_id"),
+                       (upsert.as_of_log(spark, path, "id", timestamp="2024-01-01 12:00:00"), "commit_date")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert column in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_snapshot_files_reads_no_data_column(spark, changes):
+    path = upsert.write_log(changes, scratch_path(spark, "log-files"))
+    facts = upsert.snapshot_files(spark, path)
+    assert "ReadSchema: struct<>" in facts._jdf.queryExecution().executedPlan().toString()
+    got = {r.snapshot_id: (r.n_rows, r.n_days, r.n_files >= 1, r.bytes > 0) for r in facts.collect()}
+    assert got == {1: (2, 1, True, True), 2: (2, 1, True, True), 3: (1, 1, True, True)}
+
+
 def test_registry_metadata(spark):
     from regalign.sources import registry
 
