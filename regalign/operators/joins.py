@@ -25,16 +25,20 @@ DEFAULT_MAX_PAIRS = 20_000_000
 MIN_CELL_PAIRS = 1_000
 
 
-def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs: int,
-                 left_counts: DataFrame | None = None, right_counts: DataFrame | None = None) -> DataFrame:
-    """Keys whose pair count exceeds ``max_pairs``, with grid sides ``_ga`` x ``_gb``.
+def key_work(left: DataFrame, right: DataFrame, keys: list[str], left_counts: DataFrame | None = None,
+             right_counts: DataFrame | None = None) -> DataFrame:
+    """Per key on both sides: rows of either (``_nl``, ``_nr``) and pairs (``_w``).
 
     ``left_counts`` / ``right_counts`` (keys + ``_nl`` / ``_nr``) may be given when the
     caller already has them from an earlier aggregate; otherwise they are counted here.
     """
     lc = left_counts if left_counts is not None else left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
     rc = right_counts if right_counts is not None else right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
-    work = lc.join(rc, keys).withColumn("_w", F.col("_nl").cast("double") * F.col("_nr").cast("double"))
+    return lc.join(rc, keys).withColumn("_w", F.col("_nl").cast("double") * F.col("_nr").cast("double"))
+
+
+def hot_key_grid(work: DataFrame, keys: list[str], max_pairs: int) -> DataFrame:
+    """Keys whose pair count exceeds ``max_pairs``, with grid sides ``_ga`` x ``_gb``."""
     budget = F.lit(float(max_pairs))
     # about square, but a side has at most as many cells as rows, and what one side can't be cut
     # into is made up on the other
@@ -44,15 +48,13 @@ def hot_key_grid(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     return work.where(F.col("_w") > budget).select(*keys, ga.cast("int").alias("_ga"), gb.cast("int").alias("_gb"))
 
 
-def pair_budget(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], max_pairs: int,
-                target_cells: int, min_pairs: int = MIN_CELL_PAIRS) -> int:
+def pair_budget(work: DataFrame, max_pairs: int, target_cells: int, min_pairs: int = MIN_CELL_PAIRS) -> int:
     """Pairs per grid cell so the join makes about ``target_cells`` cells, at least
     ``min_pairs`` and never above the caller's cap ``max_pairs``.  The total comes back
-    as one number from an aggregate over the per-key count tables (one row per key,
+    as one number from an aggregate over the per-key count table (one row per key,
     never the rows themselves).
     """
-    total = left_counts.join(right_counts, keys).agg(
-        F.sum(F.col("_nl").cast("double") * F.col("_nr").cast("double")).alias("w")).first()["w"] or 0.0
+    total = work.agg(F.sum("_w").alias("w")).first()["w"] or 0.0
     return int(min(max_pairs, max(min_pairs, math.ceil(total / max(1, target_cells)))))
 
 
@@ -80,13 +82,10 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], max_pairs:
     for lk, rk in zip(keys, rkeys):
         if lk != rk:
             r = r.withColumnRenamed(rk, lk)
+    work = key_work(left, r, keys, left_counts, right_counts)
     if num_partitions and cells_per_partition:
-        if left_counts is None:
-            left_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
-        if right_counts is None:
-            right_counts = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
-        max_pairs = pair_budget(left_counts, right_counts, keys, max_pairs, num_partitions * cells_per_partition)
-    grid = hot_key_grid(left, r, keys, max_pairs, left_counts, right_counts)
+        max_pairs = pair_budget(work, max_pairs, num_partitions * cells_per_partition)
+    grid = hot_key_grid(work, keys, max_pairs)
     one = F.lit(1)
     lg = left.join(grid, keys, "left")
     lg = lg.withColumn("_ga", F.coalesce("_ga", one)).withColumn("_gb", F.coalesce("_gb", one))

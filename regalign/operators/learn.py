@@ -146,7 +146,7 @@ def auc_roc(pred: DataFrame, label: str = TARGET, score_col: str = "p1") -> Data
     """
     by_score = pred.groupBy(F.col(score_col).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
-    cum = prefix_sums_global(by_score, ["_s"], ["_neg"])
+    cum = prefix_sums_global(by_score.where(F.col("_s").isNotNull()), "_s", ["_neg"])
     wins = F.sum(F.col("_pos").cast("double") * (F.col("_neg_before").cast("double") + F.col("_neg") * F.lit(0.5)))
     return cum.agg(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg").cast("double")).alias("auc"))
 

@@ -24,10 +24,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regalign.functions.bags import WIDTH, bag, common, counts, most_percent
 from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_name_pairs
 from regalign.functions.text import block_key, extract_city, format_id, list_size, normalize_name
 from regalign.operators.joins import DEFAULT_MAX_PAIRS, balanced_join
-from regalign.operators.ranking import dense_rank_global, row_number_global
+from regalign.operators.ranking import dense_rank_global, first_per_key, row_number_global
 from regalign.session import materialize, parallelism
 
 
@@ -60,6 +61,11 @@ def prepare_right(df: DataFrame, name: str = "corporate_name_s2", customers: str
 
 ROW_ID = "_row_id"
 
+#: The harmonised columns that come from each side; the right ones with type and value when unmatched.
+LEFT_COLUMNS = ["normalized_name", "address", "activity_places", "top_suppliers", "supplier_count"]
+RIGHT_COLUMNS = {"main_customers": ("string", None), "customer_count": ("int", 0), "revenue": ("long", None), "profit": ("long", None)}
+HARMONISED = ["corporate_id", "corporate_name", *LEFT_COLUMNS, *RIGHT_COLUMNS, "similarity_score", "harmonization_timestamp"]
+
 
 def with_row_id(prepared: DataFrame, name: str) -> DataFrame:
     """``prepared`` written once to the shared folder with a row id.
@@ -90,7 +96,7 @@ def distinct_names(prepared: DataFrame, prefix: str, block_chars: int = 3, name_
         .agg(F.count(F.lit(1)).alias(f"{prefix}_rows"))
     )
     names = names.withColumn(f"{prefix}_block", block_key(f"{prefix}_name", block_chars))
-    names = name_features(names, f"{prefix}_name", prefix)
+    names = with_bags(name_features(names, f"{prefix}_name", prefix), prefix)
     return names.checkpoint(eager=True) if materialize else names
 
 
@@ -128,6 +134,9 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     has two or three); the pair is kept once, in the smallest class both have, if the two ranges
     meet.
 
+    A pair that meets is also held against its character bags (``functions.bags``) before it leaves
+    the join, so only pairs with enough characters in common are handed to the LCS kernel.
+
     The join is a ``balanced_join``: a (block, length) key that would produce more than
     ``max_pairs_per_cell`` pairs is spread over a grid of tasks (a hot block is small in
     bytes but quadratic in pairs, which input-size skew handling cannot see).
@@ -139,10 +148,16 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     cluster (about ``CELLS_PER_TASK`` cells per task, never above ``max_pairs_per_cell``).
     """
     f = None if threshold is None else length_factor(threshold, weights)
+    bounded = threshold is not None and min(weights) >= 0
+    if bounded:
+        left_names, right_names = with_bags(left_names, "l"), with_bags(right_names, "r")
+    else:
+        left_names, right_names = left_names.drop(*bag_columns("l")), right_names.drop(*bag_columns("r"))
     if f is None:
         out = balanced_join(left_names, right_names, ["l_block"], max_pairs_per_cell, right_keys=["r_block"],
                             num_partitions=num_partitions, cells_per_partition=CELLS_PER_TASK)
-        return out.withColumn("r_block", F.col("l_block"))
+        out = out.withColumn("r_block", F.col("l_block"))
+        return within_reach(out, threshold, weights) if bounded else out
     step = math.log(max(f, 1.25))
 
     def length_class(n):
@@ -162,8 +177,36 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
                            left_counts=lc, right_counts=rc, num_partitions=num_partitions,
                            cells_per_partition=CELLS_PER_TASK)
     meet = F.greatest("_lo", "_rlo") <= F.least("_hi", "_rhi")
-    return joined.where((F.col("_l_len") == F.greatest("_lc", "_rc")) & meet).withColumn(
+    out = joined.where((F.col("_l_len") == F.greatest("_lc", "_rc")) & meet).withColumn(
         "r_block", F.col("l_block")).drop("_lo", "_hi", "_lc", "_rlo", "_rhi", "_rc", "_l_len")
+    return within_reach(out, threshold, weights)
+
+
+def bag_columns(prefix: str) -> list[str]:
+    return [f"_{prefix}{tag}{i}" for tag in "ns" for i in range(WIDTH)]
+
+
+def with_bags(names: DataFrame, prefix: str) -> DataFrame:
+    """Names with the character bags of the name and of its sorted tokens (fixed width, once per name)."""
+    if set(bag_columns(prefix)) <= set(names.columns):
+        return names
+    counted = names.select("*", counts(f"{prefix}_name").alias("_cn"), counts(f"{prefix}_sorted").alias("_cs"))
+    return counted.select(*names.columns, *[w.alias(c) for w, c in zip(bag("_cn") + bag("_cs"), bag_columns(prefix))])
+
+
+def within_reach(pairs: DataFrame, threshold: float, weights=DEFAULT_WEIGHTS) -> DataFrame:
+    """Pairs whose score can reach ``threshold``: the character bags bound ``ratio`` and ``token_sort``,
+    ``token_set`` is taken as 1.  Drops the bags."""
+    w_r, w_s, w_t = weights
+
+    def words(prefix: str, tag: str) -> list:
+        return [F.col(f"_{prefix}{tag}{i}") for i in range(WIDTH)]
+
+    def part(tag: str, column: str):
+        return most_percent(common(words("l", tag), words("r", tag)), F.length(f"l_{column}"), F.length(f"r_{column}"))
+
+    best = F.lit(w_r / 100.0) * part("n", "name") + F.lit(w_s / 100.0) * part("s", "sorted") + F.lit(float(w_t))
+    return pairs.where(best >= F.lit(threshold - 1e-9)).drop(*bag_columns("l"), *bag_columns("r"))
 
 
 def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_WEIGHTS,
@@ -250,15 +293,12 @@ def harmonize(
     # The reference leaves one id unused between the two ranges (K8), hence the +1.
     tie = list(left_order or [c for c in ("address", "activity_places", "top_suppliers") if c in left_prepared.columns])
     order_keys = [left_name] + tie + [c for c in (ROW_ID,) if c in left_prepared.columns]
-    ranked_names = matched_names.select(F.lit(0).alias("_grp"), *[
-        (F.col("l_name") if i == 0 else F.lit(None).cast("string")).alias(f"_k{i}") for i in range(len(order_keys))])
-    ranked_rows = rest.select(F.lit(1).alias("_grp"), *[F.col(c).cast("string").alias(f"_k{i}")
-                                                        for i, c in enumerate(order_keys)], *rest.columns)
+    # the names stand in the rows' own name column, so no sort key is carried twice
     numbered_all = row_number_global(
-        ranked_names.unionByName(ranked_rows, allowMissingColumns=True),
-        ["_grp"] + [f"_k{i}" for i in range(len(order_keys))], "_rn")
+        matched_names.select(F.lit(0).alias("_grp"), F.col("l_name").alias(left_name)).unionByName(
+            rest.withColumn("_grp", F.lit(1)), allowMissingColumns=True), ["_grp", *order_keys], "_rn")
     ids = numbered_all.where(F.col("_grp") == 0).select(
-        F.col("_k0").alias("l_name"), format_id("_rn", cfg.id_prefix, cfg.id_width).alias("corporate_id"))
+        F.col(left_name).alias("l_name"), format_id("_rn", cfg.id_prefix, cfg.id_width).alias("corporate_id"))
     numbered = numbered_all.where(F.col("_grp") == 1).withColumn("_rn", F.col("_rn") + F.lit(1))
     if collapsed:
         matched = _best_pair_per_id(left_prepared, right_prepared, matches, ids, stamp, left_name)
@@ -280,35 +320,13 @@ def harmonize(
         pairs = balanced_join(lp, mr, ["s1__normalized_name"], max_pairs_per_cell, right_keys=["l_name"],
                               left_counts=l_counts, right_counts=mr_counts)
         matched = pairs.select(
-            F.col("corporate_id"),
-            F.coalesce(F.col(f"s1__{left_name}"), F.col(f"s2__{right_name}")).alias("corporate_name"),
-            F.col("s1__normalized_name").alias("normalized_name"),
-            F.col("s1__address").alias("address"),
-            F.col("s1__activity_places").alias("activity_places"),
-            F.col("s1__top_suppliers").alias("top_suppliers"),
-            F.col("s1__supplier_count").alias("supplier_count"),
-            F.col("s2__main_customers").alias("main_customers"),
-            F.col("s2__customer_count").alias("customer_count"),
-            F.col("s2__revenue").cast("long").alias("revenue"),
-            F.col("s2__profit").cast("long").alias("profit"),
-            F.col("similarity_score"),
-            stamp.alias("harmonization_timestamp"),
-        )
+            "corporate_id", F.coalesce(F.col(f"s1__{left_name}"), F.col(f"s2__{right_name}")).alias("corporate_name"),
+            *[F.col(f"s1__{c}").alias(c) for c in LEFT_COLUMNS], *[F.col(f"s2__{c}").cast(t).alias(c) for c, (t, _) in RIGHT_COLUMNS.items()],
+            "similarity_score", stamp.alias("harmonization_timestamp"))
     unmatched = numbered.select(
-        format_id(F.col("_rn"), cfg.id_prefix, cfg.id_width).alias("corporate_id"),
-        F.col(left_name).alias("corporate_name"),
-        F.col("normalized_name"),
-        F.col("address"),
-        F.col("activity_places"),
-        F.col("top_suppliers"),
-        F.col("supplier_count"),
-        F.lit(None).cast("string").alias("main_customers"),
-        F.lit(0).alias("customer_count"),
-        F.lit(None).cast("long").alias("revenue"),
-        F.lit(None).cast("long").alias("profit"),
-        F.lit(0.0).alias("similarity_score"),
-        stamp.alias("harmonization_timestamp"),
-    )
+        format_id(F.col("_rn"), cfg.id_prefix, cfg.id_width).alias("corporate_id"), F.col(left_name).alias("corporate_name"),
+        *LEFT_COLUMNS, *[F.lit(none).cast(t).alias(c) for c, (t, none) in RIGHT_COLUMNS.items()],
+        F.lit(0.0).alias("similarity_score"), stamp.alias("harmonization_timestamp"))
     if part == "matched":
         return matched
     if part == "unmatched":
@@ -318,42 +336,20 @@ def harmonize(
 
 def _best_pair_per_id(left_prepared: DataFrame, right_prepared: DataFrame, matches: DataFrame, ids: DataFrame,
                       stamp, left_name: str) -> DataFrame:
-    """The row ``collapse_by_id`` would keep for each matched id, without the pair product."""
-    def nulls_last_desc(c):
-        return [F.col(c).isNull(), -F.col(c)]
-
-    # right-row criteria, in the order they appear in collapse_by_id's preference
-    rrows = matches.join(right_prepared.withColumnRenamed("normalized_name", "r_name"), "r_name")
-    r_payload = ["main_customers", "customer_count", "revenue", "profit", "similarity_score"]
-    r_key = (nulls_last_desc("similarity_score") + nulls_last_desc("revenue") + nulls_last_desc("profit")
-             + [F.col(c) for c in r_payload])
-    best_r = rrows.groupBy("l_name").agg(F.min(F.struct(
-        *[k.alias(f"_o{i}") for i, k in enumerate(r_key)],
-        F.struct(*[F.col(c).alias(c) for c in r_payload]).alias("_row"))).alias("_r"))
-    # left-row criteria
-    lrows = left_prepared.join(ids.withColumnRenamed("l_name", "normalized_name"), "normalized_name")
-    l_payload = [left_name, "normalized_name", "address", "activity_places", "top_suppliers", "supplier_count"]
-    l_key = [F.col(left_name).isNull(), F.col(left_name), F.col(left_name), F.col("address"),
-             F.col("activity_places"), F.col("top_suppliers"), F.col("supplier_count")]
-    best_l = lrows.groupBy("normalized_name", "corporate_id").agg(F.min(F.struct(
-        *[k.alias(f"_o{i}") for i, k in enumerate(l_key)],
-        F.struct(*[F.col(c).alias(c) for c in l_payload]).alias("_row"))).alias("_l"))
-    both = best_l.join(best_r, best_l["normalized_name"] == best_r["l_name"])
-    return both.select(
-        F.col("corporate_id"),
-        F.col(f"_l._row.{left_name}").alias("corporate_name"),
-        F.col("_l._row.normalized_name").alias("normalized_name"),
-        F.col("_l._row.address").alias("address"),
-        F.col("_l._row.activity_places").alias("activity_places"),
-        F.col("_l._row.top_suppliers").alias("top_suppliers"),
-        F.col("_l._row.supplier_count").alias("supplier_count"),
-        F.col("_r._row.main_customers").alias("main_customers"),
-        F.col("_r._row.customer_count").alias("customer_count"),
-        F.col("_r._row.revenue").cast("long").alias("revenue"),
-        F.col("_r._row.profit").cast("long").alias("profit"),
-        F.col("_r._row.similarity_score").alias("similarity_score"),
-        stamp.alias("harmonization_timestamp"),
-    )
+    """The row ``collapse_by_id`` would keep for each matched id, without the pair product.
+
+    The best right row of a right name doesn't depend on the left name, so both sides are reduced to
+    one row per name before they meet the matches; then each left name keeps its best partner.
+    """
+    r_order = [F.col("revenue").desc_nulls_last(), F.col("profit").desc_nulls_last(), F.col("main_customers"), F.col("customer_count")]
+    best_r = first_per_key(right_prepared.select(F.col("normalized_name").alias("r_name"), "main_customers", "customer_count", "revenue", "profit"),
+                           ["r_name"], r_order)
+    partner = first_per_key(matches.join(best_r, "r_name"), ["l_name"], [F.col("similarity_score").desc_nulls_last(), *r_order, F.col("r_name")])
+    l_payload = ["address", "activity_places", "top_suppliers", "supplier_count"]
+    best_l = first_per_key(left_prepared.select(left_name, "normalized_name", *l_payload), ["normalized_name"],
+                           [F.col(left_name).asc_nulls_last(), *[F.col(c) for c in l_payload]])
+    both = best_l.join(partner.join(ids, "l_name"), F.col("normalized_name") == F.col("l_name"))
+    return both.select("corporate_id", F.col(left_name).alias("corporate_name"), *HARMONISED[2:-1], stamp.alias("harmonization_timestamp"))
 
 
 def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = MatchConfig(), ts=None,
@@ -369,23 +365,12 @@ def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = Match
 def collapse_by_id(df: DataFrame, key: str = "corporate_id") -> DataFrame:
     """One row per id: best similarity, then greatest revenue, then names (deterministic).
 
-    ``min`` over a struct whose leading fields encode the preference order; it is a
-    partial aggregate, so a hot id is reduced on the map side before the shuffle.
+    Every task keeps its own best row of an id before the shuffle, so a hot id is one row per task.
     """
-    def desc_num(c):
-        return [F.col(c).isNull(), -F.col(c)]
-
-    def asc_str(c):
-        return [F.col(c).isNull(), F.col(c)]
-
     payload = [c for c in df.columns if c != key]
-    rank_fields = (desc_num("similarity_score") + desc_num("revenue") + asc_str("corporate_name")
-                   + desc_num("profit"))
-    tie_fields = [F.col(c) for c in payload]
-    packed = F.struct(*[f.alias(f"_o{i}") for i, f in enumerate(rank_fields + tie_fields)],
-                      F.struct(*payload).alias("_row"))
-    best = df.groupBy(key).agg(F.min(packed).alias("_best"))
-    return best.select(key, *[F.col(f"_best._row.{c}").alias(c) for c in payload])
+    best = [F.col("similarity_score").desc_nulls_last(), F.col("revenue").desc_nulls_last(), F.col("corporate_name").asc_nulls_last(),
+            F.col("profit").desc_nulls_last(), *[F.col(c) for c in payload]]
+    return first_per_key(df, [key], best).select(key, *payload)
 
 
 def block_stats(left_names: DataFrame, right_names: DataFrame) -> DataFrame:

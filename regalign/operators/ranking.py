@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regalign.session import materialize
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | position in partition
 
 
@@ -31,8 +33,8 @@ def row_number_global(
     """``row_number() OVER (ORDER BY order)`` (ascending, nulls first) as a distributed plan.
 
     Give a sort key that is unique per row for a deterministic numbering.  The numbered
-    frame is checkpointed (reliable checkpoint in the cluster's shared folder) so that the
-    partition-local positions are fixed once and both uses of them agree.
+    frame is written once (Parquet in the cluster's shared folder) so that the partition-local
+    positions are fixed and both uses of them agree; counting them reads that one column.
 
     ``base``: optional one-row frame with a long column ``base``; numbering then starts at
     ``base + 1``.  It enters the prefix sum as a leading pseudo-partition.
@@ -44,7 +46,7 @@ def row_number_global(
     mid = F.monotonically_increasing_id()
     numbered = ranged.withColumn("_rg_mid", mid)
     if checkpoint:
-        numbered = numbered.checkpoint(eager=True)
+        numbered = materialize(numbered, "numbered")
     numbered = numbered.withColumn("_rg_pid", F.shiftright("_rg_mid", _LOCAL_BITS)).withColumn(
         "_rg_pos", F.col("_rg_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)
     )
@@ -87,37 +89,47 @@ def dense_rank_global(
     return df.join(ranked, cond, "inner").drop(*[f"_dr_{k}" for k in keys])
 
 
-def prefix_sums_global(
-    df: DataFrame,
-    order: list[str],
-    values: list[str],
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """For each row, the sums of ``values`` over all rows strictly before it in ``order``.
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in ``order`` (null keys are a key).
+
+    ``row_number() = 1`` is planned with a window group limit: every task keeps only its own first
+    row of a key before the shuffle, so a hot key is one row per task.  Give an order that tells
+    unequal rows apart.
+    """
+    at = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
+    return df.withColumn("_first", F.row_number().over(at)).where(F.col("_first") == 1).drop("_first")
+
+
+def prefix_sums_global(df: DataFrame, order: str, values: list[str], num_partitions: int | None = None) -> DataFrame:
+    """For each row, the sums of ``values`` over all rows strictly before it by ``order``, a number that is
+    unique per row and not null.
 
-    Adds ``<value>_before`` columns.  Rows are range-partitioned and sorted on ``order``;
-    sums inside a partition come from a window over that partition only, and the totals of
-    earlier partitions (a table with one row per partition) are added on top.
-    Give an ``order`` that is unique per row.
+    Adds ``<value>_before`` columns.  Rows are dealt into buckets of like size by cut points (quantiles
+    of ``order``, one number per bucket); the bucket is the shuffle key, so the window inside a bucket
+    needs no other exchange.  The totals of earlier buckets, one row per bucket, are broadcast.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _sort_cols(order)
-    numbered = (
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        .withColumn("_rg_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_rg_pid", F.shiftright("_rg_mid", _LOCAL_BITS))
-    )
-    inside = Window.partitionBy("_rg_pid").orderBy("_rg_mid").rowsBetween(Window.unboundedPreceding, -1)
-    local = numbered
-    for v in values:
-        local = local.withColumn(f"_in_{v}", F.coalesce(F.sum(v).over(inside), F.lit(0)))
-    totals = numbered.groupBy("_rg_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    before = Window.orderBy("_rg_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_rg_pid", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
-                                         for v in values])
-    out = local.join(F.broadcast(offsets), "_rg_pid")  # one row per range partition
+    # accuracy costs memory per task, not rows: buckets may be off by a part of their size
+    cuts = sorted(set(df.approxQuantile(order, [i / n for i in range(1, n)], 0.1 / n)))
+    dealt = df.withColumn("_bucket", _bucket(F.col(order).cast("double"), cuts)).repartition(n, "_bucket")
+    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_in_{v}") for v in values])
+    totals = dealt.groupBy("_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values])
+    out = local.join(F.broadcast(offsets), "_bucket")  # one row per bucket
     for v in values:
         out = out.withColumn(f"{v}_before", F.col(f"_off_{v}") + F.col(f"_in_{v}"))
-    return out.drop("_rg_mid", "_rg_pid", *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
+    return out.drop("_bucket", *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
+
+
+def _bucket(value: Column, cuts: list[float]) -> Column:
+    """Number of cut points below ``value``, by binary search in nested conditions."""
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value <= F.lit(cuts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(cuts))

@@ -3,8 +3,8 @@
 The registry is kept as an append-only *change table*: every row carries the key, the
 payload, ``snapshot_id`` (monotone) and ``committed_at``.  Because an upsert never
 deletes, the state at snapshot ``v`` is exactly the newest change per key with
-``snapshot_id <= v``.  All state reads are one partial aggregate per key (``max`` over a
-struct led by the version), so a hot key is reduced map-side before the shuffle.
+``snapshot_id <= v``.  All state reads keep the first row per key in falling version order,
+reduced to one row per key and task before the shuffle, however hot a key is.
 """
 
 from __future__ import annotations
@@ -13,15 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regalign.operators.ranking import first_per_key
 from regalign.session import remove_scratch, scratch_path
 
 
 def _latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    payload = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*payload).alias("_row"))
-    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best._row.{c}").alias(c) for c in payload])
+    rest = [c for c in df.columns if c not in keys]
+    newest = [F.col(f"`{c}`").desc_nulls_last() for c in [*order, *(c for c in rest if c not in order)]]
+    return first_per_key(df, keys, newest).select(*keys, *rest)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, ts=None, stamp_col: str | None = "last_updated",

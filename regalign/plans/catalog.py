@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regalign.functions import lcs_expr
 from regalign.functions.similarity import name_features, score_name_pairs
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
 from regalign.operators import bucketed, learn, matching as M, quality, upsert
@@ -139,19 +140,33 @@ def q_block_stats(spark, d):
     return M.block_stats(m.ln, m.rn)
 
 
-def q_name_similarity(spark, d):
-    """Each part's supply name against the finance name of its own (name, brand): one row per such part."""
+def _own_names(spark, d):
+    """Each part's supply name next to the finance name of its own (name, brand): one row per such part."""
     part = V.table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
     own = part.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("k"))
     own = part.join(own, ["p_name", "p_brand"]).select(F.col("p_partkey").alias("row_id"), "k")
     left = V.supply_view(spark, d).select("row_id", normalize_name("corporate_name_s1").alias("l_name"))
     right = V.finance_view(spark, d).select(F.col("row_id").alias("k"), normalize_name("corporate_name_s2").alias("r_name"))
-    pairs = left.join(own, "row_id").join(right, "k").select("row_id", "l_name", "r_name")
-    pairs = name_features(name_features(pairs, "l_name", "l"), "r_name", "r")
+    return left.join(own, "row_id").join(right, "k").select("row_id", "l_name", "r_name")
+
+
+def q_name_similarity(spark, d):
+    pairs = name_features(name_features(_own_names(spark, d), "l_name", "l"), "r_name", "r")
     return score_name_pairs(pairs, "l", "r", CFG.weights, keep=["row_id"]).select(
         "row_id", "l_name", "r_name", "ratio", "token_sort", "token_set", "similarity_score")
 
 
+def q_name_similarity_expr(spark, d):
+    """The same scores from column expressions only, once per distinct pair of names."""
+    pairs = _own_names(spark, d)
+    l, r = F.col("l_name"), F.col("r_name")
+    scored = pairs.select("l_name", "r_name").distinct().select(
+        "l_name", "r_name", lcs_expr.indel_ratio(l, r).alias("ratio"), lcs_expr.token_sort_ratio(l, r).alias("token_sort"),
+        lcs_expr.token_set_ratio(l, r).alias("token_set"), lcs_expr.name_similarity(l, r, CFG.weights).alias("similarity_score"))
+    return pairs.join(scored, ["l_name", "r_name"]).select(
+        "row_id", "l_name", "r_name", "ratio", "token_sort", "token_set", "similarity_score")
+
+
 def q_matches(spark, d):
     return _Match(spark, d).matches()
 
@@ -516,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "contract_check": q_contract_check,
     "block_stats": q_block_stats,
     "name_similarity": q_name_similarity,
+    "name_similarity_expr": q_name_similarity_expr,
     "matches": q_matches,
     "assign_ids": q_assign_ids,
     "unmatched": q_unmatched,

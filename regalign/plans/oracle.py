@@ -253,6 +253,7 @@ def oracle_queries() -> dict[str, str]:
         "SELECT row_id, l_name, r_name, ratio, token_sort, token_set, similarity_score "
         "FROM own JOIN scored USING (l_name, r_name)",
         pairs="SELECT ln.*, rn.* FROM (SELECT DISTINCT l_name, r_name FROM own) JOIN ln USING (l_name) JOIN rn USING (r_name)")
+    out["name_similarity_expr"] = out["name_similarity"]
     out["matches"] = with_matching("SELECT l_name, r_name, similarity_score FROM matches")
     out["assign_ids"] = with_matching("SELECT l_name, corporate_id FROM ids")
     out["unmatched"] = with_matching(

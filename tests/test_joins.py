@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from regalign.operators import matching as M
-from regalign.operators.joins import balanced_join, hot_key_grid
+from regalign.operators.joins import balanced_join, hot_key_grid, key_work
 
 TS = "2024-01-01 00:00:00"
 
@@ -27,7 +27,7 @@ def test_balanced_join_equals_plain_join(spark):
     for budget in (1, 7, 100, 10_000_000):
         got = balanced_join(l, r, ["k"], budget, right_keys=["rk"])
         assert _rows(got.select("k", "a", "b")) == _rows(plain.select("k", "a", "b")), budget
-    grid = {r.k: (r._ga, r._gb) for r in hot_key_grid(l, r.withColumnRenamed("rk", "k"), ["k"], 100).collect()}
+    grid = {r.k: (r._ga, r._gb) for r in hot_key_grid(key_work(l, r.withColumnRenamed("rk", "k"), ["k"]), ["k"], 100).collect()}
     assert grid["hot"][0] > 1 and grid["hot"][1] > 1
 
 
@@ -76,12 +76,11 @@ def test_cluster_sized_budget_is_exact_and_splits_the_hot_key(spark):
     l = spark.createDataFrame(left, "k string, a int")
     r = spark.createDataFrame(right, "k string, b int")
     plain = l.join(r, "k")
-    lc = l.groupBy("k").agg(F.count(F.lit(1)).alias("_nl"))
-    rc = r.groupBy("k").agg(F.count(F.lit(1)).alias("_nr"))
+    work = key_work(l, r, ["k"])
     total = plain.count()
     # about 4 x 8 cells for this total, never below the floor nor above the cap
-    assert pair_budget(lc, rc, ["k"], 10_000_000, 32) == max(MIN_CELL_PAIRS, -(-total // 32))
-    assert pair_budget(lc, rc, ["k"], 50, 32) == 50
+    assert pair_budget(work, 10_000_000, 32) == max(MIN_CELL_PAIRS, -(-total // 32))
+    assert pair_budget(work, 50, 32) == 50
     got = balanced_join(l, r, ["k"], 10_000_000, num_partitions=4, cells_per_partition=8)
     assert _rows(got.select("k", "a", "b")) == _rows(plain.select("k", "a", "b"))
     assert got.rdd.getNumPartitions() == 4
@@ -91,7 +90,7 @@ def test_grid_makes_up_a_clipped_side_on_the_other(spark):
     l = spark.range(0, 1_000_000).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
     r = spark.createDataFrame([("hot", 1)], "k string, b int")
     for x, y in ((l, r), (r, l)):
-        g = hot_key_grid(x, y, ["k"], 100).first()
+        g = hot_key_grid(key_work(x, y, ["k"]), ["k"], 100).first()
         n, m = x.count(), y.count()
         assert g._ga <= n and g._gb <= m and (n / g._ga) * (m / g._gb) <= 100
 
@@ -102,7 +101,7 @@ def test_equal_rows_with_row_ids_spread_over_cells(spark):
     r = M.with_row_id(rows.withColumnRenamed("v", "w"), "r").withColumnRenamed(M.ROW_ID, "_rr")
     out = balanced_join(l, r, ["k"], 1000, num_partitions=16)
     assert out.count() == 160_000
-    grid = hot_key_grid(l, r, ["k"], 1000).first()
+    grid = hot_key_grid(key_work(l, r, ["k"]), ["k"], 1000).first()
     cells = l.groupBy(F.pmod(F.xxhash64(*[F.col(c) for c in l.columns]), F.lit(grid._ga))).count().collect()
     assert len(cells) > grid._ga / 2 and max(c["count"] for c in cells) < 4 * 400 / grid._ga + 8
 

@@ -173,3 +173,71 @@ def test_names_and_tokens_follow_python_classes_in_every_script(spark):
     bad = [(names[r.i], r.n, r.p) for r in rows if known(names[r.i]) and (
         r.n != python_name(names[r.i]) or r.p != python_tokens(names[r.i]))]
     assert not bad, bad[:5]
+
+
+SCRIPTS = ["abc de", "xyz  q12 678", "äöü ß é", "日本語 テキスト", "한국어 이름", "Ωμέγα ж", "😀a𝒳b", "ab-c_d"]
+
+
+def _random_names(seed, n, longest):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        base = [rng.choice(rng.choice(SCRIPTS)) for _ in range(rng.randint(0, longest))]
+        other = [c for c in base if rng.random() > 0.2] + [rng.choice(rng.choice(SCRIPTS)) for _ in range(rng.randint(0, 5))]
+        if rng.random() < 0.3:
+            rng.shuffle(other)
+        out.append(("".join(base), "".join(other)))
+    return out
+
+
+def test_expression_equals_the_kernel_in_every_script(spark):
+    from pyspark.sql import functions as F
+
+    from regalign.functions import lcs_expr as X
+
+    pairs = _random_names(11, 600, 55) + [("", ""), ("a", ""), (None, "a"), (None, None), ("x" * 62, "x" * 61 + "y"), ("ab" * 200, "ba" * 31)]
+    a, b = F.col("a"), F.col("b")
+    df = spark.createDataFrame([p for p in pairs if min(len(p[0] or ""), len(p[1] or "")) <= X.MAX_PATTERN], "a string, b string")
+    got = df.select("a", "b", X.lcs_length(a, b).alias("lcs"), X.indel_ratio(a, b).alias("r"), X.token_sort_ratio(a, b).alias("s"),
+                    X.token_set_ratio(a, b).alias("t"), X.name_similarity(a, b).alias("w"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    want = {(r.a, r.b): r for r in similarity_frame(df, "a", "b").collect()}
+    for r in got.collect():
+        k = want[(r.a, r.b)]
+        assert r.lcs == lcs_dp(r.a or "", r.b or "")
+        assert (r.r, r.s, r.t) == (k.ratio, k.token_sort, k.token_set) and r.w == pytest.approx(k.similarity_score, abs=1e-12)
+    kept = df.select("a", "b", X.char_masks(b).alias("m")).where("m is not null").select("a", "b", X.lcs_with_masks(a, F.col("m"), F.length("b")).alias("n"))
+    assert all(r.n == lcs_dp(r.a or "", r.b) for r in kept.where("b is not null and a is not null").collect())
+
+
+def test_expression_is_null_beyond_its_length(spark):
+    from pyspark.sql import functions as F
+
+    from regalign.functions import lcs_expr as X
+
+    df = spark.createDataFrame([("x" * 63 + "a", "x" * 63 + "b")], "a string, b string")
+    row = df.select(X.lcs_length(F.col("a"), F.col("b")).alias("n"), X.token_set_ratio(F.col("a"), F.col("b")).alias("t")).first()
+    assert row.n is None and row.t is None
+
+
+def test_bags_bound_the_lcs(spark):
+    from pyspark.sql import functions as F
+
+    from regalign.functions import bags
+
+    pairs = _random_names(12, 1500, 90) + [("a" * 300, "a" * 200 + "b"), ("z" * 40, "z" * 7), ("", "abc"), ("e" * 6 + "f" * 9, "f" * 8 + "e" * 7)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = df.select("a", "b", bags.counts("a").alias("ca"), bags.counts("b").alias("cb"))
+    df = df.select("a", "b", *[w.alias(f"{p}{i}") for p, c in (("x", "ca"), ("y", "cb")) for i, w in enumerate(bags.bag(c))])
+    words = [[F.col(f"{p}{i}") for i in range(bags.WIDTH)] for p in "xy"]
+    out = df.select("a", "b", bags.common(*words).alias("n"), bags.most_percent(bags.common(*words), F.length("a"), F.length("b")).alias("p"))
+    tight = 0
+    for r in out.collect():
+        lcs = lcs_dp(r.a, r.b)
+        assert r.n >= lcs
+        total = len(r.a) + len(r.b)
+        ratio = 100 if r.a == r.b else 0 if not r.a or not r.b else round(100 * (1 - (total - 2 * lcs) / total))
+        assert r.p >= ratio or ratio == 100 == r.p
+        tight += r.n <= min(len(r.a), len(r.b))
+    assert tight > 1400
