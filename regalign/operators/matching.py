@@ -29,7 +29,7 @@ from regalign.functions.similarity import DEFAULT_WEIGHTS, name_features, score_
 from regalign.functions.text import block_key, extract_city, format_id, list_size, normalize_name
 from regalign.operators.joins import DEFAULT_MAX_PAIRS, balanced_join
 from regalign.operators.ranking import dense_rank_global, first_per_key, row_number_global
-from regalign.session import materialize, parallelism
+from regalign.session import materialize, parallelism, together
 
 
 @dataclass(frozen=True)
@@ -221,8 +221,9 @@ def score_pairs(candidates: DataFrame, threshold: float | None, weights=DEFAULT_
 
 def matched_names(left_prepared: DataFrame, right_prepared: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """(l_name, r_name, similarity_score) for distinct name pairs at or above the threshold."""
-    ln = distinct_names(left_prepared, "l", cfg.block_chars, materialize=True)
-    rn = distinct_names(right_prepared, "r", cfg.block_chars, materialize=True)
+    ln, rn = together(left_prepared.sparkSession, *[
+        lambda df=df, p=p: distinct_names(df, p, cfg.block_chars, materialize=True)
+        for df, p in ((left_prepared, "l"), (right_prepared, "r"))])
     cands = candidate_pairs(ln, rn, cfg.threshold, cfg.weights, num_partitions=parallelism(left_prepared.sparkSession))
     return score_pairs(cands, cfg.threshold, cfg.weights, respread=False).select(
         "l_name", "r_name", "similarity_score")
@@ -356,8 +357,8 @@ def resolve_entities(left: DataFrame, right: DataFrame, cfg: MatchConfig = Match
                      collapsed: bool = False) -> DataFrame:
     """Prepare both sides, block, score, assign ids and harmonise (one row per id if ``collapsed``)."""
     # each prepared side is read by the name table, the anti join and the row-pair joins
-    lp = with_row_id(prepare_left(left, cfg=cfg), "left-prepared")
-    rp = with_row_id(prepare_right(right, cfg=cfg), "right-prepared")
+    lp, rp = together(left.sparkSession, lambda: with_row_id(prepare_left(left, cfg=cfg), "left-prepared"),
+                      lambda: with_row_id(prepare_right(right, cfg=cfg), "right-prepared"))
     matches = matched_names(lp, rp, cfg)
     return harmonize(lp, rp, matches, cfg, ts, collapsed=collapsed)
 

@@ -17,7 +17,7 @@ from regalign.functions.similarity import name_features, score_name_pairs
 from regalign.functions.text import categorize, extract_city, list_size, normalize_name
 from regalign.operators import bucketed, learn, matching as M, quality, upsert
 from regalign.plans import views as V
-from regalign.session import ensure_checkpoint_dir, materialize, parallelism, scratch_path
+from regalign.session import ensure_checkpoint_dir, materialize, parallelism, scratch_path, together
 from regalign.sources import delimited, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,23 +39,37 @@ class _Match:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
+    def sides(self) -> list[DataFrame]:
+        """Both sides prepared and written, with row ids and without the city."""
+        return together(
+            self.spark,
+            lambda: M.with_row_id(M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG).drop("city"), "supply-prepared"),
+            lambda: M.with_row_id(M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG), "finance-prepared"))
+
+    @property
     def left(self) -> DataFrame:
-        return M.with_row_id(M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG).drop("city"), "supply-prepared")
+        return self.sides[0]
 
-    @cached_property
+    @property
     def right(self) -> DataFrame:
-        return M.with_row_id(M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG), "finance-prepared")
+        return self.sides[1]
 
     @cached_property
+    def names(self) -> list[DataFrame]:
+        """The name tables, bounded by distinct names and read by several consumers."""
+        left, right = self.__dict__.get("sides") or (M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG),
+                                                     M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG))
+        return together(self.spark, *[
+            lambda df=df, p=p: M.distinct_names(df.select("normalized_name"), p, CFG.block_chars, materialize=True)
+            for df, p in ((left, "l"), (right, "r"))])
+
+    @property
     def ln(self) -> DataFrame:
-        # bounded by distinct names and read by several consumers
-        names = self.__dict__.get("left") or M.prepare_left(V.supply_view(self.spark, self.sf_dir), cfg=CFG)
-        return M.distinct_names(names.select("normalized_name"), "l", CFG.block_chars, materialize=True)
+        return self.names[0]
 
-    @cached_property
+    @property
     def rn(self) -> DataFrame:
-        names = self.__dict__.get("right") or M.prepare_right(V.finance_view(self.spark, self.sf_dir), cfg=CFG)
-        return M.distinct_names(names.select("normalized_name"), "r", CFG.block_chars, materialize=True)
+        return self.names[1]
 
     def candidates(self) -> DataFrame:
         # the small name tables are shuffled into one partition per core by (key, cell), so

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regalign.operators import learn, matching as M, quality, upsert
-from regalign.session import materialize
+from regalign.session import materialize, together
 from regalign.sources import delimited, registry
 
 log = logging.getLogger(__name__)
@@ -56,8 +56,9 @@ def run(spark: SparkSession, source1_path: str | None, source2_path: str | None,
     if not skip_ingestion:
         one, two = delimited.default_specs(source1_path, source2_path)
         lineage = ("source", "ingestion_timestamp")
-        lp = delimited.ingest(spark, one, ts, lambda s: M.row_numbered(M.prepare_left(s.drop(*lineage), cfg=cfg)))
-        rp = delimited.ingest(spark, two, ts, lambda s: M.row_numbered(M.prepare_right(s.drop(*lineage), cfg=cfg)))
+        lp, rp = together(
+            spark, lambda: delimited.ingest(spark, one, ts, lambda s: M.row_numbered(M.prepare_left(s.drop(*lineage), cfg=cfg))),
+            lambda: delimited.ingest(spark, two, ts, lambda s: M.row_numbered(M.prepare_right(s.drop(*lineage), cfg=cfg))))
         matches = M.matched_names(lp, rp, cfg).checkpoint(eager=True)
         res.harmonized = M.harmonize(lp, rp, matches, cfg, ts, matches_materialized=True)
         # one row per id before the MERGE (several matched pairs can share an id), computed

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -75,6 +78,15 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)  # a known schema saves the job that reads footers
 
 
+def together(spark: SparkSession, *jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of independent jobs, started at the same time so that one fills the cores another leaves idle.
+
+    For a few jobs that don't depend on each other, such as writing both sides of a match.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def parallelism(spark: SparkSession) -> int:
     """Cores available to the job (at least the configured shuffle partitions)."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

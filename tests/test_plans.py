@@ -43,7 +43,7 @@ def test_candidate_join_uses_block_and_length_class(spark):
 def test_name_queries_write_no_rows_and_read_only_names(spark):
     m = _Match(spark, SF)
     plan = m.ln._jdf.queryExecution().analyzed().toString()
-    assert "address" not in plan and "left" not in m.__dict__
+    assert "address" not in plan and "sides" not in m.__dict__
     m.harmonized()
     assert "city" not in m.left.columns
 
