@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from regalign.functions import lcs_expr
 from regalign.functions.similarity import name_features, score_name_pairs
-from regalign.functions.text import categorize, extract_city, list_size, normalize_name
+from regalign.functions.text import categorize, extract_city, list_size, normalize_name, parse_id
 from regalign.operators import bucketed, learn, matching as M, quality, upsert
-from regalign.plans import views as V
+from regalign.plans import pipeline, views as V
 from regalign.session import ensure_checkpoint_dir, materialize, parallelism, scratch_path, together
 from regalign.sources import delimited, registry
 
@@ -188,7 +188,7 @@ def q_matches(spark, d):
 def q_assign_ids(spark, d):
     return M.assign_ids(_Match(spark, d).matches().select("l_name").distinct(), "l_name", CFG,
                         names_are_distinct=True).select(
-        "l_name", "corporate_id")
+        "l_name", "corporate_id", parse_id("corporate_id").cast("long").alias("id_number"))
 
 
 def q_unmatched(spark, d):
@@ -417,6 +417,34 @@ def q_expire(spark, d):
                          version_cols=_EV_ORDER)
 
 
+# ------------------------------------------------------------------ end to end
+def _two_commits(spark, d):
+    """The whole flow twice over files: the views as CSV, then the same with doubled figures a day later."""
+    supply, finance = V.supply_view(spark, d).drop("row_id"), V.finance_view(spark, d).drop("row_id")
+    s1, s2, s3 = (scratch_path(spark, f"{n}-csv") for n in ("supply", "finance", "finance-next"))
+    supply.write.option("header", "true").csv(s1)
+    finance.write.option("header", "true").csv(s2)
+    finance.withColumn("revenue", F.col("revenue") * 2).withColumn("profit", F.col("profit") * 2).write.option("header", "true").csv(s3)
+    path = scratch_path(spark, "registry-log")
+    first = pipeline.run(spark, s1, s2, path, CFG, skip_ml=True, ts=FIXED_TS)
+    second = pipeline.run(spark, s1, s3, path, CFG, skip_ml=True, ts="2024-01-02 00:00:00")
+    return path, first, second
+
+
+def q_pipeline_two_commits(spark, d):
+    """The current state after two commits."""
+    path, _, _ = _two_commits(spark, d)
+    state = upsert.read_current(registry.read_changes(spark, path), "corporate_id")
+    return _no_ts(state).drop("snapshot_id", "committed_at")
+
+
+def q_pipeline_commit_stats(spark, d):
+    """What each of the two commits did to the registry."""
+    _, first, second = _two_commits(spark, d)
+    one, two = (r.merge_stats.withColumn("snapshot_id", F.lit(r.snapshot_id).cast("long")) for r in (first, second))
+    return one.unionByName(two)
+
+
 # ------------------------------------------------------------------ reports
 def q_high_profit(spark, d):
     sf = V.supplier_finance(spark, d)
@@ -470,6 +498,22 @@ def q_split_complete(spark, d):
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 
+def q_random_split(spark, d):
+    """Spark's random split of the training rows: shares add up, no row is in both, the test share is near a fifth."""
+    data = materialize(_training(spark, d))
+    train, test = learn.random_split(data, 0.2, seed=42)
+    parts = train.select("corporate_id", F.lit(0).alias("t")).unionByName(test.select("corporate_id", F.lit(1).alias("t")))
+    both = parts.groupBy("corporate_id").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t"))
+    return both.agg(F.sum("n").alias("n_rows"), F.coalesce(F.max("n") == 1, F.lit(True)).alias("no_row_twice"),
+                    F.avg("t").between(0.15, 0.25).alias("share_near"))
+
+
+def q_train_and_evaluate(spark, d):
+    """Preparation, split, fit and metrics in one call: the metrics, and whether each is a share."""
+    _, metrics = learn.train_and_evaluate(V.customer_registry(spark, d))
+    return metrics.select("metric", F.col("value").between(0, 1).alias("in_range"))
+
+
 def _rule_predictions(spark, d):
     lab = V.table(spark, d, "labels")
     docs = V.table(spark, d, "documents").select("doc_id", "n_chars")
@@ -576,6 +620,8 @@ QUERIES: dict[str, Query] = {
     "current_state": q_current_state,
     "snapshot_log": q_snapshot_log,
     "expire": q_expire,
+    "pipeline_two_commits": q_pipeline_two_commits,
+    "pipeline_commit_stats": q_pipeline_commit_stats,
     "high_profit": q_high_profit,
     "top_revenue": q_top_revenue,
     "profit_category": q_profit_category,
@@ -586,6 +632,8 @@ QUERIES: dict[str, Query] = {
     "feature_contract": q_feature_contract,
     "hash_split": q_hash_split,
     "split_complete": q_split_complete,
+    "random_split": q_random_split,
+    "train_and_evaluate": q_train_and_evaluate,
     "metrics_confusion": q_metrics_confusion,
     "metrics_auc": q_metrics_auc,
     "train_score": q_train_score,

@@ -255,7 +255,8 @@ def oracle_queries() -> dict[str, str]:
         pairs="SELECT ln.*, rn.* FROM (SELECT DISTINCT l_name, r_name FROM own) JOIN ln USING (l_name) JOIN rn USING (r_name)")
     out["name_similarity_expr"] = out["name_similarity"]
     out["matches"] = with_matching("SELECT l_name, r_name, similarity_score FROM matches")
-    out["assign_ids"] = with_matching("SELECT l_name, corporate_id FROM ids")
+    out["assign_ids"] = with_matching(
+        "SELECT l_name, corporate_id, CAST(string_split(corporate_id, '_')[2] AS BIGINT) AS id_number FROM ids")
     out["unmatched"] = with_matching(
         "SELECT corporate_id, corporate_name, normalized_name, address, activity_places, top_suppliers, "
         "supplier_count FROM unmatched")
@@ -274,6 +275,11 @@ def oracle_queries() -> dict[str, str]:
         "profit DESC NULLS LAST, normalized_name, address, activity_places, top_suppliers, supplier_count, "
         "main_customers, customer_count) AS rn FROM harmonized) WHERE rn = 1")
     out["collapse_after_harmonize"] = out["collapse_by_id"]
+    out["pipeline_two_commits"] = f"SELECT * REPLACE (revenue * 2 AS revenue, profit * 2 AS profit) FROM ({out['collapse_by_id']})"
+    out["pipeline_commit_stats"] = with_matching(
+        ", n AS (SELECT count(DISTINCT corporate_id) AS n FROM harmonized) "
+        "SELECT 1::BIGINT AS snapshot_id, 0::BIGINT AS before_rows, n AS source_rows, n AS inserted_keys, 0::BIGINT AS updated_keys, "
+        "0::BIGINT AS unchanged_rows, n AS after_rows FROM n UNION ALL SELECT 2, n, n, 0, n, 0, n FROM n")
     out["sample_rows"] = with_matching(
         "SELECT * FROM harmonized ORDER BY corporate_id, corporate_name NULLS FIRST, address NULLS FIRST, "
         "revenue DESC NULLS LAST, main_customers NULLS FIRST LIMIT 5")
@@ -376,6 +382,9 @@ def oracle_queries() -> dict[str, str]:
     out["split_complete"] = (
         f"SELECT c_custkey, o_orderkey, coalesce({test.format(k='CAST(o_orderkey AS VARCHAR)')}, FALSE) AS is_test "
         "FROM customer LEFT JOIN orders ON o_custkey = c_custkey")
+    out["random_split"] = f"SELECT count(*) AS n_rows, TRUE AS no_row_twice, TRUE AS share_near FROM ({prep})"
+    out["train_and_evaluate"] = ("SELECT m AS metric, TRUE AS in_range FROM (VALUES ('accuracy'), ('weighted_precision'), "
+                                 "('weighted_recall'), ('weighted_f1'), ('auc')) v(m)")
     out["train_score"] = (f"SELECT corporate_id, high_profit, TRUE AS prediction_follows_p1, TRUE AS loaded_as_fitted "
                           f"FROM ({prep}) WHERE {test.format(k='corporate_id')}")
     out["coefficients"] = (
