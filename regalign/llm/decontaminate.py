@@ -3,7 +3,12 @@
 Numbers, units and names become typed placeholders, so a question that was asked again with other
 values keeps its template.  Windows of template words are hashed and joined with those of the
 benchmark; the windows of a document and an item that lie on one diagonal are aligned, and their
-slots must agree: one benchmark value always stands for one document value and back.
+slots must agree: in a stretch of windows one benchmark value stands for one document value.  Where
+a slot contradicts an earlier one the stretch is cut, and what lies on either side still counts.
+
+A window of hardly anything but placeholders proves nothing by its template, and a name is told by
+its capital, which a copy may have lost.  So every window is also joined on its plain lower-cased
+words, values kept.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from regalign.llm.common import attach, keyed, materialize, scan, unpack, with_r
 WINDOW = 5            # template words
 COVERAGE = 0.8        # share of an item's windows that must be found in a document, or
 RUN_WORDS = 13        # template words found in one unbroken stretch
-LITERAL = 3           # words of a window that must not be placeholders
+LITERAL = 3           # words of a window that must not be placeholders for its template to count
 
 # Unit words after a number.
 UNITS = ["%", "$", "€", "£", "mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "mile", "miles", "mg", "g", "kg",
@@ -52,90 +57,134 @@ def template(words: Column) -> Column:
         w.startswith("<num"), "<num>").when(w.startswith("<unit"), "<unit>").otherwise(w))
 
 
+def plain(words: Column) -> Column:
+    """``marked_words`` without the marks: the lower-cased words themselves."""
+    return F.transform(words, lambda w: F.when(w.startswith("<"), F.regexp_replace(w, "^<(?:name|num|unit)|>$", "")).otherwise(w))
+
+
 def windows(df: DataFrame, n: int) -> DataFrame:
-    """``df`` (with ``words``) exploded into the windows of its template: ``pos`` and ``h``; ``words`` is dropped.
+    """``df`` (with ``words``) exploded into its windows: ``pos`` and ``h``; ``words`` is dropped.
 
-    The outer form of explode keeps the optimizer from testing the hashes' number in a filter below,
-    which would work the words out again for every window.
+    A window has the hash of its template and, where that differs, the hash of its plain words; a
+    text of fewer than ``n`` words has one hash, of all its plain words.  The outer form of explode
+    keeps the optimizer from testing the hashes' number in a filter below, which would work the words
+    out again for every window.
     """
-    at = F.sequence(F.lit(1), F.size("tokens") - F.lit(n - 1))
-    hashes = F.when(F.size("tokens") >= n, F.transform(at, lambda i: F.xxhash64(F.slice("tokens", i, n))))
+    size = F.size("tokens")
+    at = F.sequence(F.lit(1), size - F.lit(n - 1))
+    both = F.transform(at, lambda i: F.xxhash64(F.slice("tokens", i, n)))
+    plain_ = F.transform(at, lambda i: F.xxhash64(F.slice("plain", i, n)))
+    other = F.zip_with(both, plain_, lambda t, p: F.when(t != p, p))
+    whole = F.array(F.xxhash64(F.lit("whole"), F.col("plain")))
+    hashes = F.when(size >= n, F.concat(both, other)).when(size > 0, whole)
     rest = [c for c in df.columns if c != "words"]
-    return df.withColumn("tokens", template(F.col("words"))).select(*rest, hashes.alias("hashes")).select(
-        *rest, F.posexplode_outer("hashes").alias("pos", "h")).where(F.col("h").isNotNull())
+    out = df.withColumn("tokens", template(F.col("words"))).withColumn("plain", plain(F.col("words"))).select(
+        *rest, F.greatest(size - F.lit(n - 1), F.lit(1)).alias("_count"), hashes.alias("hashes"))
+    return out.select(*rest, "_count", F.posexplode_outer("hashes").alias("_at", "h")).where(F.col("h").isNotNull()).select(
+        *rest, (F.col("_at") % F.col("_count")).alias("pos"), (F.col("_at") < F.col("_count")).alias("by_template"), "h")
+
+
+def _grams(items: DataFrame, n: int) -> DataFrame:
+    """(h, item, ipos, rich) of the benchmark's windows.
+
+    ``rich`` windows have enough literal words for their template to count; the others are found by
+    their plain words only.
+    """
+    literal = F.size(F.filter(F.slice(template(F.col("words")), F.col("pos") + 1, n), lambda w: ~w.startswith("<")))
+    grams = windows(items.withColumn("copy", F.col("words")), n).withColumnRenamed("copy", "words")
+    grams = grams.withColumn("rich", (literal >= min(LITERAL, n)) & (F.size("words") >= n)).withColumn(
+        "slots", F.size(F.filter(F.slice("words", F.col("pos") + 1, n), lambda w: w.startswith("<"))))
+    # a template without slots is its plain words, and a whole short text has no other hash
+    counts = F.col("rich") | ~F.col("by_template") | (F.col("slots") == 0) | (F.size("words") < n)
+    return grams.where(counts).select("h", "item", F.col("pos").alias("ipos"), "rich").distinct()
 
 
-def _slots(item: Column, doc: Column, n: int) -> Column:
-    """(benchmark value, document value) of the slots of two aligned windows; both are arrays of marked words."""
-    pairs = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(
-        F.element_at(item, i).alias("item"), F.element_at(doc, i).alias("doc")))
-    return F.filter(pairs, lambda p: p["item"].startswith("<"))
+def _identity(words: Column) -> Column:
+    """What a word of an item stands for: itself, a number together with the unit after it."""
+    return F.transform(words, lambda w, i: F.when(
+        w.startswith("<num") & F.coalesce(F.get(words, i + 1).startswith("<unit"), F.lit(False)),
+        F.concat(w, F.get(words, i + 1))).otherwise(w))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverage: float = COVERAGE,
                  run_words: int = RUN_WORDS) -> DataFrame:
     """(_f, _r, doc_id, item_id, item_windows, found, share, run, slots, changed) per document row and item it contains.
 
-    ``found`` counts the item's windows that lie on a diagonal with consistent slots, ``share`` is
-    their part of the item's, ``run`` the template words of the longest unbroken stretch,
-    ``slots`` the distinct slot values compared and ``changed`` those that differ (0: verbatim).  A
-    row appears if share >= ``coverage`` or run >= ``run_words``.  Windows with fewer than three
-    literal words prove nothing and are left out on the benchmark's side.
-
-    Null, empty and short texts on either side have no window; repeated items each give their
-    rows; repeated documents are told apart by their row key; null ids are carried along; an empty
-    table on either side gives no rows; other columns are not read.
+    ``found`` counts the item's windows that lie on a diagonal and agree in themselves, ``share`` is
+    their part of the item's (of all, or of those rich in literal words, whichever is more), ``run``
+    the template words of the longest unbroken stretch whose slots agree, ``slots`` the distinct slot
+    values compared and ``changed`` those that differ (0: verbatim).  A row appears if share >=
+    ``coverage`` or run >= ``run_words``.  Slots agree if no benchmark value stands for two document
+    values; two benchmark values may become one.  A number is told apart by the unit after it.
+
+    An item of fewer than ``n`` words is found where it is a document's whole text, whatever the
+    case: inside longer texts a few words are no evidence.  Null and empty texts on either side have
+    no window; repeated items each give their rows; repeated documents are told apart by their row
+    key; null ids are carried along; an empty table on either side gives no rows; other columns are
+    not read.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).select(
         "item_id", marked_words(F.col("text")).alias("words"))
     items = materialize(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    literal = F.size(F.filter(F.slice(template(F.col("words")), F.col("pos") + 1, n), lambda w: ~w.startswith("<")))
-    grams = windows(items.withColumn("copy", F.col("words")), n).withColumnRenamed("copy", "words")
-    grams = materialize(grams.where(literal >= min(LITERAL, n)).select(
-        "item", "h", F.col("pos").alias("ipos"), F.slice("words", F.col("pos") + 1, n).alias("iwords")), "grams")
-    total = grams.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
+    grams = materialize(_grams(items, n), "grams")
+    total = grams.select("item", "ipos", "rich").distinct().groupBy("item").agg(
+        F.count(F.lit(1)).alias("item_windows"), F.count_if("rich").alias("rich_windows"))
 
     texts = keyed(scan(docs), ["doc_id", "text"])
-    hashed = windows(texts.select("_f", "_r", marked_words(F.col("text")).alias("words")), n)
-    hits = attach(hashed, grams.select("h", "item", "ipos"), ["h"], how="inner").select("_f", "_r", "pos", "item", "ipos")
-    hits = materialize(hits, "hits")
+    hashed = windows(texts.select("_f", "_r", marked_words(F.col("text")).alias("words")), n).drop("by_template")
+    hits = attach(hashed, grams, ["h"], how="inner").select("_f", "_r", "pos", "item", "ipos", "rich")
+    hits = materialize(hits.distinct(), "hits")
     # items that could still pass, before the texts are looked at again
     pair = ["_f", "_r", "item"]
-    likely = hits.groupBy(*pair).agg(F.count_distinct("ipos").alias("found"))
+    likely = hits.groupBy(*pair).agg(F.count_distinct("ipos").alias("found"),
+                                     F.count_distinct(F.when(F.col("rich"), F.col("ipos"))).alias("found_rich"))
     likely = attach(likely, total, ["item"], how="inner")
-    likely = materialize(likely.where((F.col("found") >= F.ceil(F.lit(coverage) * F.col("item_windows"))) | (
-        F.col("found") >= run_words - n + 1)).drop("found"), "likely")
-    again = attach(texts, likely.select("_f", "_r").distinct(), ["_f", "_r"], how="inner")
+    enough = (F.col("found") >= coverage * F.col("item_windows")) | (
+        (F.col("rich_windows") > 0) & (F.col("found_rich") >= coverage * F.col("rich_windows"))) | (F.col("found") >= run_words - n + 1)
+    likely = materialize(likely.where(enough).drop("found", "found_rich"), "likely")
+    again = attach(texts, likely.select("_f", "_r").distinct(), ["_f", "_r"], how="inner", salts=1)
     again = materialize(again.select("_f", "_r", F.col("doc_id").cast("long").alias("doc_id"),
                                      marked_words(F.col("text")).alias("words")), "suspects")
-    rows = hits.join(likely, pair).join(again, ["_f", "_r"]).join(grams.drop("h"), ["item", "ipos"])
-    rows = materialize(rows.select(
-        *pair, "doc_id", "item_windows", "pos", "ipos", (F.col("pos") - F.col("ipos")).alias("diagonal"),
-        _slots(F.col("iwords"), F.slice("words", F.col("pos") + 1, n), n).alias("slots")), "aligned")
-    # slots of a diagonal: one value for one value, both ways
     line = [*pair, "diagonal"]
-    slots = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(line)], F.explode("slots").alias("s")).select(
-        "_0", "_1", "_2", "_3", "s.item", "s.doc").distinct()
-    key = ["_0", "_1", "_2", "_3"]
-    forth = slots.groupBy(*key, "item").agg(F.count(F.lit(1)).alias("k")).groupBy(*key).agg(F.max("k").alias("forth"))
-    back = slots.groupBy(*key, "doc").agg(F.count(F.lit(1)).alias("k")).groupBy(*key).agg(F.max("k").alias("back"))
-    many = slots.groupBy(*key).agg(F.count(F.lit(1)).alias("slots"), F.count_if(F.col("item") != F.col("doc")).alias("changed"))
-    check = many.join(forth, key).join(back, key).select(
-        *[F.col(f"_{i}").alias(c) for i, c in enumerate(line)], "slots", "changed",
-        ((F.col("forth") == 1) & (F.col("back") == 1)).alias("consistent"))
-    good = rows.drop("slots").join(check, line, "left").where(F.coalesce("consistent", F.lit(True)))
+    rows = hits.join(likely, pair).withColumn("diagonal", F.col("pos") - F.col("ipos"))
+    # the words of an item, a row per window: the item's texts go to the hits however often it is found
+    asked = grams.select("item", "ipos").distinct().join(items.select("item", "words"), "item").select(
+        "item", "ipos", F.slice("words", F.col("ipos") + 1, n).alias("marks"), F.slice(plain(F.col("words")), F.col("ipos") + 1, n).alias("iplain"),
+        F.slice(_identity(F.col("words")), F.col("ipos") + 1, n).alias("iwords"))
+    rows = attach(rows, materialize(asked, "asked"), ["item", "ipos"], how="inner").join(again, ["_f", "_r"])
+    given = F.slice(plain(F.col("words")), F.col("pos") + 1, n)
+    compared = F.filter(F.transform("marks", lambda m, i: F.struct(
+        (F.col("ipos") + i).alias("at"), m.startswith("<").alias("slot"), F.get("iwords", i).alias("value"),
+        F.get("iplain", i).alias("was"), F.get(given, i).alias("doc"))), lambda x: x["slot"])
+    rows = materialize(rows.select(*line, "doc_id", "item_windows", "rich_windows", "rich", "ipos", compared.alias("slots")), "aligned")
+    # for every slot the last place before it where the same benchmark value stands for another document value
+    slots = rows.select(*line, F.explode("slots").alias("s")).select(*line, "s.at", "s.value", "s.was", "s.doc").distinct()
+    same = Window.partitionBy(*line, "value").orderBy("at")
+    turned = F.when(F.lag("doc").over(same) != F.col("doc"), F.lag("at").over(same))
+    slots = slots.withColumn("turned", turned).withColumn("clash", F.max("turned").over(same))
+    # one pass over a diagonal, slots and windows in order: a window ends a stretch that starts after the last clash
+    steps = rows.drop("slots").withColumn("clash", F.lit(None).cast("int")).withColumn("window", F.lit(True)).unionByName(
+        slots.select(*line, F.col("at").alias("ipos"), "clash", F.lit(False).alias("window")), allowMissingColumns=True)
+    along = Window.partitionBy(*line).orderBy("ipos")
+    steps = steps.withColumn("last", F.coalesce(F.max("clash").over(along.rangeBetween(Window.unboundedPreceding, n - 1)), F.lit(-1))).withColumn(
+        "within", F.coalesce(F.max("clash").over(along.rangeBetween(0, n - 1)), F.lit(-1)))
     order = Window.partitionBy(*line).orderBy("ipos")  # at most one row per window of the item
-    stretch = good.withColumn("island", F.col("ipos") - F.row_number().over(order))
-    runs = stretch.groupBy(*line, "island").agg(
-        F.count(F.lit(1)).alias("length"), F.max(F.coalesce("slots", F.lit(0))).alias("slots"),
-        F.max(F.coalesce("changed", F.lit(0))).alias("changed"))
-    runs = runs.groupBy(*pair).agg((F.max("length") + n - 1).alias("run"), F.max("slots").alias("slots"),
-                                   F.max("changed").alias("changed"))
-    found = good.groupBy(*pair, "doc_id", "item_windows").agg(F.count_distinct("ipos").alias("found"))
-    out = found.join(runs, pair).withColumn("share", F.col("found") / F.col("item_windows"))
+    steps = steps.where("window").withColumn("island", F.col("ipos") - F.row_number().over(order)).withColumn(
+        "start", F.min("ipos").over(Window.partitionBy(*line, "island")))
+    good = steps.where(F.col("within") < F.col("ipos")).withColumn(
+        "length", F.col("ipos") - F.greatest("start", F.col("last") + 1) + 1)
+    seen = slots.select(*line, "value", "was", "doc").distinct().groupBy(*line).agg(
+        F.count(F.lit(1)).alias("slots"), F.count_if(F.col("was") != F.col("doc")).alias("changed"))
+    lines = good.groupBy(*line).agg(F.max("length").alias("length")).join(seen, line, "left")
+    runs = lines.groupBy(*pair).agg((F.max("length") + n - 1).alias("run"), F.coalesce(F.max("slots"), F.lit(0)).alias("slots"),
+                                    F.coalesce(F.max("changed"), F.lit(0)).alias("changed"))
+    found = good.groupBy(*pair, "doc_id", "item_windows", "rich_windows").agg(
+        F.count_distinct("ipos").alias("found"), F.count_distinct(F.when(F.col("rich"), F.col("ipos"))).alias("found_rich"))
+    share = F.greatest(F.col("found") / F.col("item_windows"), F.try_divide("found_rich", "rich_windows"))
+    out = found.join(runs, pair).withColumn("share", share)
     out = out.where((F.col("share") >= coverage) | (F.col("run") >= run_words))
-    return out.join(items.select("item", "item_id"), "item").select(
-        "_f", "_r", "doc_id", "item_id", "item_windows", "found", "share", "run", "slots", "changed")
+    return attach(out, items.select("item", "item_id", F.size("words").alias("_words")), ["item"], how="inner").select(
+        "_f", "_r", "doc_id", "item_id", "item_windows", "found", "share", F.least("run", "_words").alias("run"), "slots", "changed")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

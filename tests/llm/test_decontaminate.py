@@ -10,6 +10,11 @@ ITEMS = [
     (1, "Alice has 12 apples and gives 5 apples to Bob . How many apples does Alice have left after meeting Bob at noon ?"),
     (2, "A train runs 120 km in 2 hours along the river before it stops for 15 minutes near the old stone bridge ."),
     (3, "too short"), (4, None), (5, ""), (6, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"),
+    (7, "the slow ferry to the northern islands took 40 minutes on the way out and it was raining all day while the fast one back "
+        "took 40 minutes as well because the captain had to wait for a tide that never came in time"),
+    (8, "what is 34 + 57 - 12 + 9 ?"), (9, "she has 3 apples and 7 pears in the basket on the table"),
+    (10, "then Anna Berger , Carl Dorn , Emil Frank and Gerda Hahn met Ida Jung near Kiel"),
+    (11, "the walk takes 2 hours and covers 2 km of the path along the lake"),
 ]
 
 
@@ -29,26 +34,41 @@ def kind(w):
     return next((f"<{k}>" for k in ("name", "num", "unit") if w.startswith(f"<{k}")), w)
 
 
+def bare(w):
+    return regex.sub("^<(?:name|num|unit)|>$", "", w) if w.startswith("<") else w
+
+
 def brute(docs, items, n=5, coverage=0.8, run=13):
-    """(doc_id, item_id) of all pairs, by looking at every diagonal of every pair."""
+    """(doc_id, item_id) of all pairs, by looking at every diagonal of every pair and every stretch of it."""
     out = []
     for doc_id, text in docs:
         d = brute_words(text)
         for item_id, item in items:
             q = brute_words(item)
-            use = [i for i in range(len(q) - n + 1) if sum(kind(w) == w for w in q[i:i + n]) >= LITERAL]
+            if len(q) < n:
+                if q and list(map(bare, q)) == list(map(bare, d)):
+                    out.append((doc_id, item_id))
+                continue
+            rich = {i for i in range(len(q) - n + 1) if sum(kind(w) == w for w in q[i:i + n]) >= LITERAL}
+            name = [w + q[j + 1] if w.startswith("<num") and q[j + 1:j + 2] and q[j + 1].startswith("<unit") else w for j, w in enumerate(q)]
             found, longest = set(), 0
             for shift in range(-len(q), len(d)):
-                hit = [i for i in use if 0 <= i + shift <= len(d) - n
-                       and list(map(kind, q[i:i + n])) == list(map(kind, d[i + shift:i + shift + n]))]
-                pairs = {(q[j], d[j + shift]) for i in hit for j in range(i, i + n) if kind(q[j]) != q[j]}
-                if hit and len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                    found |= set(hit)
-                    length = 0
-                    for i in range(len(q)):
-                        length = length + 1 if i in hit else 0
-                        longest = max(longest, length)
-            if use and longest and (len(found) / len(use) >= coverage or longest + n - 1 >= run):
+                def same(i):
+                    a, b = q[i:i + n], d[i + shift:i + shift + n]
+                    return list(map(bare, a)) == list(map(bare, b)) or (i in rich and list(map(kind, a)) == list(map(kind, b)))
+
+                def agree(first, last):  # no value of the item stands for two words of the document
+                    pairs = {(name[j], bare(d[j + shift])) for j in range(first, last + n) if kind(q[j]) != q[j]}
+                    return len({a for a, _ in pairs}) == len(pairs)
+
+                hit = [i for i in range(len(q) - n + 1) if 0 <= i + shift <= len(d) - n and same(i)]
+                found |= {i for i in hit if agree(i, i)}
+                for i in hit:
+                    j = i
+                    while j in hit and agree(i, j):
+                        longest, j = max(longest, j - i + n), j + 1
+            share = max(len(found) / (len(q) - n + 1), len(found & rich) / len(rich) if rich else 0)
+            if found and (share >= coverage or longest >= run):
                 out.append((doc_id, item_id))
     return sorted(out, key=repr)
 
@@ -60,6 +80,10 @@ def cases():
     mixed_up = a.replace("to Bob", "to Dan").replace("does Alice", "does Eve")  # a name stands for two
     units = b.replace("120 km", "75 miles").replace("15 minutes", "40 seconds").replace("2 hours", "3 days")
     rows = [f"{prose(rng, 20)} . {x} {prose(rng, 20)}" for x in (a, b, changed, mixed_up, units, a.upper(), a[:40], b[30:])]
+    twice = ITEMS[6][1]
+    rows += [a.lower(), ITEMS[5][1], "Too Short", "it is too short", ITEMS[7][1], f"{prose(rng, 9)} {ITEMS[7][1]} {prose(rng, 9)}",
+             twice.replace("took 40 minutes", "took 45 minutes"), ITEMS[8][1].replace("3", "5").replace("7", "5"), ITEMS[9][1], ITEMS[9][1].lower(),
+             ITEMS[10][1].replace("2 hours", "3 hours").replace("2 km", "5 km")]
     rows += [f"{changed} {prose(rng, 5)} {a}", "9 8 7 6 5 4 3 2 1 0 11 12 13 14", prose(rng, 300), "", None,
              a.replace("5", "five"), "<num> <name> " + a]
     return [(100 + i, t) for i, t in enumerate(rows)]
@@ -74,7 +98,13 @@ def test_pairs_against_brute_force(write):
     want = brute(rows, ITEMS)
     assert sorted(((r.doc_id, r.item_id) for r in got), key=repr) == want
     by = {(r.doc_id, r.item_id): r for r in got}
-    assert by[100, 1].changed == 0 and by[102, 1].changed >= 4 and (103, 1) not in by and by[104, 2].changed >= 3
+    assert by[100, 1].changed == 0 and by[102, 1].changed >= 4 and by[104, 2].changed >= 3
+    # copies with one of two equal numbers changed, without literal words, of names alone, in lower case; values that merge or part
+    text = dict(cases())
+    for item in (7, 8, 9, 10, 11):
+        assert [i for i, j in by if j == item], item
+    assert {text[i] for i, j in by if j == 10} == {ITEMS[9][1], ITEMS[9][1].lower()} and by[108, 1].changed == 0
+    assert {text[i] for i, j in by if j == 3} == {"Too Short"} and {i for i, j in by if j == 6} >= {109}
     kept = decontaminate(docs, items)
     bad = {i for i, _ in want}
     assert kept.columns == docs.columns
