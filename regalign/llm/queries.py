@@ -66,18 +66,23 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH m AS (
   SELECT conv_id, turn, replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') AS role,
-         replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS text,
-         coalesce(floor(turn / 512.0), 0)::BIGINT AS part
-  FROM conversations),
-n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) AS i FROM m),
+         replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS text FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM m),
+o AS (SELECT conv_id, min(i) FILTER (role <> 'system') AS other, max(i) // 512 AS last FROM n GROUP BY conv_id),
+w AS (
+  SELECT conv_id, i // 512 AS part, i, role, text, TRUE AS here FROM n
+  UNION ALL
+  SELECT n.conv_id, part, i, role, text, FALSE
+  FROM n JOIN o ON o.conv_id IS NOT DISTINCT FROM n.conv_id, unnest(generate_series(1, last)) AS s(part)
+  WHERE i < other AND i < 512),
 p AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
 x AS (
-  SELECT n.conv_id, part, speaker, i, role = speaker AS own, text || '<|end|>' || chr(10) AS body,
+  SELECT w.conv_id, part, speaker, i, here, role = speaker AS own, text || '<|end|>' || chr(10) AS body,
          '<|' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
                       ELSE 'user name=' || role END || '|>' || chr(10) AS head
-  FROM n JOIN p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+  FROM w JOIN p ON w.conv_id IS NOT DISTINCT FROM p.conv_id),
 y AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY i)::BIGINT AS stop FROM x)
-SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+SELECT conv_id, part, speaker, count(*) FILTER (here) AS n_turns, count(*) FILTER (own AND here) AS n_own,
        string_agg(head || body, '' ORDER BY i) AS rendered,
        coalesce(string_agg((stop - length(body))::VARCHAR || ':' || stop::VARCHAR, ',' ORDER BY i) FILTER (own), '') AS mask
 FROM y GROUP BY conv_id, part, speaker

@@ -53,25 +53,32 @@ def brute_views(rows, turns):
     out = {}
     for conv in {r[0] for r in rows}:
         mine = sorted((r[1:] for r in rows if r[0] == conv), key=lambda m: (m[0] is not None, m[0] or 0, m[1], m[2]))
+        opening = []
+        for m in mine[:turns]:
+            if m[1] != "system":
+                break
+            opening.append(m)
         for who in {m[1] for m in mine} - {"system"}:
-            for part in {(m[0] or 0) // turns for m in mine}:
+            for part in range(-(-len(mine) // turns)):
                 text, mask = "", []
-                for _, role, body in (m for m in mine if (m[0] or 0) // turns == part):
+                own = mine[part * turns:(part + 1) * turns]
+                for _, role, body in (opening if part else []) + own:
                     name = "assistant" if role == who else "system" if role == "system" else f"user name={role}"
                     text += f"<|{name}|>\n"
                     if role == who:
                         mask.append(f"{len(text)}:{len(text) + len(body) + 8}")
                     text += f"{body}<|end|>\n"
-                out[conv, part, who] = (text, ",".join(mask))
+                out[conv, part, who] = (len(own), sum(m[1] == who for m in own), text, ",".join(mask))
     return out
 
 
 def test_views_against_brute_force(write):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|end|> 😀"), (1, 2, "bob", "yo"), (1, 3, "ann", "x"), (1, 2, "cy", None),
             (1, 2, "bob", "yo"), (2, 0, "system", "alone"), (None, None, None, "who"), (None, 1, "ann", "me"),
-            *[(3, t, "ann" if t % 2 else "bob", f"m{t}") for t in range(25)], (4, 0, "user", ""), (4, None, "assistant", "é" * 5000)]
+            *[(3, t, "ann" if t % 2 else "bob", f"m{t}") for t in range(25)], (4, 0, "user", ""), (4, None, "assistant", "é" * 5000),
+            (5, 0, "system", "rule one"), (5, 0, "system", "rule two"), *[(5, None if t % 3 else 7, "ann" if t % 2 else "bob", f"same {t % 4}") for t in range(40)]]
     table = write([(*r, "x", "y") for r in rows], "conv_id long, turn long, role string, text string, speaker string, part string")
-    for turns in (10, 512):
-        got = {(r.conv_id, r.part, r.speaker): (r.rendered, r["mask"]) for r in rotate(table, turns).collect()}
+    for turns in (2, 10, 512):
+        got = {(r.conv_id, r.part, r.speaker): (r.n_turns, r.n_own, r.rendered, r["mask"]) for r in rotate(table, turns).collect()}
         assert got == brute_views(rows, turns)
     assert rotate(table.limit(0)).count() == 0
