@@ -32,14 +32,21 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
-def op3_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three commits: all documents, the same batch sent again, and the blank ones deleted."""
-    counts = materialize(count_tokens(read_table(spark, sf_dir, "documents")), "counts")
+def op3_token_rollup(spark: SparkSession, sf_dir: str, tokenizers: str = "/opt/tokenizers") -> DataFrame:
+    """Totals after a life of commits: all documents, the same batch sent again, the blank ones deleted, the
+    documents in other languages recounted with a multilingual vocabulary, all folded into one, and the first sent again."""
+    docs = read_table(spark, sf_dir, "documents")
+    foreign = "coalesce(lang, '') <> 'en'"
+    counts = materialize(count_tokens(docs, f"{tokenizers}/byte_bpe_50k.tiktoken", "byte_bpe_50k"), "counts")
+    again = count_tokens(docs.where(foreign), f"{tokenizers}/byte_bpe_multi_50k.tiktoken", "byte_bpe_multi_50k")
     rollup = Rollup(spark, scratch_path(spark, "rollup"))
     rollup.commit("load", inserts(counts))
     rollup.commit("load", inserts(counts))
     rollup.commit("blank", deletes(counts.where("n_words = 0")))
-    return rollup.totals()
+    rollup.commit("recount", revisions(counts.where(foreign).where("n_words > 0"), again.where("n_words > 0")))
+    folded = rollup.compact("folded")
+    folded.commit("load", inserts(counts))
+    return folded.totals()
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

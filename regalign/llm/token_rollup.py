@@ -4,7 +4,8 @@ Documents are tokenised once, when they arrive.  Inserts, deletes and revised co
 rows, which are summed by source, language and tokenizer version and written as one small Parquet
 folder per batch.  Totals are the sum over all committed batches.  A batch counts once however
 often it is sent: its folder is complete when the writer's success marker is there, a complete
-batch is never written again, and an interrupted one is replaced as a whole.
+batch is never written again, and an interrupted one is replaced as a whole.  Compaction folds all
+batches into one and keeps their names, so none of them counts again in the compacted rollup.
 """
 
 from __future__ import annotations
@@ -19,17 +20,19 @@ from pyspark.sql import functions as F
 
 from regalign.llm.common import slices, word_count
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Fixed value: the pre-tokenizer pattern published with this vocabulary.
+#: Fixed value: the pre-tokenizer pattern published with the byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens", "n_words"]
 
 
-def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, version: str = "byte_bpe_50k", pattern: str = PATTERN) -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str, version: str, pattern: str = PATTERN) -> DataFrame:
     """(doc_id, source, lang, tokenizer, n_tokens, n_words) for every whole text (null text: 0).
 
-    The vocabulary file is read where the driver runs and shipped to the tasks.
+    ``vocabulary`` is a file of ranks, read where the driver runs and shipped to the tasks;
+    ``version`` names it in the totals.  Repeated rows and null ids are rows of their own; null
+    sources and languages are keys like any other; an empty table gives no rows; other columns are
+    not read, whatever their names.
     """
     with open(vocabulary, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
@@ -73,10 +76,15 @@ def _signed(counts: DataFrame, sign: int) -> DataFrame:
 
 
 class Rollup:
-    """Additive totals in a folder on shared storage, one subfolder per committed batch."""
+    """Additive totals in a folder on shared storage, one subfolder per committed batch.
+
+    One writer at a time.  Changes are taken as they come: taking away what was never added makes a
+    total negative, which ``totals`` shows and ``below_zero`` lists.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._folded: set[str] | None = None
 
     def _path(self, batch: str) -> str:
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch) or batch.startswith((".", "_")):
@@ -87,15 +95,26 @@ class Rollup:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def committed(self, batch: str) -> bool:
+    def _written(self, batch: str) -> bool:
         p, fs = self._files(f"{self._path(batch)}/_SUCCESS")
         return fs.exists(p)
 
+    def folded(self) -> set[str]:
+        """Names of the batches that were folded into this rollup's first one."""
+        if self._folded is None:
+            p, fs = self._files(f"{self.root}/folded/_SUCCESS")
+            rows = self.spark.read.schema("name string").parquet(f"{self.root}/folded").collect() if fs.exists(p) else []
+            self._folded = {r["name"] for r in rows}
+        return self._folded
+
+    def committed(self, batch: str) -> bool:
+        return self._written(batch) or batch in self.folded()
+
     def batches(self) -> list[str]:
-        """Names of the committed batches."""
+        """Names of the batches that have a folder here."""
         p, fs = self._files(self.root)
         names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-        return sorted(n[6:] for n in names if n.startswith("batch=") and self.committed(n[6:]))
+        return sorted(n[6:] for n in names if n.startswith("batch=") and self._written(n[6:]))
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add the sums of ``changes`` (keys and signed sums) as ``batch``; False if it was there already."""
@@ -113,7 +132,20 @@ class Rollup:
         out = rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
         return out.where(" OR ".join(f"{c} <> 0" for c in SUMS))
 
-    def compact(self, name: str) -> None:
-        """Write all committed batches' sums as the one batch of a new rollup beside this one."""
+    def below_zero(self) -> DataFrame:
+        """Totals of groups that lost more than they had."""
+        return self.totals().where(" OR ".join(f"{c} < 0" for c in SUMS))
+
+    def compact(self, name: str) -> Rollup:
+        """Fold all batches into the one batch ``name`` of a new rollup beside this one, and return it.
+
+        The names of the folded batches go with it (first, so that an interrupted compaction never
+        yields totals without them): sending one again changes nothing there either.
+        """
         other = Rollup(self.spark, f"{self.root}-{name}")
-        other.commit(name, self.totals())
+        if not other.committed(name):
+            names = sorted({*self.batches(), *self.folded()})
+            self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode("overwrite").parquet(f"{other.root}/folded")
+            other._folded = None
+            other.commit(name, self.totals())
+        return other

@@ -4,7 +4,10 @@ import pytest
 import tiktoken
 
 from regalign.llm.chat import rotate
-from regalign.llm.token_rollup import PATTERN, VOCABULARY, Rollup, count_tokens, deletes, inserts, revisions
+from regalign.llm.queries import op3_token_rollup
+from regalign.llm.token_rollup import PATTERN, Rollup, count_tokens, deletes, inserts, revisions
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 COUNTS = "source string, lang string, tokenizer string, n_tokens long, n_words long"
 
@@ -16,10 +19,10 @@ def as_dict(df):
 def test_token_counts_against_the_library(docs, corpus, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCABULARY, "rb"))}
     encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    got = sorted(((r.doc_id, r.source, r.lang, r.n_tokens, r.n_words) for r in count_tokens(docs).collect()), key=repr)
+    got = sorted(((r.doc_id, r.source, r.lang, r.n_tokens, r.n_words) for r in count_tokens(docs, VOCABULARY, "v1").collect()), key=repr)
     want = [(r[0], r[3], r[2], len(encode(r[1] or "")), len((r[1] or "").encode().split())) for r in corpus]
     assert got == sorted(want, key=repr)
-    assert count_tokens(empty).count() == 0
+    assert count_tokens(empty, VOCABULARY, "v1").count() == 0
 
 
 def test_signed_batches_commit_once(spark, tmp_path):
@@ -33,12 +36,36 @@ def test_signed_batches_commit_once(spark, tmp_path):
     assert as_dict(r.totals()) == {("s", "en", "v1"): (1, 10, 5), ("t", None, "v2"): (1, 4, 1)}
     r.commit("b4", inserts(a.limit(0)))
     assert r.batches() == ["b1", "b2", "b3", "b4"]
-    r.compact("c")
-    assert as_dict(Rollup(spark, f"{r.root}-c").totals()) == as_dict(r.totals())
+    other = r.compact("c")
+    assert other.root == f"{r.root}-c" and other.batches() == ["c"] and as_dict(other.totals()) == as_dict(r.totals())
+    # names survive the fold, and a second one
+    again = Rollup(spark, other.compact("d").root)
+    assert not other.commit("b1", inserts(a)) and not again.commit("b2", inserts(a)) and not again.commit("c", inserts(a))
+    assert as_dict(again.totals()) == as_dict(r.totals()) and again.compact("e").commit("b5", inserts(a))
+    assert r.below_zero().count() == 0
+    r.commit("b6", deletes(a))
+    assert r.below_zero().count() == 2
     with pytest.raises(ValueError):
         r.commit("../x", inserts(a))
 
 
+def test_the_query_against_plain_counting(spark, tmp_path, corpus):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, tokenizer string, n_tokens string"
+    spark.createDataFrame([(*r, "a", "b") for r in corpus], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    encode = {}
+    for name in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(f"/opt/tokenizers/{name}.tiktoken", "rb"))}
+        encode[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    want = {}
+    for _, text, lang, source, _ in corpus:
+        words = len((text or "").encode().split())
+        name = "byte_bpe_50k" if lang == "en" else "byte_bpe_multi_50k"
+        if words:
+            n, t, w = want.get((source, lang, name), (0, 0, 0))
+            want[source, lang, name] = (n + 1, t + len(encode[name](text)), w + words)
+    assert as_dict(op3_token_rollup(spark, str(tmp_path))) == want
+
+
 def test_an_interrupted_batch_is_written_again(spark, tmp_path):
     a = spark.createDataFrame([("s", "en", "v1", 10, 5)], COUNTS)
     r = Rollup(spark, str(tmp_path / "r"))
