@@ -59,44 +59,50 @@ def template(words: Column) -> Column:
 
 def plain(words: Column) -> Column:
     """``marked_words`` without the marks: the lower-cased words themselves."""
-    return F.transform(words, lambda w: F.when(w.startswith("<"), F.regexp_replace(w, "^<(?:name|num|unit)|>$", "")).otherwise(w))
+    return F.transform(words, lambda w: F.when(w.startswith("<num"), F.substr(w, F.lit(5), F.length(w) - 5)).when(
+        w.startswith("<"), F.substr(w, F.lit(6), F.length(w) - 6)).otherwise(w))
+
+
+def _whole(words: Column) -> Column:
+    """The hash of a text of fewer words than a window has."""
+    return F.xxhash64(F.lit("whole"), words)
 
 
 def windows(df: DataFrame, n: int) -> DataFrame:
     """``df`` (with ``words``) exploded into its windows: ``pos`` and ``h``; ``words`` is dropped.
 
-    A window has the hash of its template and, where that differs, the hash of its plain words; a
-    text of fewer than ``n`` words has one hash, of all its plain words.  The outer form of explode
-    keeps the optimizer from testing the hashes' number in a filter below, which would work the words
-    out again for every window.
+    Every window has the hash of its template, and one that holds a slot also that of its plain
+    words (without a slot they are the same); a text of fewer than ``n`` words has one hash, of all
+    its plain words.  The outer form of explode keeps the optimizer from testing the hashes' number
+    in a filter below, which would work the words out again for every window.
     """
     size = F.size("tokens")
-    at = F.sequence(F.lit(1), size - F.lit(n - 1))
-    both = F.transform(at, lambda i: F.xxhash64(F.slice("tokens", i, n)))
-    plain_ = F.transform(at, lambda i: F.xxhash64(F.slice("plain", i, n)))
-    other = F.zip_with(both, plain_, lambda t, p: F.when(t != p, p))
-    whole = F.array(F.xxhash64(F.lit("whole"), F.col("plain")))
-    hashes = F.when(size >= n, F.concat(both, other)).when(size > 0, whole)
+    last = size - F.lit(n - 1)
+    made = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(
+        (i - 1).alias("pos"), F.xxhash64(F.slice("tokens", i, n)).alias("h")))
+    slots = F.filter(F.transform("tokens", lambda w, i: F.when(w.startswith("<"), i + 1)), lambda p: p.isNotNull())
+    starts = F.array_distinct(F.flatten(F.transform(slots, lambda p: F.sequence(F.greatest(F.lit(1), p - (n - 1)), F.least(p, last)))))
+    also = F.transform(starts, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice("plain", i, n)).alias("h")))
+    whole = F.array(F.struct(F.lit(0).alias("pos"), _whole(F.col("plain")).alias("h")))
     rest = [c for c in df.columns if c != "words"]
     out = df.withColumn("tokens", template(F.col("words"))).withColumn("plain", plain(F.col("words"))).select(
-        *rest, F.greatest(size - F.lit(n - 1), F.lit(1)).alias("_count"), hashes.alias("hashes"))
-    return out.select(*rest, "_count", F.posexplode_outer("hashes").alias("_at", "h")).where(F.col("h").isNotNull()).select(
-        *rest, (F.col("_at") % F.col("_count")).alias("pos"), (F.col("_at") < F.col("_count")).alias("by_template"), "h")
+        *rest, F.when(size >= n, F.concat(made, also)).when(size > 0, whole).alias("hashes"))
+    return out.select(*rest, F.explode_outer("hashes").alias("x")).where(F.col("x").isNotNull()).select(*rest, "x.pos", "x.h")
 
 
 def _grams(items: DataFrame, n: int) -> DataFrame:
-    """(h, item, ipos, rich) of the benchmark's windows.
-
-    ``rich`` windows have enough literal words for their template to count; the others are found by
-    their plain words only.
-    """
-    literal = F.size(F.filter(F.slice(template(F.col("words")), F.col("pos") + 1, n), lambda w: ~w.startswith("<")))
-    grams = windows(items.withColumn("copy", F.col("words")), n).withColumnRenamed("copy", "words")
-    grams = grams.withColumn("rich", (literal >= min(LITERAL, n)) & (F.size("words") >= n)).withColumn(
-        "slots", F.size(F.filter(F.slice("words", F.col("pos") + 1, n), lambda w: w.startswith("<"))))
-    # a template without slots is its plain words, and a whole short text has no other hash
-    counts = F.col("rich") | ~F.col("by_template") | (F.col("slots") == 0) | (F.size("words") < n)
-    return grams.where(counts).select("h", "item", F.col("pos").alias("ipos"), "rich").distinct()
+    """(h, item, ipos, rich) of the benchmark's windows: plain words, and the template of ``rich`` windows,
+    which have enough literal words for it to count."""
+    texts = items.select("item", template(F.col("words")).alias("tokens"), plain(F.col("words")).alias("plain"))
+    size = F.size("tokens")
+    each = F.transform(F.sequence(F.lit(1), size - F.lit(n - 1)), lambda i: F.struct(
+        (i - 1).alias("ipos"), F.xxhash64(F.slice("tokens", i, n)).alias("t"), F.xxhash64(F.slice("plain", i, n)).alias("p"),
+        (F.size(F.filter(F.slice("tokens", i, n), lambda w: ~w.startswith("<"))) >= min(LITERAL, n)).alias("rich")))
+    long = texts.where(size >= n).select("item", F.explode(each).alias("x")).select("item", "x.*")
+    short = texts.where((size > 0) & (size < n)).select(
+        _whole(F.col("plain")).alias("h"), "item", F.lit(0).alias("ipos"), F.lit(False).alias("rich"))
+    return long.select(F.col("p").alias("h"), "item", "ipos", "rich").unionByName(
+        long.where("rich").select(F.col("t").alias("h"), "item", "ipos", "rich")).distinct().unionByName(short)
 
 
 def _identity(words: Column) -> Column:
@@ -131,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
         F.count(F.lit(1)).alias("item_windows"), F.count_if("rich").alias("rich_windows"))
 
     texts = keyed(scan(docs), ["doc_id", "text"])
-    hashed = windows(texts.select("_f", "_r", marked_words(F.col("text")).alias("words")), n).drop("by_template")
+    hashed = windows(texts.select("_f", "_r", marked_words(F.col("text")).alias("words")), n)
     hits = attach(hashed, grams, ["h"], how="inner").select("_f", "_r", "pos", "item", "ipos", "rich")
     hits = materialize(hits.distinct(), "hits")
     # items that could still pass, before the texts are looked at again
@@ -144,18 +150,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, coverag
     likely = materialize(likely.where(enough).drop("found", "found_rich"), "likely")
     again = attach(texts, likely.select("_f", "_r").distinct(), ["_f", "_r"], how="inner", salts=1)
     again = materialize(again.select("_f", "_r", F.col("doc_id").cast("long").alias("doc_id"),
-                                     marked_words(F.col("text")).alias("words")), "suspects")
+                                     plain(marked_words(F.col("text"))).alias("words")), "suspects")
     line = [*pair, "diagonal"]
     rows = hits.join(likely, pair).withColumn("diagonal", F.col("pos") - F.col("ipos"))
     # the words of an item, a row per window: the item's texts go to the hits however often it is found
-    asked = grams.select("item", "ipos").distinct().join(items.select("item", "words"), "item").select(
-        "item", "ipos", F.slice("words", F.col("ipos") + 1, n).alias("marks"), F.slice(plain(F.col("words")), F.col("ipos") + 1, n).alias("iplain"),
-        F.slice(_identity(F.col("words")), F.col("ipos") + 1, n).alias("iwords"))
+    marks = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.startswith("<").alias("slot")))
+    near = F.filter(F.slice(marks, F.col("ipos") + 1, n), lambda m: m["slot"])
+    asked = grams.select("item", "ipos").distinct().join(items.select("item", "words"), "item").withColumn(
+        "names", _identity(F.col("words"))).withColumn("bare", plain(F.col("words"))).select("item", "ipos", F.transform(near, lambda m: F.struct(
+            m["at"].alias("at"), F.get("names", m["at"]).alias("value"), F.get("bare", m["at"]).alias("was"))).alias("asked"))
     rows = attach(rows, materialize(asked, "asked"), ["item", "ipos"], how="inner").join(again, ["_f", "_r"])
-    given = F.slice(plain(F.col("words")), F.col("pos") + 1, n)
-    compared = F.filter(F.transform("marks", lambda m, i: F.struct(
-        (F.col("ipos") + i).alias("at"), m.startswith("<").alias("slot"), F.get("iwords", i).alias("value"),
-        F.get("iplain", i).alias("was"), F.get(given, i).alias("doc"))), lambda x: x["slot"])
+    compared = F.transform("asked", lambda s: F.struct(
+        s["at"].alias("at"), s["value"].alias("value"), s["was"].alias("was"), F.get("words", s["at"] + F.col("diagonal")).alias("doc")))
     rows = materialize(rows.select(*line, "doc_id", "item_windows", "rich_windows", "rich", "ipos", compared.alias("slots")), "aligned")
     # for every slot the last place before it where the same benchmark value stands for another document value
     slots = rows.select(*line, F.explode("slots").alias("s")).select(*line, "s.at", "s.value", "s.was", "s.doc").distinct()

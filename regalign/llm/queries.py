@@ -18,7 +18,7 @@ from regalign.llm.pii import personal_data
 from regalign.llm.ptolemy import cluster
 from regalign.llm.quality_rules import quality_rules
 from regalign.llm.simhash import near_duplicates
-from regalign.llm.token_rollup import Rollup, count_tokens, deletes, inserts
+from regalign.llm.token_rollup import Rollup, count_tokens, deletes, inserts, revisions
 from regalign.llm.toxicity import toxicity
 
 
