@@ -1,15 +1,18 @@
 """SimHash near-duplicates: fingerprints, then exact Hamming neighbours through vantage-point trees.
 
-A pair within ``max_bits`` differs in at most ``max_bits // m`` bits of one of m disjoint bit
-blocks (for m > max_bits, it is equal on the union of some m - max_bits blocks).  One
-vantage-point tree is built per block: a node holds a vantage point and a radius, fingerprints
-within the radius go inside and the others outside.  A fingerprint's shard is its home leaf; it is
-also sent to every leaf its ball of the block's reach overlaps (triangle bound: inside if
-d - reach <= radius, outside if d + reach > radius).  All leaves are then searched exactly on the
-full 64 bits.  Fingerprints of independent texts lie about 32 bits from every vantage point, so on
-the whole word 4 bits of reach overlap two thirds of all points at each level and prune next to
-nothing; on blocks the reach is small and the same bounds prune well.  With five blocks for
-4 bits it is 0: no point is copied to a second leaf.
+The 64 bits are cut into blocks.  However the ``max_bits`` differing bits of a pair spread over the
+blocks, they leave some block (or union of blocks) with few of them; each such part has a
+vantage-point tree with the reach that is needed there, so that every spread is within the reach of
+some tree.  A node holds a vantage point and a radius, fingerprints within the radius go inside and
+the others outside.  A fingerprint's shard is its home leaf; it also visits every later leaf its
+ball of the tree's reach overlaps (triangle bound: inside if d - reach <= radius, outside if
+d + reach > radius), all other branches are pruned.  Leaves are then searched exactly on the full
+64 bits.
+
+On all 64 bits 4 bits of reach overlap two thirds of the points at every level.  Four blocks need
+one tree of reach 1 (a pair that differs in all four blocks has one bit in each) and three of reach
+0; the tree with a reach gets the wider block, where a step of one bit overlaps less.  Beyond what
+four blocks can hold, unions of two to four blocks are equal in every pair, and the reach is 0.
 """
 
 from __future__ import annotations
@@ -39,9 +42,10 @@ from regalign.llm.components import components
 
 HASH_SEED = 42
 LEAF = 512            # fingerprints a leaf should hold
+PART = 2048           # fingerprints routed at a time
 CELL = 4096           # a fuller leaf is split into pieces of this size, compared pair by pair
-MAX_DEPTH = 16        # levels of a tree (its table has 2**(MAX_DEPTH + 1) nodes at most)
-SAMPLE = 20_000       # fingerprints the trees' vantage points and radii are taken from
+TABLE_DEPTH = 12      # levels of a tree that are fitted to the sample; deeper nodes have a hashed vantage point
+SAMPLE = 20_000       # fingerprints the fitted vantage points and radii are taken from
 
 
 def simhash(text: bytes, shingle: int) -> int:
@@ -82,32 +86,71 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     return docs.mapInArrow(run, docs.select(*carried).schema.add("fp", "long"))
 
 
-def subspaces(max_bits: int, blocks: int) -> tuple[list[int], int]:
-    """Bit masks of the trees, and how far a pair within ``max_bits`` can lie apart in the best one."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+def reaches(max_bits: int, blocks: int, together: int) -> list[tuple[tuple[int, ...], int]]:
+    """Unions of ``together`` blocks and the reach of each, so that every spread of ``max_bits`` bits is in some reach.
+
+    All reaches start at 0.  Of the spreads still out of reach the nearest are taken first, by the
+    union that brings in most of them.  (Fewer bits are in reach wherever more are.)
+    """
+    unions = list(combinations(range(blocks), together))
+    bars = combinations(range(max_bits + blocks - 1), blocks - 1)
+    spreads = [[b - a - 1 for a, b in zip((-1, *bar), (*bar, max_bits + blocks - 1))] for bar in bars]
+    need = {u: [sum(s[b] for b in u) for s in spreads] for u in unions}
+    reach = dict.fromkeys(unions, 0)
+    left = [i for i in range(len(spreads)) if min(need[u][i] for u in unions) > 0]
+    while left:
+        r = min(need[u][i] for u in unions for i in left)
+        u = max(unions, key=lambda u: sum(need[u][i] <= r for i in left))
+        reach[u] = r
+        left = [i for i in left if need[u][i] > r]
+    return list(reach.items())
+
+
+def subspaces(max_bits: int, blocks: int) -> list[tuple[int, int]]:
+    """(bit mask, reach) of each tree; blocks under a reach are wider."""
+    together = max(1, blocks - max_bits)
+    trees = reaches(max_bits, blocks, together)
+    share = math.comb(blocks - 1, together - 1)
+    weight = [1 + sum(r for u, r in trees if b in u) / share for b in range(blocks)]
+    edges = [round(64 * sum(weight[:b]) / sum(weight)) for b in range(blocks + 1)]
     block = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
-    if blocks <= max_bits + 1:
-        return block, max_bits // blocks
-    every = (1 << 64) - 1
-    return [every ^ sum(c) for c in combinations(block, max_bits)], 0
+    return [(sum(block[b] for b in u), r) for u, r in trees]
 
 
 def blocks_for(n: int, max_bits: int) -> int:
-    """Fewest blocks whose trees can hold ``n`` fingerprints in leaves of about CELL."""
-    m = max_bits + 1
-    while m < max_bits + 4 and n > CELL * 2 ** int(64 * max(1, m - max_bits) / m):
-        m += 1
-    return m
+    """Fewest blocks, ``max_bits`` or more, whose trees can hold ``n`` fingerprints in leaves of about CELL."""
+    for m in (max(1, max_bits), max_bits + 2, max_bits + 3):
+        if n <= CELL * 2 ** min(mask.bit_count() for mask, _ in subspaces(max_bits, m)):
+            return m
+    return max_bits + 4
+
+
+def tree_depth(n: int, leaf: int, mask: int, reach: int) -> int:
+    """Levels that leave about ``leaf`` of ``n`` values in a leaf, four times as many per bit of reach."""
+    return min(mask.bit_count(), max(0, math.ceil(math.log2(max(1, n) / (leaf << (2 * reach))))))
+
+
+def _mixed(node: np.ndarray, seed: int) -> np.ndarray:
+    x = (node.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 class Tree:
-    """A vantage-point tree over ``value & mask``, as heap-ordered arrays (node i has children 2i+1, 2i+2)."""
+    """A vantage-point tree over ``value & mask``, heap-ordered (node i has children 2i+1, 2i+2).
+
+    The upper levels are fitted to a sample.  Where that has no values left, and in all deeper
+    levels, the vantage point is a hash of the node and the radius the middle distance; so the
+    table stays small however deep the tree is.
+    """
 
     def __init__(self, sample: np.ndarray, mask: int, depth: int, seed: int = 5):
-        self.mask, self.depth = np.uint64(mask), depth
-        inner = 2 ** depth - 1
-        self.vantage = np.zeros(max(inner, 1), dtype=np.uint64)
-        self.radius = np.full(max(inner, 1), 64, dtype=np.int16)
+        self.mask, self.depth, self.seed = np.uint64(mask), depth, seed
+        self.middle = (mask.bit_count() - 1) // 2
+        inner = 2 ** min(depth, TABLE_DEPTH) - 1
+        self.vantage = _mixed(np.arange(max(inner, 1)), seed) & self.mask
+        self.radius = np.full(max(inner, 1), self.middle, dtype=np.int16)
         rng = np.random.default_rng(seed)
         groups = {0: np.unique(sample & self.mask)}
         for node in range(inner):
@@ -126,42 +169,50 @@ class Tree:
                 _, self.vantage[node], self.radius[node], d = best
                 groups[2 * node + 1], groups[2 * node + 2] = values[d <= best[2]], values[d > best[2]]
 
+    def look(self, x: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distance of each value to its node's vantage point, and the node's radius."""
+        if len(node) and node[0] >= len(self.vantage):  # all nodes of a step are on one level
+            vantage, radius = _mixed(node, self.seed) & self.mask, np.full(len(node), self.middle, dtype=np.int16)
+        else:
+            vantage, radius = self.vantage[node], self.radius[node]
+        return np.bitwise_count((x & self.mask) ^ vantage).astype(np.int16), radius
+
     def home(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each value."""
         node = np.zeros(len(x), dtype=np.int64)
         for _ in range(self.depth):
-            d = np.bitwise_count((x & self.mask) ^ self.vantage[node]).astype(np.int16)
-            node = 2 * node + 1 + (d > self.radius[node])
+            d, r = self.look(x, node)
+            node = 2 * node + 1 + (d > r)
         return node
 
     def reached(self, x: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         """(index into x, leaf) for every leaf the ball of ``reach`` around a value overlaps."""
         row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
         for _ in range(self.depth):
-            d = np.bitwise_count((x[row] & self.mask) ^ self.vantage[node]).astype(np.int16)
-            r = self.radius[node]
+            d, r = self.look(x[row], node)
             near, far = d - reach <= r, d + reach > r
             row = np.concatenate([row[near], row[far]])
             node = np.concatenate([2 * node[near] + 1, 2 * node[far] + 2])
         return row, node
 
 
-def route(fps: DataFrame, trees: list[Tree], reach: int) -> DataFrame:
+def route(fps: DataFrame, trees: list[tuple[Tree, int]]) -> DataFrame:
     """(tree, leaf, fp): each fingerprint in its home leaf, and as a visitor in the later leaves it reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for t, tree in enumerate(trees):
-                home = tree.home(x)
-                row, leaf = np.arange(len(x)), home
-                if reach:
-                    more, at = tree.reached(x, reach)
-                    later = at > home[more]  # the earlier leaf's point visits the later one: each pair meets once
-                    row, leaf = np.concatenate([row, more[later]]), np.concatenate([leaf, at[later]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(row), t, dtype=np.int32)), pa.array(leaf), pa.array(x[row].view(np.int64))],
-                    ["tree", "leaf", "fp"])
+            for t, (tree, reach) in enumerate(trees):
+                for part in np.array_split(x, max(1, len(x) // PART)):
+                    home = tree.home(part)
+                    row, leaf = np.arange(len(part)), home
+                    if reach:
+                        more, at = tree.reached(part, reach)
+                        later = at > home[more]  # the earlier leaf's point visits the later one: each pair meets once
+                        row, leaf = np.concatenate([row, more[later]]), np.concatenate([leaf, at[later]])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(row), t, dtype=np.int32)), pa.array(leaf),
+                         pa.array(part[row].view(np.int64))], ["tree", "leaf", "fp"])
 
     return fps.select("fp").mapInArrow(run, "tree int, leaf long, fp long")
 
@@ -225,14 +276,14 @@ def near_pairs(fps: DataFrame, max_bits: int = 4, blocks: int | None = None, lea
     """
     spark = fps.sparkSession
     n = fps.count()
-    masks, reach = subspaces(max_bits, blocks or blocks_for(n, max_bits))
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / leaf))))
+    shapes = subspaces(max_bits, blocks or blocks_for(n, max_bits))
     rows = sampled(fps, "fp", sample, n).select("fp").toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-    trees = [Tree(rows, m, depth, seed=5 + i) for i, m in enumerate(masks)]
-    routed = route(fps, trees, reach)
-    # at most len(masks) * 2**depth rows
-    sizes = routed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("pieces"))
-    at = routed.join(F.broadcast(sizes), ["tree", "leaf"])
+    trees = [(Tree(rows, mask, tree_depth(n, leaf, mask, reach), seed=5 + i), reach)
+             for i, (mask, reach) in enumerate(shapes)]
+    routed = route(fps, trees)
+    full = materialize(routed.groupBy("tree", "leaf").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("pieces")).where("pieces > 1"), "full_leaves")
+    at = attach(routed, full, ["tree", "leaf"]).withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     at = at.withColumn("p", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")).withColumn(
         "q", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     at = at.select("tree", "leaf", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "fp")

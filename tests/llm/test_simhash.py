@@ -1,11 +1,22 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
 import xxhash
 
+import regalign.llm.simhash as simhash_module
 from regalign.llm.components import components
-from regalign.llm.simhash import Tree, linked, near_duplicates, near_pairs, one_of_each, simhash, subspaces
+from regalign.llm.simhash import (
+    Tree,
+    blocks_for,
+    linked,
+    near_duplicates,
+    near_pairs,
+    one_of_each,
+    simhash,
+    subspaces,
+)
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -59,7 +70,7 @@ def clusters(n=300, seed=1):
     return sorted(out)
 
 
-@pytest.mark.parametrize("blocks,leaf,cell", [(1, 40, 4096), (2, 20, 16), (3, 10, 4096), (5, 8, 8), (6, 30, 4096)])
+@pytest.mark.parametrize("blocks,leaf,cell", [(1, 40, 4096), (2, 20, 16), (3, 10, 4096), (4, 4, 4096), (4, 2, 16), (5, 8, 8), (6, 30, 4096)])
 def test_trees_lose_no_link(spark, blocks, leaf, cell):
     values = clusters()
     fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
@@ -78,15 +89,65 @@ def test_trees_lose_no_link(spark, blocks, leaf, cell):
     assert {v: find(v) for v in values} == brute_components(values, 4)
 
 
+@pytest.mark.parametrize("blocks", range(1, 9))
+def test_every_spread_of_bits_is_in_some_reach(blocks):
+    rng = random.Random(blocks)
+    trees = subspaces(4, blocks)
+    for bits in (*combinations(range(0, 64, 5), 4), *[rng.sample(range(64), 4) for _ in range(2000)]):
+        diff = sum(1 << b for b in bits)
+        assert any((diff & mask).bit_count() <= reach for mask, reach in trees)
+
+
+def test_shapes_grow_with_the_table():
+    assert [r for _, r in subspaces(4, 4)] == [1, 0, 0, 0] and len(subspaces(4, 6)) == 15
+    assert [blocks_for(n, 4) for n in (0, 10**6, 10**8, 10**11)] == [4, 4, 6, 7]
+    assert blocks_for(10, 0) == blocks_for(10, 1) == 1 and subspaces(0, 1) == [(2**64 - 1, 0)]
+
+
+def test_pruned_trees_lose_links_without_the_visits(spark, monkeypatch):
+    """What the triangle bounds send to a second leaf decides links: bits 1 apart in each of the four blocks."""
+    rng = random.Random(8)
+    masks = [m for m, _ in subspaces(4, 4)]
+    values = []
+    for _ in range(400):
+        v = rng.getrandbits(64)
+        values += [v, v ^ sum(1 << rng.choice([b for b in range(64) if m >> b & 1]) for m in masks)]
+    fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
+
+    def pairs():
+        links = near_pairs(fps, 4, leaf=4, sample=400).distinct().collect()
+        return {frozenset((r.a, r.b)) for r in links}
+
+    want = {frozenset(np.array(p, np.uint64).view(np.int64).tolist()) for p in zip(values[::2], values[1::2])}
+    assert pairs() == want
+    monkeypatch.setattr(Tree, "reached", lambda self, x, reach: (np.arange(len(x)), self.home(x)))
+    assert 0 < len(pairs()) < len(want)
+
+
+def test_deep_levels_prune_and_reach(monkeypatch):
+    """Hashed vantage points below the fitted levels: no neighbour is lost and most leaves are pruned."""
+    monkeypatch.setattr(simhash_module, "TABLE_DEPTH", 3)
+    values = np.array(clusters(400, 5), dtype=np.uint64)
+    mask, reach = subspaces(4, 4)[0]
+    tree = Tree(values[::3], mask, depth=8)
+    home = tree.home(values)
+    row, leaf = tree.reached(values, reach)
+    reached = set(zip(row.tolist(), leaf.tolist()))
+    assert len(np.unique(home)) > 100 and len(row) < 30 * len(values)
+    for i, v in enumerate(values):
+        for j in np.flatnonzero(np.bitwise_count((values ^ v) & np.uint64(mask)) <= reach):
+            assert (i, int(home[j])) in reached
+
+
 def test_triangle_bounds_reach_every_leaf_that_holds_a_neighbour():
     values = np.array(clusters(200, 3), dtype=np.uint64)
-    for mask in subspaces(4, 2)[0]:
+    for mask, reach in subspaces(4, 2):
         tree = Tree(values[::3], mask, depth=5)
         home = tree.home(values)
-        row, leaf = tree.reached(values, 2)
+        row, leaf = tree.reached(values, reach)
         reached = {(int(i), int(x)) for i, x in zip(row, leaf)}
         for i, v in enumerate(values):
-            near = np.flatnonzero(np.bitwise_count((values ^ v) & np.uint64(mask)) <= 2)
+            near = np.flatnonzero(np.bitwise_count((values ^ v) & np.uint64(mask)) <= reach)
             assert all((i, int(home[j])) in reached for j in near)
 
 
