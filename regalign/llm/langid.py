@@ -3,8 +3,9 @@
 The blended-spectrum presence kernel of two texts counts the character n-grams (n = 1..3) both
 hold, over the root of the product of their own counts.  A bounded sample of landmark texts gives
 Nystroem features phi(x) = k(x, landmarks) K^(-1/2); one-versus-rest kernel ridge regression is
-solved on the sums phi'phi and phi'y gathered from a bounded training sample, and a text's scores
-are the sum of its n-grams' rows in one table of weights.
+solved on the sums phi'phi and phi'y gathered from a bounded training sample.  Landmarks, Nystroem
+map and regression fold into one matrix of n-grams by languages; texts are scored by batched
+products of their presence matrix with it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from regalign.llm.common import materialize, slices
 from regalign.llm.toxicity import held_out_part
 
 LANDMARKS = 48            # per language
+ALL_LANDMARKS = 2_400     # of all languages together: with more than 50 languages each has fewer
 TRAIN_ROWS = 1_500        # per language, at most (about)
+BATCH = 64                # texts scored in one matrix product
 MAX_LANGUAGES = 400       # languages learned, the most frequent first
 RIDGE = 1e-2
 UNKNOWN = "und"
@@ -125,22 +128,28 @@ class Model:
         self.vocabulary, self.weights, self.languages = vocabulary, weights, languages
 
     def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], np.ndarray]:
-        z = np.zeros((len(texts), len(self.languages)))
-        for i, t in enumerate(texts):
-            at = grams.places(t)
-            z[i] = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(at)))
+        held = [grams.places(t) for t in texts]
+        sizes = np.array([len(x) for x in held])
+        used, column = np.unique(np.concatenate(held), return_inverse=True)  # the batch's part of the vocabulary
+        presence = np.zeros((len(texts), len(used)))
+        presence[np.repeat(np.arange(len(texts)), sizes), column] = np.repeat(1 / np.sqrt(np.maximum(1, sizes)), sizes)
+        z = presence @ self.weights[used].astype(np.float64)
         best = z.argmax(axis=1)
         e = np.exp(8 * (z - z.max(axis=1, keepdims=True)))
         return [self.languages[i] for i in best], (e.max(axis=1) / e.sum(axis=1)).astype(float)
 
 
 def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, most: int = MAX_LANGUAGES) -> DataFrame:
-    """(doc_id, text, lang, draw): up to about ``rows`` texts per language, by a hash of doc_id."""
+    """(doc_id, text, lang, draw): up to about ``rows`` texts per language, by a hash of id and text.
+
+    Rows that share an id, or have none, are drawn each on its own; equal rows count once.  So the
+    bound holds whatever the ids are.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(2**31)) / F.lit(float(2**31))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(13)), F.lit(2**31)) / F.lit(float(2**31))
     at = known.withColumn("draw", draw).join(F.broadcast(counts), "lang")  # at most ``most`` rows
-    return at.where(F.col("draw") * F.col("n") < rows).select("doc_id", "text", "lang", "draw")
+    return at.where(F.col("draw") * F.col("n") < rows).select("doc_id", "text", "lang", "draw").distinct()
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
@@ -151,6 +160,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, rid
     marks = marks[[has_letter(t) for t in marks["text"]]]
     if not len(marks):
         return None
+    marks = marks.groupby("lang").head(max(1, ALL_LANDMARKS // marks["lang"].nunique()))
     texts, languages = marks["text"].tolist(), sorted(set(marks["lang"]))
     base = Landmarks(texts)
     kernel = base.kernel(base.held)
@@ -200,8 +210,8 @@ def language(docs: DataFrame, parts: int = 4, part: int = 2, **params) -> DataFr
                 texts = piece.column("text").to_pylist()
                 name, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 on = [i for i, t in enumerate(texts) if model and has_letter(t)]
-                for at in range(0, len(on), 256):
-                    some = on[at:at + 256]
+                for at in range(0, len(on), BATCH):
+                    some = on[at:at + BATCH]
                     found, p = model.predict([texts[i] for i in some], grams)
                     score[some] = p
                     for i, x in zip(some, found):

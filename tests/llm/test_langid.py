@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from regalign.llm.langid import Grams, language, symbols
+from regalign.llm.langid import Grams, Model, fit, language, symbols, training_rows
 
 SOUNDS = {"aa": "ka to mi ra so na".split(), "bb": "sch ung ein keit zu ge".split(), "cc": "éau què tion ment oi la".split()}
 
@@ -66,3 +66,29 @@ def test_scripts_with_many_symbols_are_told_apart(write):
     held = [(r.lang_pred, rows[r.doc_id][2]) for r in got if r.held_out]
     assert len(held) > 80 and {a for _, a in held} == set(first)
     assert all(np.mean([p == a for p, a in held if a == lang]) > 0.95 for lang in first)
+
+
+def test_samples_are_bounded_by_rows_not_ids(write):
+    """Null and repeated ids draw row by row, equal rows count once, so no language is lost and none overflows."""
+    rng = random.Random(8)
+    rows = [(None if i % 2 else 7, sample(lang := rng.choice(list(SOUNDS)), rng, 20), lang) for i in range(3000)]
+    docs = write(rows + [(7, "ka to mi", "aa")] * 2000, "doc_id long, text string, lang string")
+    got = {r.lang: r["count"] for r in training_rows(docs, 200).groupBy("lang").count().collect()}
+    assert set(got) == set(SOUNDS) and all(20 < n < 260 for n in got.values())
+    assert {r.lang_pred for r in language(docs, rows=200, landmarks=12).collect()} == set(SOUNDS)
+
+
+def test_batched_products_score_like_single_texts(write):
+    rng = random.Random(9)
+    docs = write([(i, sample(lang := list(SOUNDS)[i % 3], rng, 15), lang) for i in range(90)],
+                 "doc_id long, text string, lang string")
+    model = fit(docs, rows=200, landmarks=5)
+    assert isinstance(model, Model)
+    grams = Grams(vocabulary=model.vocabulary)
+    texts = [sample(rng.choice(list(SOUNDS)), rng, rng.randint(1, 80)) for _ in range(70)] + ["Ω"]
+    names, score = model.predict(texts, grams)
+    for t, name, p in zip(texts, names, score):
+        at = grams.places(t)
+        z = model.weights[at].astype(float).sum(axis=0) / np.sqrt(max(1, len(at)))
+        e = np.exp(8 * (z - z.max()))
+        assert name == model.languages[int(z.argmax())] and abs(p - e.max() / e.sum()) < 1e-9
