@@ -115,13 +115,28 @@ def fit_bag(bag: pd.DataFrame, prior: float) -> pd.DataFrame:
     return pd.DataFrame({"bag": int(bag["bag"].iloc[0]), "feature": ["", *chosen], "weight": [b, *w.tolist()]})
 
 
+def bag_rows(docs: DataFrame, chosen: DataFrame, positives: int, unlabelled: int) -> DataFrame:
+    """(bag, toxic, doc_id, text): the distinct rows of the ``chosen`` (doc_id, toxic, bag), a bounded table.
+
+    A bag with more than the given numbers of rows (ids may have any number) is thinned out to
+    about them by a hash of id and text.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    rows = materialize(rows.select("bag", "toxic", "doc_id", "text").distinct(), "bag_rows")
+    most = F.when(F.col("toxic"), F.lit(positives)).otherwise(F.lit(unlabelled))
+    rates = rows.groupBy("bag", "toxic").agg((F.max(most) / F.count(F.lit(1))).alias("rate"))  # two rows a bag
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(37)), F.lit(2**31)) / F.lit(float(2**31))
+    return rows.join(F.broadcast(rates), ["bag", "toxic"]).where(draw < F.col("rate")).drop("rate")
+
+
 def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, bags: int = BAGS,
         positives: int = BAG_POSITIVES, unlabelled: int = BAG_UNLABELLED) -> dict[str, float]:
     """Averaged feature weights ('' holds the bias) learned from ``docs`` and the confirmed rows of ``labels``.
 
     Only label 1 is used as a label, and the share of 1 among the labelled rows as the class prior
     unless ``prior`` is given.  Bags are filled by a hash of doc_id with at most about the given
-    numbers of rows.  Without positives the model is empty and scores every text 0.
+    numbers of rows; where ids have many rows, rows are drawn by a hash of id and text, and equal
+    rows count once.  Without positives the model is empty and scores every text 0.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
@@ -137,8 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, bags: in
     pos = ids.join(marked.where("toxic"), "doc_id").where(draw < bags * positives / k)
     chosen = pos.unionByName(unl).withColumn("bag", F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(bags)).cast("int"))
     chosen = materialize(chosen, "bags")
-    # bounded by the two sample sizes
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    rows = bag_rows(docs, chosen, positives, unlabelled)
 
     def one(bag: pd.DataFrame) -> pd.DataFrame:
         return fit_bag(bag.sort_values(["doc_id", "toxic", "text"], na_position="first"), prior)

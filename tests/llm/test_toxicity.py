@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from prose import prose
 
-from regalign.llm.toxicity import Rows, features_of, nn_pu, toxicity, words_of
+from regalign.llm.toxicity import Rows, bag_rows, features_of, nn_pu, toxicity, words_of
 
 INSULTS = ["gromph", "vexling", "skarn", "blithwad", "zontag"]
 
@@ -51,3 +51,12 @@ def test_non_negative_risk_separates_unlabelled_positives():
 def test_features_are_words_and_prefixes():
     assert words_of("Ab1cd, É_x ab") == {"ab", "cd", "é", "x"} and words_of(None) == set()
     assert features_of({"abcdefg"}) == {"abcdefg", "^abcde", "^abcdef"}
+
+
+def test_bags_are_bounded_by_rows_not_ids(write):
+    """One id holds most rows, some of them equal: its bag stays near its bound, small bags stay whole."""
+    docs = write([(1, f"text {i}") for i in range(6000)] + [(1, "same")] * 3000 + [(i, "other") for i in range(2, 40)],
+                 "doc_id long, text string")
+    chosen = write([(1, True, 0), *[(i, False, i % 2) for i in range(1, 40)]], "doc_id long, toxic boolean, bag int")
+    got = {(r.bag, r.toxic): r["count"] for r in bag_rows(docs, chosen, 300, 500).groupBy("bag", "toxic").count().collect()}
+    assert 200 < got[0, True] < 400 and 400 < got[1, False] < 600 and got[0, False] == 19
