@@ -188,17 +188,21 @@ def learn_list(x: np.ndarray, reject: np.ndarray, names: list[str], min_precisio
 def fit(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, **params) -> list[Rule]:
     """The decision list learned from the rows of ``labels`` (doc_id, quality; 0: reject) that have statistics.
 
-    At most about ``fit_rows`` labelled rows are used, chosen by a hash of doc_id; null labels
-    and ids are left out.  No labelled rows, or one class only: an empty list, which keeps all.
+    At most about ``fit_rows`` labelled rows are used, chosen by a hash of doc_id, and where ids
+    have many rows by a hash of the row; equal rows and equal labels of an id count once.  Null
+    labels and ids are left out.  No labelled rows, or one class only: an empty list, which keeps all.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 0).alias("reject"))
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 0).alias("reject")).distinct()
     marked = sampled(marked, "doc_id", fit_rows, marked.count())
     features = feature_columns()
     rows = stats.where(F.col("doc_id").isNotNull()).join(marked, "doc_id").select(
         "doc_id", "reject", *[c.alias(f"f_{n}") for n, c in features.items()])
-    got = rows.orderBy("doc_id", "reject", *[f"f_{n}" for n in features]).toPandas()
-    return learn_list(got[[f"f_{n}" for n in features]].to_numpy(dtype=np.float64), got["reject"].to_numpy(dtype=bool),
+    names = [f"f_{n}" for n in features]
+    rows = rows.withColumn("_row", F.xxhash64("doc_id", *names))
+    rows = sampled(rows, "_row", fit_rows, rows.count(), seed=19).drop("_row").distinct()
+    got = rows.orderBy("doc_id", "reject", *names).toPandas()
+    return learn_list(got[names].to_numpy(dtype=np.float64), got["reject"].to_numpy(dtype=bool),
                       list(features), **params)
 
 

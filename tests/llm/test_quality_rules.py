@@ -87,3 +87,17 @@ def test_base_rules_nulls_and_clashing_names(docs, wide, corpus, write, empty):
     kept = good_documents(wide, labels)
     assert kept.columns == wide.columns and kept.count() == sum(r.kept for r in rows)
     assert quality_rules(empty, labels).count() == 0 and good_documents(empty, labels).count() == 0
+
+
+def test_rows_learned_from_are_bounded_when_ids_and_labels_repeat(write, monkeypatch):
+    import regalign.llm.quality_rules as module
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    docs = write([(1, " ".join(rng.sample(words, rng.randint(60, 200)))) for _ in range(900)] + [(2, "a " * 80)] * 900,
+                 "doc_id long, text string")
+    labels = write([(1, i % 2, 0) for i in range(200)] + [(2, 1, 0)] * 200, "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(module, "learn_list", lambda x, y, names, **params: seen.append(len(x)) or [])
+    assert quality_rules(docs, labels, fit_rows=400).count() == 1800
+    assert 0 < seen[0] < 500
