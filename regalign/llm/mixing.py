@@ -65,32 +65,34 @@ def _rate(size: Column, tilt: Column, mean: Column) -> Column:
 
 
 def tilts(sizes: DataFrame, targets: DataFrame, n_sources: int, rounds: int = 60, tolerance: float = 1e-7) -> DataFrame:
-    """(source, mean, tilt): the dual solution per source, by safeguarded Newton steps.
+    """(source, source_size, target, mean, tilt) for every source: the dual solution, by safeguarded Newton steps.
 
     A step that leaves the bracket of the root is replaced by its midpoint.  Sources at their cap,
-    without words or without target need no tilt.  One row per source is carried from round to
-    round in a written table; the driver sees only how many sources are still open.
+    without words or without target need no tilt (null).  One row per source is carried from round
+    to round in a written table, through the aggregate itself; the driver sees only whether a
+    source is still open.
     """
     grid = materialize(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     open_ = (F.col("target") > 0) & (F.col("target") < F.lit(MAX_COPIES) * F.col("source_size"))
     start = F.log(F.col("target") / (F.lit(MAX_COPIES) * F.col("source_size") - F.col("target")))
-    state = targets.where(open_).select(
-        "source", "target", (F.col("source_size") / F.col("n_docs")).alias("mean"), F.round(start, 9).alias("tilt"),
-        F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(False).alias("done"))
-    state = materialize(state, "tilts")
+    fixed = ["source_size", "target", "mean"]
+    state = materialize(targets.select(
+        "source", "source_size", "target", F.when(open_, F.col("source_size") / F.col("n_docs")).alias("mean"),
+        F.when(open_, F.round(start, 9)).alias("tilt"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"),
+        (~open_).alias("done")), "tilts")
     for _ in range(rounds):
         if state.where(~F.col("done")).isEmpty():
             break
         rows = attach(grid, state.where(~F.col("done")), ["source"], how="inner", rows=n_sources)
         w = _rate(F.col("size"), F.col("tilt"), F.col("mean"))
         slope = w * (F.lit(1.0) - w / F.lit(float(MAX_COPIES))) * F.col("size") * F.col("size") / F.col("mean")
-        sums = rows.groupBy("source").agg(
+        step = rows.groupBy("source").agg(
+            *[F.first(c).alias(c) for c in (*fixed, "tilt", "low", "high")],
             F.sum((w * F.col("size") * F.col("n")).cast(_EXACT)).cast("double").alias("got"),
             F.sum((slope * F.col("n")).cast(_EXACT)).cast("double").alias("slope"))
         miss = F.col("got") - F.col("target")
         low = F.when(miss < 0, F.greatest("low", "tilt")).otherwise(F.col("low"))
         high = F.when(miss > 0, F.least("high", "tilt")).otherwise(F.col("high"))
-        step = state.join(sums.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
         step = step.withColumn("low", low).withColumn("high", high)
         newton = F.col("tilt") - F.try_divide(miss, F.col("slope"))
         inside = (newton > F.col("low")) & (newton < F.col("high"))
@@ -99,40 +101,52 @@ def tilts(sizes: DataFrame, targets: DataFrame, n_sources: int, rounds: int = 60
             F.col("low") <= -1e6, F.col("high") - F.abs("high") - 1.0).otherwise((F.col("low") + F.col("high")) / 2)
         near = F.abs(miss) <= F.lit(tolerance) * F.col("target")
         tight = F.col("high") - F.col("low") <= 1e-9
-        done = F.col("done") | near | tight
-        state = materialize(step.select(
-            "source", "target", "mean",
+        done = near | tight
+        step = step.select(
+            "source", *fixed,
             F.when(done, F.col("tilt")).otherwise(F.round(F.when(inside, newton).otherwise(middle), 9)).alias("tilt"),
-            "low", "high", done.alias("done")), "tilts")
-    return state.select("source", "mean", "tilt")
+            "low", "high", done.alias("done"))
+        state = materialize(step.unionByName(state.where("done")), "tilts")
+    return state.select("source", *fixed, "tilt")
 
 
 class Mix:
-    """The decisions of a mix as small tables (a few rows per source), applied to any frame of ``sizes_of``."""
+    """The decisions of a mix as one small table (a row per source), applied to any frame of ``sizes_of``.
+
+    Every decision adds columns to that table, through the aggregate that makes it, so a pass over
+    the documents meets one small table however many decisions came before.  ``has`` counts the
+    words a source has so far; it is kept by adding, not by another pass.
+    """
 
     def __init__(self, sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE):
-        targets = materialize(source_targets(sizes, weights, share), "targets")
-        self.n = targets.count()  # rows of every table below, at most
-        duals = tilts(sizes, targets, self.n).withColumnRenamed("source", "_s")
-        self.plan = materialize(targets.join(duals, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
-        self.steps: list[DataFrame] = []
-        self.fills: list[DataFrame] = []
+        targets = source_targets(sizes, weights, share)
+        self.n = targets.count()  # rows of the table, at most
+        self.state = tilts(sizes, targets, self.n)
+        self.cuts = self.fills = 0
         # rows equal in id, source, size and text draw by their row key, all others by that hash alone
         self.repeats = materialize(sizes.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
             "_h", F.lit(True).alias("_again")), "repeats")
         self.n_repeats = self.repeats.count()
-        rows = materialize(self._rated(sizes).select("_f", "_r", "source", "size", "target", "rate", "whole", "level", "bin"), "rates")
+        rows = materialize(self._rated(sizes).select(
+            "_f", "_r", "source", "size", "target", "source_size", "mean", "tilt", "rate", "whole", "level", "bin"), "rates")
+        whole = rows.groupBy("source").agg(*self._carried(), F.sum(F.col("whole") * F.col("size")).alias("has"))
+        self.state = materialize(whole, "whole")
+        rows = rows.drop("target", "source_size", "mean", "tilt")
         for _ in range(2):  # then once more among the documents that still fit
             self._round_up(rows)
         for _ in range(2):
             self._fill(rows)
 
-    def _attach(self, rows: DataFrame, table: DataFrame, how: str = "left") -> DataFrame:
-        return attach(rows, table, ["source"], how, rows=self.n)
+    def _carried(self) -> list[Column]:
+        """The table's columns, equal in all rows of a source, through an aggregate by source."""
+        return [F.first(c).alias(c) for c in self.state.columns if c != "source"]
+
+    def _attach(self, rows: DataFrame) -> DataFrame:
+        return attach(rows, self.state, ["source"], rows=self.n)
 
     def _rated(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with the rate, its whole part, and the place in the order of rounding up."""
-        rows = self._attach(rows, self.plan)
+        """``rows`` and the table, with the rate, its whole part, and the place in the order of rounding up."""
+        rows = self._attach(rows)
         # a source at its cap has no tilt: all its documents go twice
         rate = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("tilt").isNull(), F.lit(float(MAX_COPIES))).otherwise(
             _rate(F.col("size"), F.col("tilt"), F.col("mean")))
@@ -146,63 +160,70 @@ class Mix:
         return rows.withColumn("level", level).withColumn("bin", F.shiftright("level", 10))
 
     def _copied(self, rows: DataFrame) -> DataFrame:
-        """Rated rows with ``copies``."""
-        rows = rows.withColumn("up", F.lit(False))
-        for step in self.steps:
-            rows = self._attach(rows, step)
+        """Rated rows and the table, with ``up`` and ``copies``."""
+        up = F.lit(False)
+        for k in range(self.cuts):
+            cut_bin, cut_level = F.col(f"bin{k}"), F.col(f"level{k}")
             # no cut: the source never passes its target, so all that fits rounds up
-            below = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")) | (
-                (F.col("bin") == F.col("cut_bin")) & F.coalesce(F.col("level") < F.col("cut_level"), F.lit(True)))
-            rows = rows.withColumn("up", F.col("up") | (_fits(F.col("limit")) & below)).drop("limit", "cut_bin", "cut_level")
-        rows = rows.withColumn("copies", (F.col("whole") + F.when(F.col("up"), 1).otherwise(0)).cast("int"))
-        for best in self.fills:
-            rows = self._attach(rows, best)
-            more = (F.col("_f") == F.col("best_f")) & (F.col("_r") == F.col("best_r")) & (F.col("copies") < MAX_COPIES)
-            rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0)).drop("best_f", "best_r")
+            below = cut_bin.isNull() | (F.col("bin") < cut_bin) | (
+                (F.col("bin") == cut_bin) & F.coalesce(F.col("level") < cut_level, F.lit(True)))
+            up = up | (_fits(F.col(f"limit{k}")) & below)
+        rows = rows.withColumn("up", up).withColumn(
+            "copies", (F.col("whole") + F.when(F.col("up"), 1).otherwise(0)).cast("int"))
+        for k in range(self.fills):
+            more = (F.col("_f") == F.col(f"f{k}")) & (F.col("_r") == F.col(f"r{k}")) & (F.col("copies") < MAX_COPIES)
+            rows = rows.withColumn("copies", F.col("copies") + F.when(more, 1).otherwise(0))
         return rows
 
-    def _lacking(self, now: DataFrame) -> DataFrame:
-        """(source, need): the words each source still lacks."""
-        lack = F.first("target") - F.sum(F.col("copies") * F.col("size"))
-        return materialize(now.groupBy("source").agg(lack.alias("need")).where("need >= 1"), "need")
+    def _lacking(self) -> Column:
+        """The words a source still lacks (null: less than one)."""
+        lack = F.col("target") - F.col("has")
+        return F.when(lack >= 1, lack)
 
     def _round_up(self, rows: DataFrame) -> None:
         """Round documents up in the order of their levels until the next one that fits would pass the target.
 
         Two passes find the place: the bin in which the words pass the target, then the level inside.
         """
-        now = self._copied(rows)
-        need = self._lacking(now)
-        left = self._attach(now.where(~F.col("up")), need.withColumnRenamed("need", "limit"), "inner").where(
-            _fits(F.col("limit")))
-        bins = materialize(self._cut(left, "bin", need), "bins")
-        inside = self._attach(left, bins.select("source", "cut_bin"), "inner").where("bin = cut_bin")
-        levels = self._cut(inside, "level", bins.select("source", "need")).drop("need")
-        step = self._attach(self._attach(need.withColumnRenamed("need", "limit"), bins.drop("need")), levels)
-        self.steps.append(materialize(step, "step"))
+        k = self.cuts
+        self.state = self.state.withColumn(f"limit{k}", self._lacking())
+        limit = F.col(f"limit{k}")
+        left = ~F.col("up") & _fits(limit)
+        bins = self._cut(self._copied(self._attach(rows)), "bin", left, limit, f"bin{k}", "at")
+        self.state = materialize(bins, "bins")
+        inside = left & (F.col("bin") == F.col(f"bin{k}"))
+        levels = self._cut(self._copied(self._attach(rows)), "level", inside, limit - F.col("at"), f"level{k}", "more")
+        self.state = materialize(levels.withColumn("has", F.col("has") + F.col("at") + F.col("more")).drop("at", "more"), "levels")
+        self.cuts += 1
+
+    def _cut(self, rows: DataFrame, by: str, among: Column, need: Column, place: str, before: str) -> DataFrame:
+        """The table with the first value of ``by`` whose words, added in order, would pass the need (null: none
+        does), and the words before it.  Only the rows of ``among`` count."""
+        sums = rows.groupBy("source", F.when(among, F.col(by)).alias("_by")).agg(
+            *self._carried(), F.sum(F.when(among, F.col("size"))).alias("_words"))
+        order = Window.partitionBy("source").orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
+        sums = sums.withColumn("_before", F.coalesce(F.sum("_words").over(order), F.lit(0)))
+        over = F.col("_before") + F.col("_words") > need  # and so have all places after it
+        return sums.groupBy("source").agg(
+            *self._carried(), F.min(F.when(over, F.col("_by"))).alias(place),
+            F.coalesce(F.min(F.when(over, F.col("_before"))), F.sum("_words"), F.lit(0)).alias(before))
 
     def _fill(self, rows: DataFrame) -> None:
         """One more copy of the source's largest document that still fits and has a copy left (lowest level first)."""
-        now = self._copied(rows)
-        fits = self._attach(now, self._lacking(now), "inner").where(
-            (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("need")))
+        k, need = self.fills, self._lacking()
+        fits = self._copied(self._attach(rows)).where(
+            (F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= need))
         best = fits.groupBy("source").agg(F.max(F.struct("size", (-F.col("level")).alias("order"), "_f", "_r")).alias("x"))
-        self.fills.append(materialize(best.select(
-            "source", F.col("x._f").alias("best_f"), F.col("x._r").alias("best_r")), "fill"))
-
-    def _cut(self, rows: DataFrame, by: str, need: DataFrame) -> DataFrame:
-        """First value of ``by`` per source whose words, added in order, would pass the need; and what is left there."""
-        order = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # BINS rows a source
-        sums = self._attach(rows.groupBy("source", by).agg(F.sum("size").alias("words")), need, "inner")
-        sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
-        over = sums.where(F.col("before") + F.col("words") > F.col("need"))
-        first = over.groupBy("source").agg(F.min(F.struct(by, (F.col("need") - F.col("before")).alias("need"))).alias("x"))
-        return first.select("source", F.col(f"x.{by}").alias(f"cut_{by}"), F.col("x.need").alias("need"))
+        best = attach(self.state, best, ["source"], rows=self.n)
+        self.state = materialize(best.withColumn("has", F.col("has") + F.coalesce("x.size", F.lit(0))).withColumns(
+            {f"f{k}": F.col("x._f"), f"r{k}": F.col("x._r")}).drop("x"), "fill")
+        self.fills += 1
 
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` (doc_id, source, size, ...) with source_size, target, rate, copies and taken."""
-        return self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size")).drop(
-            "n_docs", "weight", "mean", "tilt", "whole", "level", "bin", "up", "_f", "_r", "_h", "_again")
+        out = self._copied(self._rated(rows)).withColumn("taken", F.col("copies") * F.col("size"))
+        own = [c for c in rows.columns if c not in ("_f", "_r", "_h")]
+        return out.select(*own, "source_size", "target", "rate", "copies", "taken")
 
 
 def _fits(limit: Column) -> Column:

@@ -84,3 +84,19 @@ def test_rows_without_id_are_drawn_one_by_one(write):
     assert len(got) == 2
     for r in got:
         assert 0 < r.target <= 2 * r.words and 0 <= r.target - r.taken < 40
+
+
+def test_a_pass_joins_one_table_of_sources_however_many_decisions(docs):
+    """All decisions are columns of one table: rows meet it and the repeated rows, nothing for each decision."""
+    plan = mix(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Join ") for line in plan.splitlines()) == 2
+
+
+def test_one_word_documents_and_many_sources_fill_their_targets(write):
+    rows = [(i, "w " * (i % 3), f"s{i % 40}" if i % 41 else None) for i in range(1200)]
+    got = mix(write(rows, "doc_id long, text string, source string"))
+    per = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"),
+                                    F.sum(F.when(F.col("copies") < 2, F.col("size"))).alias("spare")).collect()
+    assert len(per) == 41
+    for r in per:
+        assert r.taken <= r.target + 1e-6 and (r.target - r.taken < 2 or not r.spare)
