@@ -43,6 +43,7 @@ from regalign.llm.components import components
 HASH_SEED = 42
 LEAF = 512            # fingerprints a leaf should hold
 PART = 2048           # fingerprints routed at a time
+ROUTED = 1 << 18      # leaves they may reach in all, were each to reach every leaf
 CELL = 4096           # a fuller leaf is split into pieces of this size, compared pair by pair
 TABLE_DEPTH = 12      # levels of a tree that are fitted to the sample; deeper nodes have a hashed vantage point
 SAMPLE = 20_000       # fingerprints the fitted vantage points and radii are taken from
@@ -203,7 +204,9 @@ def route(fps: DataFrame, trees: list[tuple[Tree, int]]) -> DataFrame:
         for batch in batches:
             x = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for t, (tree, reach) in enumerate(trees):
-                for part in np.array_split(x, max(1, len(x) // PART)):
+                # a dense group may reach all leaves of a deep tree
+                most = max(1, min(PART, ROUTED >> tree.depth)) if reach else PART
+                for part in np.array_split(x, max(1, -(-len(x) // most))):
                     home = tree.home(part)
                     row, leaf = np.arange(len(part)), home
                     if reach:

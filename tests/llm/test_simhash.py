@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -181,3 +182,56 @@ def test_components_on_a_path_and_a_hub(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(101)}, **{500 + i: 500 for i in range(50)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_small_list_of_edges_is_written_in_few_files(spark):
+    """However many shuffle partitions are set: each task that writes a small table costs memory and files."""
+    rng = random.Random(6)
+    edges = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(2500)]
+    held = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        found = components(spark.createDataFrame(edges, "a long, b long"))
+        files = len(found.inputFiles())
+        got = {r.node: r.root for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    roots = {v: v for e in edges for v in e}
+
+    def find(v):
+        while roots[v] != v:
+            v = roots[v]
+        return v
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        roots[max(x, y)] = min(x, y)
+    assert got == {v: find(v) for v in roots if any(v in e and e[0] != e[1] for e in edges)}
+    assert files <= spark.sparkContext.defaultParallelism
+
+
+def test_a_dense_group_is_routed_in_bounded_parts(spark, monkeypatch):
+    """Each part of a dense group may reach every leaf; no batch that a task holds exceeds the bound."""
+    monkeypatch.setattr(simhash_module, "ROUTED", 1 << 10)
+    values = np.array([sum(1 << b for b in bits) for bits in combinations(range(16), 3)], dtype=np.uint64)
+    tree = Tree(values, (1 << 16) - 1, depth=7)
+    sizes = []
+    reached = Tree.reached
+    monkeypatch.setattr(Tree, "reached", lambda self, x, reach: sizes.append(len(out := reached(self, x, reach)[0])) or reached(self, x, reach))
+
+    class Frame:  # runs the task's function here
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return list(run([pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["fp"])]))
+
+    routed = simhash_module.route(Frame(), [(tree, 2)])
+    assert max(sizes) <= 1 << 10 and max(b.num_rows for b in routed) <= 1 << 10
+    monkeypatch.setattr(simhash_module, "ROUTED", 1 << 30)
+    whole = simhash_module.route(Frame(), [(tree, 2)])
+    pairs = [sorted((leaf, fp) for b in x for leaf, fp in zip(b.column("leaf").to_pylist(), b.column("fp").to_pylist())) for x in (routed, whole)]
+    assert pairs[0] == pairs[1] and max(b.num_rows for b in whole) > 1 << 10
